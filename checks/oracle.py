@@ -32,21 +32,21 @@ def query(ctes: list[str], select: str) -> str:
 def tel(station: str = "event_type", name: str = "tel") -> list[str]:
     return [
         f"""{name} AS (
-  SELECT station_id, ts, event_id, v / 8 - 4 AS temp, k::double AS rh, k + 950::double AS pres,
+  SELECT station_id, ts, event_id, u - 4 AS temp, k::double AS rh, k + 950::double AS pres,
          v / 16 AS wind, CASE WHEN k >= 5 THEN k * 10::double END AS solar,
          CASE WHEN k <= 95 THEN greatest(v - 100, 0) / 8 END AS rain
-  FROM (SELECT {station}::varchar AS station_id, ts, event_id, floor(value * 16) / 16 AS v,
+  FROM (SELECT {station}::varchar AS station_id, ts, event_id, floor(value / 8) AS u, floor(value * 16) / 16 AS v,
                regexp_extract(props, '([0-9]+)', 1)::int AS k FROM events))"""
     ]
 
 
 GRID = """grid AS (
-  SELECT valid_time, latitude, longitude, avg(v) / 8 + 270 AS t2m, avg(v) / 16 + 268 AS d2m,
+  SELECT valid_time, latitude, longitude, avg(u) + 270 AS t2m, avg(u) / 2 + 268 AS d2m,
          avg(k) * 100 + 95000 AS sp, avg(v) / 32 AS u10, max(v) / 64 AS v10,
          avg(k) * 36000 AS ssrd, max(v) / 65536 AS tp
   FROM (SELECT date_trunc('hour', ts) AS valid_time, 40 + floor(k / 10) / 4 AS latitude,
-               5 + (k % 10) / 4::double AS longitude, k, v
-        FROM (SELECT ts, floor(value * 16) / 16 AS v,
+               5 + (k % 10) / 4::double AS longitude, k, u, v
+        FROM (SELECT ts, floor(value / 8) AS u, floor(value * 16) / 16 AS v,
                      regexp_extract(props, '([0-9]+)', 1)::int AS k FROM events))
   GROUP BY ALL)"""
 

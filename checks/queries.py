@@ -537,7 +537,7 @@ def null_audit(spark, sf):
 def _features(spark, sf):
     """Feature rows as a table: windows, scalers and cuts all read them."""
     rows = flow.training_rows(t.hourly(spark, sf), t.busy_stations(spark, sf))
-    return sinks.materialise(rows, session.shared_folder(spark), "features")
+    return sinks.materialise(rows, session.run_folder(spark), "features")
 
 
 def _samples(spark, sf):

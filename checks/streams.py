@@ -1 +1,112 @@
-from checks.queries import ORACLE, QUERIES
+"""Registered streaming queries; each must equal its batch counterpart."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from checks import oracle as o
+from checks import tables as t
+from checks.queries import FORECAST_COLS, GAPS, CONSENSUS, MATCH_COLS, MINUTES, ORACLE, QUERIES, register, rounded
+from meteospark import session
+from meteospark.catalog import FEATURES
+from meteospark.functions import times
+from meteospark.operators import evaluation, matching, model
+from meteospark.sources import sinks
+from meteospark.streaming import jobs
+
+RUN = ["station_id", "ts", "model_version", "horizon"]
+
+
+def _stream(spark, path, **options):
+    """A stored table as a stream."""
+    schema = spark.read.options(**options).parquet(path).schema
+    return spark.readStream.schema(schema).options(**options).parquet(path)
+
+
+def _telemetry(spark, sf):
+    return t.readings(_stream(spark, sf, pathGlobFilter="events.parquet"), "event_type")
+
+
+def _by_month(df, folder, name, at="ts"):
+    path = f"{folder}/{name}"
+    df.withColumn("month", times.month_of(F.col(at))).write.partitionBy("month").parquet(path)
+    return path
+
+
+@register(
+    o.query(
+        [*o.tel(), o.HOURLY],
+        f"SELECT station_id, ts, {o.rounded(FEATURES)} FROM res "
+        "WHERE ts + INTERVAL 1 HOUR <= (SELECT max(ts) FROM tel) - INTERVAL 1 HOUR",
+    )
+)
+def stream_hourly(spark, sf):
+    """Hourly means in append mode: all slots that the watermark has closed."""
+    folder = session.run_folder(spark)
+    tel = _telemetry(spark, sf).withColumn("temp", F.col("temp") - 1.5)
+    jobs.run_available(jobs.hourly(tel, "1 hour"), f"{folder}/hours", f"{folder}/cp")
+    return rounded(spark.read.parquet(f"{folder}/hours"))
+
+
+@register(o.query([*o.tel(), MINUTES], "SELECT station_id, ts FROM minutes"))
+def stream_dedup(spark, sf):
+    """First arrival per station and minute."""
+    folder = session.run_folder(spark)
+    tel = _telemetry(spark, sf).select("station_id", times.floor_minute(F.col("ts")).alias("ts"))
+    jobs.run_available(jobs.dedup(tel, "1 hour"), f"{folder}/minutes", f"{folder}/cp")
+    return spark.read.parquet(f"{folder}/minutes")
+
+
+@register(o.query([*o.tel(), MINUTES, GAPS], "SELECT * FROM gaps"))
+def stream_gap_alarm(spark, sf):
+    """Minute gaps from state per station."""
+    folder = session.run_folder(spark)
+    with jobs.rocksdb(spark):
+        jobs.run_available(jobs.gap_alarm(_telemetry(spark, sf)), f"{folder}/gaps", f"{folder}/cp")
+    out = spark.read.parquet(f"{folder}/gaps")
+    return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("gap_start", "gap_end")})
+
+
+@register(
+    o.query(
+        o.reconciled(),
+        f"SELECT {FORECAST_COLS}, {o.rounded(o.RECONCILED_COLS)}, {o.r('drift_vs_bias_temp', 'drift_vs_bias')} FROM reconciled",
+    )
+)
+def stream_reconcile(spark, sf):
+    """Arriving observations close stored forecasts."""
+    folder = session.run_folder(spark)
+    hours = t.hourly_table(spark, sf)
+    matches = sinks.materialise(t.matches(spark, sf, hours=hours), folder, "joined")
+    arrivals = _by_month(matches, folder, "matches")
+    bias = _by_month(matching.bias_table(matches), folder, "bias")
+    stored = _by_month(model.baseline_forecasts(hours), folder, "forecast")
+    handle = jobs.reconcile_arrivals(spark, stored, bias, RUN)
+    jobs.run_batches(_stream(spark, arrivals).drop("month"), handle, f"{folder}/cp")
+    return rounded(spark.read.option("mergeSchema", True).parquet(stored).drop("month"))
+
+
+@register(o.query(o.matches(), f"SELECT station_id, ts, {o.rounded(MATCH_COLS)} FROM matches"))
+def stream_rematch(spark, sf):
+    """Late reanalysis fills stored matches."""
+    folder = session.run_folder(spark)
+    hours = t.hourly_table(spark, sf)
+    places = t.busy_stations(spark, sf)
+    grid = sinks.materialise(t.grid(spark, sf), folder, "cells")
+    known = matching.match(hours, grid.where("valid_time < '2024-01-20'"), places)
+    stored = _by_month(known, folder, "matches")
+    hours_path = _by_month(hours, folder, "hours")
+    grid_path = _by_month(grid, folder, "grid", "valid_time")
+    handle = jobs.rematch_late_grid(spark, hours_path, grid_path, places, stored)
+    jobs.run_batches(_stream(spark, grid_path).drop("month"), handle, f"{folder}/cp")
+    return rounded(spark.read.parquet(stored).drop("month"))
+
+
+@register(o.query(o.forecast(), CONSENSUS.format("true")))
+def stream_consensus(spark, sf):
+    """Arriving forecast runs re-aggregate the targets they touch."""
+    folder = session.run_folder(spark)
+    stored = _by_month(model.baseline_forecasts(t.hourly_table(spark, sf)), folder, "forecast")
+    handle = jobs.consensus_arrivals(spark, stored, f"{folder}/stats")
+    jobs.run_batches(_stream(spark, stored).drop("month"), handle, f"{folder}/cp")
+    return rounded(spark.read.parquet(f"{folder}/stats").drop("month"))

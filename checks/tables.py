@@ -19,19 +19,25 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def telemetry(spark: SparkSession, sf: str, station: str = "event_type") -> DataFrame:
-    """Sensor readings. By `event_type`: few busy stations. By `user_id`: a sparse fleet."""
+def readings(events: DataFrame, station: str) -> DataFrame:
+    """Sensor readings from rows of the events table."""
+    u = F.floor(F.col("value") / 8).cast("double")
     v = F.floor(F.col("value") * 16) / 16.0
     k = F.get_json_object("props", "$.k").cast("int")
-    base = table(spark, sf, "events").select(
-        F.col(station).cast("string").alias("station_id"), "ts", "event_id", v.alias("v"), k.alias("k")
+    base = events.select(
+        F.col(station).cast("string").alias("station_id"),
+        "ts",
+        "event_id",
+        u.alias("u"),
+        v.alias("v"),
+        k.alias("k"),
     )
-    v, k = F.col("v"), F.col("k")
+    u, v, k = F.col("u"), F.col("v"), F.col("k")
     return base.select(
         "station_id",
         "ts",
         "event_id",
-        (v / 8 - 4).alias("temp"),
+        (u - 4).alias("temp"),
         k.cast("double").alias("rh"),
         (k + 950.0).alias("pres"),
         (v / 16).alias("wind"),
@@ -40,6 +46,11 @@ def telemetry(spark: SparkSession, sf: str, station: str = "event_type") -> Data
     )
 
 
+def telemetry(spark: SparkSession, sf: str, station: str = "event_type") -> DataFrame:
+    """Readings by `event_type`, few busy stations, or by `user_id`, a sparse fleet."""
+    return readings(table(spark, sf, "events"), station)
+
+
 def fleet(spark: SparkSession, sf: str) -> DataFrame:
     return telemetry(spark, sf, "user_id")
 
@@ -72,12 +83,13 @@ def grid(spark: SparkSession, sf: str) -> DataFrame:
         F.window("ts", "60 minutes").start.alias("valid_time"),
         (40 + F.floor(k / 10) / 4.0).alias("latitude"),
         (5 + (k - 10 * F.floor(k / 10)) / 4.0).alias("longitude"),
+        F.floor(F.col("value") / 8).cast("double").alias("u"),
         v.alias("v"),
         k.alias("k"),
     )
     return cells.groupBy("valid_time", "latitude", "longitude").agg(
-        (F.avg("v") / 8 + 270).alias("t2m"),
-        (F.avg("v") / 16 + 268).alias("d2m"),
+        (F.avg("u") + 270).alias("t2m"),
+        (F.avg("u") / 2 + 268).alias("d2m"),
         (F.avg("k") * 100 + 95000).alias("sp"),
         (F.avg("v") / 32).alias("u10"),
         (F.max("v") / 64).alias("v10"),
@@ -92,7 +104,7 @@ def hourly(spark: SparkSession, sf: str, station: str = "event_type") -> DataFra
 
 def hourly_table(spark: SparkSession, sf: str, station: str = "event_type") -> DataFrame:
     """The hourly series as the pipeline's table, for queries that read it several times."""
-    return sinks.materialise(hourly(spark, sf, station), session.shared_folder(spark), "hourly")
+    return sinks.materialise(hourly(spark, sf, station), session.run_folder(spark), "hourly")
 
 
 def matches(spark: SparkSession, sf: str, station: str = "event_type", hours: DataFrame | None = None) -> DataFrame:

@@ -16,8 +16,19 @@ def instant(value) -> Column:
     return value if isinstance(value, Column) else F.lit(str(value)).cast("timestamp_ntz")
 
 
+def epoch_seconds(ts: Column) -> Column:
+    """Seconds since 1970. Needs a UTC session, as all of the library does."""
+    return F.unix_seconds(ts.cast("timestamp"))
+
+
+def from_epoch(seconds: Column) -> Column:
+    return F.timestamp_seconds(seconds).cast("timestamp_ntz")
+
+
 def seconds_between(start: Column, end: Column) -> Column:
-    return F.timestamp_diff("SECOND", start, end)
+    """Whole seconds from start to end."""
+    micros = lambda ts: F.unix_micros(ts.cast("timestamp"))
+    return F.floor((micros(end) - micros(start)) / 1000000)
 
 
 def floor_to(ts: Column, step_minutes: int = 60) -> Column:
@@ -35,7 +46,7 @@ def floor_hour(ts: Column) -> Column:
 
 def epoch_to_minute(epoch: Column) -> Column:
     """Epoch seconds to a UTC timestamp floored to the minute."""
-    return F.timestamp_add("MINUTE", F.floor(epoch / 60).cast("int"), F.lit("1970-01-01").cast("timestamp_ntz"))
+    return from_epoch(F.floor(epoch / 60) * 60)
 
 
 def to_local(ts: Column, zone: str) -> Column:

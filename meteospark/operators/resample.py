@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from meteospark.catalog import FEATURES
@@ -31,39 +29,40 @@ def resample(df: DataFrame, step_minutes: int = 60, keys=KEYS, features=FEATURES
     return slots.select(*keys, F.col("window.start").alias("ts"), *features)
 
 
-def _dense(df: DataFrame, step_minutes: int, keys, features) -> DataFrame:
-    """Adds the missing slots; keeps the span columns for the operators that follow.
+def _slots(df: DataFrame, step_minutes: int, keys, features, values: bool = True) -> DataFrame:
+    """Every slot between a key's first and last one, from the rows that exist.
 
-    Each row emits the slots up to its successor. An added slot stays in the span of the row
-    that emitted it: spans stay ordered, and no shuffle or second copy of the grid is needed.
+    Each row emits the slots up to its successor; all of them have the same neighbours, so
+    windows run over existing rows only and the grid appears in a final explode that neither
+    sorts nor shuffles. The slot is `ts`; `_prev_*` / `_next_*` are kept for the fills.
     """
-    step = times.minutes(step_minutes)
-    df = spans.with_carry(df.withColumn(spans.SPAN, spans.by_month()), keys, "ts", features)
-    following = F.coalesce(F.lead("ts").over(spans.local(keys, "ts")), F.col("_after_at"))
+    step = F.lit(step_minutes * 60).cast("bigint")
+    cols = features if values else ()
+    # positions are epoch seconds: the fill formulas stay plain arithmetic
+    df = df.select(*keys, spans.by_month().alias(spans.SPAN), times.epoch_seconds(F.col("ts")).alias("_t"), *features)
+    df = spans.with_neighbours(spans.with_carry(df, keys, "_t", cols), keys, "_t", cols)
+    following = F.coalesce(F.lead("_t").over(spans.local(keys, "_t")), F.col("_after_at"))
     df = df.withColumn("_following", following)
-    slots = F.when(F.col("_following").isNull(), F.array("ts")).otherwise(
-        F.sequence(F.col("ts"), F.col("_following") - step, step)
-    )
-    kept = [c for c in df.columns if c not in ("ts", "_following", *features)]
-    out = df.select(*kept, "ts", *features, F.explode(slots).alias("_slot"))
-    observed = F.col("_slot") == F.col("ts")
-    return out.select(
-        *kept, *[F.when(observed, F.col(f)).alias(f) for f in features], F.col("_slot").alias("ts")
-    )
+    slots = F.sequence(F.col("_t"), F.coalesce(F.col("_following") - step, F.col("_t")), step)
+    near = [f"_{side}_{f}{at}" for side in ("prev", "next") for f in cols for at in ("", "_at")]
+    out = df.select(*keys, F.col("_t").alias("_row"), *features, *near, F.explode(slots).alias("_t"))
+    observed = F.col("_t") == F.col("_row")
+    return out.withColumns(
+        {**{f: F.when(observed, F.col(f)) for f in features}, "ts": times.from_epoch(F.col("_t"))}
+    ).drop("_row")
 
 
 def densify(df: DataFrame, step_minutes: int = 60, keys=KEYS, features=FEATURES) -> DataFrame:
     """Every slot between a key's first and last one; slots without data hold NULL."""
-    return spans.drop_carry(_dense(df, step_minutes, keys, features)).select(*keys, "ts", *features)
+    return _slots(df, step_minutes, keys, features, values=False).select(*keys, "ts", *features)
 
 
 def _line(f: str, max_gap_seconds: int | None) -> Column:
     """Value on the line between the neighbours; the last value where none follows."""
     value, before, after = F.col(f), F.col(f"_prev_{f}"), F.col(f"_next_{f}")
-    before_at, after_at = F.col(f"_prev_{f}_at"), F.col(f"_next_{f}_at")
-    since = times.seconds_between(before_at, F.col("ts"))
-    width = F.nullif(times.seconds_between(before_at, after_at), F.lit(0))
-    filled = F.when(after_at.isNull(), before).otherwise(before + (after - before) * since / width)
+    since = F.col("_t") - F.col(f"_prev_{f}_at")
+    width = F.col(f"_next_{f}_at") - F.col(f"_prev_{f}_at")
+    filled = F.coalesce(before + (after - before) * since / width, before)
     if max_gap_seconds is not None:
         filled = F.when(since <= max_gap_seconds, filled)
     return F.coalesce(value, filled)
@@ -79,21 +78,21 @@ def interpolate(
     fills without a limit.
     """
     limit = None if max_hours is None else int(max_hours * 60 / step_minutes) * step_minutes * 60
-    df = spans.with_neighbours(_dense(df, step_minutes, keys, features), keys, "ts", features)
+    df = _slots(df, step_minutes, keys, features)
     return df.select(*keys, "ts", *[_line(f, limit).alias(f) for f in features])
 
 
 def fill_edges(df: DataFrame, step_minutes: int = 60, keys=KEYS, features=FEATURES) -> DataFrame:
     """Densifies, then fills forward and, where nothing lies before, backward."""
-    df = spans.with_neighbours(_dense(df, step_minutes, keys, features), keys, "ts", features)
+    df = _slots(df, step_minutes, keys, features)
     return df.select(*keys, "ts", *[F.coalesce(f"_prev_{f}", f"_next_{f}").alias(f) for f in features])
 
 
 def interpolate_all(df: DataFrame, step_minutes: int = 60, keys=KEYS, features=FEATURES) -> DataFrame:
     """Unbounded linear interpolation with leading slots filled backward: no NULL is left
     in a feature that has any value. `filled` marks rows in which anything was filled."""
-    df = spans.with_neighbours(_dense(df, step_minutes, keys, features), keys, "ts", features)
-    filled = reduce(lambda a, b: a | b, [F.col(f).isNull() for f in features])
+    df = _slots(df, step_minutes, keys, features)
+    filled = F.greatest(*[F.col(f).isNull() for f in features])
     return df.select(
         *keys,
         "ts",

@@ -9,6 +9,8 @@ need anyway, so the large side is shuffled once.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 SPAN = "_span"
@@ -41,6 +43,8 @@ def with_carry(df: DataFrame, keys, at: str, cols=()) -> DataFrame:
     `_before_at`: last position of any earlier span, `_after_at`: first position of any later
     span, and for each column the nearest earlier / later non-NULL value with its position.
     """
+    # stated for both uses of df, or the join would state it for one and df were computed twice
+    df = df.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in (*keys, SPAN)]))
     aggs = [F.max(at).alias("_last_at"), F.min(at).alias("_first_at")]
     for c in cols:
         seen = F.when(F.col(c).isNotNull(), F.col(at))
@@ -68,13 +72,13 @@ def with_carry(df: DataFrame, keys, at: str, cols=()) -> DataFrame:
 
 def with_neighbours(df: DataFrame, keys, at: str, cols) -> DataFrame:
     """Adds `_prev_c`, `_prev_c_at`, `_next_c`, `_next_c_at` for each column: its nearest
-    non-NULL value at or before / at or after the row, and the position of that value.
+    non-NULL value at or before the row, the nearest one after the row, and their positions.
 
     Needs the columns of `with_carry`. Both directions look backward in their own order: a frame
     that reaches forward to the end would be evaluated anew for every row.
     """
     down = local(keys, at).rowsBetween(W.unboundedPreceding, 0)
-    up = local(keys, at, descending=True).rowsBetween(W.unboundedPreceding, 0)
+    up = local(keys, at, descending=True).rowsBetween(W.unboundedPreceding, -1)
     added = {}
     for c in cols:
         seen = F.when(F.col(c).isNotNull(), F.col(at))
@@ -97,7 +101,7 @@ def with_previous(df: DataFrame, keys, at: str, span: Column, name: str) -> Data
 
 def running_total(df: DataFrame, keys, at: str, span: Column, amount: Column, name: str) -> DataFrame:
     """Adds the running sum of `amount` up to and including the row, in order of `at`."""
-    df = df.withColumn(SPAN, span).withColumn("_amount", amount)
+    df = df.withColumn(SPAN, span).withColumn("_amount", amount).where(F.col(SPAN).isNotNull())
     totals = df.groupBy(*keys, SPAN).agg(F.sum("_amount").alias("_total"))
     offset = F.coalesce(F.sum("_total").over(_earlier(keys)), F.lit(0))
     totals = totals.select(*keys, SPAN, offset.alias("_offset"))

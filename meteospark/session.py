@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -32,3 +33,8 @@ def shared_folder(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return tempfile.mkdtemp(prefix="run-", dir="/tmp")
+
+
+def run_folder(spark: SparkSession) -> str:
+    """A new folder for the tables of one run inside the shared folder."""
+    return f"{shared_folder(spark)}/run-{uuid.uuid4().hex}"

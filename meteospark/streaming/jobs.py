@@ -7,6 +7,7 @@ session runs in UTC. Every query gets its checkpoint folder from the caller.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -36,6 +37,21 @@ def hourly(df: DataFrame, delay: str = "1 hour", step_minutes: int = 60, feature
     return slots.select("station_id", start, *features)
 
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextmanager
+def rocksdb(spark: SparkSession):
+    """State on local disk with changes in the checkpoint; arbitrary state needs it."""
+    before = spark.conf.get(STATE_STORE)
+    spark.conf.set(STATE_STORE, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.set(STATE_STORE, before)
+
+
 def run_available(
     stream: DataFrame, path: str, checkpoint: str, mode: str = "append", partition_by=()
 ) -> None:
@@ -150,7 +166,7 @@ class GapAlarm(StatefulProcessor):
 
 
 def gap_alarm(df: DataFrame, max_step_minutes: float = 1.5) -> DataFrame:
-    """Stream of minute gaps per station; needs the RocksDB state store."""
+    """Stream of minute gaps per station; run it inside `rocksdb`."""
     minutes = df.select("station_id", F.date_trunc("minute", F.col("ts").cast("timestamp")).alias("ts"))
     return minutes.groupBy("station_id").transformWithStateInPandas(
         GapAlarm(max_step_minutes),
