@@ -8,7 +8,7 @@ import time
 
 import duckdb
 
-from checks.streams import QUERIES, ORACLE
+from checks import ORACLE, QUERIES
 from meteospark import session
 
 TABLES = (

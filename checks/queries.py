@@ -643,26 +643,25 @@ def feature_contract(spark, sf):
 
 
 def _trained(spark, sf):
-    return model.train_and_score(_features(spark, sf))
+    settings = flow.Settings(as_of=AS_OF)
+    return flow.forecast(t.hourly(spark, sf), t.busy_stations(spark, sf), settings, session.run_folder(spark))
 
 
 @register()
 def ridge_fit_metrics(spark, sf):
-    _, scored = _trained(spark, sf)
-    return rounded(model.rmse(scored, ["is_train", "horizon", "feature"]), 3)
+    return rounded(model.rmse(_trained(spark, sf)["scored"], ["is_train", "horizon", "feature"]), 3)
 
 
 @register()
 def ridge_forecast(spark, sf):
-    _, scored = _trained(spark, sf)
-    usable, _ = model.split_rejects(scored)
-    return rounded(model.to_forecast(usable, "ridge"), 3)
+    return rounded(_trained(spark, sf)["forecast"], 3)
 
 
 @register()
 def backtest_origins(spark, sf):
-    _, scored = _trained(spark, sf)
-    origins = model.backtest_origins(scored, "2024-01-20 00:00:00", "2024-01-29 00:00:00", 6)
+    origins = model.backtest_origins(
+        _trained(spark, sf)["scored"], "2024-01-20 00:00:00", "2024-01-29 00:00:00", 6
+    )
     return rounded(model.to_forecast(origins, "ridge"), 3)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from checks import oracle as o
 from checks import tables as t
-from checks.queries import FORECAST_COLS, GAPS, CONSENSUS, MATCH_COLS, MINUTES, ORACLE, QUERIES, register, rounded
+from checks.queries import FORECAST_COLS, GAPS, CONSENSUS, MATCH_COLS, MINUTES, register, rounded
 from meteospark import session
 from meteospark.catalog import FEATURES
 from meteospark.functions import times

@@ -31,29 +31,45 @@ def scale_samples(samples: DataFrame, x_stats: DataFrame, y_stats: DataFrame, in
     return out.drop("x_mean", "x_scale")
 
 
+MATRICES_IN_MEMORY = 64
+
+
+def _matrix(column) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
 def _gram_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums [x, 1]' [x, 1, y] over the partition, per station; one output row per matrix row."""
+    """Sums [x, 1]' [x, 1, y] over the partition, per station; one output row per matrix row.
+
+    Spark adds partial sums anyway, so they are handed on whenever a task holds many stations.
+    """
     sums: dict[str, np.ndarray] = {}
+
+    def flush():
+        for station, gram in sums.items():
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "station_id": pa.array([station] * len(gram)),
+                    "i": pa.array(range(len(gram)), pa.int32()),
+                    "g": pa.array(list(gram), pa.list_(pa.float64())),
+                }
+            )
+        sums.clear()
+
     for batch in batches:
         if not batch.num_rows:
             continue
         stations = batch.column("station_id").to_numpy(zero_copy_only=False)
-        x = batch.column("xs").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
-        y = batch.column("ys").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+        x, y = _matrix(batch.column("xs")), _matrix(batch.column("ys"))
         a = np.hstack([x, np.ones((len(x), 1))])
         b = np.hstack([a, y])
         for station in pd.unique(stations):
             mine = stations == station
             gram = a[mine].T @ b[mine]
             sums[station] = sums[station] + gram if station in sums else gram
-    for station, gram in sums.items():
-        yield pa.RecordBatch.from_pydict(
-            {
-                "station_id": pa.array([station] * len(gram)),
-                "i": pa.array(range(len(gram)), pa.int32()),
-                "g": pa.array(list(gram), pa.list_(pa.float64())),
-            }
-        )
+            if len(sums) >= MATRICES_IN_MEMORY:
+                yield from flush()
+    yield from flush()
 
 
 def fit_ridge(samples: DataFrame, penalty: float = 1.0) -> DataFrame:
@@ -87,37 +103,41 @@ def fit_ridge(samples: DataFrame, penalty: float = 1.0) -> DataFrame:
     return total.groupBy("station_id").applyInPandas(solve, MODEL_SCHEMA)
 
 
+def _rows_of(flat, width: int):
+    """A flat array as an array of rows."""
+    n = F.floor(F.size(flat) / width).cast("int")
+    return F.transform(F.sequence(F.lit(0), n - 1), lambda h: F.slice(flat, h * width + 1, F.lit(width)))
+
+
 def score(samples: DataFrame, model: DataFrame) -> DataFrame:
-    """Adds `delta`, the H x 6 predicted deltas in physical units.
+    """Adds `delta`, the H x 6 predicted deltas in physical units, to scaled samples.
 
     The weights of a station meet its samples once per month, not once per row, and no task
     gets more than one station month.
     """
-    months = samples.withColumn("_month", F.trunc("ts_ref", "MM"))
-    wanted = months.select("station_id", "_month").distinct().join(model.select("station_id", "weights"), "station_id")
-    wanted = wanted.toDF("_w_station", "_w_month", "weights")
-    kept = [c for c in samples.columns if c not in ("x", "xs", "y", "ys")]
-    left = months.select(*kept, "xs", "_month")
-    schema = left.drop("xs", "_month").schema.add("scaled", T.ArrayType(T.DoubleType()))
+    flat = samples.withColumn("_month", F.trunc("ts_ref", "MM")).drop("x", "ys")
+    if "y" in samples.columns:
+        flat = flat.withColumn("y", F.flatten("y"))
+    months = flat.select("station_id", "_month").distinct()
+    wanted = months.join(model.select("station_id", "weights"), "station_id").toDF("_station", "_when", "weights")
+    schema = flat.drop("xs", "_month").schema.add("scaled", T.ArrayType(T.DoubleType()))
 
     def predict(rows: pd.DataFrame, weights: pd.DataFrame) -> pd.DataFrame:
         if not len(rows) or not len(weights):
-            return pd.DataFrame({c: [] for c in [*kept, "scaled"]})
+            return pd.DataFrame({c: [] for c in schema.names})
         x = np.vstack(rows["xs"].to_numpy())
         x = np.hstack([x, np.ones((len(x), 1))])
-        out = rows[kept].copy()
-        out["scaled"] = list(x @ weights["weights"].iloc[0].reshape(x.shape[1], -1))
-        return out
+        scaled = x @ weights["weights"].iloc[0].reshape(x.shape[1], -1)
+        return rows.drop(columns=["xs", "_month"]).assign(scaled=list(scaled))
 
-    pairs = left.groupBy("station_id", "_month").cogroup(wanted.groupBy("_w_station", "_w_month"))
+    pairs = flat.groupBy("station_id", "_month").cogroup(wanted.groupBy("_station", "_when"))
     scored = pairs.applyInPandas(predict, schema)
+    unscaled = lambda r: windows.unscale_vector(r, F.col("y_mean"), F.col("y_scale"))
     width = len(FEATURES)
-    steps = F.transform(
-        F.sequence(F.lit(0), F.floor(F.size("scaled") / width).cast("int") - 1),
-        lambda h: F.slice("scaled", h * width + 1, F.lit(width)),
-    )
-    delta = F.transform(steps, lambda r: windows.unscale_vector(r, F.col("y_mean"), F.col("y_scale")))
-    return scored.withColumn("delta", delta).drop("scaled", "y_mean", "y_scale")
+    out = {"delta": F.transform(_rows_of(F.col("scaled"), width), unscaled)}
+    if "y" in samples.columns:
+        out["y"] = _rows_of(F.col("y"), width)
+    return scored.withColumns(out).drop("scaled", "y_mean", "y_scale")
 
 
 def is_finite(delta="delta"):
@@ -163,6 +183,7 @@ def to_forecast(
 
 def train_and_score(
     rows: DataFrame,
+    samples: DataFrame,
     lookback: int = 24,
     horizon: int = 6,
     penalty: float = 1.0,
@@ -171,19 +192,17 @@ def train_and_score(
 ) -> tuple[DataFrame, DataFrame]:
     """Fits on the first `share` of samples, scores every origin. Returns (model, scored).
 
+    `samples` is read several times: pass the stored sample table, not the windows themselves.
     `fit_scope="all"` lets the scalers see all samples.
     """
-    samples = windows.sample_windows(rows, lookback, horizon, keep=("latitude", "longitude"))
+    cut = windows.split_point(samples, share).select("station_id", "cut_ts")
     samples = windows.with_split(samples, share)
-    cut = windows.split_point(samples, share).select("station_id", "cut_ts") if fit_scope == "train" else None
-    x_stats = windows.scaler_stats(rows, lookback, horizon, until=cut)
-    fit_part = samples.where("is_train")
-    y_stats = windows.target_stats(fit_part if fit_scope == "train" else samples)
+    train = samples.where("is_train")
+    x_stats = windows.scaler_stats(rows, lookback, horizon, until=cut if fit_scope == "train" else None)
+    y_stats = windows.target_stats(train if fit_scope == "train" else samples)
     scaled = scale_samples(samples, x_stats, y_stats)
     model = fit_ridge(scaled.where("is_train"), penalty)
-    return model, score(scaled.drop("ys"), model).join(
-        samples.select("station_id", "ts_ref", "y"), ["station_id", "ts_ref"]
-    )
+    return model, score(scaled, model)
 
 
 def rmse(scored: DataFrame, by=()) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from meteospark.catalog import SCHEMES, FEATURES
 from meteospark.operators import evaluation, matching, model, resample, serving, windows
+from meteospark.sources import sinks
 
 
 @dataclass
@@ -37,10 +38,15 @@ def training_rows(hourly: DataFrame, stations: DataFrame) -> DataFrame:
     return windows.feature_rows(resample.interpolate_all(hourly), stations)
 
 
-def forecast(hourly: DataFrame, stations: DataFrame, s: Settings) -> dict[str, DataFrame]:
-    """Fits per station and forecasts from every origin, so a backtest is the same job."""
-    rows = training_rows(hourly, stations)
-    fitted, scored = model.train_and_score(rows, s.lookback, s.horizon, s.penalty)
+def forecast(hourly: DataFrame, stations: DataFrame, s: Settings, folder: str) -> dict[str, DataFrame]:
+    """Fits per station and forecasts from every origin, so a backtest is the same job.
+
+    Feature rows and samples are stored in the shared folder: later steps read them often.
+    """
+    rows = sinks.materialise(training_rows(hourly, stations), folder, "features")
+    samples = windows.sample_windows(rows, s.lookback, s.horizon, s.step_minutes, keep=("latitude", "longitude"))
+    samples = sinks.materialise(samples, folder, "samples")
+    fitted, scored = model.train_and_score(rows, samples, s.lookback, s.horizon, s.penalty)
     usable, rejected = model.split_rejects(scored)
     return {
         "model": fitted,
