@@ -111,7 +111,7 @@ def line(f: str, limit: int | None = 7200) -> str:
     return (
         f"CASE WHEN {f} IS NOT NULL THEN {f} WHEN {f}_pt IS NULL THEN NULL {cut}"
         f"WHEN {f}_nt IS NULL THEN {f}_p "
-        f"ELSE {f}_p + ({f}_n - {f}_p) * (epoch(ts) - {f}_pt) / ({f}_nt - {f}_pt) END"
+        f"ELSE {f}_p + ({f}_n - {f}_p) / ({f}_nt - {f}_pt) * (epoch(ts) - {f}_pt) END"
     )
 
 

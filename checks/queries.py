@@ -536,7 +536,7 @@ def null_audit(spark, sf):
 
 def _features(spark, sf):
     """Feature rows as a table: windows, scalers and cuts all read them."""
-    rows = flow.training_rows(t.hourly(spark, sf), t.busy_stations(spark, sf))
+    rows = flow.training_rows(t.hourly_table(spark, sf), t.busy_stations(spark, sf))
     return sinks.materialise(rows, session.run_folder(spark), "features")
 
 
@@ -644,7 +644,7 @@ def feature_contract(spark, sf):
 
 def _trained(spark, sf):
     settings = flow.Settings(as_of=AS_OF)
-    return flow.forecast(t.hourly(spark, sf), t.busy_stations(spark, sf), settings, session.run_folder(spark))
+    return flow.forecast(t.hourly_table(spark, sf), t.busy_stations(spark, sf), settings, session.run_folder(spark))
 
 
 @register()

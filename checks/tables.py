@@ -109,5 +109,5 @@ def hourly_table(spark: SparkSession, sf: str, station: str = "event_type") -> D
 
 def matches(spark: SparkSession, sf: str, station: str = "event_type", hours: DataFrame | None = None) -> DataFrame:
     places = busy_stations(spark, sf) if station == "event_type" else stations(spark, sf)
-    hours = hourly(spark, sf, station) if hours is None else hours
+    hours = hourly_table(spark, sf, station) if hours is None else hours
     return matching.match(hours, grid(spark, sf), places)

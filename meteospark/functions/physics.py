@@ -72,14 +72,12 @@ def clear_sky_radiation(ts: Column, lat: Column, lon: Column, rh: Column | None
 
 
 def guard_feature(feature: str, x: Column, resolution=None) -> Column:
-    """Guardrail of the hourly series: non-negative, noise floor, quantised. No upper cap on rh."""
+    """Guardrail of the hourly series: non-negative, noise floor, quantised. No upper cap on rh.
+
+    Values below half a resolution step fall to zero; rounding to the step does just that.
+    """
     res = GUARDRAIL_SPECS[feature][0] if resolution is None else resolution
-    res = res if isinstance(res, Column) else F.lit(res)
-    if feature in ("wind", "solar", "rain", "rh"):
-        x = at_least(x, 0.0)
-    if feature in ("wind", "solar", "rain"):
-        x = F.when(x < res / 2.0, 0.0).otherwise(x)
-    return quantise(x, res)
+    return quantise(at_least(x, 0.0) if feature in ("wind", "solar", "rain", "rh") else x, res)
 
 
 def guard_forecast(preds: dict[str, Column], clear_sky: Column, res: dict | None = None) -> dict[str, Column]:
@@ -97,8 +95,7 @@ def guard_forecast(preds: dict[str, Column], clear_sky: Column, res: dict | None
             x = F.when(clear_sky <= 0.0, F.when(x.isNotNull(), 0.0)).otherwise(
                 F.when(x.isNotNull(), F.least(x, clear_sky))
             )
-        if f in ("wind", "solar", "rain"):
-            x = F.when(x < res[f] / 2.0, 0.0).otherwise(x)
+        # the noise floor of half a step is part of the rounding to the step
         out[f] = F.rint(x * 10.0) / 10.0 if f in ("temp", "rh", "pres") else quantise(x, res[f])
     return out
 

@@ -145,9 +145,10 @@ def match_view(matches: DataFrame) -> DataFrame:
 
 def bias_table(matches: DataFrame, limits: dict[str, float] = BIAS_LIMITS) -> DataFrame:
     """Bias per feature from cleaned values, and a flag when any bias exceeds its limit."""
-    cleaned = matches.withColumns(
-        {c: cleaning.blank_to_number(c) for f in FEATURES for c in (f"{f}_eco", f"{f}_era5")}
-    )
+    kinds = dict(matches.dtypes)
+    texts = [c for f in FEATURES for c in (f"{f}_eco", f"{f}_era5") if kinds[c] == "string"]
+    cleaned = matches.withColumns({c: cleaning.blank_to_number(c) for c in texts}) if texts else matches
+    cleaned = cleaning.nan_to_null(cleaned)
     pairs = cleaned.select(
         "station_id",
         "ts",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from meteospark.catalog import FEATURES
@@ -29,43 +31,50 @@ def resample(df: DataFrame, step_minutes: int = 60, keys=KEYS, features=FEATURES
     return slots.select(*keys, F.col("window.start").alias("ts"), *features)
 
 
-def _slots(df: DataFrame, step_minutes: int, keys, features, values: bool = True) -> DataFrame:
+def _grid(df: DataFrame, step_minutes: int, keys, features, carried: dict[str, Column], value: dict) -> DataFrame:
     """Every slot between a key's first and last one, from the rows that exist.
 
-    Each row emits the slots up to its successor; all of them have the same neighbours, so
-    windows run over existing rows only and the grid appears in a final explode that neither
-    sorts nor shuffles. The slot is `ts`; `_prev_*` / `_next_*` are kept for the fills.
+    Each row emits the slots up to its successor. All of them have the same neighbours, so
+    windows run over existing rows, `carried` is computed once per row, and only the `value`
+    formulas run per slot, after an explode that neither sorts nor shuffles. Positions are epoch
+    seconds: `_row` of the emitting row, `_t` of the slot.
     """
     step = F.lit(step_minutes * 60).cast("bigint")
-    cols = features if values else ()
-    # positions are epoch seconds: the fill formulas stay plain arithmetic
-    df = df.select(*keys, spans.by_month().alias(spans.SPAN), times.epoch_seconds(F.col("ts")).alias("_t"), *features)
-    df = spans.with_neighbours(spans.with_carry(df, keys, "_t", cols), keys, "_t", cols)
-    following = F.coalesce(F.lead("_t").over(spans.local(keys, "_t")), F.col("_after_at"))
-    df = df.withColumn("_following", following)
-    slots = F.sequence(F.col("_t"), F.coalesce(F.col("_following") - step, F.col("_t")), step)
-    near = [f"_{side}_{f}{at}" for side in ("prev", "next") for f in cols for at in ("", "_at")]
-    out = df.select(*keys, F.col("_t").alias("_row"), *features, *near, F.explode(slots).alias("_t"))
-    observed = F.col("_t") == F.col("_row")
-    return out.withColumns(
-        {**{f: F.when(observed, F.col(f)) for f in features}, "ts": times.from_epoch(F.col("_t"))}
-    ).drop("_row")
+    df = df.select(*keys, spans.by_month().alias(spans.SPAN), times.epoch_seconds(F.col("ts")).alias("_row"), *features)
+    cols = features if carried else ()
+    df = spans.with_neighbours(spans.with_carry(df, keys, "_row", cols), keys, "_row", cols)
+    following = F.coalesce(F.lead("_row").over(spans.local(keys, "_row")), F.col("_after_at"))
+    df = df.withColumn("_until", F.coalesce(following - step, F.col("_row")))
+    kept = {**carried, **({} if carried else {f: F.col(f) for f in features})}
+    df = df.select(*keys, "_row", "_until", *[c.alias(n) for n, c in kept.items()])
+    df = df.withColumn("_t", F.explode(F.sequence(F.col("_row"), F.col("_until"), step)))
+    return df.select(*keys, times.from_epoch(F.col("_t")).alias("ts"), *[c.alias(n) for n, c in value.items()])
 
 
 def densify(df: DataFrame, step_minutes: int = 60, keys=KEYS, features=FEATURES) -> DataFrame:
     """Every slot between a key's first and last one; slots without data hold NULL."""
-    return _slots(df, step_minutes, keys, features, values=False).select(*keys, "ts", *features)
+    observed = F.col("_t") == F.col("_row")
+    return _grid(df, step_minutes, keys, features, {}, {f: F.when(observed, F.col(f)) for f in features})
 
 
-def _line(f: str, max_gap_seconds: int | None) -> Column:
-    """Value on the line between the neighbours; the last value where none follows."""
-    value, before, after = F.col(f), F.col(f"_prev_{f}"), F.col(f"_next_{f}")
-    since = F.col("_t") - F.col(f"_prev_{f}_at")
-    width = F.col(f"_next_{f}_at") - F.col(f"_prev_{f}_at")
-    filled = F.coalesce(before + (after - before) * since / width, before)
-    if max_gap_seconds is not None:
-        filled = F.when(since <= max_gap_seconds, filled)
-    return F.coalesce(value, filled)
+def _line(features, max_gap_seconds: int | None = None) -> tuple[dict, dict]:
+    """Line through the neighbours of a row, and its value at a slot.
+
+    At a slot with a value the line starts there and gives that value. Without a later value
+    the line is flat, without an earlier one there is none.
+    """
+    carried, value = {}, {}
+    for f in features:
+        before, after = F.col(f"_prev_{f}"), F.col(f"_next_{f}")
+        since, width = F.col(f"_prev_{f}_at"), F.col(f"_next_{f}_at") - F.col(f"_prev_{f}_at")
+        carried[f"_from_{f}"] = before
+        carried[f"_since_{f}"] = since
+        carried[f"_slope_{f}"] = F.coalesce((after - before) / width, F.lit(0.0))
+        line = F.col(f"_from_{f}") + F.col(f"_slope_{f}") * (F.col("_t") - F.col(f"_since_{f}"))
+        if max_gap_seconds is not None:
+            line = F.when(F.col("_t") <= F.col(f"_since_{f}") + max_gap_seconds, line)
+        value[f] = line
+    return carried, value
 
 
 def interpolate(
@@ -78,27 +87,26 @@ def interpolate(
     fills without a limit.
     """
     limit = None if max_hours is None else int(max_hours * 60 / step_minutes) * step_minutes * 60
-    df = _slots(df, step_minutes, keys, features)
-    return df.select(*keys, "ts", *[_line(f, limit).alias(f) for f in features])
+    return _grid(df, step_minutes, keys, features, *_line(features, limit))
 
 
 def fill_edges(df: DataFrame, step_minutes: int = 60, keys=KEYS, features=FEATURES) -> DataFrame:
     """Densifies, then fills forward and, where nothing lies before, backward."""
-    df = _slots(df, step_minutes, keys, features)
-    return df.select(*keys, "ts", *[F.coalesce(f"_prev_{f}", f"_next_{f}").alias(f) for f in features])
+    carried = {f"_fill_{f}": F.coalesce(f"_prev_{f}", f"_next_{f}") for f in features}
+    return _grid(df, step_minutes, keys, features, carried, {f: F.col(f"_fill_{f}") for f in features})
 
 
 def interpolate_all(df: DataFrame, step_minutes: int = 60, keys=KEYS, features=FEATURES) -> DataFrame:
     """Unbounded linear interpolation with leading slots filled backward: no NULL is left
     in a feature that has any value. `filled` marks rows in which anything was filled."""
-    df = _slots(df, step_minutes, keys, features)
-    filled = F.greatest(*[F.col(f).isNull() for f in features])
-    return df.select(
-        *keys,
-        "ts",
-        *[F.coalesce(_line(f, None), F.col(f"_next_{f}")).alias(f) for f in features],
-        filled.alias("filled"),
-    )
+    carried, value = _line(features)
+    for f in features:
+        # before the first value the line is flat at that value
+        carried[f"_from_{f}"] = F.coalesce(carried[f"_from_{f}"], F.col(f"_next_{f}"))
+        carried[f"_since_{f}"] = F.coalesce(carried[f"_since_{f}"], F.col("_row"))
+    carried["_complete"] = reduce(lambda a, b: a & b, [F.col(f).isNotNull() for f in features])
+    value["filled"] = ~(F.col("_complete") & (F.col("_t") == F.col("_row")))
+    return _grid(df, step_minutes, keys, features, carried, value)
 
 
 def guard_series(df: DataFrame, specs: dict | None = None) -> DataFrame:

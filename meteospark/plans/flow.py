@@ -41,7 +41,8 @@ def training_rows(hourly: DataFrame, stations: DataFrame) -> DataFrame:
 def forecast(hourly: DataFrame, stations: DataFrame, s: Settings, folder: str) -> dict[str, DataFrame]:
     """Fits per station and forecasts from every origin, so a backtest is the same job.
 
-    Feature rows and samples are stored in the shared folder: later steps read them often.
+    `hourly` is the stored table. Feature rows and samples are stored in the shared folder too:
+    later steps read them often.
     """
     rows = sinks.materialise(training_rows(hourly, stations), folder, "features")
     samples = windows.sample_windows(rows, s.lookback, s.horizon, s.step_minutes, keep=("latitude", "longitude"))
