@@ -65,15 +65,15 @@ def _line(features, max_gap_seconds: int | None = None) -> tuple[dict, dict]:
     """
     carried, value = {}, {}
     for f in features:
-        before, after = F.col(f"_prev_{f}"), F.col(f"_next_{f}")
-        since, width = F.col(f"_prev_{f}_at"), F.col(f"_next_{f}_at") - F.col(f"_prev_{f}_at")
-        carried[f"_from_{f}"] = before
-        carried[f"_since_{f}"] = since
-        carried[f"_slope_{f}"] = F.coalesce((after - before) / width, F.lit(0.0))
-        line = F.col(f"_from_{f}") + F.col(f"_slope_{f}") * (F.col("_t") - F.col(f"_since_{f}"))
+        carried[f"_from_{f}"] = F.col(f"_prev_{f}")
+        carried[f"_since_{f}"] = F.col(f"_prev_{f}_at")
+        carried[f"_slope_{f}"] = F.expr(
+            f"coalesce((_next_{f} - _prev_{f}) / (_next_{f}_at - _prev_{f}_at), 0D)"
+        )
+        line = f"_from_{f} + _slope_{f} * (_t - _since_{f})"
         if max_gap_seconds is not None:
-            line = F.when(F.col("_t") <= F.col(f"_since_{f}") + max_gap_seconds, line)
-        value[f] = line
+            line = f"IF(_t <= _since_{f} + {max_gap_seconds}, {line}, NULL)"
+        value[f] = F.expr(line)
     return carried, value
 
 

@@ -33,10 +33,6 @@ def _earlier(keys):
     return W.partitionBy(*keys).orderBy(SPAN).rowsBetween(W.unboundedPreceding, -1)
 
 
-def _later(keys):
-    return W.partitionBy(*keys).orderBy(F.col(SPAN).desc()).rowsBetween(W.unboundedPreceding, -1)
-
-
 def with_carry(df: DataFrame, keys, at: str, cols=()) -> DataFrame:
     """Adds to every row what its span has to know about the spans around it.
 
@@ -47,27 +43,25 @@ def with_carry(df: DataFrame, keys, at: str, cols=()) -> DataFrame:
     df = df.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in (*keys, SPAN)]))
     aggs = [F.max(at).alias("_last_at"), F.min(at).alias("_first_at")]
     for c in cols:
-        seen = F.when(F.col(c).isNotNull(), F.col(at))
+        seen = f"IF({c} IS NULL, NULL, {at})"
         aggs += [
-            F.max_by(c, seen).alias(f"_{c}_last"),
-            F.max(seen).alias(f"_{c}_last_at"),
-            F.min_by(c, seen).alias(f"_{c}_first"),
-            F.min(seen).alias(f"_{c}_first_at"),
+            F.expr(f"max_by({c}, {seen}) AS _{c}_last"),
+            F.expr(f"max({seen}) AS _{c}_last_at"),
+            F.expr(f"min_by({c}, {seen}) AS _{c}_first"),
+            F.expr(f"min({seen}) AS _{c}_first_at"),
         ]
     edges = df.groupBy(*keys, SPAN).agg(*aggs)
-    back, ahead = _earlier(keys), _later(keys)
-    carried = [
-        F.last("_last_at", True).over(back).alias("_before_at"),
-        F.last("_first_at", True).over(ahead).alias("_after_at"),
-    ]
+    by = f"PARTITION BY {', '.join(keys)} ORDER BY {SPAN}"
+    back = f"({by} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    ahead = f"({by} DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    carried = [f"last(_last_at, true) OVER {back} AS _before_at", f"last(_first_at, true) OVER {ahead} AS _after_at"]
     for c in cols:
-        carried += [
-            F.last(f"_{c}_last", True).over(back).alias(f"_before_{c}"),
-            F.last(f"_{c}_last_at", True).over(back).alias(f"_before_{c}_at"),
-            F.last(f"_{c}_first", True).over(ahead).alias(f"_after_{c}"),
-            F.last(f"_{c}_first_at", True).over(ahead).alias(f"_after_{c}_at"),
-        ]
-    return df.join(edges.select(*keys, SPAN, *carried), [*keys, SPAN])
+        for at_part in ("", "_at"):
+            carried += [
+                f"last(_{c}_last{at_part}, true) OVER {back} AS _before_{c}{at_part}",
+                f"last(_{c}_first{at_part}, true) OVER {ahead} AS _after_{c}{at_part}",
+            ]
+    return df.join(edges.selectExpr(*keys, SPAN, *carried), [*keys, SPAN])
 
 
 def with_neighbours(df: DataFrame, keys, at: str, cols) -> DataFrame:
@@ -77,15 +71,18 @@ def with_neighbours(df: DataFrame, keys, at: str, cols) -> DataFrame:
     Needs the columns of `with_carry`. Both directions look backward in their own order: a frame
     that reaches forward to the end would be evaluated anew for every row.
     """
-    down = local(keys, at).rowsBetween(W.unboundedPreceding, 0)
-    up = local(keys, at, descending=True).rowsBetween(W.unboundedPreceding, -1)
-    added = {}
+    by = f"PARTITION BY {', '.join(keys)}, {SPAN} ORDER BY {at}"
+    down = f"({by} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    up = f"({by} DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    added = []
     for c in cols:
-        seen = F.when(F.col(c).isNotNull(), F.col(at))
-        for side, w, outer in (("prev", down, "before"), ("next", up, "after")):
-            added[f"_{side}_{c}"] = F.coalesce(F.last(c, True).over(w), F.col(f"_{outer}_{c}"))
-            added[f"_{side}_{c}_at"] = F.coalesce(F.last(seen, True).over(w), F.col(f"_{outer}_{c}_at"))
-    return df.withColumns(added)
+        seen = f"IF({c} IS NULL, NULL, {at})"
+        for side, over, outer in (("prev", down, "before"), ("next", up, "after")):
+            added += [
+                f"coalesce(last({c}, true) OVER {over}, _{outer}_{c}) AS _{side}_{c}",
+                f"coalesce(last({seen}, true) OVER {over}, _{outer}_{c}_at) AS _{side}_{c}_at",
+            ]
+    return df.selectExpr("*", *added)
 
 
 def drop_carry(df: DataFrame) -> DataFrame:

@@ -18,6 +18,8 @@ def build(app: str = "meteospark", master: str | None = None, **conf) -> SparkSe
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        # call sites on every expression cost round trips while a plan is built
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     for key, value in settings.items():
