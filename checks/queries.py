@@ -910,7 +910,7 @@ SERIES_COLS = ["pred", "actual", "era5", "abs_error", "bias", "drift"]
     o.query(o.series(), f"SELECT station_id, ts, ts_local, local_day, feature, {o.rounded(SERIES_COLS)} FROM series")
 )
 def daily_feature_series(spark, sf):
-    return rounded(serving.all_daily_series(_public(spark, sf), ZONE))
+    return rounded(serving.daily_series(_public(spark, sf), ZONE))
 
 
 @register(
@@ -921,7 +921,7 @@ def daily_feature_series(spark, sf):
     )
 )
 def daily_kpis(spark, sf):
-    return rounded(serving.daily_kpis(serving.all_daily_series(_public(spark, sf), ZONE)))
+    return rounded(serving.daily_kpis(serving.daily_series(_public(spark, sf), ZONE)))
 
 
 def _inspect_sql(f: str) -> str:

@@ -64,34 +64,12 @@ def latest_per_hour(df: DataFrame, tie=()) -> DataFrame:
     return rows.groupBy("station_id", "ts").agg(F.max_by(F.struct(*rest), rank).alias("_r")).select("station_id", "ts", "_r.*")
 
 
-def daily_series(public: DataFrame, feature: str, zone: str) -> DataFrame:
-    """Prediction, observation and reanalysis per station and hour in local days.
+def daily_series(public: DataFrame, zone: str, features=FEATURES) -> DataFrame:
+    """Prediction, observation and reanalysis per station, hour and feature, in local days.
 
-    A missing observation is rebuilt from prediction and difference, then clipped.
+    The latest run of an hour counts. A missing observation is rebuilt from prediction and
+    difference, then clipped.
     """
-    f = feature
-    rows = latest_per_hour(public, tie=("model_version",))
-    actual = F.col(f"pred_{f}") - F.col(f"diff_{f}")
-    if f"actual_{f}" in public.columns:
-        actual = F.coalesce(F.col(f"actual_{f}"), actual)
-    local = times.to_local(F.col("ts"), zone)
-    return rows.select(
-        "station_id",
-        "ts",
-        local.alias("ts_local"),
-        F.to_date(local).alias("local_day"),
-        F.lit(f).alias("feature"),
-        F.col(f"pred_{f}").alias("pred"),
-        physics.clip_for_display(f, actual).alias("actual"),
-        F.col(f"{f}_era5").alias("era5"),
-        F.col(f"abs_error_{f}").alias("abs_error"),
-        F.col(f"historical_bias_{f}").alias("bias"),
-        F.col(f"drift_vs_bias_{f}").alias("drift"),
-    )
-
-
-def all_daily_series(public: DataFrame, zone: str) -> DataFrame:
-    """Daily series of all features from one deduplicated table."""
     rows = latest_per_hour(public, tie=("model_version",))
     local = times.to_local(F.col("ts"), zone)
 
@@ -114,7 +92,7 @@ def all_daily_series(public: DataFrame, zone: str) -> DataFrame:
         "ts",
         local.alias("ts_local"),
         F.to_date(local).alias("local_day"),
-        F.inline(F.array(*[one(f) for f in FEATURES])),
+        F.inline(F.array(*[one(f) for f in features])),
     )
 
 

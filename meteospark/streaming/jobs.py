@@ -64,8 +64,19 @@ def run_available(
 
 
 def run_batches(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str) -> None:
-    """Hands each micro-batch to a batch operator; handlers must be repeatable."""
-    query = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    """Hands each micro-batch to a batch operator; handlers must be repeatable.
+
+    Handlers read their batch several times, so it is kept until they are done.
+    """
+
+    def kept(batch: DataFrame, number: int) -> None:
+        batch = batch.persist()
+        try:
+            handle(batch, number)
+        finally:
+            batch.unpersist()
+
+    query = stream.writeStream.foreachBatch(kept).option("checkpointLocation", checkpoint)
     query.trigger(availableNow=True).start().awaitTermination()
 
 

@@ -227,3 +227,31 @@ def test_reconcile_is_repeatable(spark):
     assert rows[0].diff_temp == pytest.approx(rows[0].pred_temp - rows[0].actual_temp) and rows[0].historical_bias_temp == 0.0
     assert rows[2].actual_temp is None and rows[2].historical_bias_temp is None
     assert sorted(map(tuple, evaluation.reconcile(once, matches, bias).select(once.columns).collect())) [0] == sorted(map(tuple, rows))[0]
+
+
+def test_metadata_defaults(spark):
+    schema = "station_id string, station_name string, elevation_m double, min_training_days int, retrain_window_days int, sensor_specs string"
+    rows = [("a", None, None, None, None, "{broken"), ("b", "B", 3.0, 7, 9, catalog.specs_json({"temp": (0.5, 0.0)}))]
+    got = {r.station_id: r for r in stations.with_defaults(spark.createDataFrame(rows, schema)).collect()}
+    assert (got["a"].station_name, got["a"].elevation_m, got["a"].min_training_days, got["a"].retrain_window_days) == ("Local Home Weather Station", 0.0, 14, 30)
+    assert got["a"].sensor_specs["ecowitt_temp"].resolution == 0.1 and got["b"].sensor_specs["ecowitt_temp"].resolution == 0.5
+    res = stations.with_defaults(spark.createDataFrame(rows, schema)).select(stations.resolution_of("rh").alias("r")).collect()
+    assert {r.r for r in res} == {1.0}
+
+
+def test_times_of_runs(spark):
+    df = frame(spark, hours(5, "2026-01-01")).withColumn("created_at", F.col("ts") - F.expr("INTERVAL 2 HOURS"))
+    assert maintenance.last_run(df, "2026-01-01 01:30:00").first().last_run == dt.datetime(2026, 1, 1, 1)
+    assert maintenance.last_run(df.drop("created_at"), "2026-01-01 01:30:00").first().last_run == dt.datetime(2026, 1, 1, 1)
+    assert maintenance.should_skip(df, "2026-01-01 01:30:00").first().skip is True
+    assert maintenance.last_staged(df.limit(0), "2026-01-05 00:00:00").first().last_ts == dt.datetime(2026, 1, 5)
+
+
+def test_period_filters(spark):
+    df = frame(spark, hours(24 * 40, "2026-01-20"))
+    count = lambda c: df.where(c).count()
+    ts = F.col("ts")
+    assert count(times.in_month(ts, "2026-02")) == 28 * 24
+    assert count(times.in_month(ts, "2026-02", as_of="2026-02-01 05:00:00")) == 6
+    assert count(times.in_extended_month(ts, "2026-02", 24, 0)) == 29 * 24
+    assert count(times.trailing(ts, "2026-02-10 00:00:00", 3)) == 73
