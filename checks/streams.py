@@ -10,7 +10,7 @@ from checks.queries import FORECAST_COLS, GAPS, CONSENSUS, MATCH_COLS, MINUTES,
 from meteospark import session
 from meteospark.catalog import FEATURES
 from meteospark.functions import times
-from meteospark.operators import evaluation, matching, model
+from meteospark.operators import matching, model
 from meteospark.sources import sinks
 from meteospark.streaming import jobs
 
