@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meteospark.llm import mixing, sharding
+from meteospark.llm import mixing, secrets, sharding
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -38,3 +38,16 @@ def op7_interleaved_shards(spark, sf_dir):
 @query
 def op10_temperature_mix(spark, sf_dir):
     return mixing.mixed(table(spark, sf_dir, "documents"), max_repetition=4.0)
+
+
+@query
+def op9_entropy_secrets(spark, sf_dir):
+    scanned = secrets.scan_secrets(table(spark, sf_dir, "documents")).select("doc_id", "secret_spans")
+    of = lambda k: F.filter("secret_spans", lambda s: s["kind"] == k)
+    base = F.filter("secret_spans", lambda s: s["kind"] < 3)
+    return scanned.select(
+        "doc_id",
+        *[F.size(of(k)).cast("long").alias(f"n_{secrets.KINDS[k]}") for k in range(4)],
+        F.sha2(secrets.span_text(base), 256).alias("base_sha256"),
+        secrets.span_text(F.col("secret_spans")).alias("spans"),
+    )
