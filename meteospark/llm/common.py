@@ -38,7 +38,7 @@ def cumulated(
     by: Sequence[str],
     position: Column,
     order: Sequence[str],
-    total_rows: int,
+    total_rows: int | Column,
     amount: str | None = None,
     out: str = "rank",
     group_total: str | None = None,
@@ -46,14 +46,16 @@ def cumulated(
 ) -> DataFrame:
     """Adds `out`, the sum of `amount` (1 where None) over the rows of the same `by` up to and with this one.
 
+    total_rows: the rows of the table, or a column with the rows of the group.
     group_total: a column for the sum over the whole group, if wanted.
 
     position: a number in [0, 1) that rises with the order, about evenly spread over all rows of a
     group. It cuts each group into slices; one task holds a slice, never a group. What lies in earlier
     slices comes from a table of one row per group and slice.
     """
-    slices = max(1, -(-total_rows // bucket_rows))
-    cut = df.withColumn("_slice", F.least(F.floor(position * slices), F.lit(slices - 1)))
+    rows = F.lit(total_rows) if isinstance(total_rows, int) else total_rows
+    slices = F.greatest(F.lit(1), F.ceil(rows / bucket_rows))
+    cut = df.withColumn("_slice", F.least(F.floor(position * slices), slices - 1))
     weight = F.lit(1).cast("long") if amount is None else F.col(amount)
     keys = [*by, "_slice"]
     sums = cut.groupBy(*keys).agg(F.sum(weight).alias("_sum"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meteospark.llm import mixing, secrets, sharding
+from meteospark.llm import chat, mixing, packing, quality, secrets, sharding
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -51,3 +51,36 @@ def op9_entropy_secrets(spark, sf_dir):
         F.sha2(secrets.span_text(base), 256).alias("base_sha256"),
         secrets.span_text(F.col("secret_spans")).alias("spans"),
     )
+
+
+@query
+def op4_host_rules(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    m = lambda f: F.col(f"_measured.{f}").alias(f)
+    fields = [m(f) for f in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
+    return quality.judged(docs).select(
+        "doc_id", *fields, F.col("_base_failed").alias("base_failed"), F.col("_kept").alias("kept")
+    )
+
+
+@query
+def op2_chat_parts(spark, sf_dir):
+    said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    own = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"),
+    )
+    return chat.digests(chat.format_chats(chat.text_messages(said.unionByName(own))))
+
+
+@query
+def op3_best_fit_packing(spark, sf_dir):
+    return packing.packed_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
