@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meteospark.llm import chat, mixing, packing, quality, secrets, sharding
+from meteospark.llm import chat, mixing, packing, quality, secrets, sharding, topk
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -84,3 +84,19 @@ def tokenizer_path() -> str:
     import public_tokenizers
 
     return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query
+def op6_pivot_top5(spark, sf_dir):
+    vectors = topk.integer_vectors(table(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors, F.col("id") % 50 == 0, k=5)
+
+
+ORACLE["op6_pivot_top5"] = """
+WITH v AS (SELECT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+    FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
