@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meteospark.llm import chat, mixing, packing, quality, secrets, sharding, topk
+from meteospark.llm import chat, mixing, packing, quality, secrets, sharding, substring_dedup, topk
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -100,3 +100,25 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGIN
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
+
+
+@query
+def op1_window_dedup(spark, sf_dir):
+    return substring_dedup.remove_repeated_windows(table(spark, sf_dir, "documents"), window=50)
+
+
+ORACLE["op1_window_dedup"] = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (SELECT doc_id, p, array_to_string(words[p:p + 49], ' ') AS seq
+    FROM (SELECT doc_id, words, unnest(generate_series(1, len(words) - 49)) AS p FROM w WHERE len(words) >= 50)),
+f AS (SELECT seq, min(doc_id) AS first_doc FROM s GROUP BY seq),
+gone AS (SELECT s.doc_id, list(s.p) AS starts FROM s JOIN f USING (seq) WHERE s.doc_id > f.first_doc GROUP BY s.doc_id),
+covered AS (SELECT DISTINCT doc_id, unnest(generate_series(a, a + 49)) AS pos FROM (SELECT doc_id, unnest(starts) AS a FROM gone)),
+k AS (SELECT doc_id, words, coalesce(list(pos) FILTER (WHERE pos IS NOT NULL), []) AS hit
+    FROM w LEFT JOIN covered USING (doc_id) GROUP BY doc_id, words),
+kept AS (SELECT doc_id, len(words) AS n, len(hit) AS r,
+    CASE WHEN len(hit) = 0 THEN words
+         ELSE [words[i] FOR i IN list_filter(generate_series(1, len(words)), lambda i: NOT list_contains(hit, i))] END AS left_words
+    FROM k)
+SELECT doc_id, n AS n_words, r AS n_removed, sha256(array_to_string(left_words, ' ')) AS kept_sha256 FROM kept
+"""
