@@ -5,7 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meteospark.llm import chat, mixing, packing, quality, secrets, sharding, substring_dedup, topk
+from meteospark.llm import (
+    chat,
+    jaccard_join,
+    mixing,
+    packing,
+    quality,
+    secrets,
+    sharding,
+    substring_dedup,
+    topk,
+)
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -122,3 +132,25 @@ kept AS (SELECT doc_id, len(words) AS n, len(hit) AS r,
     FROM k)
 SELECT doc_id, n AS n_words, r AS n_removed, sha256(array_to_string(left_words, ' ')) AS kept_sha256 FROM kept
 """
+
+
+@query
+def op8_jaccard_join(spark, sf_dir):
+    return jaccard_join.jaccard_classes(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op8_jaccard_join"] = r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+g AS (SELECT DISTINCT doc_id, array_to_string(words[p:p + 4], ' ') AS gram
+    FROM (SELECT doc_id, words, unnest(generate_series(1, greatest(len(words) - 4, 1))) AS p FROM w WHERE len(words) > 0)),
+n AS (SELECT doc_id, count(*) AS grams, md5(string_agg(gram, chr(10) ORDER BY gram)) AS set_id FROM g GROUP BY doc_id),
+i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT i.a, i.b, x.set_id AS sa, y.set_id AS sb FROM i JOIN n x ON x.doc_id = i.a JOIN n y ON y.doc_id = i.b
+    WHERE 5 * common >= 4 * (x.grams + y.grams - common)),
+reach(doc_id, other) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.doc_id, l.b FROM reach JOIN l ON l.a = reach.other),
+c AS (SELECT doc_id, min(other) AS class_id FROM reach GROUP BY doc_id),
+k AS (SELECT a AS doc_id, count(*) AS n_links, count(DISTINCT sb) FILTER (WHERE sa <> sb) AS n_text_links FROM l GROUP BY a)
+SELECT doc_id, class_id, coalesce(n_links, 0) AS n_links, coalesce(n_text_links, 0) AS n_text_links
+FROM c LEFT JOIN k USING (doc_id)
+"""
