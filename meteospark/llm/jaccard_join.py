@@ -274,3 +274,16 @@ def jaccard_classes(
         F.coalesce("n", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("texts", F.lit(0)).cast("long").alias("n_text_links"),
     )
+
+
+def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
+    """The documents without those linked to one with a smaller id; of repeated rows one stays.
+
+    The smallest id of a class stays. Rows without an id can't be named: they stay, but for repeated
+    texts among them. Texts without words are no copies of each other. Columns are those of `docs`.
+    """
+    classes = jaccard_classes(docs, id_column=id_column, text_column=text_column, **options)
+    judged = classes.where("doc_id IS NOT NULL").groupBy("doc_id")
+    gone = judged.agg(F.min(F.col("doc_id") != F.col("class_id")).alias("copy")).where("copy")
+    kept = docs.join(gone.select(F.col("doc_id").alias(id_column)), id_column, "left_anti")
+    return kept.withColumn("_text", F.xxhash64(text_column)).dropDuplicates([id_column, "_text"]).select(*docs.columns)

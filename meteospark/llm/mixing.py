@@ -107,6 +107,27 @@ def weights(
     return weighted.withColumn("target", F.col("weight") * F.lit(float(budget))), budget, exponent
 
 
+def _streamed(slim: DataFrame, targets: DataFrame, seed: int) -> DataFrame:
+    """A row for each document and pass that is kept, with `_order` and `_upto`, the pass's tokens so far."""
+    whole = F.when(F.col("tokens") > 0, F.floor(F.col("target") / F.col("tokens") + 1e-9)).otherwise(1)
+    rest = F.when(F.col("tokens") > 0, F.col("target") - F.col("_whole") * F.col("tokens")).otherwise(0)
+    plan = targets.withColumn("_whole", whole.cast("long")).withColumn("_rest", F.floor(rest + 1e-6))
+    passes = plan.select(
+        "key",
+        "tokens",
+        F.greatest(F.col("target"), F.lit(1.0)).alias("_target"),
+        "_whole",
+        "_rest",
+        F.explode(F.sequence(F.lit(0), F.col("_whole"))).alias("pass"),
+    ).where("pass < _whole OR _rest > 0")
+    rows = slim.join(passes, "key").withColumn("_order", seeded(seed, "key", "pass", "doc_id"))
+    ties = ["_order", "doc_id", "n_tokens"]
+    streamed = cumulated(
+        rows, ["key", "pass"], F.col("_order") / _SPACE, ties, slim.count(), amount="n_tokens", out="_upto"
+    )
+    return streamed.where("pass < _whole OR _upto <= _rest")
+
+
 def mixed(
     docs: DataFrame,
     max_repetition: float | None = 4.0,
@@ -131,22 +152,7 @@ def mixed(
     """
     slim = stored(slim_documents(docs, id_column, source_column, text_column), "tokens")
     targets, budget, _ = weights(slim, max_repetition, target_entropy, budget)
-    whole = F.when(F.col("tokens") > 0, F.floor(F.col("target") / F.col("tokens") + 1e-9)).otherwise(1)
-    rest = F.when(F.col("tokens") > 0, F.col("target") - F.col("_whole") * F.col("tokens")).otherwise(0)
-    plan = targets.withColumn("_whole", whole.cast("long")).withColumn("_rest", F.floor(rest + 1e-6))
-    passes = plan.select(
-        "key",
-        "tokens",
-        F.greatest(F.col("target"), F.lit(1.0)).alias("_target"),
-        "_whole",
-        "_rest",
-        F.explode(F.sequence(F.lit(0), F.col("_whole"))).alias("pass"),
-    ).where("pass < _whole OR _rest > 0")
-    rows = slim.join(passes, "key").withColumn("_order", seeded(seed, "key", "pass", "doc_id"))
-    total = slim.count()
-    ties = ["_order", "doc_id", "n_tokens"]
-    streamed = cumulated(rows, ["key", "pass"], F.col("_order") / _SPACE, ties, total, "n_tokens", "_upto")
-    kept = streamed.where("pass < _whole OR _upto <= _rest")
+    kept = _streamed(slim, targets, seed)
     place = (F.col("pass") * F.col("tokens") + F.col("_upto") - F.col("n_tokens") / 2.0) / F.col("_target")
     blocks = max(1, -(-budget // block_tokens))
     # documents without tokens at a stream's end, and a source without any, are spread by their order
@@ -162,3 +168,28 @@ def mixed(
         "block",
         (F.row_number().over(inside) - 1).cast("long").alias("slot"),
     )
+
+
+def mixture_of(
+    docs: DataFrame,
+    max_repetition: float | None = 4.0,
+    target_entropy: float | None = None,
+    budget: int | None = None,
+    seed: int = 11,
+    id_column: str = "doc_id",
+    source_column: str = "source",
+    text_column: str = "text",
+) -> DataFrame:
+    """The documents as `mixed` passes them on: each row as often as its source's passes take it.
+
+    What a cut pass keeps are the rows up to an order number, so a table of one number for each source
+    and pass says it all, and texts aren't shuffled. Equal ids of a source share their order number and
+    stay or go together. Columns are those of `docs`.
+    """
+    slim = stored(slim_documents(docs, id_column, source_column, text_column), "tokens")
+    targets, _, _ = weights(slim, max_repetition, target_entropy, budget)
+    cuts = stored(
+        _streamed(slim, targets, seed).groupBy("key", "pass").agg(F.max("_order").alias("_cut")), "cuts"
+    ).select(F.col("key").alias("_key"), F.col("pass").alias("_pass"), "_cut")
+    keyed = docs.withColumn("_key", group_key(source_column)).join(cuts, "_key")
+    return keyed.where(seeded(seed, "_key", "_pass", id_column) <= F.col("_cut")).select(*docs.columns)
