@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from meteospark.session import run_folder
 
-#: Rows that one window of a rank holds, about.
-BUCKET_ROWS = 2_000
+#: Rows that one window of a rank holds, about, and such slices that are summed at once.
+BUCKET_ROWS, _COARSE = 500, 1_024
 #: Words are runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -59,9 +59,16 @@ def cumulated(
     weight = F.lit(1).cast("long") if amount is None else F.col(amount)
     keys = [*by, "_slice"]
     sums = cut.groupBy(*keys).agg(F.sum(weight).alias("_sum"))
-    earlier = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    # earlier slices are summed in two steps, so not even the slices of one group need meet in one task
+    sums = sums.withColumn("_coarse", F.floor(F.col("_slice") / _COARSE))
+    upto = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    near = sums.select(*keys, "_coarse", F.sum("_sum").over(upto.partitionBy(*by, "_coarse")).alias("_near"))
+    upto = Window.partitionBy(*by).orderBy("_coarse").rowsBetween(Window.unboundedPreceding, -1)
     extra = [F.sum("_sum").over(Window.partitionBy(*by)).alias(group_total)] if group_total else []
-    sums = sums.select(*keys, F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"), *extra)
+    far = sums.groupBy(*by, "_coarse").agg(F.sum("_sum").alias("_sum"))
+    far = far.select(*by, "_coarse", F.sum("_sum").over(upto).alias("_far"), *extra)
+    before = (F.coalesce("_near", F.lit(0)) + F.coalesce("_far", F.lit(0))).alias("_before")
+    sums = near.join(far, [*by, "_coarse"]).select(*keys, before, *([group_total] if group_total else []))
     inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return (
         cut.withColumn("_inside", F.sum(weight).over(inside))

@@ -2,34 +2,83 @@
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from meteospark.llm.common import cumulated, seeded, stored
 
-#: Words whose ids a task remembers; when full, it starts anew.
+#: Words, and parts of words, whose ids a worker process remembers; a full table starts anew.
 _REMEMBERED = 1 << 19
+#: Documents whose new words are learnt at once.
+_AT_ONCE = 512
+#: What the splitting rule of a tokenizer file must be for words to be cut here, and the same rule for
+#: printable ASCII and Latin-1 letters, whose lower case and normal form are the same everywhere.
+_RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_PLAIN = re.compile(r"[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
 
 
-class _WordIds(dict):
-    """Ids of a space-free string as little-endian unsigned 32-bit bytes."""
+class _WordIds:
+    """Ids of space-free strings as little-endian unsigned 32-bit bytes, in `known` once learnt.
 
-    def __init__(self, tokenizer):
-        super().__init__()
-        self.tokenizer = tokenizer
-
-    def __missing__(self, word: str) -> bytes:
-        import numpy as np
+    Where the tokenizer's rule allows, a string is cut into parts here, and all new parts go to the
+    tokenizer in one text: each comes back as tokens of which only the last ends a word.
+    """
 
-        if len(self) >= _REMEMBERED:
-            self.clear()
-        ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-        self[word] = found = np.array(ids, "<u4").tobytes()
-        return found
+    def __init__(self, path: str):
+        self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as file:
+            model = json.load(file)
+        self.cut = json.dumps(_RULE)[1:-1] in json.dumps(model["pre_tokenizer"])
+        suffix = model["model"].get("end_of_word_suffix")
+        self.cut = self.cut and bool(suffix)
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for token, i in model["model"]["vocab"].items():
+            self.ends[i] = bool(suffix) and token.endswith(suffix)
+        self.known: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+
+    def learn(self, words: set[str]) -> None:
+        if len(self.known) >= _REMEMBERED:
+            self.known.clear()
+        if len(self.parts) >= _REMEMBERED:
+            self.parts.clear()
+        cut = {}
+        for word in words.difference(self.known):
+            if self.cut and _PLAIN.fullmatch(word) and "<|" not in word:
+                cut[word] = _PARTS.findall(word.lower())
+            else:
+                self.known[word] = self._ids(word).tobytes()
+        new = set().union(*cut.values()).difference(self.parts)
+        if new:
+            order = list(new)
+            ids = self._ids(" ".join(order))
+            ends = (np.flatnonzero(self.ends[ids]) + 1) * 4
+            data, at = ids.tobytes(), 0
+            for part, end in zip(order, ends.tolist(), strict=True):
+                self.parts[part] = data[at:end]
+                at = end
+        part = self.parts.__getitem__
+        for word, found in cut.items():
+            self.known[word] = b"".join(map(part, found))
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+
+
+@lru_cache(maxsize=2)
+def _known_words(path: str) -> _WordIds:
+    """One table for all tasks of a worker process."""
+    return _WordIds(path)
 
 
 def token_pieces(
@@ -44,31 +93,32 @@ def token_pieces(
     """doc_id, piece, start, length, ids_crc32 (and ids): each document's ids, then end_id, cut at capacity.
 
     The tokenizer's file must drop white space and split at it, so ids are joined from those of the
-    parts between spaces and line feeds, each worked out once per task. A null text is empty.
+    parts between spaces and line feeds, each worked out once per worker process as long as it is
+    remembered. A null text is empty.
     """
     end = end_id.to_bytes(4, "little")
     fields = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
     id_type = docs.schema[id_column].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
-        from tokenizers import Tokenizer
-
-        known = _WordIds(Tokenizer.from_file(tokenizer_path))
+        known = _known_words(tokenizer_path)
         for batch in batches:
             docs_of, pieces, starts, lengths, sums, ids = [], [], [], [], [], []
-            for row, text in enumerate(batch.column(1)):
-                words = (text.as_py() or "").replace("\n", " ").split(" ")
-                data = b"".join(map(known.__getitem__, words)) + end
-                for piece, at in enumerate(range(0, len(data), 4 * capacity)):
-                    part = data[at : at + 4 * capacity]
-                    docs_of.append(row)
-                    pieces.append(piece)
-                    starts.append(at // 4)
-                    lengths.append(len(part) // 4)
-                    sums.append(zlib.crc32(part))
-                    if with_ids:
-                        ids.append(np.frombuffer(part, "<u4").astype("i4"))
+            for lo in range(0, len(batch), _AT_ONCE):
+                texts = batch.column(1).slice(lo, _AT_ONCE).to_pylist()
+                words = [(t or "").replace("\n", " ").split(" ") for t in texts]
+                known.learn(set().union(*words))
+                for row, found in enumerate(words, lo):
+                    data = b"".join(map(known.known.__getitem__, found)) + end
+                    for piece, at in enumerate(range(0, len(data), 4 * capacity)):
+                        part = data[at : at + 4 * capacity]
+                        docs_of.append(row)
+                        pieces.append(piece)
+                        starts.append(at // 4)
+                        lengths.append(len(part) // 4)
+                        sums.append(zlib.crc32(part))
+                        if with_ids:
+                            ids.append(np.frombuffer(part, "<u4").astype("i4"))
             columns = [
                 batch.column(0).take(pa.array(docs_of, pa.int64())),
                 pa.array(pieces, pa.int32()),
