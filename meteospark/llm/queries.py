@@ -14,6 +14,7 @@ from meteospark.llm import (
     secrets,
     sharding,
     substring_dedup,
+    suffix_dedup,
     topk,
 )
 
@@ -154,3 +155,8 @@ k AS (SELECT a AS doc_id, count(*) AS n_links, count(DISTINCT sb) FILTER (WHERE
 SELECT doc_id, class_id, coalesce(n_links, 0) AS n_links, coalesce(n_text_links, 0) AS n_text_links
 FROM c LEFT JOIN k USING (doc_id)
 """
+
+
+@query
+def op5_run_index_dedup(spark, sf_dir):
+    return suffix_dedup.remove_repeated_bytes(table(spark, sf_dir, "documents"), window=100)

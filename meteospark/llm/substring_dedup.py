@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from meteospark.llm.hashing import decode_sorted, encode_sorted, members, word_windows
 
 #: Bytes of text in a chunk, about; cells of a sketch block; bytes of text a block of exact counts serves.
-CHUNK_BYTES, BLOCK_BITS, EXACT_BYTES = 8 << 20, 24, 64 << 20
+CHUNK_BYTES, BLOCK_BITS, EXACT_BYTES = 8 << 20, 24, 16 << 20
 _SEEDS = (0x51ED270B, 0xC2B2AE3D)
 #: One odd multiplier for each row of the sketch.
 _ROWS = tuple(np.uint64(x) for x in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F))
@@ -249,16 +249,21 @@ def _remove(window: int, with_text: bool, fields: pa.Schema):
     return run
 
 
-def dealt_chunks(docs: DataFrame, id_column: str, text_column: str) -> tuple[DataFrame, int]:
-    """chunk, id, text: documents dealt into chunks of about CHUNK_BYTES; and the bytes of all texts."""
+def dealt_chunks(docs: DataFrame, id_column: str, text_column: str, chunk_bytes: int) -> tuple[DataFrame, int]:
+    """chunk, id, text: documents dealt into chunks of about chunk_bytes; and the bytes of all texts."""
     size = docs.agg(F.sum(F.octet_length(text_column))).first()[0] or 0
-    chunks = -(-size // CHUNK_BYTES) + 1
+    chunks = -(-size // chunk_bytes) + 1
     chunk = F.pmod(F.xxhash64(id_column, text_column), F.lit(chunks)).alias("chunk")
     return docs.select(chunk, F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text")), size
 
 
 def remove_repeated_windows(
-    docs: DataFrame, window: int = 50, with_text: bool = False, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame,
+    window: int = 50,
+    with_text: bool = False,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    chunk_bytes: int = CHUNK_BYTES,
 ) -> DataFrame:
     """Removes each word covered by a window that also starts in a document with a smaller id.
 
@@ -269,7 +274,7 @@ def remove_repeated_windows(
     all others, and rows of one id never remove words of each other. Empty tables give no rows; other
     columns aren't read. A very long text is one row of one chunk.
     """
-    chunked, size = dealt_chunks(docs, id_column, text_column)
+    chunked, size = dealt_chunks(docs, id_column, text_column, chunk_bytes)
     bits = max(BLOCK_BITS, int(max(size, 1)).bit_length())  # six cells or more for each window
     exact_bits = int(max(size // EXACT_BYTES, 1)).bit_length() - 1
     by_chunk = chunked.groupBy("chunk")
