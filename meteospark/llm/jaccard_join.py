@@ -24,6 +24,8 @@ from meteospark.llm.hashing import mixed, slices, word_windows
 _SEED = 0x6A09E667
 #: Sets and n-grams one side of a cell holds, about; rows of sets that one task gets, about.
 SIDE_SETS, SIDE_GRAMS, TASK_ROWS = 256, 1 << 20, 1_024
+#: Different hashes of ids that tell texts of clusters from most others.
+NEAR_KEYS = 1 << 20
 
 
 def choose_bands(threshold: float, recall: float, most: int = 256) -> tuple[int, int]:
@@ -247,6 +249,10 @@ def jaccard_classes(
     placed = clusters.join(sizes, "root").withColumn("slot", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     texts = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
     reps = placed.select(F.col("id").alias("rep"), "node", "root", "copies", "slot", "parts")
+    near = lambda c: F.pmod(F.xxhash64(c), F.lit(NEAR_KEYS)).alias("near")
+    # at most NEAR_KEYS numbers are broadcast: most texts in no cluster are left out before the join
+    wanted = F.broadcast(reps.select(near("rep")).distinct())
+    texts = texts.withColumn("near", near("id")).join(wanted, "near", "left_semi").drop("near")
     sets = _with_sets(texts.join(reps, F.col("id").eqNullSafe(F.col("rep"))).drop("rep"), n)
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
     cells = sets.select("root", "slot", "node", "copies", "set", other).select(
