@@ -219,15 +219,16 @@ PRED = [f"pred_{f}" for f in FEATURES]
 def forecast(station: str = "event_type") -> list[str]:
     return [
         *hourly(station),
-        f"means AS (SELECT station_id, hour(ts) AS h, {each('floor(avg(#) * 1e6 + 0.5) / 1e6 AS m_#')} FROM clean GROUP BY ALL)",
+        f"means AS (SELECT station_id, ts, {each('floor(avg(#) OVER w * 1e6 + 0.5) / 1e6 AS m_#')} FROM clean "
+        "WINDOW w AS (PARTITION BY station_id, hour(ts) ORDER BY ts ROWS UNBOUNDED PRECEDING))",
         f"""origins AS (SELECT c.*, u.horizon, c.ts + INTERVAL 1 HOUR * u.horizon AS target
   FROM clean c, (SELECT unnest(generate_series(1, 6))::int AS horizon) u)""",
         f"""forecast AS (
   SELECT station_id, target AS ts, 'persistence' AS model_version, ts AS created_at,
          ts - INTERVAL 23 HOUR AS ts_window_start, ts AS ts_window_stop, horizon, {each('# AS pred_#')} FROM origins
   UNION ALL
-  SELECT o.station_id, target, 'climatology', ts, ts - INTERVAL 23 HOUR, ts, horizon, {each('m_#')}
-  FROM origins o JOIN means m ON m.station_id = o.station_id AND m.h = hour(target))""",
+  SELECT o.station_id, target, 'climatology', o.ts, o.ts - INTERVAL 23 HOUR, o.ts, horizon, {each('m_#')}
+  FROM origins o JOIN means m ON m.station_id = o.station_id AND m.ts = target - INTERVAL 24 HOUR)""",
     ]
 
 

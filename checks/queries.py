@@ -601,7 +601,7 @@ def chrono_split(spark, sf):
 
 def _scale_sql(f: str, where: str) -> str:
     return f"""SELECT station_id, '{f}' AS feature, count(*)::double AS n, {o.r(f'avg({f})', 'mean')},
-  {o.r(f'CASE WHEN stddev_pop({f}) > 1e-7 * abs(avg({f})) THEN stddev_pop({f}) ELSE 1 END', 'scale')} FROM {where} GROUP BY 1"""
+  {o.r(f'CASE WHEN stddev_pop({f}) > 0 THEN stddev_pop({f}) ELSE 1 END', 'scale')} FROM {where} GROUP BY 1"""
 
 
 STEPS = """covered AS (SELECT f.* FROM refs JOIN split USING (station_id) JOIN feat f USING (station_id)
@@ -642,9 +642,13 @@ def feature_contract(spark, sf):
 # --- model --------------------------------------------------------------------------------
 
 
+def _settings(**changes):
+    return flow.Settings(as_of=AS_OF, **changes)
+
+
 def _trained(spark, sf):
-    settings = flow.Settings(as_of=AS_OF)
-    return flow.forecast(t.hourly_table(spark, sf), t.busy_stations(spark, sf), settings, session.run_folder(spark))
+    hours, folder = t.hourly_table(spark, sf), session.run_folder(spark)
+    return flow.train(hours, t.busy_stations(spark, sf), _settings(), folder)
 
 
 @register()
@@ -654,15 +658,176 @@ def ridge_fit_metrics(spark, sf):
 
 @register()
 def ridge_forecast(spark, sf):
-    return rounded(_trained(spark, sf)["forecast"], 3)
+    """Forecasts from every origin, the newest ones included, by stored models."""
+    fit, places, s = _trained(spark, sf), t.busy_stations(spark, sf), _settings()
+    observed = flow.observed_hours(t.telemetry(spark, sf), s)
+    return rounded(flow.predict(observed, places, fit["models"], fit["registry"], s, F.lit(True))["forecast"], 3)
+
+
+BACKTEST = ("2024-01-20 00:00:00", "2024-01-29 00:00:00", 6)
 
 
 @register()
 def backtest_origins(spark, sf):
-    origins = model.backtest_origins(
-        _trained(spark, sf)["scored"], "2024-01-20 00:00:00", "2024-01-29 00:00:00", 6
+    places = t.busy_stations(spark, sf)
+    return rounded(
+        flow.backtest(t.telemetry(spark, sf), places, *BACKTEST, _settings(), session.run_folder(spark)), 3
     )
-    return rounded(model.to_forecast(origins, "ridge"), 3)
+
+
+# A system small enough for SQL: one hour of temperature and humidity predicts the next step of temperature.
+SMALL = {"inputs": ("temp", "rh"), "targets": ("temp",)}
+
+
+def _small_sql(rows: str, suffix: str = "") -> list[str]:
+    """Samples, scalers, weights and scores of the small system over gap-free rows, in closed form."""
+    z = "(CASE WHEN s{0} > 0 THEN s{0} ELSE 1 END)".format
+    return [
+        f"""smp{suffix} AS (SELECT *, ts <= min(ts) OVER s + INTERVAL 1 HOUR * (floor(count(*) OVER s * 0.8::double)::bigint - 1) AS is_train
+  FROM (SELECT station_id, ts, temp, rh, lead(temp) OVER (PARTITION BY station_id ORDER BY ts) - temp AS y FROM {rows})
+  WHERE y IS NOT NULL WINDOW s AS (PARTITION BY station_id))""",
+        f"""scl{suffix} AS (SELECT station_id, count(*) AS n, avg(temp) AS m1, avg(rh) AS m2, avg(y) AS m3, stddev_pop(temp) AS s1,
+  stddev_pop(rh) AS s2, stddev_pop(y) AS s3 FROM smp{suffix} WHERE is_train GROUP BY 1)""",
+        f"""std{suffix} AS (SELECT station_id, ts, y, is_train, (temp - m1) / {z(1)} AS x1, (rh - m2) / {z(2)} AS x2, (y - m3) / {z(3)} AS d
+  FROM smp{suffix} JOIN scl{suffix} USING (station_id))""",
+        f"""sums{suffix} AS (SELECT station_id, sum(x1 * x1) + 1 AS a, sum(x1 * x2) AS b, sum(x2 * x2) + 1 AS c, sum(x1 * d) AS e,
+  sum(x2 * d) AS f FROM std{suffix} WHERE is_train GROUP BY 1)""",
+        f"""wgt{suffix} AS (SELECT station_id, (c * e - b * f) / (a * c - b * b) AS w1, (a * f - b * e) / (a * c - b * b) AS w2 FROM sums{suffix})""",
+        f"""scr{suffix} AS (SELECT station_id, ts, is_train, y, (x1 * w1 + x2 * w2) * {z(3)} + m3 AS delta
+  FROM std{suffix} JOIN wgt{suffix} USING (station_id) JOIN scl{suffix} USING (station_id))""",
+    ]
+
+
+def _small(spark, sf, hours=None):
+    s = _settings(lookback=1, horizon=1)
+    hours = t.hourly_table(spark, sf) if hours is None else hours
+    return flow.train(hours, t.busy_stations(spark, sf), s, session.run_folder(spark), **SMALL)
+
+
+@register(
+    o.query(
+        [*o.features(), *_small_sql("feat")],
+        f"""SELECT station_id, n::double AS n_samples, {o.r('w1', 'w_temp')}, {o.r('w2', 'w_rh')}, 0::double AS intercept,
+  {o.r('m1', 'mean_temp')}, {o.r('s2', 'scale_rh')}, {o.r('s3', 'scale_delta')} FROM wgt JOIN scl USING (station_id)""",
+    )
+)
+def ridge_closed_form(spark, sf):
+    w = F.col("weights")
+    return rounded(
+        _small(spark, sf)["models"].select(
+            "station_id",
+            "n_samples",
+            w[0].alias("w_temp"),
+            w[1].alias("w_rh"),
+            w[2].alias("intercept"),
+            F.col("x_mean")[0].alias("mean_temp"),
+            F.col("x_scale")[1].alias("scale_rh"),
+            F.col("y_scale")[0].alias("scale_delta"),
+        )
+    )
+
+
+@register(
+    o.query(
+        [*o.features(), *_small_sql("feat")],
+        f"""SELECT station_id, ts AS ts_ref, is_train, {o.r('y')}, {o.r('delta')}, {o.r('rmse')} FROM scr
+JOIN (SELECT station_id, is_train, sqrt(avg((delta - y) * (delta - y))) AS rmse FROM scr GROUP BY 1, 2) USING (station_id, is_train)""",
+    )
+)
+def ridge_scores(spark, sf):
+    """Every sample with its predicted delta, and the root mean square error of its split."""
+    scored = sinks.materialise(_small(spark, sf)["scored"], session.run_folder(spark), "scored")
+    errors = model.rmse(scored, ["station_id", "is_train"]).drop("n")
+    rows = scored.select("station_id", "ts_ref", "is_train", F.col("y")[0][0].alias("y"), F.col("delta")[0][0].alias("delta"))
+    return rounded(rows.join(errors, ["station_id", "is_train"]))
+
+
+VERSION = "'ridge_' || strftime({0}, '%Y_%m') || '_20240130_2300'"
+
+
+@register(
+    o.query(
+        [*o.features(), *_small_sql("feat")],
+        f"""SELECT station_id, {VERSION.format('last_ts')} AS model_version, TIMESTAMP '{AS_OF}' AS trained_at, last_ts,
+  (SELECT count(*) FROM smp WHERE is_train AND smp.station_id = b.station_id) AS train_samples_count, {o.r('mse', 'metrics_mse')}, 1 AS is_active
+FROM (SELECT station_id, max(ts) AS last_ts FROM feat GROUP BY 1) b
+JOIN (SELECT station_id, avg((delta - y) * (delta - y)) AS mse FROM scr WHERE NOT is_train GROUP BY 1) USING (station_id)""",
+    )
+)
+def registry_from_fit(spark, sf):
+    return rounded(_small(spark, sf)["registry"])
+
+
+OBSERVED = "obs AS (SELECT station_id, ts, temp, " + o.guard("rh", "rh") + " AS rh FROM res)"
+KNOWN = """past AS (SELECT g.station_id, g.ts, last_value(temp IGNORE NULLS) OVER w AS temp, last_value(rh IGNORE NULLS) OVER w AS rh
+  FROM (SELECT station_id, unnest(generate_series(min(ts), max(ts), INTERVAL 1 HOUR)) AS ts FROM obs GROUP BY 1) g
+  LEFT JOIN obs USING (station_id, ts) WINDOW w AS (PARTITION BY station_id ORDER BY ts ROWS UNBOUNDED PRECEDING))"""
+
+
+def _small_forecast_sql(chosen: str, suffix: str = "") -> str:
+    z = "(CASE WHEN s{0} > 0 THEN s{0} ELSE 1 END)".format
+    return f"""SELECT station_id, ts AS created_at, ts + INTERVAL 1 HOUR AS ts,
+  {o.r(f'temp + ((temp - m1) / {z(1)} * w1 + (rh - m2) / {z(2)} * w2) * {z(3)} + m3', 'pred_temp')}
+FROM past JOIN wgt{suffix} USING (station_id) JOIN scl{suffix} USING (station_id) WHERE temp IS NOT NULL AND rh IS NOT NULL AND {chosen}"""
+
+
+def _small_forecast(spark, sf, fit, origins=None, until=None):
+    s = _settings(lookback=1, horizon=1)
+    tel = t.telemetry(spark, sf)
+    tel = tel if until is None else tel.where(F.col("ts") < times.instant(until))
+    rows = flow.known_rows(flow.observed_hours(tel, s), t.busy_stations(spark, sf), s)
+    scored = model.infer(rows, fit["models"], fit["registry"], 1, origins=origins, **SMALL)
+    usable, _ = model.split_rejects(scored)
+    return rounded(
+        usable.select(
+            "station_id",
+            F.col("ts_ref").alias("created_at"),
+            F.timestamp_add("HOUR", F.lit(1), "ts_ref").alias("ts"),
+            (F.col("last_actual")[0] + F.col("delta")[0][0]).alias("pred_temp"),
+        )
+    )
+
+
+@register(
+    o.query(
+        [*o.features(), *_small_sql("feat"), OBSERVED, KNOWN],
+        _small_forecast_sql("ts = (SELECT max(ts) FROM past p WHERE p.station_id = past.station_id)"),
+    )
+)
+def forecast_latest(spark, sf):
+    """The next hour of every station from its newest hour, by the stored model."""
+    return _small_forecast(spark, sf, _small(spark, sf))
+
+
+@register(
+    o.query(
+        [
+            *o.tel(),
+            f"tel_fit AS (SELECT * FROM tel WHERE ts < TIMESTAMP '{BACKTEST[0]}')",
+            o.HOURLY.replace("res AS", "res_fit AS").replace("FROM tel", "FROM tel_fit"),
+            o.dense("res_fit", "dense_fit"),
+            o.near("dense_fit", "near_fit"),
+            o.interp("near_fit", "interp_fit"),
+            o.CLEAN.replace("clean AS", "clean_fit AS").replace("FROM interp", "FROM interp_fit"),
+            o.near("clean_fit", "near2_fit"),
+            "gap_fit AS (SELECT station_id, ts, " + ", ".join(f"coalesce({o.line(f, None)}, {f}_n) AS {f}" for f in ("temp", "rh")) + " FROM near2_fit)",
+            *_small_sql("gap_fit", "_fit"),
+            o.HOURLY,
+            OBSERVED,
+            KNOWN,
+        ],
+        _small_forecast_sql(
+            f"ts >= TIMESTAMP '{BACKTEST[0]}' AND ts < TIMESTAMP '{BACKTEST[1]}' AND "
+            f"(epoch(ts - TIMESTAMP '{BACKTEST[0]}') / 3600)::bigint % {BACKTEST[2]} = 0",
+            "_fit",
+        ),
+    )
+)
+def backtest_small(spark, sf):
+    """Origins every six hours by a model that saw only what lies before the first of them."""
+    early = t.telemetry(spark, sf).where(F.col("ts") < times.instant(BACKTEST[0]))
+    hours = sinks.materialise(resample.clean_hourly(early), session.run_folder(spark), "hourly")
+    return _small_forecast(spark, sf, _small(spark, sf, hours), model.backtest_origins(*BACKTEST), BACKTEST[1])
 
 
 FORECAST_COLS = "station_id, ts, model_version, created_at, ts_window_start, ts_window_stop, horizon"
@@ -674,7 +839,7 @@ def baseline_forecasts(spark, sf):
 
 
 def _forecast(spark, sf):
-    return model.baseline_forecasts(t.hourly_table(spark, sf))
+    return t.baselines(t.hourly_table(spark, sf))
 
 
 REGISTRY = """registry AS (SELECT *, (row_number() OVER (PARTITION BY station_id ORDER BY trained_at DESC, model_version DESC) = 1)::int AS is_active
@@ -738,7 +903,7 @@ def _eval(spark, sf):
     """Hourly table, forecasts, matches and bias."""
     hours = t.hourly_table(spark, sf)
     matches = t.matches(spark, sf, hours=hours)
-    return hours, model.baseline_forecasts(hours), matches, matching.bias_table(matches)
+    return hours, t.baselines(hours), matches, matching.bias_table(matches)
 
 
 def _reconciled(spark, sf):
@@ -763,6 +928,16 @@ def reconcile_forecast(spark, sf):
     return rounded(_reconciled(spark, sf))
 
 
+@register(ORACLE["reconcile_forecast"])
+def reconcile_late_bias(spark, sf):
+    """Observations come first, reanalysis later: the second run mends what the first assumed."""
+    _, forecast, matches, bias = _eval(spark, sf)
+    late = F.col("ts") >= times.instant("2024-01-15")
+    early = matches.withColumns({f"{f}_era5": F.when(~late, F.col(f"{f}_era5")) for f in FEATURES})
+    first = evaluation.reconcile(forecast, early, matching.bias_table(early))
+    return rounded(evaluation.reconcile(sinks.materialise(first, session.run_folder(spark), "first"), matches, bias))
+
+
 MART = f"SELECT station_id, ts, model_version, created_at, {o.rounded(o.MART_COLS)} FROM mart"
 
 
@@ -833,10 +1008,11 @@ KEY4 = "station_id, ts, model_version, horizon"
         [
             *o.forecast(),
             f"""fresh AS (SELECT station_id, ts + INTERVAL 1 DAY AS ts, model_version, horizon,
-  created_at + INTERVAL 1 DAY AS created_at, {o.each('pred_# + 1 AS pred_#')} FROM forecast WHERE model_version = 'climatology')""",
+  created_at + INTERVAL 1 DAY AS created_at, {o.each('CASE WHEN horizon <> 2 THEN pred_# + 1 END AS pred_#')}, true AS given
+  FROM forecast WHERE model_version = 'climatology')""",
         ],
         f"""SELECT {KEY4}, coalesce(n.created_at, o.created_at) AS created_at,
-  {', '.join(o.r(f'coalesce(n.{p}, o.{p})', p) for p in o.PRED)}, o.ts_window_start
+  {', '.join(o.r(f'CASE WHEN n.given THEN n.{p} ELSE o.{p} END', p) for p in o.PRED)}, o.ts_window_start
 FROM forecast o FULL JOIN fresh n USING ({KEY4})""",
     )
 )
@@ -845,7 +1021,7 @@ def upsert_forecast(spark, sf):
     day = F.expr("INTERVAL '1' DAY")
     new = old.where("model_version = 'climatology'").drop("ts_window_start")
     new = new.withColumns({"ts": F.col("ts") + day, "created_at": F.col("created_at") + day})
-    new = new.withColumns({p: F.col(p) + 1 for p in o.PRED})
+    new = new.withColumns({p: F.when(F.col("horizon") != 2, F.col(p) + 1) for p in o.PRED})
     merged = sinks.merge_rows(old, new, ["station_id", "ts", "model_version", "horizon"])
     return rounded(merged.select(*KEY4.split(", "), "created_at", *o.PRED, "ts_window_start"))
 

@@ -63,9 +63,9 @@ def sink_append_new(spark, sf):
 @register(
     o.query(
         o.hourly("user_id"),
-        f"SELECT station_id, ts, {o.r('coalesce(r.temp, c.temp)', 'temp')}, "
+        f"SELECT station_id, ts, {o.r('CASE WHEN r.given THEN r.temp ELSE c.temp END', 'temp')}, "
         + ", ".join(o.r(f"c.{f}", f) for f in FEATURES[1:])
-        + " FROM clean c LEFT JOIN (SELECT station_id, ts, temp FROM res) r USING (station_id, ts)",
+        + " FROM clean c LEFT JOIN (SELECT station_id, ts, temp, true AS given FROM res) r USING (station_id, ts)",
     )
 )
 def sink_upsert(spark, sf):

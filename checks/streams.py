@@ -10,7 +10,7 @@ from checks.queries import FORECAST_COLS, GAPS, CONSENSUS, MATCH_COLS, MINUTES,
 from meteospark import session
 from meteospark.catalog import FEATURES
 from meteospark.functions import times
-from meteospark.operators import matching, model
+from meteospark.operators import matching
 from meteospark.sources import sinks
 from meteospark.streaming import jobs
 
@@ -80,7 +80,7 @@ def stream_reconcile(spark, sf):
     matches = sinks.materialise(t.matches(spark, sf, hours=hours), folder, "joined")
     arrivals = _by_month(matches, folder, "matches")
     bias = _by_month(matching.bias_table(matches), folder, "bias")
-    stored = _by_month(model.baseline_forecasts(hours), folder, "forecast")
+    stored = _by_month(t.baselines(hours), folder, "forecast")
     handle = jobs.reconcile_arrivals(spark, stored, bias, RUN)
     jobs.run_batches(_stream(spark, arrivals).drop("month"), handle, f"{folder}/cp")
     return rounded(spark.read.option("mergeSchema", True).parquet(stored).drop("month"))
@@ -106,7 +106,7 @@ def stream_rematch(spark, sf):
 def stream_consensus(spark, sf):
     """Arriving forecast runs re-aggregate the targets they touch."""
     folder = session.run_folder(spark)
-    stored = _by_month(model.baseline_forecasts(t.hourly_table(spark, sf)), folder, "forecast")
+    stored = _by_month(t.baselines(t.hourly_table(spark, sf)), folder, "forecast")
     handle = jobs.consensus_arrivals(spark, stored, f"{folder}/stats")
     jobs.run_batches(_stream(spark, stored).drop("month"), handle, f"{folder}/cp")
     return rounded(spark.read.parquet(f"{folder}/stats").drop("month"))

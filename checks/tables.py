@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from meteospark import session
-from meteospark.operators import matching, resample
+from meteospark.catalog import FEATURES
+from meteospark.operators import matching, model, resample
 from meteospark.sources import sinks
 
 READING = r"(\d+)"
@@ -107,6 +108,14 @@ def hourly_table(spark: SparkSession, sf: str, station: str = "event_type") -> D
     return sinks.materialise(hourly(spark, sf, station), session.run_folder(spark), "hourly")
 
 
+def baselines(hours: DataFrame) -> DataFrame:
+    """Baseline forecasts; means are rounded, as the order in which they were summed must not decide a comparison."""
+    rows = model.baseline_forecasts(hours)
+    mean = F.col("model_version") == "climatology"
+    near = lambda c: F.when(mean, F.floor(F.col(c) * 1e6 + 0.5) / 1e6).otherwise(F.col(c))
+    return rows.withColumns({f"pred_{f}": near(f"pred_{f}") for f in FEATURES})
+
+
 def matches(spark: SparkSession, sf: str, station: str = "event_type", hours: DataFrame | None = None) -> DataFrame:
     places = busy_stations(spark, sf) if station == "event_type" else stations(spark, sf)
     hours = hourly_table(spark, sf, station) if hours is None else hours

@@ -106,13 +106,6 @@ def clip_for_display(feature: str, x: Column) -> Column:
     return between(x, 0.0, 100.0) if feature == "rh" else x
 
 
-def steady(x: Column, digits: int = 6) -> Column:
-    """Half-up rounding for means that are published: the order in which a mean was summed
-    must not decide a later comparison."""
-    unit = 10.0**digits
-    return F.floor(x * unit + 0.5) / unit
-
-
 def percent_error(predicted: Column, benchmark: Column) -> Column:
     """Absolute error in percent of the benchmark; the denominator keeps its sign."""
     return F.abs(predicted - benchmark) / F.nullif(benchmark, F.lit(0.0)) * 100

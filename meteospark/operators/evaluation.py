@@ -14,8 +14,10 @@ KEY = ("station_id", "ts")
 def reconcile(forecast: DataFrame, matches: DataFrame, bias: DataFrame) -> DataFrame:
     """Closes forecast rows for which an observation exists; other rows stay as they are.
 
-    diff = prediction - observation, missing bias counts as zero, drift = diff - bias. Values
-    that are already reconciled are kept; running it again changes nothing.
+    diff = prediction - observation, drift = diff - bias. Observations arrive days before the
+    reanalysis, so every run computes anew from what is there: a stored value is kept only where
+    its input is missing, and a bias that was never known counts as zero. Running it again on the
+    same inputs changes nothing.
     """
     have = set(forecast.columns)
     actual = matches.select(*KEY, F.lit(True).alias("_observed"), *[F.col(f"{f}_eco").alias(f"_a_{f}") for f in FEATURES])
@@ -25,13 +27,14 @@ def reconcile(forecast: DataFrame, matches: DataFrame, bias: DataFrame) -> DataF
     old = lambda name: F.col(name) if name in have else F.lit(None).cast("double")
     out = []
     for f in FEATURES:
-        diff = F.col(f"pred_{f}") - F.col(f"_a_{f}")
-        base = F.when(seen, F.coalesce(F.col(f"_b_{f}"), F.lit(0.0)))
+        actual = F.coalesce(F.col(f"_a_{f}"), old(f"actual_{f}"))
+        diff = F.coalesce(F.col(f"pred_{f}") - actual, old(f"diff_{f}"))
+        base = F.coalesce(F.col(f"_b_{f}"), old(f"historical_bias_{f}"), F.when(seen, F.lit(0.0)))
         out += [
-            F.coalesce(old(f"actual_{f}"), F.col(f"_a_{f}")).alias(f"actual_{f}"),
-            F.coalesce(old(f"diff_{f}"), diff).alias(f"diff_{f}"),
-            F.coalesce(old(f"historical_bias_{f}"), base).alias(f"historical_bias_{f}"),
-            F.coalesce(old(f"drift_vs_bias_{f}"), diff - base).alias(f"drift_vs_bias_{f}"),
+            actual.alias(f"actual_{f}"),
+            diff.alias(f"diff_{f}"),
+            base.alias(f"historical_bias_{f}"),
+            (diff - base).alias(f"drift_vs_bias_{f}"),
         ]
     replaced = {f"{p}_{f}" for p in ("actual", "diff", "historical_bias", "drift_vs_bias") for f in FEATURES}
     kept = [c for c in forecast.columns if c not in replaced and c != "drift_vs_bias"]
@@ -93,8 +96,14 @@ def since_high_water(df: DataFrame, mark: DataFrame, at: str, lookback_days: int
 
 
 def after_high_water(df: DataFrame, mark: DataFrame, at: str = "ts") -> DataFrame:
-    """Rows strictly after the mark, read as a scalar subquery so that partitions are pruned."""
-    return df.where(F.col(at) > mark.select("high_water").scalar())
+    """Rows strictly after the mark, read as a scalar subquery.
+
+    In a table with months the mark's month bounds the partitions that are opened.
+    """
+    newer = df.where(F.col(at) > mark.select("high_water").scalar())
+    if "month" not in df.columns:
+        return newer
+    return newer.where(F.col("month") >= mark.select(times.month_of(F.col("high_water"))).scalar())
 
 
 def consensus(forecast: DataFrame, mark: DataFrame | None = None) -> DataFrame:

@@ -9,7 +9,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 
 from meteospark.catalog import FEATURES, INPUT_FEATURES
 from meteospark.functions import physics, times
@@ -18,11 +18,14 @@ from meteospark.operators import windows
 MODEL_SCHEMA = "station_id string, n_samples double, weights array<double>"
 
 
-def scale_samples(samples: DataFrame, x_stats: DataFrame, y_stats: DataFrame, inputs=INPUT_FEATURES) -> DataFrame:
-    """Adds `xs` (flat, scaled) and, where targets exist, `ys` (flat, scaled)."""
-    stats = windows.stats_arrays(x_stats, inputs, "x").join(
-        windows.stats_arrays(y_stats, FEATURES, "y"), "station_id"
-    )
+def scaler_arrays(x_stats: DataFrame, y_stats: DataFrame, inputs=INPUT_FEATURES, targets=FEATURES) -> DataFrame:
+    """Both scalers of a station as arrays in feature order, as a model stores them."""
+    return windows.stats_arrays(x_stats, inputs, "x").join(windows.stats_arrays(y_stats, targets, "y"), "station_id")
+
+
+def scale_samples(samples: DataFrame, stats: DataFrame) -> DataFrame:
+    """Adds `xs` (flat, scaled) and, where targets exist, `ys` (flat, scaled); stats: `scaler_arrays`."""
+    stats = stats.select("station_id", "x_mean", "x_scale", "y_mean", "y_scale")
     x = F.transform("x", lambda r: windows.scale_vector(r, F.col("x_mean"), F.col("x_scale")))
     out = samples.join(stats, "station_id").withColumn("xs", F.flatten(x))
     if "y" in samples.columns:
@@ -31,30 +34,25 @@ def scale_samples(samples: DataFrame, x_stats: DataFrame, y_stats: DataFrame, in
     return out.drop("x_mean", "x_scale")
 
 
-MATRICES_IN_MEMORY = 64
-
-
 def _matrix(column) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
 def _gram_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums [x, 1]' [x, 1, y] over the partition, per station; one output row per matrix row.
+    """Sums [x, 1]' [x, 1, y] over each station's run of rows; one output row per matrix row.
 
-    Spark adds partial sums anyway, so they are handed on whenever a task holds many stations.
+    Rows come sorted by station, so one matrix is held at a time and a station is handed on once.
     """
-    sums: dict[str, np.ndarray] = {}
-
-    def flush():
-        for station, gram in sums.items():
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "station_id": pa.array([station] * len(gram)),
-                    "i": pa.array(range(len(gram)), pa.int32()),
-                    "g": pa.array(list(gram), pa.list_(pa.float64())),
-                }
-            )
-        sums.clear()
+    current, total = None, None
+
+    def rows():
+        return pa.RecordBatch.from_pydict(
+            {
+                "station_id": pa.array([current] * len(total), pa.string()),
+                "i": pa.array(range(len(total)), pa.int32()),
+                "g": pa.array(list(total), pa.list_(pa.float64())),
+            }
+        )
 
     for batch in batches:
         if not batch.num_rows:
@@ -63,13 +61,17 @@ def _gram_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         x, y = _matrix(batch.column("xs")), _matrix(batch.column("ys"))
         a = np.hstack([x, np.ones((len(x), 1))])
         b = np.hstack([a, y])
-        for station in pd.unique(stations):
-            mine = stations == station
-            gram = a[mine].T @ b[mine]
-            sums[station] = sums[station] + gram if station in sums else gram
-            if len(sums) >= MATRICES_IN_MEMORY:
-                yield from flush()
-    yield from flush()
+        cuts = np.flatnonzero(np.concatenate([[True], stations[1:] != stations[:-1]]))
+        for lo, hi in zip(cuts, [*cuts[1:], len(stations)]):
+            gram = a[lo:hi].T @ b[lo:hi]
+            if total is not None and stations[lo] == current:
+                total += gram
+            else:
+                if total is not None:
+                    yield rows()
+                current, total = stations[lo], gram
+    if total is not None:
+        yield rows()
 
 
 def fit_ridge(samples: DataFrame, penalty: float = 1.0) -> DataFrame:
@@ -79,7 +81,8 @@ def fit_ridge(samples: DataFrame, penalty: float = 1.0) -> DataFrame:
     and each station's system - its size depends only on the window shape - is solved in the
     executors. No sample reaches the driver.
     """
-    partial = samples.select("station_id", "xs", "ys").mapInArrow(
+    ordered = samples.select("station_id", "xs", "ys").sortWithinPartitions("station_id")
+    partial = ordered.mapInArrow(
         _gram_rows, "station_id string, i int, g array<double>"
     )
     total = (
@@ -109,8 +112,8 @@ def _rows_of(flat, width: int):
     return F.transform(F.sequence(F.lit(0), n - 1), lambda h: F.slice(flat, h * width + 1, F.lit(width)))
 
 
-def score(samples: DataFrame, model: DataFrame) -> DataFrame:
-    """Adds `delta`, the H x 6 predicted deltas in physical units, to scaled samples.
+def score(samples: DataFrame, model: DataFrame, targets=FEATURES) -> DataFrame:
+    """Adds `delta`, the predicted deltas (H x targets) in physical units, to scaled samples.
 
     The weights of a station meet its samples once per month, not once per row, and no task
     gets more than one station month.
@@ -133,7 +136,7 @@ def score(samples: DataFrame, model: DataFrame) -> DataFrame:
     pairs = flat.groupBy("station_id", "_month").cogroup(wanted.groupBy("_station", "_when"))
     scored = pairs.applyInPandas(predict, schema)
     unscaled = lambda r: windows.unscale_vector(r, F.col("y_mean"), F.col("y_scale"))
-    width = len(FEATURES)
+    width = len(targets)
     out = {"delta": F.transform(_rows_of(F.col("scaled"), width), unscaled)}
     if "y" in samples.columns:
         out["y"] = _rows_of(F.col("y"), width)
@@ -161,6 +164,7 @@ def to_forecast(
     rows = scored.select(
         "station_id",
         "ts_ref",
+        version.alias("model_version"),
         "latitude",
         "longitude",
         F.posexplode(F.transform("delta", lambda d: F.zip_with(d, "last_actual", lambda a, b: a + b))).alias("_h", "p"),
@@ -172,7 +176,7 @@ def to_forecast(
     return rows.select(
         "station_id",
         "ts",
-        version.alias("model_version"),
+        "model_version",
         F.col("ts_ref").alias("created_at"),
         (F.col("ts_ref") - times.minutes((lookback - 1) * step_minutes)).alias("ts_window_start"),
         F.col("ts_ref").alias("ts_window_stop"),
@@ -189,20 +193,83 @@ def train_and_score(
     penalty: float = 1.0,
     share: float = 0.8,
     fit_scope: str = "train",
+    inputs=INPUT_FEATURES,
+    targets=FEATURES,
 ) -> tuple[DataFrame, DataFrame]:
-    """Fits on the first `share` of samples, scores every origin. Returns (model, scored).
+    """Fits on the first `share` of samples, scores every sample. Returns (model, scored).
 
-    `samples` is read several times: pass the stored sample table, not the windows themselves.
-    `fit_scope="all"` lets the scalers see all samples.
+    The model holds weights and both scalers. `samples` is read several times: pass the stored
+    sample table, not the windows themselves. `fit_scope="all"` lets the scalers see all samples.
     """
     cut = windows.split_point(samples, share).select("station_id", "cut_ts")
     samples = windows.with_split(samples, share)
     train = samples.where("is_train")
-    x_stats = windows.scaler_stats(rows, lookback, horizon, until=cut if fit_scope == "train" else None)
-    y_stats = windows.target_stats(train if fit_scope == "train" else samples)
-    scaled = scale_samples(samples, x_stats, y_stats)
-    model = fit_ridge(scaled.where("is_train"), penalty)
-    return model, score(scaled, model)
+    limit = cut if fit_scope == "train" else None
+    x_stats = windows.scaler_stats(rows, lookback, horizon, inputs=inputs, until=limit)
+    y_stats = windows.target_stats(train if fit_scope == "train" else samples, targets)
+    scalers = scaler_arrays(x_stats, y_stats, inputs, targets)
+    scaled = scale_samples(samples, scalers)
+    model = fit_ridge(scaled.where("is_train"), penalty).join(scalers, "station_id")
+    return model, score(scaled, model, targets)
+
+
+def registry_rows(model: DataFrame, scored: DataFrame, rows: DataFrame, base: str, trained_at) -> DataFrame:
+    """One registry row per fitted station: version, sample count, last telemetry hour, validation error.
+
+    The error is the mean square of the deltas over the samples that were held out, over all samples
+    where none were.
+    """
+    at = times.instant(trained_at)
+    pairs = F.arrays_zip(F.flatten("delta").alias("p"), F.flatten("y").alias("a"))
+    errors = scored.select("station_id", "is_train", F.explode(pairs).alias("v"))
+    square = (F.col("v.p") - F.col("v.a")) * (F.col("v.p") - F.col("v.a"))
+    errors = errors.groupBy("station_id").agg(
+        F.coalesce(F.avg(F.when(~F.col("is_train"), square)), F.avg(square)).alias("metrics_mse")
+    )
+    last = rows.groupBy("station_id").agg(F.max("ts").alias("last_ts"))
+    return model.join(last, "station_id").join(errors, "station_id").select(
+        "station_id",
+        version_name(base, F.date_format("last_ts", "yyyy_MM"), at).alias("model_version"),
+        at.alias("trained_at"),
+        "last_ts",
+        F.col("n_samples").cast("bigint").alias("train_samples_count"),
+        "metrics_mse",
+        F.lit(1).alias("is_active"),
+    )
+
+
+def infer(
+    rows: DataFrame,
+    models: DataFrame,
+    registry: DataFrame,
+    lookback: int = 24,
+    step_minutes: int = 60,
+    origins=None,
+    inputs=INPUT_FEATURES,
+    targets=FEATURES,
+) -> DataFrame:
+    """Predicted deltas by each station's active model, from windows that end at the given origins.
+
+    rows: feature rows filled from the past alone. models: station_id, model_version, weights and
+    scalers. origins: a condition on `ts_ref`; None takes the newest window of every station, and only
+    the rows it needs are kept. Nothing is fitted. Stations without an active model or a whole window
+    have no row.
+    """
+    active = active_models(registry).select("station_id", "model_version")
+    model = models.join(active, ["station_id", "model_version"])
+    last = rows.groupBy("station_id").agg(F.max("ts").alias("_last"))
+    if origins is None:
+        reach = F.col("_last") - times.minutes((lookback - 1) * step_minutes)
+        rows = rows.join(last, "station_id").where(F.col("ts") >= reach).drop("_last")
+    samples = windows.sample_windows(
+        rows, lookback, 0, step_minutes, inputs, targets, with_targets=False, keep=("latitude", "longitude")
+    )
+    if origins is None:
+        samples = samples.join(last, (samples.station_id == last.station_id) & (F.col("ts_ref") == F.col("_last")), "left_semi")
+    else:
+        samples = samples.where(origins)
+    scored = score(scale_samples(samples, model), model, targets)
+    return scored.join(active, "station_id")
 
 
 def rmse(scored: DataFrame, by=()) -> DataFrame:
@@ -220,51 +287,69 @@ def rmse(scored: DataFrame, by=()) -> DataFrame:
     )
 
 
-def backtest_origins(scored: DataFrame, begin, end, every_hours: int = 6) -> DataFrame:
-    """Origins from begin to before end, every k hours. Windows only look back, so each origin
-    sees only what was known at its time."""
+def backtest_origins(begin, end, every_hours: int = 6):
+    """Origins from begin to before end, every k hours, as a condition on `ts_ref`."""
     since = times.seconds_between(times.instant(begin), F.col("ts_ref"))
     inside = (F.col("ts_ref") >= times.instant(begin)) & (F.col("ts_ref") < times.instant(end))
-    return scored.where(inside & (since % (every_hours * 3600) == 0))
+    return inside & (since % (every_hours * 3600) == 0)
+
 
+def _hour_means(hourly: DataFrame, features=FEATURES) -> DataFrame:
+    """Each hour with the means of its hour of day over all days up to it, `mean_{feature}`.
 
-def horizon_rows(df: DataFrame, horizon: int = 6, step_minutes: int = 60) -> DataFrame:
-    """One row per origin and horizon with the target time."""
-    h = F.col("horizon")
-    out = df.withColumn("horizon", F.explode(F.sequence(F.lit(1), F.lit(horizon))))
-    return out.withColumn("target_ts", F.timestamp_add("MINUTE", h * step_minutes, times.floor_hour(F.col("ts"))))
+    Days before the month come from a table of one row per station, hour of day and month, so a
+    task holds a month of one hour of day.
+    """
+    rows = hourly.select("station_id", "ts", *features).withColumns({"_hour": F.hour("ts"), "_month": F.trunc("ts", "MM")})
+    sums = [x for f in features for x in (F.sum(f).alias(f"_s_{f}"), F.count(f).alias(f"_n_{f}"))]
+    months = rows.groupBy("station_id", "_hour", "_month").agg(*sums)
+    before = W.partitionBy("station_id", "_hour").orderBy("_month").rowsBetween(W.unboundedPreceding, -1)
+    earlier = [F.coalesce(F.sum(f"_{k}_{f}").over(before), F.lit(0)).alias(f"_{k}_{f}") for f in features for k in "sn"]
+    months = months.select("station_id", "_hour", "_month", *earlier)
+    upto = W.partitionBy("station_id", "_hour", "_month").orderBy("ts").rowsBetween(W.unboundedPreceding, 0)
+    inside = {f"_i{k}_{f}": fn(f).over(upto) for f in features for k, fn in (("s", F.sum), ("n", F.count))}
+    total = lambda f: F.col(f"_s_{f}") + F.coalesce(f"_is_{f}", F.lit(0.0))
+    count = lambda f: F.col(f"_n_{f}") + F.col(f"_in_{f}")
+    return (
+        rows.withColumns(inside)
+        .join(months, ["station_id", "_hour", "_month"])
+        .select("station_id", "ts", *[F.try_divide(total(f), count(f)).alias(f"mean_{f}") for f in features])
+    )
 
 
 def baseline_forecasts(hourly: DataFrame, horizon: int = 6, lookback: int = 24) -> DataFrame:
-    """Persistence (last value) and climatology (mean of the target's hour of day) forecasts."""
-    origins = horizon_rows(hourly, horizon)
-    hour_means = hourly.groupBy("station_id", F.hour("ts").alias("_hour")).agg(
-        *[physics.steady(F.avg(f)).alias(f"_mean_{f}") for f in FEATURES]
+    """Persistence (last value) and climatology (mean of the target's hour of day) forecasts.
+
+    Both know nothing from behind their origin. The last hour of the target's hour of day lies whole
+    days before the target, so climatology rows are the running means moved ahead, and no join is
+    needed; targets without such an hour have no climatology. `hourly` is dense.
+    """
+    steps = F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("horizon")
+    hours = lambda n, ts: F.timestamp_add("HOUR", n, ts)
+    last = hourly.select("station_id", F.col("ts").alias("created_at"), steps, *[F.col(f).alias(f"pred_{f}") for f in FEATURES])
+    last = last.withColumn("ts", hours(F.col("horizon"), times.floor_hour(F.col("created_at"))))
+    ends = hourly.groupBy("station_id").agg(F.max("ts").alias("_end"))
+    means = _hour_means(hourly).select("*", steps)
+    days = (F.ceil(F.col("horizon") / 24) * 24).cast("int")
+    typical = (
+        means.withColumn("_target", hours(days, F.col("ts")))
+        .withColumn("created_at", hours(-F.col("horizon"), F.col("_target")))
+        .join(ends, "station_id")
+        .where("created_at <= _end")
+        .select("station_id", "created_at", "horizon", *[F.col(f"mean_{f}").alias(f"pred_{f}") for f in FEATURES], F.col("_target").alias("ts"))
     )
-    rows = origins.withColumn("_hour", F.hour("target_ts")).join(hour_means, ["station_id", "_hour"])
-    versions = {
-        "persistence": [F.col(f) for f in FEATURES],
-        "climatology": [F.col(f"_mean_{f}") for f in FEATURES],
-    }
-    both = F.explode(
-        F.array(
-            *[
-                F.struct(F.lit(v).alias("model_version"), *[p.alias(f"pred_{f}") for f, p in zip(FEATURES, preds)])
-                for v, preds in versions.items()
-            ]
-        )
+    both = last.withColumn("model_version", F.lit("persistence")).unionByName(
+        typical.withColumn("model_version", F.lit("climatology"))
     )
-    return rows.select(
+    return both.select(
         "station_id",
-        F.col("target_ts").alias("ts"),
-        F.col("ts").alias("created_at"),
-        (F.col("ts") - times.minutes((lookback - 1) * 60)).alias("ts_window_start"),
-        F.col("ts").alias("ts_window_stop"),
+        "ts",
+        "model_version",
+        "created_at",
+        (F.col("created_at") - times.minutes((lookback - 1) * 60)).alias("ts_window_start"),
+        F.col("created_at").alias("ts_window_stop"),
         "horizon",
-        both.alias("f"),
-    ).select(
-        "station_id", "ts", "f.model_version", "created_at", "ts_window_start", "ts_window_stop", "horizon",
-        *[f"f.pred_{f}" for f in FEATURES],
+        *[f"pred_{f}" for f in FEATURES],
     )
 
 

@@ -96,6 +96,13 @@ def fill_edges(df: DataFrame, step_minutes: int = 60, keys=KEYS, features=FEATUR
     return _grid(df, step_minutes, keys, features, carried, {f: F.col(f"_fill_{f}") for f in features})
 
 
+def fill_past(df: DataFrame, step_minutes: int = 60, keys=KEYS, features=FEATURES) -> DataFrame:
+    """Densifies, then carries the last value forward; what has no value before it stays NULL, so a
+    slot depends on nothing behind it."""
+    carried = {f"_fill_{f}": F.col(f"_prev_{f}") for f in features}
+    return _grid(df, step_minutes, keys, features, carried, {f: F.col(f"_fill_{f}") for f in features})
+
+
 def interpolate_all(df: DataFrame, step_minutes: int = 60, keys=KEYS, features=FEATURES) -> DataFrame:
     """Unbounded linear interpolation with leading slots filled backward: no NULL is left
     in a feature that has any value. `filled` marks rows in which anything was filled."""

@@ -50,7 +50,7 @@ def stage(raw: DataFrame) -> DataFrame:
 
 def not_in(new: DataFrame, existing: DataFrame, key) -> DataFrame:
     """Rows whose key the target does not hold yet."""
-    return new.join(existing.select(*key).distinct(), list(key), "left_anti")
+    return new.join(existing.select(*key), list(key), "left_anti")
 
 
 def insert_or_ignore(target: DataFrame, new: DataFrame, key, order) -> DataFrame:

@@ -80,9 +80,11 @@ def scaler_stats(
 
     A row counts once per window that contains it; that number follows from its position, so
     no window is built. `until` (station_id, cut_ts) limits the samples to those up to a time.
-    Zero deviation gives scale 1.
+    Values are shifted by the station's first row before they are summed, which keeps the
+    deviation exact where it is small against the mean. Zero deviation gives scale 1.
     """
-    bounds = rows.groupBy("station_id").agg(F.min("ts").alias("_first"), F.max("ts").alias("_last"))
+    base = [F.min_by(f, "ts").alias(f"_base_{f}") for f in inputs]
+    bounds = rows.groupBy("station_id").agg(F.min("ts").alias("_first"), F.max("ts").alias("_last"), *base)
     position = lambda ts: times.seconds_between(F.col("_first"), ts) / (60 * step_minutes)
     samples = position(F.col("_last")) + 1 - lookback - horizon + 1
     if until is not None:
@@ -90,14 +92,19 @@ def scaler_stats(
         samples = F.least(samples, position(F.col("cut_ts")) + 1 - lookback + 1)
     i = position(F.col("ts"))
     weight = F.greatest(F.lit(0), F.least(i + 1, F.lit(lookback), samples, samples + lookback - 1 - i))
-    long = profiling.melt(
-        rows.join(bounds, "station_id").withColumn("_w", weight).where("_w > 0"), ["station_id", "_w"], inputs
+    used = rows.join(bounds, "station_id").withColumn("_w", weight).where("_w > 0")
+    parts = [F.struct(F.lit(f).alias("feature"), F.col(f).alias("value"), F.col(f"_base_{f}").alias("base")) for f in inputs]
+    long = used.select("station_id", "_w", F.inline(F.array(*parts)))
+    w, x = F.col("_w"), F.col("value") - F.coalesce("base", F.lit(0.0))
+    stats = long.where("value IS NOT NULL").groupBy("station_id", "feature").agg(
+        F.sum(w).cast("double").alias("n"),
+        F.coalesce(F.first("base"), F.lit(0.0)).alias("base"),
+        F.sum(w * x).alias("s1"),
+        F.sum(w * x * x).alias("s2"),
     )
-    w, x = F.col("_w"), F.col("value")
-    stats = long.groupBy("station_id", "feature").agg(
-        F.sum(w).alias("n"), F.sum(w * x).alias("s1"), F.sum(w * x * x).alias("s2")
-    )
-    return _mean_scale(stats, ["station_id", "feature"])
+    mean = F.col("s1") / F.col("n")
+    variance = F.greatest(F.col("s2") / F.col("n") - mean * mean, F.lit(0.0))
+    return stats.select("station_id", "feature", "n", (F.col("base") + mean).alias("mean"), _scale(F.sqrt(variance)))
 
 
 def target_stats(samples: DataFrame, targets=FEATURES) -> DataFrame:
@@ -105,24 +112,13 @@ def target_stats(samples: DataFrame, targets=FEATURES) -> DataFrame:
     steps = samples.select("station_id", F.explode("y").alias("d"))
     long = steps.select("station_id", *[F.col("d")[j].alias(f) for j, f in enumerate(targets)])
     long = profiling.melt(long, ["station_id"], targets)
-    x = F.col("value")
-    stats = long.groupBy("station_id", "feature").agg(
-        F.count(x).cast("double").alias("n"), F.sum(x).alias("s1"), F.sum(x * x).alias("s2")
+    return long.groupBy("station_id", "feature").agg(
+        F.count("value").cast("double").alias("n"), F.avg("value").alias("mean"), _scale(F.stddev_pop("value"))
     )
-    return _mean_scale(stats, ["station_id", "feature"])
 
 
-def _mean_scale(stats: DataFrame, keys) -> DataFrame:
-    mean = F.col("s1") / F.col("n")
-    # the difference can fall below zero by rounding
-    variance = F.greatest(F.col("s2") / F.col("n") - mean * mean, F.lit(0.0))
-    spread = F.when(variance > F.abs(mean) * F.abs(mean) * 1e-14, F.sqrt(variance)).otherwise(0.0)
-    return stats.select(
-        *keys,
-        F.col("n").cast("double").alias("n"),
-        mean.alias("mean"),
-        F.when(spread > 0, spread).otherwise(1.0).alias("scale"),
-    )
+def _scale(spread: Column) -> Column:
+    return F.when(spread > 0, spread).otherwise(1.0).alias("scale")
 
 
 def scale_vector(vector: Column, mean: Column, scale: Column) -> Column:

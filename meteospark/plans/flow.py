@@ -6,7 +6,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from meteospark.catalog import SCHEMES, FEATURES
+from meteospark.catalog import FEATURES, INPUT_FEATURES, SCHEMES
+from meteospark.functions import times
 from meteospark.operators import evaluation, matching, model, resample, serving, windows
 from meteospark.sources import sinks
 
@@ -22,6 +23,7 @@ class Settings:
     lookback: int = 24
     horizon: int = 6
     penalty: float = 1.0
+    share: float = 0.8
     model_name: str = "ridge"
 
 
@@ -33,28 +35,70 @@ def prepare(telemetry: DataFrame, grid: DataFrame, stations: DataFrame, s: Setti
     return {"hourly": hourly, "matches": matches, "bias": matching.bias_table(matches)}
 
 
+def observed_hours(telemetry: DataFrame, s: Settings) -> DataFrame:
+    """Hourly means as they were known at their time: guardrails, but nothing interpolated."""
+    return resample.guard_series(resample.resample(resample.apply_offset(telemetry, s.offset), s.step_minutes))
+
+
 def training_rows(hourly: DataFrame, stations: DataFrame) -> DataFrame:
-    """Gap-free feature rows."""
+    """Gap-free feature rows for a fit; gaps are filled from both sides."""
     return windows.feature_rows(resample.interpolate_all(hourly), stations)
 
 
-def forecast(hourly: DataFrame, stations: DataFrame, s: Settings, folder: str) -> dict[str, DataFrame]:
-    """Fits per station and forecasts from every origin, so a backtest is the same job.
+def known_rows(observed: DataFrame, stations: DataFrame, s: Settings) -> DataFrame:
+    """Feature rows for predictions; gaps are filled from the past alone."""
+    return windows.feature_rows(resample.fill_past(observed, s.step_minutes), stations)
+
+
+def train(
+    hourly: DataFrame,
+    stations: DataFrame,
+    s: Settings,
+    folder: str,
+    inputs=INPUT_FEATURES,
+    targets=FEATURES,
+) -> dict[str, DataFrame]:
+    """Fits every station on the hours given: models (weights, both scalers), registry rows, scored samples.
 
-    `hourly` is the stored table. Feature rows and samples are stored in the shared folder too:
-    later steps read them often.
+    Feature rows and samples are stored in the shared folder, as later steps read them often. Store
+    `models` and `registry` to predict later without a fit.
     """
     rows = sinks.materialise(training_rows(hourly, stations), folder, "features")
-    samples = windows.sample_windows(rows, s.lookback, s.horizon, s.step_minutes, keep=("latitude", "longitude"))
+    samples = windows.sample_windows(
+        rows, s.lookback, s.horizon, s.step_minutes, inputs, targets, keep=("latitude", "longitude")
+    )
     samples = sinks.materialise(samples, folder, "samples")
-    fitted, scored = model.train_and_score(rows, samples, s.lookback, s.horizon, s.penalty)
+    fitted, scored = model.train_and_score(
+        rows, samples, s.lookback, s.horizon, s.penalty, s.share, inputs=inputs, targets=targets
+    )
+    fitted = sinks.materialise(fitted, folder, "fitted")
+    registry = model.registry_rows(fitted, scored, rows, s.model_name, s.as_of)
+    registry = sinks.materialise(registry, folder, "registry")
+    models = fitted.join(registry.select("station_id", "model_version"), "station_id")
+    return {"models": models, "registry": registry, "scored": scored}
+
+
+def predict(
+    observed: DataFrame, stations: DataFrame, models: DataFrame, registry: DataFrame, s: Settings, origins=None
+) -> dict[str, DataFrame]:
+    """Forecasts by the stored active models: from the newest hours, or from all chosen origins."""
+    rows = known_rows(observed, stations, s)
+    scored = model.infer(rows, models, registry, s.lookback, s.step_minutes, origins)
     usable, rejected = model.split_rejects(scored)
-    return {
-        "model": fitted,
-        "scored": scored,
-        "forecast": model.to_forecast(usable, s.model_name, s.step_minutes, s.lookback),
-        "rejected": rejected,
-    }
+    version = F.col("model_version")
+    return {"forecast": model.to_forecast(usable, version, s.step_minutes, s.lookback), "rejected": rejected}
+
+
+def backtest(
+    telemetry: DataFrame, stations: DataFrame, begin, end, every_hours: int, s: Settings, folder: str
+) -> DataFrame:
+    """Forecasts from origins in [begin, end) by models that saw telemetry before `begin` only."""
+    early = telemetry.where(F.col("ts") < times.instant(begin))
+    hourly = resample.clean_hourly(early, s.offset, s.max_interpolate_hours, s.step_minutes)
+    fit = train(sinks.materialise(hourly, folder, "hourly"), stations, s, folder)
+    observed = observed_hours(telemetry.where(F.col("ts") < times.instant(end)), s)
+    origins = model.backtest_origins(begin, end, every_hours)
+    return predict(observed, stations, fit["models"], fit["registry"], s, origins)["forecast"]
 
 
 def evaluate(

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from meteospark.functions import times
 from meteospark.operators import staging
+from meteospark.session import run_folder
 from meteospark.sources.files import path_exists
 
 
@@ -28,33 +29,51 @@ def _write(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def append_new(spark: SparkSession, new: DataFrame, path: str, key, order, at: str = "ts") -> None:
-    """Insert or ignore: appends the first row of each key the table does not hold."""
-    new = _with_month(new, at)
+    """Insert or ignore: appends the first row of each key the table does not hold.
+
+    Only the months of the new rows are read.
+    """
+    new = _staged(_with_month(new, at), "append")
     if path_exists(spark, path):
-        new = staging.insert_or_ignore(spark.read.parquet(path), new, [*key, "month"], order)
+        held = spark.read.parquet(path).where(F.col("month").isin(touched_months(new)))
+        new = staging.insert_or_ignore(held, new, [*key, "month"], order)
     else:
         new = staging.first_row(new, [*key, "month"], order)
     _write(new, path, "append")
 
 
+def _staged(df: DataFrame, name: str) -> DataFrame:
+    """An update as a table of the shared folder: its months and its rows come from one computation."""
+    return materialise(df, run_folder(df.sparkSession), name)
+
+
 def touched_months(df: DataFrame) -> list[str]:
     """Months present in an update; one short string per calendar month."""
     return [r["month"] for r in df.select("month").distinct().collect()]
 
 
 def merge_rows(old: DataFrame, new: DataFrame, key) -> DataFrame:
-    """Last write wins per column: new values where given, old values elsewhere."""
+    """Last write wins: a row of the update sets every column the update has, to NULL as well."""
     values = [c for c in dict.fromkeys([*old.columns, *new.columns]) if c not in key]
-    o, n = old.alias("o"), new.alias("n")
+    o, n = old.alias("o"), new.withColumn("_given", F.lit(True)).alias("n")
     merged = o.join(n, [F.col(f"o.{k}") == F.col(f"n.{k}") for k in key], "full")
-    pick = lambda c: F.coalesce(*[F.col(f"{t}.{c}") for t, df in (("n", new), ("o", old)) if c in df.columns])
-    return merged.select(*[pick(c).alias(c) for c in [*key, *values]])
+
+    def pick(c):
+        if c not in old.columns:
+            return F.col(f"n.{c}")
+        if c not in new.columns:
+            return F.col(f"o.{c}")
+        return F.when(F.col("n._given"), F.col(f"n.{c}")).otherwise(F.col(f"o.{c}"))
+
+    keys = [F.coalesce(f"n.{k}", f"o.{k}").alias(k) for k in key]
+    return merged.select(*keys, *[pick(c).alias(c) for c in values])
 
 
 def upsert(spark: SparkSession, new: DataFrame, path: str, key, at: str = "ts") -> None:
     """Keyed upsert; columns that the update lacks keep their value. Only its months are rewritten."""
     new = _with_month(new, at)
     if path_exists(spark, path):
+        new = _staged(new, "upsert")
         old = spark.read.option("mergeSchema", True).parquet(path)
         old = old.where(F.col("month").isin(touched_months(new)))
         new = merge_rows(old, new, [*key, "month"])
@@ -84,7 +103,10 @@ def delete_range(spark: SparkSession, path: str, begin, end, at: str = "ts", zon
     if zone:
         lo, hi = times.to_utc(lo, zone), times.to_utc(hi, zone)
     old = spark.read.option("mergeSchema", True).parquet(path)
-    hit = old.where(F.col(at).between(lo, hi))
+    # a zone moves the range by a day at most
+    day = F.expr("INTERVAL '1' DAY")
+    near = F.col("month").between(times.month_of(times.instant(begin) - day), times.month_of(times.instant(end) + day))
+    hit = old.where(near & F.col(at).between(lo, hi))
     old = old.where(F.col("month").isin(touched_months(hit)))
     rest = keep_outside(old, begin, end, at, zone)
     emptied = _emptied(old, rest.select("month"))
@@ -156,7 +178,7 @@ def publish_jdbc(
     """Executors load a staging table in parallel, then one statement merges it into the target."""
     rows = for_database(df)
     stage = f"{target}_stage"
-    rows.coalesce(writers).write.mode("overwrite").jdbc(url, stage, properties=properties)
+    rows.repartition(writers).write.mode("overwrite").jdbc(url, stage, properties=properties)
     jvm = df.sparkSession.sparkContext._jvm
     settings = jvm.java.util.Properties()
     for name, value in properties.items():
