@@ -10,7 +10,7 @@ from checks.queries import FORECAST_COLS, GAPS, CONSENSUS, MATCH_COLS, MINUTES,
 from meteospark import session
 from meteospark.catalog import FEATURES
 from meteospark.functions import times
-from meteospark.operators import matching
+from meteospark.operators import evaluation, matching
 from meteospark.sources import sinks
 from meteospark.streaming import jobs
 
@@ -23,48 +23,53 @@ def _stream(spark, path, **options):
     return spark.readStream.schema(schema).options(**options).parquet(path)
 
 
-def _telemetry(spark, sf):
-    return t.readings(_stream(spark, sf, pathGlobFilter="events.parquet"), "event_type")
-
-
 def _by_month(df, folder, name, at="ts"):
     path = f"{folder}/{name}"
     df.withColumn("month", times.month_of(F.col(at))).write.partitionBy("month").parquet(path)
     return path
 
 
-@register(
-    o.query(
-        [*o.tel(), o.HOURLY],
-        f"SELECT station_id, ts, {o.rounded(FEATURES)} FROM res "
-        "WHERE ts + INTERVAL 1 HOUR <= (SELECT max(ts) FROM tel) - INTERVAL 1 HOUR",
-    )
-)
+def _arriving(spark, sf, folder):
+    """Readings in files that overlap in time, one of them sent twice, one file a batch."""
+    tel = t.telemetry(spark, sf)
+    for part in (0, 1, 2, 1):
+        tel.where(F.col("event_id") % 3 == part).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    return _stream(spark, f"{folder}/in", maxFilesPerTrigger=1)
+
+
+@register(o.query([*o.tel(), o.HOURLY], f"SELECT station_id, ts, {o.rounded(FEATURES)} FROM res"))
 def stream_hourly(spark, sf):
-    """Hourly means in append mode: all slots that the watermark has closed."""
+    """Hourly means of all readings, late ones and open slots included."""
     folder = session.run_folder(spark)
-    tel = _telemetry(spark, sf).withColumn("temp", F.col("temp") - 1.5)
-    jobs.run_available(jobs.hourly(tel, "1 hour"), f"{folder}/hours", f"{folder}/cp")
-    return rounded(spark.read.parquet(f"{folder}/hours"))
+    tel = _arriving(spark, sf, folder).withColumn("temp", F.col("temp") - 1.5)
+    handle = jobs.hourly_arrivals(spark, f"{folder}/readings", f"{folder}/hours", ["station_id", "ts", "event_id"])
+    jobs.run_batches(tel, handle, f"{folder}/cp")
+    return rounded(spark.read.parquet(f"{folder}/hours").drop("month"))
 
 
-@register(o.query([*o.tel(), MINUTES], "SELECT station_id, ts FROM minutes"))
+@register(
+    o.query(
+        o.tel(),
+        """SELECT station_id, date_trunc('minute', ts) AS ts, event_id, floor(temp * 1e6 + 0.5) / 1e6 AS temp FROM tel
+QUALIFY row_number() OVER (PARTITION BY station_id, date_trunc('minute', ts) ORDER BY event_id) = 1""",
+    )
+)
 def stream_dedup(spark, sf):
-    """First arrival per station and minute."""
+    """The smallest event of each station and minute, whenever it arrives."""
     folder = session.run_folder(spark)
-    tel = _telemetry(spark, sf).select("station_id", times.floor_minute(F.col("ts")).alias("ts"))
-    jobs.run_available(jobs.dedup(tel, "1 hour"), f"{folder}/minutes", f"{folder}/cp")
-    return spark.read.parquet(f"{folder}/minutes")
+    tel = _arriving(spark, sf, folder).select("station_id", times.floor_minute(F.col("ts")).alias("ts"), "event_id", "temp")
+    handle = jobs.dedup_arrivals(spark, f"{folder}/minutes", ["station_id", "ts"], ["event_id"])
+    jobs.run_batches(tel, handle, f"{folder}/cp")
+    return rounded(spark.read.parquet(f"{folder}/minutes").drop("month"))
 
 
 @register(o.query([*o.tel(), MINUTES, GAPS], "SELECT * FROM gaps"))
 def stream_gap_alarm(spark, sf):
-    """Minute gaps from state per station."""
+    """Minute gaps; late readings split those already announced."""
     folder = session.run_folder(spark)
-    with jobs.rocksdb(spark):
-        jobs.run_available(jobs.gap_alarm(_telemetry(spark, sf)), f"{folder}/gaps", f"{folder}/cp")
-    out = spark.read.parquet(f"{folder}/gaps")
-    return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("gap_start", "gap_end")})
+    handle = jobs.gap_arrivals(spark, f"{folder}/minutes", f"{folder}/gaps")
+    jobs.run_batches(_arriving(spark, sf, folder), handle, f"{folder}/cp")
+    return spark.read.parquet(f"{folder}/gaps").drop("month")
 
 
 @register(
@@ -88,7 +93,7 @@ def stream_reconcile(spark, sf):
 
 @register(o.query(o.matches(), f"SELECT station_id, ts, {o.rounded(MATCH_COLS)} FROM matches"))
 def stream_rematch(spark, sf):
-    """Late reanalysis fills stored matches."""
+    """Late reanalysis replaces the stored matches of its hours."""
     folder = session.run_folder(spark)
     hours = t.hourly_table(spark, sf)
     places = t.busy_stations(spark, sf)
@@ -110,3 +115,26 @@ def stream_consensus(spark, sf):
     handle = jobs.consensus_arrivals(spark, stored, f"{folder}/stats")
     jobs.run_batches(_stream(spark, stored).drop("month"), handle, f"{folder}/cp")
     return rounded(spark.read.parquet(f"{folder}/stats").drop("month"))
+
+
+@register(
+    o.query(
+        o.reconciled(),
+        f"SELECT {FORECAST_COLS}, {o.rounded(o.RECONCILED_COLS)}, {o.r('drift_vs_bias_temp', 'drift_vs_bias')} FROM reconciled",
+    )
+)
+def stream_late_bias(spark, sf):
+    """Forecasts closed before their reanalysis are mended when it arrives."""
+    folder = session.run_folder(spark)
+    hours = t.hourly_table(spark, sf)
+    places = t.busy_stations(spark, sf)
+    grid = sinks.materialise(t.grid(spark, sf), folder, "cells")
+    early = sinks.materialise(matching.match(hours, grid.where("valid_time < '2024-01-20'"), places), folder, "early")
+    matched = _by_month(early, folder, "matches")
+    first = evaluation.reconcile(t.baselines(hours), early, matching.bias_table(early))
+    stored = _by_month(first, folder, "forecast")
+    hours_path = _by_month(hours, folder, "hours")
+    grid_path = _by_month(grid, folder, "grid", "valid_time")
+    handle = jobs.rematch_late_grid(spark, hours_path, grid_path, places, matched, stored, RUN)
+    jobs.run_batches(_stream(spark, grid_path).drop("month"), handle, f"{folder}/cp")
+    return rounded(spark.read.option("mergeSchema", True).parquet(stored).drop("month"))

@@ -95,6 +95,20 @@ def replace_range(spark: SparkSession, new: DataFrame, path: str, begin, end, at
         _write(new, path)
 
 
+def replace_rows(spark: SparkSession, path: str, gone: DataFrame | None, new: DataFrame, key, at: str = "ts") -> None:
+    """Takes rows out by key and month and puts new ones in; only months of either are rewritten."""
+    new = _staged(_with_month(new, at), "replace")
+    if gone is None or not path_exists(spark, path):
+        _write(new, path)
+        return
+    gone = _staged(gone.select(*key, "month"), "gone")
+    months = sorted({*touched_months(gone), *touched_months(new)})
+    old = spark.read.schema(new.schema).parquet(path).where(F.col("month").isin(months))
+    rest = _staged(old.join(gone, [*key, "month"], "left_anti").unionByName(new), "rest")
+    _write(rest, path)
+    _drop_months(spark, path, [m for m in months if m not in touched_months(rest)])
+
+
 def delete_range(spark: SparkSession, path: str, begin, end, at: str = "ts", zone: str | None = None) -> None:
     """Removes rows in [begin, end]; with a zone the range is local time."""
     from meteospark.operators.maintenance import keep_outside

@@ -1,66 +1,22 @@
 """Incremental forms of the batch operators on Structured Streaming.
 
-Watermarks need a TIMESTAMP, so event time is cast on the way in and back on the way out; the
-session runs in UTC. Every query gets its checkpoint folder from the caller.
+A micro-batch is handed to a batch operator that recomputes what the batch touches from stored rows.
+Late and repeated rows so count as they do in a batch run, open slots are shown, and no state is kept
+besides the tables. Handlers may run again on the same batch. Every query gets its checkpoint folder from
+the caller; `maxFilesPerTrigger` on the source bounds a batch.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from meteospark.catalog import FEATURES
 from meteospark.functions import times
-from meteospark.operators import evaluation, matching
+from meteospark.operators import evaluation, matching, resample, staging
+from meteospark.session import run_folder
 from meteospark.sources import sinks
-
-
-def event_time(df: DataFrame, delay: str = "1 hour", at: str = "ts") -> DataFrame:
-    return df.withColumn(at, F.col(at).cast("timestamp")).withWatermark(at, delay)
-
-
-def dedup(df: DataFrame, delay: str = "1 hour", key=("station_id", "ts")) -> DataFrame:
-    """First arrival of each key; state is dropped once the watermark has passed."""
-    out = event_time(df, delay).dropDuplicatesWithinWatermark(list(key))
-    return out.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
-
-
-def hourly(df: DataFrame, delay: str = "1 hour", step_minutes: int = 60, features=FEATURES) -> DataFrame:
-    """Streaming resample: a slot is emitted when the watermark has passed its end."""
-    aggs = [(F.max if f == "rain" else F.avg)(f).alias(f) for f in features]
-    slots = event_time(df, delay).groupBy("station_id", F.window("ts", f"{step_minutes} minutes")).agg(*aggs)
-    start = F.col("window.start").cast("timestamp_ntz").alias("ts")
-    return slots.select("station_id", start, *features)
-
-
-STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
-@contextmanager
-def rocksdb(spark: SparkSession):
-    """State on local disk with changes in the checkpoint; arbitrary state needs it."""
-    before = spark.conf.get(STATE_STORE)
-    spark.conf.set(STATE_STORE, ROCKSDB)
-    try:
-        yield
-    finally:
-        spark.conf.set(STATE_STORE, before)
-
-
-def run_available(
-    stream: DataFrame, path: str, checkpoint: str, mode: str = "append", partition_by=()
-) -> None:
-    """Processes what has arrived into a Parquet table and stops; call again for the next run."""
-    out = stream.writeStream.outputMode(mode).format("parquet").option("path", path)
-    out = out.option("checkpointLocation", checkpoint).trigger(availableNow=True)
-    if partition_by:
-        out = out.partitionBy(*partition_by)
-    out.start().awaitTermination()
+from meteospark.sources.files import path_exists
 
 
 def run_batches(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str) -> None:
@@ -80,21 +36,103 @@ def run_batches(stream: DataFrame, handle: Callable[[DataFrame, int], None], che
     query.trigger(availableNow=True).start().awaitTermination()
 
 
-def rematch_late_grid(spark: SparkSession, hourly_path: str, grid_path: str, stations: DataFrame, matches_path: str):
-    """Handler: late reanalysis re-matches the station hours it covers.
+def _months(batch: DataFrame, at: str = "ts") -> tuple[DataFrame, list[str]]:
+    batch = batch.withColumn("month", times.month_of(F.col(at)))
+    return batch, sinks.touched_months(batch)
 
-    The delay is days, too long for a watermark, so the handler joins the batch with the
-    stored hours of the same months and upserts.
+
+def dedup_arrivals(spark: SparkSession, path: str, key, order):
+    """Handler: one row per key, the smallest by `order` of all that has arrived."""
+
+    def handle(batch: DataFrame, _: int) -> None:
+        best = staging.first_row(batch, key, order)
+        if path_exists(spark, path):
+            _, months = _months(best)
+            held = spark.read.parquet(path).where(F.col("month").isin(months)).drop("month")
+            known = held.join(best.select(*key), list(key), "left_semi")
+            best = staging.first_row(known.unionByName(best), key, order)
+        sinks.upsert(spark, best, path, key)
+
+    return handle
+
+
+def hourly_arrivals(spark: SparkSession, readings_path: str, hours_path: str, identity, step_minutes: int = 60):
+    """Handler: stores new readings and resamples the slots they fall into from all stored readings.
+
+    `identity` are the columns that make a reading one reading, so a repeated file counts once.
     """
 
     def handle(batch: DataFrame, _: int) -> None:
-        batch = batch.withColumn("month", times.month_of(F.col("valid_time")))
-        months = sinks.touched_months(batch)
-        if not months:
+        rest = [c for c in batch.columns if c not in identity]
+        sinks.append_new(spark, batch, readings_path, identity, rest)
+        _, months = _months(batch)
+        slot = F.window("ts", f"{step_minutes} minutes").start.alias("_slot")
+        touched = batch.select("station_id", slot).distinct()
+        stored = spark.read.parquet(readings_path).where(F.col("month").isin(months)).drop("month")
+        stored = stored.select("*", slot).join(touched, ["station_id", "_slot"], "left_semi").drop("_slot")
+        sinks.upsert(spark, resample.resample(stored, step_minutes), hours_path, ["station_id", "ts"])
+
+    return handle
+
+
+def gap_arrivals(spark: SparkSession, minutes_path: str, gaps_path: str, max_step_minutes: float = 1.5):
+    """Handler: stores new minutes and finds the gaps around them anew.
+
+    A batch changes gaps from the last stored minute before its first one to the first stored minute
+    after its last one, per station; those are replaced.
+    """
+    key = ["station_id", "ts"]
+
+    def handle(batch: DataFrame, _: int) -> None:
+        minutes = batch.select("station_id", times.floor_minute(F.col("ts")).alias("ts")).distinct()
+        sinks.append_new(spark, minutes, minutes_path, key, [])
+        stored = spark.read.parquet(minutes_path).select(*key)
+        span = minutes.groupBy("station_id").agg(F.min("ts").alias("_lo"), F.max("ts").alias("_hi"))
+        span = sinks.materialise(span, run_folder(spark), "span")
+        near = stored.join(span, "station_id")
+        ends = near.groupBy("station_id").agg(
+            F.coalesce(F.max(F.when(F.col("ts") < F.col("_lo"), F.col("ts"))), F.first("_lo")).alias("_from"),
+            F.coalesce(F.min(F.when(F.col("ts") > F.col("_hi"), F.col("ts"))), F.first("_hi")).alias("_to"),
+        )
+        ends = sinks.materialise(ends, run_folder(spark), "ends")
+        around = stored.join(ends, "station_id").where(F.col("ts").between(F.col("_from"), F.col("_to"))).select(*key)
+        fresh = staging.gaps(around, max_step_minutes)
+        gone = None
+        if path_exists(spark, gaps_path):
+            old = spark.read.parquet(gaps_path)
+            inside = (F.col("gap_start") > F.col("_from")) & (F.col("gap_start") < F.col("_to"))
+            gone = old.join(ends, "station_id").where(inside).select("station_id", "gap_start", "month")
+        sinks.replace_rows(spark, gaps_path, gone, fresh, ["station_id", "gap_start"], at="gap_start")
+
+    return handle
+
+
+def rematch_late_grid(
+    spark: SparkSession,
+    hourly_path: str,
+    grid_path: str,
+    stations: DataFrame,
+    matches_path: str,
+    forecast_path: str | None = None,
+    forecast_key=None,
+):
+    """Handler: late reanalysis re-matches the station hours it covers, as a range, and reconciles
+    the forecasts of those hours, whose bias was unknown until then."""
+
+    def handle(batch: DataFrame, _: int) -> None:
+        lo, hi = batch.agg(F.min("valid_time"), F.max("valid_time")).first()
+        if lo is None:
             return
-        grid = spark.read.parquet(grid_path).where(F.col("month").isin(months)).drop("month")
-        hours = spark.read.parquet(hourly_path).where(F.col("month").isin(months)).drop("month")
-        sinks.upsert(spark, matching.match(hours, grid, stations), matches_path, ["station_id", "ts"])
+        months = [f"{lo:%Y-%m}", f"{hi:%Y-%m}"]
+        inside = lambda at: F.col("month").between(*months) & F.col(at).between(times.instant(lo), times.instant(hi))
+        grid = spark.read.parquet(grid_path).where(inside("valid_time")).drop("month")
+        hours = spark.read.parquet(hourly_path).where(inside("ts")).drop("month")
+        fresh = sinks.materialise(matching.match(hours, grid, stations), run_folder(spark), "rematch")
+        sinks.replace_range(spark, fresh, matches_path, lo, hi)
+        if forecast_path is not None:
+            forecast = spark.read.option("mergeSchema", True).parquet(forecast_path).where(inside("ts")).drop("month")
+            closed = evaluation.reconcile(forecast, fresh, matching.bias_table(fresh))
+            sinks.upsert(spark, closed, forecast_path, forecast_key)
 
     return handle
 
@@ -116,7 +154,8 @@ def reconcile_arrivals(spark: SparkSession, forecast_path: str, bias_path: str,
             .join(hours, ["station_id", "ts"], "left_semi")
         )
         bias = spark.read.parquet(bias_path).where(F.col("month").isin(months))
-        closed = evaluation.reconcile(forecast, batch.dropDuplicates(["station_id", "ts"]), bias)
+        first = staging.first_row(batch, ["station_id", "ts"], [c for c in batch.columns if c.endswith("_eco")])
+        closed = evaluation.reconcile(forecast, first, bias)
         sinks.upsert(spark, closed, forecast_path, key)
 
     return handle
@@ -140,48 +179,3 @@ def consensus_arrivals(spark: SparkSession, forecast_path: str, stats_path: str)
         sinks.upsert(spark, evaluation.consensus(touched), stats_path, key)
 
     return handle
-
-
-class GapAlarm(StatefulProcessor):
-    """Reports missing minutes of a station as soon as the next reading arrives.
-
-    State is the last minute seen. Readings older than it are late repeats and report nothing.
-    """
-
-    def __init__(self, max_step_minutes: float = 1.5):
-        self.max_step = max_step_minutes
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "minute timestamp")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
-        minutes = pd.concat([r["ts"] for r in rows]).drop_duplicates().sort_values()
-        if self.last.exists():
-            known = pd.Timestamp(self.last.get()[0])
-            minutes = pd.concat([pd.Series([known]), minutes[minutes > known]])
-        self.last.update((minutes.iloc[-1].to_pydatetime(),))
-        step = minutes.diff().dt.total_seconds() / 60
-        hit = step > self.max_step
-        one = pd.Timedelta(minutes=1)
-        yield pd.DataFrame(
-            {
-                "station_id": key[0],
-                "gap_start": (minutes.shift(1) + one)[hit],
-                "gap_end": (minutes - one)[hit],
-                "missing_min": (step[hit] - 1).round().astype("int32"),
-            }
-        )
-
-    def close(self) -> None:
-        pass
-
-
-def gap_alarm(df: DataFrame, max_step_minutes: float = 1.5) -> DataFrame:
-    """Stream of minute gaps per station; run it inside `rocksdb`."""
-    minutes = df.select("station_id", F.date_trunc("minute", F.col("ts").cast("timestamp")).alias("ts"))
-    return minutes.groupBy("station_id").transformWithStateInPandas(
-        GapAlarm(max_step_minutes),
-        outputStructType="station_id string, gap_start timestamp, gap_end timestamp, missing_min int",
-        outputMode="Append",
-        timeMode="None",
-    )
