@@ -32,7 +32,9 @@ class RunIndex:
 
     def __init__(self, strings: list[bytes], groups: np.ndarray):
         text = b"\xff".join(strings) + b"\xff"
-        self.text = np.frombuffer(text + b"\xff" * 8, np.uint8)
+        padded = text + b"\xff" * 16
+        self.text = np.frombuffer(padded, np.uint8)
+        self.eight = np.ndarray((len(text) + 8,), "<u8", padded, strides=(1,))
         n = len(text)
         lengths = np.array([len(s) + 1 for s in strings])
         ends = np.cumsum(lengths)
@@ -80,13 +82,14 @@ class RunIndex:
         """Lengths of the common prefixes of the suffixes at two places each, up to `most`."""
         common = np.zeros(len(one), np.int64)
         live = np.flatnonzero(most > 0)
-        while len(live):
+        while len(live):  # eight bytes at a time
             at = common[live]
-            same = self.text[one[live] + at] == self.text[two[live] + at]
-            live = live[same]
-            common[live] += 1
-            live = live[common[live] < most[live]]
-        return common
+            differ = self.eight[one[live] + at] ^ self.eight[two[live] + at]
+            lowest = (differ & (~differ + np.uint64(1))).astype(np.float64)  # a power of two, or 0
+            same = np.where(lowest == 0, 8, (np.frexp(lowest)[1] - 1) >> 3)
+            common[live] += same
+            live = live[(same == 8) & (common[live] < most[live])]
+        return np.minimum(common, most)
 
     def matching_statistics(self, strings: list[bytes], groups: np.ndarray) -> np.ndarray:
         """For each string (row) and place the length of the longest match in the string's group.

@@ -40,7 +40,7 @@ from meteospark.llm.substring_dedup import (
 )
 
 #: Bytes of a gram, texts hashed at once, bytes of one index.
-GRAM, SLICE, INDEX_BYTES = 32, 1 << 18, 1 << 20
+GRAM, SLICE, INDEX_BYTES = 32, 1 << 18, 1 << 18
 #: Occurrences (counted once for each chunk and place) that make an anchor hot; places a cut keeps together.
 HOT, HOT_PLACES = 4_096, 4
 _A, _B, _C, _D = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93))
@@ -228,7 +228,8 @@ def _send_segments(window: int, bits: int, exact_bits: int):
         keys = np.array([k for k, _ in chosen], np.uint64)
         items = [s for _, s in chosen]
         rest = list(chosen.values())
-        block_of = (keys >> np.uint64(64 - exact_bits)).astype(np.int64) if exact_bits else np.zeros(len(keys), np.int64)
+        # anchors are the smallest hashes around, so their high bits are mixed first
+        block_of = ((keys * _B) >> np.uint64(64 - exact_bits)).astype(np.int64)
         order = np.argsort(block_of, kind="stable")
         cuts = np.searchsorted(block_of[order], np.arange((1 << exact_bits) + 1))
         rows, chunk = [], docs["chunk"][0].as_py()
@@ -461,7 +462,7 @@ def remove_repeated_bytes(
         raise ValueError(f"a window has {GRAM + 2 * HOT_PLACES} bytes or more")
     chunked, size = dealt_chunks(docs, id_column, text_column, chunk_bytes)
     bits = max(BLOCK_BITS, int(max(size, 1)).bit_length() - 2)  # eight cells or so for each anchor
-    exact_bits = int(max(size // EXACT_BYTES, 1)).bit_length()
+    exact_bits = int(max(size // EXACT_BYTES, 1)).bit_length()  # 1 or more
     by_chunk = chunked.groupBy("chunk")
     sent = by_chunk.applyInArrow(_send_sketch(window, bits), _MESSAGE)
     reached = sent.groupBy("block").applyInArrow(lambda table: _merge_sketch(table, hot), _MESSAGE)
