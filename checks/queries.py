@@ -437,6 +437,79 @@ def bias_mean_report(spark, sf):
     return rounded(matching.mean_bias(t.matches(spark, sf, "user_id")))
 
 
+# --- the pipeline -------------------------------------------------------------------------
+
+
+@register(
+    o.query(
+        o.public(),
+        f"SELECT station_id, ts, created_at, model_version, {', '.join(o.r(c) for c in o.PUBLIC)} FROM public",
+    )
+)
+def pipeline_public(spark, sf):
+    """From telemetry and grid to the public table by the flow's own steps."""
+    folder, s = session.run_folder(spark), flow.Settings(as_of="2024-02-29 00:00:00")
+    grid = sinks.materialise(t.grid(spark, sf), folder, "grid")
+    cells = sinks.materialise(matching.grid_cells(grid), folder, "grid_cells")
+    ready = flow.prepare(t.telemetry(spark, sf), grid, t.busy_stations(spark, sf), s, folder, cells)
+    forecast = sinks.materialise(t.baselines(ready["hourly"]), folder, "forecast")
+    marts = flow.evaluate(forecast, ready["hourly"], ready["matches"], ready["bias"], s)
+    return rounded(marts["public"].select("station_id", "ts", "created_at", "model_version", *o.PUBLIC))
+
+
+@register(
+    o.query(
+        [*o.tel(), o.HOURLY],
+        """SELECT station_id, ts, ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-02-01' AND ts <= TIMESTAMP '2024-01-20 05:00:00' AS in_month,
+  ts >= TIMESTAMP '2024-01-31 00:00:00' AND ts < TIMESTAMP '2024-03-01 06:00:00' AS in_extended,
+  ts >= TIMESTAMP '2024-01-06 12:00:00' AND ts <= TIMESTAMP '2024-01-20 12:00:00' AS in_trailing,
+  strftime(ts, '%Y-%m') AS month, (SELECT max(ts) FROM res r WHERE r.station_id = res.station_id) AS last_ts FROM res""",
+    )
+)
+def time_filters(spark, sf):
+    """Month up to a time, month with its surroundings, trailing days, month names, newest hour."""
+    hours = resample.resample(resample.apply_offset(t.telemetry(spark, sf)))
+    last = maintenance.last_staged(hours, AS_OF, ["station_id"])
+    ts = F.col("ts")
+    return hours.join(last, "station_id").select(
+        "station_id",
+        "ts",
+        times.in_month(ts, "2024-01", as_of="2024-01-20 05:00:00").alias("in_month"),
+        times.in_extended_month(ts, "2024-02", 24, 6).alias("in_extended"),
+        times.trailing(ts, "2024-01-20 12:00:00", 14).alias("in_trailing"),
+        cleaning.month_key(F.date_format(ts, "yyyy_MM_dd")).alias("month"),
+        "last_ts",
+    )
+
+
+@register(
+    """SELECT s_suppkey::varchar AS station_id, CASE WHEN s_suppkey % 3 = 0 THEN 'Local Home Weather Station' ELSE s_name END AS station_name,
+  CASE WHEN s_suppkey % 2 = 0 THEN 0 ELSE s_acctbal END AS elevation_m, 14 AS min_training_days, 30 AS retrain_window_days,
+  CASE WHEN s_suppkey % 4 = 0 THEN 0.5 ELSE 1 END::double AS rh_resolution, 0.1::double AS temp_resolution FROM supplier"""
+)
+def station_metadata(spark, sf):
+    """Metadata with gaps filled; spec text is parsed, missing or broken text gives the nominal specs."""
+    k = F.col("s_suppkey")
+    specs = F.lit('{"ecowitt_rh": {"resolution": 0.5, "deadband": 0.0}}')
+    rows = t.table(spark, sf, "supplier").select(
+        k.cast("string").alias("station_id"),
+        F.when(k % 3 != 0, F.col("s_name")).alias("station_name"),
+        F.when(k % 2 != 0, F.col("s_acctbal")).alias("elevation_m"),
+        F.lit(None).cast("int").alias("min_training_days"),
+        F.lit(None).cast("int").alias("retrain_window_days"),
+        F.when(k % 4 == 0, specs).when(k % 4 == 1, "no json").alias("sensor_specs"),
+    )
+    return stations.with_defaults(rows).select(
+        "station_id",
+        "station_name",
+        "elevation_m",
+        "min_training_days",
+        "retrain_window_days",
+        stations.resolution_of("rh").alias("rh_resolution"),
+        stations.resolution_of("temp").alias("temp_resolution"),
+    )
+
+
 # --- profiling ----------------------------------------------------------------------------
 
 LONG = (

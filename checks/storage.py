@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from checks import oracle as o
 from checks import tables as t
-from checks.queries import OUTSIDE, RANGE, RAW, SERIES, STAGED, STD, _raw, register, rounded
+from checks.queries import OUTSIDE, RANGE, RAW, SERIES, STAGED, STD, _raw, _samples, register, rounded
 from meteospark import session
-from meteospark.catalog import CSV_COLUMNS, FEATURES, rename_features
+from meteospark.catalog import CSV_COLUMNS, FEATURES, SCHEMES, rename_features
 from meteospark.functions import times
 from meteospark.operators import resample, staging, windows
 from meteospark.sources import files, sinks
@@ -31,6 +31,56 @@ def csv_roundtrip(spark, sf):
     return rounded(staging.stage(files.telemetry_from_csv(csv, station)))
 
 
+@register(o.query([*o.tel(), RAW, STAGED], STAGED_SELECT.replace(o.r(STD[-1]), f"CASE WHEN station_id < 'e' THEN {o.r(STD[-1]).split(' AS ')[0]} END AS {STD[-1]}")))
+def csv_mixed_headers(spark, sf):
+    """Monthly files of which some lack a sensor and order their columns otherwise."""
+    folder = session.run_folder(spark)
+    headers = {v: k for k, v in CSV_COLUMNS.items()}
+    raw = _raw(spark, sf).drop("ts")
+    rain = SCHEMES["raw"]["rain"]
+    columns = [c for c in raw.columns if c not in ("event_id", "station_id")]
+    named = lambda names: [F.col(c).alias(headers.get(c, c)) for c in names]
+    full, fewer = columns, [c for c in reversed(columns) if c != rain]
+    fewer = sorted(fewer, key=lambda c: c not in ("epoch_timestamp", "ts_label"))
+    full = sorted(full, key=lambda c: c not in ("epoch_timestamp", "ts_label"))
+    for own, names in ((F.col("station_id") < "e", full), (F.col("station_id") >= "e", fewer)):
+        part = raw.where(own).select("station_id", *named(names))
+        part.write.mode("append").option("header", True).partitionBy("station_id").csv(f"{folder}/export")
+    csv = files.read_station_csv(spark, f"{folder}/export/*", CSV_COLUMNS)
+    station = F.regexp_extract("file", "station_id=([^/]+)", 1)
+    return rounded(staging.stage(files.telemetry_from_csv(csv, station)))
+
+
+@register(o.query([o.GRID], "SELECT strftime(valid_time, '%Y-%m-%d') AS day, count(*) AS n, count(t2m) AS n_t2m FROM grid GROUP BY 1"))
+def grid_fallback(spark, sf):
+    """A grid that lies at its second path, as CSV."""
+    folder = session.run_folder(spark)
+    t.grid(spark, sf).select(*[f.name for f in files.GRID_SCHEMA]).write.option("header", True).csv(f"{folder}/grid")
+    grid = files.read_grid(spark, f"{folder}/missing", f"{folder}/grid", "csv")
+    return grid.groupBy(F.date_format("valid_time", "yyyy-MM-dd").alias("day")).agg(
+        F.count("*").alias("n"), F.count("t2m").alias("n_t2m")
+    )
+
+
+@register(o.query(o.hourly(), SERIES + "clean"))
+def csv_checkpoint(spark, sf):
+    """Hours written as CSV by month and read back."""
+    path = f"{session.run_folder(spark)}/csv"
+    hours = t.hourly(spark, sf)
+    sinks.write_csv_months(hours, path)
+    back = spark.read.schema(hours.schema).option("header", True).csv(f"{path}/*")
+    return rounded(back)
+
+
+@register(o.query([*o.features(), o.REFS], "SELECT station_id, strftime(ts_ref, '%Y-%m') AS month, count(*) AS n FROM refs GROUP BY 1, 2"))
+def samples_store(spark, sf):
+    """Samples written by month; a row holds its window, targets and reference time."""
+    path = f"{session.run_folder(spark)}/samples"
+    sinks.write_samples(_samples(spark, sf), path)
+    back = spark.read.parquet(path).where((F.size("x") == 24) & (F.size("y") == 6))
+    return back.groupBy("station_id", "month").agg(F.count("*").alias("n"))
+
+
 @register(
     o.query(
         [o.GRID],

@@ -32,8 +32,6 @@ SCHEMES = {
     "ecowitt": {f: f"ecowitt_{f}" for f in FEATURES},
 }
 
-UNITS = {"temp": "°C", "rh": "%", "pres": "hPa", "wind": "m/s", "solar": "W/m²", "rain": "mm"}
-
 # Fixed values: (resolution, deadband) as printed on the sensors ...
 NOMINAL_SPECS = {
     "temp": (0.1, 0.0),
@@ -102,8 +100,6 @@ CSV_COLUMNS = {
 }
 
 GRID_KEY = ("valid_time", "latitude", "longitude")
-GRID_VARIABLES = ("t2m", "d2m", "sp", "u10", "v10", "ssrd", "tp")
-
 SPECS_TYPE = T.MapType(
     T.StringType(),
     T.StructType(

@@ -54,6 +54,7 @@ def reanalysis_units(columns: list[str]) -> dict[str, Column]:
 
 def clear_sky_radiation(ts: Column, lat: Column, lon: Column, rh: Column | None = None) -> Column:
     """Theoretical solar radiation in W/m² at a UTC instant, damped by humidity when given."""
+    # fixed values of the textbook formula: 81, 9.87, 7.53, 1.5, 23.45, 284, 1000 and the damping 0.35
     day = F.dayofyear(ts)
     hour = F.hour(ts) + F.minute(ts) / 60.0 + F.second(ts) / 3600.0
     b = F.radians(360.0 * (day - 81) / 365.0)

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, SparkSession, functions as F
+
+from meteospark.session import require_utc
 
 
 def minutes(n: int) -> Column:
@@ -16,26 +18,31 @@ def instant(value) -> Column:
     return value if isinstance(value, Column) else F.lit(str(value)).cast("timestamp_ntz")
 
 
+def _in_utc() -> None:
+    """Refuses a session of another zone where a cast goes through the session's zone."""
+    spark = SparkSession.getActiveSession()
+    if spark is not None:
+        require_utc(spark.conf.get("spark.sql.session.timeZone"))
+
+
 def epoch_seconds(ts: Column) -> Column:
-    """Seconds since 1970. Needs a UTC session, as all of the library does."""
+    """Seconds since 1970; the session must be in UTC."""
+    _in_utc()
     return F.unix_seconds(ts.cast("timestamp"))
 
 
 def from_epoch(seconds: Column) -> Column:
+    _in_utc()
     return F.timestamp_seconds(seconds).cast("timestamp_ntz")
 
 
 def seconds_between(start: Column, end: Column) -> Column:
     """Whole seconds from start to end."""
+    _in_utc()
     micros = lambda ts: F.unix_micros(ts.cast("timestamp"))
     return F.floor((micros(end) - micros(start)) / 1000000)
 
 
-def floor_to(ts: Column, step_minutes: int = 60) -> Column:
-    """Start of the slot that contains ts; slots are aligned to midnight 1970-01-01."""
-    return F.window(ts, f"{step_minutes} minutes").start
-
-
 def floor_minute(ts: Column) -> Column:
     return F.date_trunc("minute", ts).cast("timestamp_ntz")
 

@@ -73,7 +73,8 @@ def nearest_cells(stations: DataFrame, grid: DataFrame) -> DataFrame:
     """Nearest grid latitude and, independently, longitude per station; ties go to the larger.
 
     Both sides are laid on one axis and each coordinate looks at its two grid neighbours, so
-    no station is paired with more than two grid values. The axis is cut into degrees.
+    no station is paired with more than two grid values. The axis is cut into slices of about as
+    many points. `grid` may be any table with the grid's coordinates, best a small one kept beside it.
     """
     axes = ("latitude", "longitude")
 
@@ -87,8 +88,8 @@ def nearest_cells(stations: DataFrame, grid: DataFrame) -> DataFrame:
         .where(F.col("x").isNotNull())
         .groupBy("axis", "x")
         .agg(F.max("g").alias("g"))
-        .withColumn(spans.SPAN, F.floor("x"))
     )
+    on_axis = spans.value_slices(on_axis, ["axis"], "x").withColumnRenamed("_slice", spans.SPAN)
     points_near = spans.with_neighbours(
         spans.with_carry(on_axis, ["axis"], "x", ["g"]), ["axis"], "x", ["g"]
     )
@@ -108,12 +109,17 @@ def convert_grid(grid: DataFrame) -> DataFrame:
     return grid.select(*GRID_KEY, *[units[f].alias(f"{f}_era5") for f in FEATURES])
 
 
-def match(hourly: DataFrame, grid: DataFrame, stations: DataFrame) -> DataFrame:
+def grid_cells(grid: DataFrame) -> DataFrame:
+    """The cells of a grid; store it beside the grid, so that matching need not scan the grid for them."""
+    return grid.select("latitude", "longitude").distinct()
+
+
+def match(hourly: DataFrame, grid: DataFrame, stations: DataFrame, known_cells: DataFrame | None = None) -> DataFrame:
     """Station hours with the reanalysis of their nearest cell, missing where not yet published.
 
-    The grid is joined by (hour, cell), not copied per station.
+    The grid is joined by (hour, cell), not copied per station. With `known_cells` it is read once.
     """
-    cells = nearest_cells(stations, grid).select("station_id", "cell_latitude", "cell_longitude")
+    cells = nearest_cells(stations, grid if known_cells is None else known_cells).select("station_id", "cell_latitude", "cell_longitude")
     era5 = convert_grid(grid).withColumnsRenamed(
         {"valid_time": "ts", "latitude": "cell_latitude", "longitude": "cell_longitude"}
     )

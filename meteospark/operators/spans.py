@@ -110,12 +110,16 @@ def running_total(df: DataFrame, keys, at: str, span: Column, amount: Column, na
     )
 
 
-def value_slices(df: DataFrame, keys, value: str, slices: int = 4096) -> DataFrame:
-    """Adds `_slice`, an equal-width slice of each key's value range, as a span for values."""
-    bounds = df.groupBy(*keys).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
-    width = (F.col("_hi") - F.col("_lo")) / slices
-    slot = F.when(width > 0, F.floor((F.col(value) - F.col("_lo")) / width)).otherwise(F.lit(0))
-    return df.join(bounds, list(keys)).withColumn("_slice", slot).drop("_lo", "_hi")
+def value_slices(df: DataFrame, keys, value: str, slices: int = 256) -> DataFrame:
+    """Adds `_slice`, a slice of each key's rows in value order, as a span for values.
+
+    Slices hold about as many rows each, so an outlier doesn't put all others into one. Their bounds
+    are approximate percentiles: a bounded sketch per key, and exact enough for a size.
+    """
+    shares = F.array(*[F.lit(i / slices) for i in range(1, slices)])
+    bounds = df.groupBy(*keys).agg(F.percentile_approx(value, shares, 20 * slices).alias("_bounds"))
+    slot = F.size(F.filter("_bounds", lambda b: b <= F.col(value)))
+    return df.join(bounds, list(keys)).withColumn("_slice", slot).drop("_bounds")
 
 
 def exact_percentile(df: DataFrame, keys, value: str, p: float, name: str) -> DataFrame:

@@ -27,11 +27,26 @@ class Settings:
     model_name: str = "ridge"
 
 
-def prepare(telemetry: DataFrame, grid: DataFrame, stations: DataFrame, s: Settings) -> dict[str, DataFrame]:
-    """Clean hours, matches and bias."""
+def prepare(
+    telemetry: DataFrame,
+    grid: DataFrame,
+    stations: DataFrame,
+    s: Settings,
+    folder: str,
+    known_cells: DataFrame | None = None,
+) -> dict[str, DataFrame]:
+    """Clean hours, matches and bias. Hours and matches are stored, as the marts read them often.
+
+    A station's own offset (column `temp_offset` of `stations`) comes before the setting.
+    """
     known = telemetry.where(F.col("ts") <= F.lit(s.as_of).cast("timestamp_ntz"))
-    hourly = resample.clean_hourly(known, s.offset, s.max_interpolate_hours, s.step_minutes)
-    matches = matching.match(hourly, grid, stations)
+    offset = s.offset
+    if "temp_offset" in stations.columns:
+        known = known.join(stations.select("station_id", "temp_offset"), "station_id", "left")
+        offset = F.coalesce("temp_offset", F.lit(float(s.offset)))
+    hourly = resample.clean_hourly(known, offset, s.max_interpolate_hours, s.step_minutes)
+    hourly = sinks.materialise(hourly, folder, "hourly")
+    matches = sinks.materialise(matching.match(hourly, grid, stations, known_cells), folder, "matches")
     return {"hourly": hourly, "matches": matches, "bias": matching.bias_table(matches)}
 
 

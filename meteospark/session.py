@@ -22,11 +22,18 @@ def build(app: str = "meteospark", master: str | None = None, **conf) -> SparkSe
         "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
+    require_utc(settings["spark.sql.session.timeZone"])
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
+def require_utc(zone: str) -> None:
+    """Times are UTC wall times; casts in a session of another zone would shift them without a word."""
+    if zone.upper() not in ("UTC", "GMT", "Z", "ETC/UTC", "ETC/GMT", "+00:00", "UTC+0", "GMT+0"):
+        raise ValueError(f"the session time zone is {zone}; set spark.sql.session.timeZone to UTC")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names for checkpoints; a temporary one only in local mode."""
     folder = spark.conf.get("spark.checkpoint.dir", None)

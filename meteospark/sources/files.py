@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from meteospark.catalog import CSV_COLUMNS
@@ -9,19 +11,18 @@ from meteospark.functions import cleaning, times
 
 
 def read_station_csv(spark: SparkSession, path, columns: dict[str, str] = CSV_COLUMNS) -> DataFrame:
-    """All monthly station files in one scan: known columns renamed, the rest dropped.
+    """All monthly station files: known columns renamed, the rest dropped.
 
-    Columns are read as text; measures that are no number become NULL. `period` is the
-    YYYY-MM of the file name.
+    Stations add and drop sensors, so files are grouped by their header and each header is one scan;
+    a column that a file lacks is NULL. Columns are read as text; measures that are no number become
+    NULL. `period` is the YYYY-MM of the file name, `file` its path.
     """
-    raw = spark.read.csv(path, header=True, inferSchema=False, enforceSchema=False)
-    known = {src: dst for src, dst in columns.items() if src in raw.columns}
-    out = raw.select(
-        *[F.col(f"`{src}`").alias(dst) for src, dst in known.items()],
-        F.regexp_extract(F.input_file_name(), r"(\d{4}-\d{2})[^/]*$", 1).alias("period"),
-    )
+    parts = [_csv_part(spark, files, header, columns) for header, files in _files_by_header(spark, path, columns)]
+    if not parts:
+        raise FileNotFoundError(f"no file under {path} begins with a line of known columns")
+    out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     typed = {}
-    for name in known.values():
+    for name in [c for c in out.columns if c not in ("period", "file")]:
         if name == "ts_label":
             typed[name] = F.col(name).try_cast("timestamp_ntz")
         elif name == "epoch_timestamp":
@@ -31,6 +32,25 @@ def read_station_csv(spark: SparkSession, path, columns: dict[str, str] = CSV_CO
     return out.withColumns(typed)
 
 
+def _files_by_header(spark: SparkSession, path, columns: dict[str, str]) -> list[tuple[str, list[str]]]:
+    """Distinct header lines, those that name a known column first or second, and their files."""
+    lines = spark.read.text(path).select("value", F.input_file_name().alias("file"))
+    names = F.transform(F.slice(F.split("value", ","), 1, 2), lambda c: F.trim(F.regexp_replace(c, "[\"\ufeff]", "")))
+    headers = lines.where(F.arrays_overlap(names, F.array(*[F.lit(c) for c in columns])))
+    rows = headers.groupBy(F.regexp_replace("value", "\r$", "").alias("header")).agg(F.collect_set("file").alias("files"))
+    return sorted((r.header, sorted(r.files)) for r in rows.collect())
+
+
+def _csv_part(spark: SparkSession, files: list[str], header: str, columns: dict[str, str]) -> DataFrame:
+    raw = spark.read.csv(files, header=True, inferSchema=False, enforceSchema=False)
+    known = {src: dst for src, dst in columns.items() if src in raw.columns}
+    return raw.select(
+        *[F.col(f"`{src}`").alias(dst) for src, dst in known.items()],
+        F.regexp_extract(F.input_file_name(), r"(\d{4}-\d{2})[^/]*$", 1).alias("period"),
+        F.input_file_name().alias("file"),
+    )
+
+
 def telemetry_from_csv(csv: DataFrame, station_id) -> DataFrame:
     """Adds station and UTC minute; the epoch is the source of truth."""
     station = F.lit(station_id) if isinstance(station_id, str) else station_id
