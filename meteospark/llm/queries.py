@@ -160,3 +160,75 @@ FROM c LEFT JOIN k USING (doc_id)
 @query
 def op5_run_index_dedup(spark, sf_dir):
     return suffix_dedup.remove_repeated_bytes(table(spark, sf_dir, "documents"), window=100)
+
+
+ORACLE["op2_chat_parts"] = r"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (SELECT *, replace(replace(replace(replace(replace(replace(replace(replace(text, '\', '\\'), '<|', '<\|'), '[INST]', '[\INST]'),
+    '[/INST]', '[\/INST]'), '<s>', '<\s>'), '</s>', '<\/s>'), '<<SYS>>', '<\<SYS>>'), '<</SYS>>', '<\</SYS>>') AS escaped FROM t)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+    coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    sum(length('<|im_start|>') + length(role) + 1 + length(escaped) + length('<|im_end|>') + 1)::BIGINT AS formatted_chars,
+    sum(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')))::BIGINT AS n_tokens, 0::BIGINT AS n_attachments
+FROM e GROUP BY conv_id
+"""
+
+ORACLE["op4_host_rules"] = r"""
+WITH w AS (SELECT doc_id, source, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+    [x FOR x IN string_split(coalesce(text, ''), chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS lines FROM documents),
+g AS (SELECT doc_id, p, array_to_string(words[p:p + 2], ' ') AS gram FROM (
+    SELECT doc_id, words, unnest(generate_series(1, len(words) - 2)) AS p FROM w WHERE len(words) > 2)),
+r AS (SELECT doc_id, count(DISTINCT q) AS n_repeat_words FROM (SELECT doc_id, unnest([p, p + 1, p + 2]) AS q FROM (
+    SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, gram) AS n FROM g) WHERE n > 1) GROUP BY doc_id),
+m AS (SELECT w.doc_id, source, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+    length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols, len(lines) AS n_lines,
+    len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words FROM w LEFT JOIN r USING (doc_id)),
+f AS (SELECT *, n_words < 50 AS f1, 100 * n_repeat_words > 50 * n_words AS f2, 10 * n_symbols > word_chars AS f3,
+    100 * n_dup_lines > 30 * n_lines AS f4, 100 * n_repeat_words > 25 * n_words AS f5 FROM m),
+h AS (SELECT source, rule, count(*) AS n, count(*) FILTER (failed) AS k FROM (
+    SELECT source, unnest([1, 2, 3, 4, 5]) AS rule, unnest([f1, f2, f3, f4, f5]) AS failed FROM f) GROUP BY ALL),
+p AS (SELECT rule, sum(k) / sum(n) AS p, sum(n) AS total FROM h GROUP BY rule),
+s AS (SELECT rule, p, total, count(*) AS hosts, sum(n * (k / n - p) * (k / n - p)) AS ss, sum(n::DOUBLE * n) AS nn
+    FROM h JOIN p USING (rule) GROUP BY ALL),
+b AS (SELECT rule, p, total, CASE WHEN total - nn / total > 0 THEN (ss - (hosts - 1) * p * (1 - p)) / (total - nn / total) ELSE 0 END AS between_hosts FROM s),
+c AS (SELECT rule, p, greatest(CASE WHEN between_hosts > 0 THEN p * (1 - p) / between_hosts - 1 ELSE total * 1e6 END, 1) AS strength FROM b),
+v AS (SELECT source, bool_or((k + p * strength) / (n + strength) > 0.5) AS bad FROM h JOIN c USING (rule) GROUP BY source)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, f1 OR f2 AS base_failed,
+    NOT (f1 OR f2) AND NOT (bad AND (f3 OR f4 OR f5)) AS kept
+FROM f JOIN v ON f.source IS NOT DISTINCT FROM v.source
+"""
+
+
+def _matches_sql(kind: int, pattern: str, where: str, source: str) -> str:
+    """Spans of a pattern: the lengths of the matches and of the texts between them, added up."""
+    return f"""SELECT doc_id, {kind} AS kind, list_sum(gaps[:i]) + coalesce(list_sum(sizes[:i - 1]), 0) AS a,
+    list_sum(gaps[:i]) + list_sum(sizes[:i]) AS z, found[i] AS word, grp[i] AS part FROM (
+    SELECT doc_id, found, grp, [length(m) FOR m IN found] AS sizes, [length(m) FOR m IN gaps] AS gaps, unnest(generate_series(1, len(found))) AS i
+    FROM (SELECT doc_id, regexp_extract_all(text, {pattern}, 0) AS found, regexp_extract_all(text, {pattern}, {2 if kind == 0 else 0}) AS grp,
+        string_split_regex(text, {pattern}) AS gaps FROM {source}) WHERE len(found) > 0) WHERE {where.replace('WORD', 'found[i]').replace('PART', 'grp[i]')}"""
+
+
+_ASSIGN_SQL = "'" + secrets.ASSIGN.replace("'", "''") + "'"
+ORACLE["op9_entropy_secrets"] = f"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+base AS ({_matches_sql(0, _ASSIGN_SQL, "length(PART) >= 6", "t")}
+    UNION ALL {_matches_sql(1, "'AKIA[A-Z0-9]+'", "length(WORD) >= 20", "t")}
+    UNION ALL {_matches_sql(2, "'[0-9a-f]+'", "length(WORD) >= 24", "(SELECT * FROM t WHERE regexp_matches(text, '[0-9a-f]{24}'))")}),
+cand AS (SELECT *, CASE {" ".join(f"WHEN regexp_matches(word, '{p}') THEN {bits}" for _, p, bits in secrets.CLASSES)} END AS least
+    FROM ({_matches_sql(3, "'" + secrets.CANDIDATE + "'", "true", "t")})
+    WHERE NOT ({" OR ".join(f"regexp_matches(word, '{p}')" for p in secrets.ALLOWED)})),
+high AS (SELECT doc_id, a, a + i - 1 AS lo, lag(a + i - 1) OVER (PARTITION BY doc_id, a ORDER BY i) AS before
+    FROM (SELECT *, unnest(generate_series(1, length(word) - {secrets.WINDOW - 1})) AS i FROM cand)
+    WHERE list_entropy(string_split(substr(word, i, {secrets.WINDOW}), '')) >= least - 1e-12),
+runs AS (SELECT *, count(*) FILTER (before IS NULL OR lo - before > {secrets.WINDOW}) OVER (PARTITION BY doc_id, a ORDER BY lo) AS run FROM high),
+spans AS (SELECT doc_id, kind, a, z FROM base UNION ALL
+    SELECT doc_id, 3, min(lo), max(lo) + {secrets.WINDOW} FROM runs GROUP BY doc_id, a, run),
+named AS (SELECT *, ['assign', 'access', 'hex', 'entropy'][kind + 1] || ':' || a::BIGINT || ':' || z::BIGINT AS s FROM spans)
+SELECT t.doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
+    count(*) FILTER (kind = 3) AS n_entropy,
+    sha256(coalesce(string_agg(s, ',' ORDER BY a, kind, z) FILTER (kind < 3), '')) AS base_sha256,
+    coalesce(string_agg(s, ',' ORDER BY a, kind, z), '') AS spans
+FROM t LEFT JOIN named USING (doc_id) GROUP BY t.doc_id
+"""
