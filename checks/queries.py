@@ -693,6 +693,27 @@ def scaler_stats(spark, sf):
     return rounded(windows.scaler_stats(rows, until=cut))
 
 
+@register(
+    o.query(
+        [*o.features(), o.REFS, SPLIT, STEPS],
+        f"""SELECT station_id, ts, {o.r('(temp - m1) / CASE WHEN s1 > 0 THEN s1 ELSE 1 END', 'scaled_temp')},
+  {o.r('(rh - m2) / CASE WHEN s2 > 0 THEN s2 ELSE 1 END', 'scaled_rh')}, {o.r('temp')} FROM feat JOIN (
+  SELECT station_id, avg(temp) AS m1, stddev_pop(temp) AS s1, avg(rh) AS m2, stddev_pop(rh) AS s2 FROM covered GROUP BY 1) USING (station_id)""",
+    )
+)
+def scale_transform(spark, sf):
+    """Inputs scaled by the stored statistics, and scaled back."""
+    rows, names = _features(spark, sf), ("temp", "rh")
+    cut = windows.split_of_rows(rows, 24, 6).select("station_id", "cut_ts")
+    stats = windows.stats_arrays(windows.scaler_stats(rows, inputs=names, until=cut), names, "x")
+    mean, scale = F.col("x_mean"), F.col("x_scale")
+    scaled = rows.join(stats, "station_id").withColumn("v", windows.scale_vector(F.array(*names), mean, scale))
+    back = windows.unscale_vector(F.col("v"), mean, scale)
+    return rounded(
+        scaled.select("station_id", "ts", F.col("v")[0].alias("scaled_temp"), F.col("v")[1].alias("scaled_rh"), back[0].alias("temp"))
+    )
+
+
 @register(
     o.query([*o.features(), o.REFS, DELTAS], "\nUNION ALL ".join(_scale_sql(f, "deltas") for f in FEATURES))
 )

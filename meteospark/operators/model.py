@@ -23,68 +23,111 @@ def scaler_arrays(x_stats: DataFrame, y_stats: DataFrame, inputs=INPUT_FEATURES,
     return windows.stats_arrays(x_stats, inputs, "x").join(windows.stats_arrays(y_stats, targets, "y"), "station_id")
 
 
-def scale_samples(samples: DataFrame, stats: DataFrame) -> DataFrame:
-    """Adds `xs` (flat, scaled) and, where targets exist, `ys` (flat, scaled); stats: `scaler_arrays`."""
-    stats = stats.select("station_id", "x_mean", "x_scale", "y_mean", "y_scale")
-    x = F.transform("x", lambda r: windows.scale_vector(r, F.col("x_mean"), F.col("x_scale")))
-    out = samples.join(stats, "station_id").withColumn("xs", F.flatten(x))
-    if "y" in samples.columns:
-        y = F.transform("y", lambda r: windows.scale_vector(r, F.col("y_mean"), F.col("y_scale")))
-        out = out.withColumn("ys", F.flatten(y))
-    return out.drop("x_mean", "x_scale")
+def _matrix(column) -> np.ndarray:
+    """A list column as a matrix, NULL as NaN."""
+    flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return flat.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(flat), -1)
 
 
-def _matrix(column) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+def _nested(values: np.ndarray) -> pa.Array:
+    """An (n, steps, features) block as lists of lists."""
+    n, steps, width = values.shape
+    inner = pa.ListArray.from_arrays(pa.array(np.arange(0, n * steps * width + 1, width, dtype=np.int32)), pa.array(values.ravel()))
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, n * steps + 1, steps, dtype=np.int32)), inner)
 
 
-def _gram_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums [x, 1]' [x, 1, y] over each station's run of rows; one output row per matrix row.
+class _MonthWindows:
+    """The windows of one station month as strided views over its rows: x (n, L, inputs), last and,
+    with a horizon, y (n, H, targets). Nothing is repeated but what NumPy works on."""
+
+    def __init__(self, table: pa.Table, lookback: int, horizon: int):
+        table = table.sort_by("ts")
+        ts = table["ts"].to_numpy()
+        month = np.datetime64(table["_month"][0].as_py(), "M")
+        refs = np.arange(lookback - 1, len(ts) - horizon)
+        self.refs = refs[ts[refs].astype("datetime64[M]") == month]
+        self.table, self.ts = table, ts[self.refs]
+        out = _matrix(table["_out"])
+        self.last = out[self.refs]
+        if len(self.refs):
+            views = np.lib.stride_tricks.sliding_window_view(_matrix(table["_in"]), lookback, axis=0)
+            self.x = views[self.refs - lookback + 1].transpose(0, 2, 1)
+            if horizon:
+                self.y = np.stack([out[self.refs + h] - self.last for h in range(1, horizon + 1)], axis=1)
+
+    def column(self, name: str) -> pa.Array:
+        return self.table[name].combine_chunks().take(pa.array(self.refs))
 
-    Rows come sorted by station, so one matrix is held at a time and a station is handed on once.
-    """
-    current, total = None, None
-
-    def rows():
-        return pa.RecordBatch.from_pydict(
-            {
-                "station_id": pa.array([current] * len(total), pa.string()),
-                "i": pa.array(range(len(total)), pa.int32()),
-                "g": pa.array(list(total), pa.list_(pa.float64())),
-            }
-        )
 
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        stations = batch.column("station_id").to_numpy(zero_copy_only=False)
-        x, y = _matrix(batch.column("xs")), _matrix(batch.column("ys"))
-        a = np.hstack([x, np.ones((len(x), 1))])
-        b = np.hstack([a, y])
-        cuts = np.flatnonzero(np.concatenate([[True], stations[1:] != stations[:-1]]))
-        for lo, hi in zip(cuts, [*cuts[1:], len(stations)]):
-            gram = a[lo:hi].T @ b[lo:hi]
-            if total is not None and stations[lo] == current:
-                total += gram
-            else:
-                if total is not None:
-                    yield rows()
-                current, total = stations[lo], gram
-    if total is not None:
-        yield rows()
-
-
-def fit_ridge(samples: DataFrame, penalty: float = 1.0) -> DataFrame:
-    """Ridge weights per station from scaled samples (`xs`, `ys`), intercept unpenalised.
-
-    Tasks reduce their samples to one matrix per station, Spark adds the matrices row by row,
-    and each station's system - its size depends only on the window shape - is solved in the
-    executors. No sample reaches the driver.
+def _per_month(narrow: DataFrame, per_station: DataFrame):
+    """Station months beside what is known of their station, once a month."""
+    months = narrow.select("station_id", "_month").distinct()
+    wanted = months.join(per_station, "station_id").withColumnsRenamed({"station_id": "_station", "_month": "_when"})
+    return narrow.groupBy("station_id", "_month").cogroup(wanted.groupBy("_station", "_when"))
+
+
+def target_stats(narrow: DataFrame, cut: DataFrame, lookback: int, horizon: int, targets=FEATURES) -> DataFrame:
+    """Mean and population deviation of each target's deltas over the samples up to the cut.
+
+    Months give counts, means and squares around their own mean, which are merged exactly.
     """
-    ordered = samples.select("station_id", "xs", "ys").sortWithinPartitions("station_id")
-    partial = ordered.mapInArrow(
-        _gram_rows, "station_id string, i int, g array<double>"
+
+    def run(rows: pa.Table, known: pa.Table) -> pa.Table:
+        out = []
+        if len(rows) and len(known) and known["cut_ts"][0].as_py() is not None:
+            w = _MonthWindows(rows, lookback, horizon)
+            mine = w.ts <= np.datetime64(known["cut_ts"][0].as_py()) if len(w.refs) else np.zeros(0, bool)
+            if mine.any():
+                y = w.y[mine].reshape(-1, len(targets))
+                mean = y.mean(axis=0)
+                station = rows["station_id"][0].as_py()
+                for f, m, q in zip(targets, mean, ((y - mean) ** 2).sum(axis=0)):
+                    out.append((station, f, float(len(y)), float(m), float(q)))
+        columns = list(zip(*out)) or [[]] * 5
+        kinds = [pa.string(), pa.string(), pa.float64(), pa.float64(), pa.float64()]
+        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=["station_id", "feature", "n", "mean", "m2"])
+
+    parts = _per_month(narrow, cut).applyInArrow(run, "station_id string, feature string, n double, mean double, m2 double")
+    whole = W.partitionBy("station_id", "feature")
+    mean = F.sum(F.col("n") * F.col("mean")).over(whole) / F.sum("n").over(whole)
+    parts = parts.withColumn("_mean", mean)
+    square = F.col("m2") + F.col("n") * (F.col("mean") - F.col("_mean")) * (F.col("mean") - F.col("_mean"))
+    total = parts.groupBy("station_id", "feature").agg(
+        F.sum("n").alias("n"), F.first("_mean").alias("mean"), F.sum(square).alias("_m2")
     )
+    return total.select("station_id", "feature", "n", "mean", windows.scale_of(F.sqrt(F.col("_m2") / F.col("n"))))
+
+
+def fit_ridge(
+    narrow: DataFrame, scalers: DataFrame, lookback: int, horizon: int, penalty: float = 1.0
+) -> DataFrame:
+    """Ridge weights per station from month rows, intercept unpenalised.
+
+    scalers: station_id, cut_ts and `scaler_arrays`. A station month gives one matrix, Spark adds the
+    matrices row by row, and each station's system - its size depends only on the window shape - is
+    solved in the executors. No window is stored and no sample reaches the driver.
+    """
+
+    def gram(rows: pa.Table, known: pa.Table) -> pa.Table:
+        total = np.zeros((0, 0))
+        if len(rows) and len(known) and known["cut_ts"][0].as_py() is not None:
+            w = _MonthWindows(rows, lookback, horizon)
+            mine = w.ts <= np.datetime64(known["cut_ts"][0].as_py()) if len(w.refs) else np.zeros(0, bool)
+            if mine.any():
+                get = lambda c: np.array(known[c][0].as_py(), float)
+                x = ((w.x[mine] - get("x_mean")) / get("x_scale")).reshape(int(mine.sum()), -1)
+                y = ((w.y[mine] - get("y_mean")) / get("y_scale")).reshape(len(x), -1)
+                a = np.hstack([x, np.ones((len(x), 1))])
+                total = a.T @ np.hstack([a, y])
+        station = rows["station_id"][0].as_py() if len(rows) else None
+        columns = [
+            pa.array([station] * len(total), pa.string()),
+            pa.array(range(len(total)), pa.int32()),
+            pa.array(list(total), pa.list_(pa.float64())),
+        ]
+        return pa.table(columns, names=["station_id", "i", "g"])
+
+    partial = _per_month(narrow, scalers).applyInArrow(gram, "station_id string, i int, g array<double>")
     total = (
         partial.select("station_id", "i", array_to_vector("g").alias("g"))
         .groupBy("station_id", "i")
@@ -106,41 +149,51 @@ def fit_ridge(samples: DataFrame, penalty: float = 1.0) -> DataFrame:
     return total.groupBy("station_id").applyInPandas(solve, MODEL_SCHEMA)
 
 
-def _rows_of(flat, width: int):
-    """A flat array as an array of rows."""
-    n = F.floor(F.size(flat) / width).cast("int")
-    return F.transform(F.sequence(F.lit(0), n - 1), lambda h: F.slice(flat, h * width + 1, F.lit(width)))
-
-
-def score(samples: DataFrame, model: DataFrame, targets=FEATURES) -> DataFrame:
-    """Adds `delta`, the predicted deltas (H x targets) in physical units, to scaled samples.
+def score(narrow: DataFrame, models: DataFrame, lookback: int, horizon: int = 0, targets=FEATURES) -> DataFrame:
+    """Predicted deltas (`delta`, steps x targets, physical units) of the windows of month rows.
 
-    The weights of a station meet its samples once per month, not once per row, and no task
-    gets more than one station month.
+    narrow carries latitude, longitude and `_origin`, which chooses the reference times. models: weights
+    and scalers, and what else is to be carried along for a station (model_version, cut_ts). With a
+    horizon the observed deltas `y` come along and windows without a full future have no row.
     """
-    flat = samples.withColumn("_month", F.trunc("ts_ref", "MM")).drop("x", "ys")
-    if "y" in samples.columns:
-        flat = flat.withColumn("y", F.flatten("y"))
-    months = flat.select("station_id", "_month").distinct()
-    wanted = months.join(model.select("station_id", "weights"), "station_id").toDF("_station", "_when", "weights")
-    schema = flat.drop("xs", "_month").schema.add("scaled", T.ArrayType(T.DoubleType()))
-
-    def predict(rows: pd.DataFrame, weights: pd.DataFrame) -> pd.DataFrame:
-        if not len(rows) or not len(weights):
-            return pd.DataFrame({c: [] for c in schema.names})
-        x = np.vstack(rows["xs"].to_numpy())
-        x = np.hstack([x, np.ones((len(x), 1))])
-        scaled = x @ weights["weights"].iloc[0].reshape(x.shape[1], -1)
-        return rows.drop(columns=["xs", "_month"]).assign(scaled=list(scaled))
-
-    pairs = flat.groupBy("station_id", "_month").cogroup(wanted.groupBy("_station", "_when"))
-    scored = pairs.applyInPandas(predict, schema)
-    unscaled = lambda r: windows.unscale_vector(r, F.col("y_mean"), F.col("y_scale"))
-    width = len(targets)
-    out = {"delta": F.transform(_rows_of(F.col("scaled"), width), unscaled)}
-    if "y" in samples.columns:
-        out["y"] = _rows_of(F.col("y"), width)
-    return scored.withColumns(out).drop("scaled", "y_mean", "y_scale")
+    extra = [c for c in ("model_version", "cut_ts") if c in models.columns]
+    kinds = {"model_version": "string", "cut_ts": "timestamp_ntz"}
+    arrow = {"model_version": pa.string(), "cut_ts": pa.timestamp("us")}
+    block = pa.list_(pa.list_(pa.float64()))
+    fields = [("station_id", pa.string()), ("ts_ref", pa.timestamp("us")), ("latitude", pa.float64()),
+              ("longitude", pa.float64()), ("last_actual", pa.list_(pa.float64())), ("delta", block)]
+    fields += [("y", block)] * bool(horizon) + [(c, arrow[c]) for c in extra]
+    schema = pa.schema(fields)
+
+    def run(rows: pa.Table, known: pa.Table) -> pa.Table:
+        if not len(rows) or not len(known):
+            return schema.empty_table()
+        w = _MonthWindows(rows, lookback, horizon)
+        keep = w.column("_origin").fill_null(False).to_numpy(zero_copy_only=False) if len(w.refs) else np.zeros(0, bool)
+        if not keep.any():
+            return schema.empty_table()
+        get = lambda c: np.array(known[c][0].as_py(), float)
+        n = int(keep.sum())
+        x = ((w.x[keep] - get("x_mean")) / get("x_scale")).reshape(n, -1)
+        x = np.hstack([x, np.ones((n, 1))])
+        scaled = (x @ get("weights").reshape(x.shape[1], -1)).reshape(n, -1, len(targets))
+        mask = pa.array(keep)
+        columns = [
+            w.column("station_id").filter(mask),
+            pa.array(w.ts[keep]).cast(pa.timestamp("us")),
+            w.column("latitude").filter(mask).cast(pa.float64()),
+            w.column("longitude").filter(mask).cast(pa.float64()),
+            w.column("_out").filter(mask).cast(pa.list_(pa.float64())),
+            _nested(scaled * get("y_scale") + get("y_mean")),
+        ]
+        if horizon:
+            columns.append(_nested(np.ascontiguousarray(w.y[keep])))
+        columns += [pa.array([known[c][0].as_py()] * n, arrow[c]) for c in extra]
+        return pa.Table.from_arrays(columns, schema=schema)
+
+    shape = "station_id string, ts_ref timestamp_ntz, latitude double, longitude double, last_actual array<double>, delta array<array<double>>"
+    shape += ", y array<array<double>>" * bool(horizon) + "".join(f", {c} {kinds[c]}" for c in extra)
+    return _per_month(narrow, models).applyInArrow(run, shape)
 
 
 def is_finite(delta="delta"):
@@ -187,30 +240,36 @@ def to_forecast(
 
 def train_and_score(
     rows: DataFrame,
-    samples: DataFrame,
     lookback: int = 24,
     horizon: int = 6,
     penalty: float = 1.0,
     share: float = 0.8,
-    fit_scope: str = "train",
+    step_minutes: int = 60,
     inputs=INPUT_FEATURES,
     targets=FEATURES,
 ) -> tuple[DataFrame, DataFrame]:
     """Fits on the first `share` of samples, scores every sample. Returns (model, scored).
 
-    The model holds weights and both scalers. `samples` is read several times: pass the stored
-    sample table, not the windows themselves. `fit_scope="all"` lets the scalers see all samples.
+    The model holds weights and both scalers, which see training samples only. `rows` are read several
+    times: pass the stored feature rows. They are narrow; windows exist only inside a task, as views.
     """
-    cut = windows.split_point(samples, share).select("station_id", "cut_ts")
-    samples = windows.with_split(samples, share)
-    train = samples.where("is_train")
-    limit = cut if fit_scope == "train" else None
-    x_stats = windows.scaler_stats(rows, lookback, horizon, inputs=inputs, until=limit)
-    y_stats = windows.target_stats(train if fit_scope == "train" else samples, targets)
-    scalers = scaler_arrays(x_stats, y_stats, inputs, targets)
-    scaled = scale_samples(samples, scalers)
-    model = fit_ridge(scaled.where("is_train"), penalty).join(scalers, "station_id")
-    return model, score(scaled, model, targets)
+    narrow = windows.month_rows(
+        rows.withColumn("_origin", F.lit(True)), lookback, horizon, step_minutes, inputs, targets,
+        keep=("latitude", "longitude", "_origin"),
+    )
+    cut = windows.split_of_rows(rows, lookback, horizon, share, step_minutes).select("station_id", "cut_ts")
+    x_stats = windows.scaler_stats(rows, lookback, horizon, step_minutes, inputs, until=cut)
+    y_stats = target_stats(narrow, cut, lookback, horizon, targets)
+    scalers = cut.join(scaler_arrays(x_stats, y_stats, inputs, targets), "station_id")
+    model = fit_ridge(narrow, scalers, lookback, horizon, penalty).join(scalers, "station_id")
+    return model.drop("cut_ts"), score_known(narrow, model, lookback, horizon, targets)
+
+
+def score_known(narrow: DataFrame, model: DataFrame, lookback: int, horizon: int, targets=FEATURES) -> DataFrame:
+    """Scores of windows with a known future, and whether they were trained on."""
+    scored = score(narrow, model, lookback, horizon, targets)
+    is_train = F.coalesce(F.col("ts_ref") <= F.col("cut_ts"), F.lit(False))
+    return scored.withColumn("is_train", is_train).drop("cut_ts")
 
 
 def registry_rows(model: DataFrame, scored: DataFrame, rows: DataFrame, base: str, trained_at) -> DataFrame:
@@ -257,19 +316,17 @@ def infer(
     """
     active = active_models(registry).select("station_id", "model_version")
     model = models.join(active, ["station_id", "model_version"])
-    last = rows.groupBy("station_id").agg(F.max("ts").alias("_last"))
     if origins is None:
+        last = rows.groupBy("station_id").agg(F.max("ts").alias("_last"))
         reach = F.col("_last") - times.minutes((lookback - 1) * step_minutes)
-        rows = rows.join(last, "station_id").where(F.col("ts") >= reach).drop("_last")
-    samples = windows.sample_windows(
-        rows, lookback, 0, step_minutes, inputs, targets, with_targets=False, keep=("latitude", "longitude")
-    )
-    if origins is None:
-        samples = samples.join(last, (samples.station_id == last.station_id) & (F.col("ts_ref") == F.col("_last")), "left_semi")
+        rows = rows.join(last, "station_id").where(F.col("ts") >= reach)
+        chosen = F.col("ts") == F.col("_last")
     else:
-        samples = samples.where(origins)
-    scored = score(scale_samples(samples, model), model, targets)
-    return scored.join(active, "station_id")
+        rows, chosen = rows.withColumn("ts_ref", F.col("ts")), origins
+    narrow = windows.month_rows(
+        rows.withColumn("_origin", chosen), lookback, 0, step_minutes, inputs, targets, ("latitude", "longitude", "_origin")
+    )
+    return score(narrow, model, lookback, 0, targets)
 
 
 def rmse(scored: DataFrame, by=()) -> DataFrame:

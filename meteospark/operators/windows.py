@@ -23,6 +23,31 @@ def _vector(names) -> Column:
     return F.array(*[F.col(n).cast("double") for n in names])
 
 
+def month_rows(
+    rows: DataFrame,
+    lookback: int,
+    ahead: int,
+    step_minutes: int = 60,
+    inputs=INPUT_FEATURES,
+    targets=FEATURES,
+    keep=(),
+) -> DataFrame:
+    """The rows each month's windows need: its own, `lookback` - 1 before them and `ahead` after them.
+
+    station_id, ts, _in, _out, `keep` and _month. A row goes to more than one month near a border only.
+    """
+    first_user = F.trunc(F.col("ts") - times.minutes(ahead * step_minutes), "MM")
+    last_user = F.trunc(F.col("ts") + times.minutes((lookback - 1) * step_minutes), "MM")
+    return rows.select(
+        "station_id",
+        "ts",
+        _vector(inputs).alias("_in"),
+        _vector(targets).alias("_out"),
+        *keep,
+        F.explode(F.sequence(first_user, last_user, F.expr("INTERVAL 1 MONTH"))).alias("_month"),
+    )
+
+
 def sample_windows(
     rows: DataFrame,
     lookback: int = 24,
@@ -39,18 +64,7 @@ def sample_windows(
     and the next or previous one near a border - so that windows run inside (station, month)
     and no task holds a station's whole history. `keep` names per-row columns to carry along.
     """
-    step = step_minutes
-    ahead = horizon if with_targets else 0
-    first_user = F.trunc(F.col("ts") - times.minutes(ahead * step), "MM")
-    last_user = F.trunc(F.col("ts") + times.minutes((lookback - 1) * step), "MM")
-    spread = rows.select(
-        "station_id",
-        "ts",
-        _vector(inputs).alias("_in"),
-        _vector(targets).alias("_out"),
-        *keep,
-        F.explode(F.sequence(first_user, last_user, F.expr("INTERVAL 1 MONTH"))).alias("_month"),
-    )
+    spread = month_rows(rows, lookback, horizon if with_targets else 0, step_minutes, inputs, targets, keep)
     by = W.partitionBy("station_id", "_month").orderBy("ts")
     past = by.rowsBetween(-(lookback - 1), 0)
     out = spread.withColumn("x", F.collect_list("_in").over(past))
@@ -104,7 +118,7 @@ def scaler_stats(
     )
     mean = F.col("s1") / F.col("n")
     variance = F.greatest(F.col("s2") / F.col("n") - mean * mean, F.lit(0.0))
-    return stats.select("station_id", "feature", "n", (F.col("base") + mean).alias("mean"), _scale(F.sqrt(variance)))
+    return stats.select("station_id", "feature", "n", (F.col("base") + mean).alias("mean"), scale_of(F.sqrt(variance)))
 
 
 def target_stats(samples: DataFrame, targets=FEATURES) -> DataFrame:
@@ -113,11 +127,11 @@ def target_stats(samples: DataFrame, targets=FEATURES) -> DataFrame:
     long = steps.select("station_id", *[F.col("d")[j].alias(f) for j, f in enumerate(targets)])
     long = profiling.melt(long, ["station_id"], targets)
     return long.groupBy("station_id", "feature").agg(
-        F.count("value").cast("double").alias("n"), F.avg("value").alias("mean"), _scale(F.stddev_pop("value"))
+        F.count("value").cast("double").alias("n"), F.avg("value").alias("mean"), scale_of(F.stddev_pop("value"))
     )
 
 
-def _scale(spread: Column) -> Column:
+def scale_of(spread: Column) -> Column:
     return F.when(spread > 0, spread).otherwise(1.0).alias("scale")
 
 
@@ -151,6 +165,22 @@ def split_point(samples: DataFrame, share: float = 0.8, step_minutes: int = 60)
     )
 
 
+def split_of_rows(
+    rows: DataFrame, lookback: int, horizon: int, share: float = 0.8, step_minutes: int = 60
+) -> DataFrame:
+    """The same cut from the dense rows themselves: their ends say how many samples there are."""
+    steps = F.floor(times.seconds_between(F.col("_first"), F.col("_last")) / (60 * step_minutes)) + 1
+    n = F.greatest(steps - lookback - horizon + 1, F.lit(0))
+    n_train = F.floor(F.col("n_samples") * F.lit(float(share)))
+    cut = F.timestamp_add("MINUTE", ((n_train + lookback - 2) * step_minutes).cast("int"), F.col("_first"))
+    return (
+        rows.groupBy("station_id")
+        .agg(F.min("ts").alias("_first"), F.max("ts").alias("_last"))
+        .withColumn("n_samples", n)
+        .select("station_id", "n_samples", F.when(n_train > 0, cut).alias("cut_ts"))
+    )
+
+
 def with_split(samples: DataFrame, share: float = 0.8) -> DataFrame:
     cut = split_point(samples, share).select("station_id", "cut_ts")
     return samples.join(cut, "station_id").withColumn("is_train", F.coalesce(F.col("ts_ref") <= F.col("cut_ts"), F.lit(False))).drop("cut_ts")

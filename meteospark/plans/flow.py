@@ -75,16 +75,12 @@ def train(
 ) -> dict[str, DataFrame]:
     """Fits every station on the hours given: models (weights, both scalers), registry rows, scored samples.
 
-    Feature rows and samples are stored in the shared folder, as later steps read them often. Store
-    `models` and `registry` to predict later without a fit.
+    The narrow feature rows are stored in the shared folder, as later steps read them often; windows
+    are views inside a task. Store `models` and `registry` to predict later without a fit.
     """
     rows = sinks.materialise(training_rows(hourly, stations), folder, "features")
-    samples = windows.sample_windows(
-        rows, s.lookback, s.horizon, s.step_minutes, inputs, targets, keep=("latitude", "longitude")
-    )
-    samples = sinks.materialise(samples, folder, "samples")
     fitted, scored = model.train_and_score(
-        rows, samples, s.lookback, s.horizon, s.penalty, s.share, inputs=inputs, targets=targets
+        rows, s.lookback, s.horizon, s.penalty, s.share, s.step_minutes, inputs, targets
     )
     fitted = sinks.materialise(fitted, folder, "fitted")
     registry = model.registry_rows(fitted, scored, rows, s.model_name, s.as_of)

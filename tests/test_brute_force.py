@@ -112,8 +112,7 @@ def test_ridge_equals_closed_form(spark):
     pdf = _feature_frame(spark)
     rows = frame(spark, pdf)
     look, ahead = 4, 2
-    samples = windows.sample_windows(rows, look, ahead, keep=("latitude", "longitude"))
-    fitted, scored = model.train_and_score(rows, samples, look, ahead, penalty=2.0)
+    fitted, scored = model.train_and_score(rows, look, ahead, penalty=2.0)
     got = {(r.station_id, r.ts_ref): np.array(r.delta) for r in scored.collect()}
     for station, g in pdf.groupby("station_id"):
         data, target = g[list(INPUT_FEATURES)].to_numpy(), g[list(FEATURES)].to_numpy()
