@@ -15,7 +15,7 @@ ASSIGN = (
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 #: A cheap test for texts in which ASSIGN may match.
-_ASSIGN_HINT = r"(?i:passw|secret|token|api_?key)[a-z]*[\"']?\x20*[:=]"
+_ASSIGN_HINT = r"(?i:(passw|secret|token|api_?key)[a-z]*)[\"']?\x20*[:=]"
 
 #: Characters of one entropy window, and candidate strings.
 WINDOW = 20

@@ -68,6 +68,14 @@ def test_redaction(spark):
     assert got[0].state == "clash"
 
 
+def test_one_keyword_alone_in_either_case(spark):
+    names = ["PASSWORD", "Password", "passWORD", "PASSWD", "PassWd", "SECRET", "Token", "API_KEY", "ApiKey", "apiKEY"]
+    texts = [f"DB_{n}{how}hunter2abc" for n in names for how in ("=", ": ", "' = '")]
+    got = secrets.scan_secrets(documents(spark, texts)).orderBy("doc_id").collect()
+    assert all(brute(t) for t in texts)
+    assert [[tuple(s) for s in r.secret_spans] for r in got] == [brute(t) for t in texts]
+
+
 def test_allow_list_and_text_form(spark):
     words = ["lower-case-words-and-more", "1" * 30, "123e4567-e89b-12d3-a456-426614174000", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"]
     rows = secrets.scan_secrets(documents(spark, [" ".join(words)])).collect()
