@@ -22,7 +22,7 @@ from meteospark.llm.components import components
 from meteospark.llm.hashing import mixed, slices, word_windows
 
 _SEED = 0x6A09E667
-#: Sets and n-grams one side of a cell holds, about; rows of sets that one task gets, about.
+#: Sets and n-grams one side of a cell holds, about; rows of sets that clusters of one cell share a task by, about.
 SIDE_SETS, SIDE_GRAMS, TASK_ROWS = 256, 1 << 20, 1_024
 #: Different hashes of ids that tell texts of clusters from most others.
 NEAR_KEYS = 1 << 20
@@ -245,8 +245,8 @@ def jaccard_classes(
 
     sizes = clusters.groupBy("root").agg(F.count("*").alias("sets"), F.sum("grams").alias("all_grams"))
     parts = F.greatest(F.ceil(F.col("sets") / SIDE_SETS), F.ceil(F.col("all_grams") / SIDE_GRAMS))
-    sizes = sizes.select("root", F.least(parts, F.col("sets")).cast("int").alias("parts"))
-    placed = clusters.join(sizes, "root").withColumn("slot", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    sizes = sizes.withColumn("parts", F.least(parts, F.col("sets")).cast("int"))
+    placed = clusters.join(sizes.select("root", "parts"), "root").withColumn("slot", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     texts = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
     reps = placed.select(F.col("id").alias("rep"), "node", "root", "copies", "slot", "parts")
     near = lambda c: F.pmod(F.xxhash64(c), F.lit(NEAR_KEYS)).alias("near")
@@ -255,14 +255,17 @@ def jaccard_classes(
     texts = texts.withColumn("near", near("id")).join(wanted, "near", "left_semi").drop("near")
     sets = _with_sets(texts.join(reps, F.col("id").eqNullSafe(F.col("rep"))).drop("rep"), n)
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
-    cells = sets.select("root", "slot", "node", "copies", "set", other).select(
-        "root", F.least("slot", "other").alias("i"), F.greatest("slot", "other").alias("j"), "slot", "node", "copies", "set"
-    )
-    total = clusters.count()
-    tasks = max(1, total // TASK_ROWS)
-    dealt = cells.withColumn("task", F.pmod(F.xxhash64("root", "i", "j"), F.lit(tasks)))
+    cells = sets.select("root", "slot", "node", "copies", "set", "parts", other).select(
+        "root", F.least("slot", "other").alias("i"), F.greatest("slot", "other").alias("j"),
+        "slot", "node", "copies", "set", "parts",
+    )
+    # a cell of a large cluster is a group of its own; clusters of one cell share groups by their rows and bytes
+    one = sizes.where("parts = 1").agg(F.sum("sets").alias("sets"), F.sum("all_grams").alias("all_grams")).first()
+    tasks = max(1, (one["sets"] or 0) // TASK_ROWS, (one["all_grams"] or 0) // (2 * SIDE_GRAMS))
+    shared = F.pmod(F.xxhash64("root"), F.lit(tasks))
+    dealt = cells.withColumn("task", F.when(F.col("parts") > 1, F.col("root")).otherwise(shared)).drop("parts")
     shape = "node long, texts long, copies long, root long"
-    links = stored(dealt.groupBy("task").applyInArrow(_verify(threshold), shape), "links")
+    links = stored(dealt.groupBy("task", "i", "j").applyInArrow(_verify(threshold), shape), "links")
 
     classes = components(links.select(F.col("node").alias("a"), F.col("root").alias("b")))
     counts = links.groupBy("node").agg(F.sum("texts").alias("texts"), F.sum("copies").alias("linked"))

@@ -1,11 +1,13 @@
 """Near copies: classes and link counts against all pairs."""
 
 import re
+import uuid
 from fractions import Fraction
 
 import numpy as np
 from pyspark.sql import functions as F
 
+from meteospark.llm import jaccard_join
 from meteospark.llm.components import components
 from meteospark.llm.jaccard_join import choose_bands, jaccard_classes, one_of_each, overlaps
 from tests.llm.rows import corpus, documents
@@ -55,6 +57,34 @@ def test_large_group_in_several_cells(spark):
     assert sorted((r.doc_id, r.n_links) for r in got) == [(i, n) for i, _, n, _ in brute(texts)]
 
 
+def test_verify_groups_hold_one_cell_of_a_large_cluster(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "SIDE_SETS", 16)
+    monkeypatch.setattr(jaccard_join, "TASK_ROWS", 64)
+    verify, folder = jaccard_join._verify, str(tmp_path)
+
+    def watched(threshold):
+        run = verify(threshold)
+
+        def noted(table):
+            with open(f"{folder}/{uuid.uuid4()}", "w") as f:
+                f.write(str(table.num_rows))
+            return run(table)
+
+        return noted
+
+    monkeypatch.setattr(jaccard_join, "_verify", watched)
+    texts = []
+    for i in range(300):  # one cluster of 19 parts, and 100 pairs that share groups
+        texts.append(" ".join(f"x{i}" if k == i % 120 else f"w{k}" for k in range(120)))
+    for i in range(100):
+        texts += [" ".join([f"p{i}w{k}" for k in range(40)] + end) for end in ([], ["end"])]
+    got = jaccard_classes(documents(spark, texts)).orderBy("doc_id").collect()
+    assert [tuple(r) for r in got] == brute(texts)
+    rows = [int(p.read_text()) for p in tmp_path.iterdir()]
+    assert sum(rows) == 300 * 19 + 200
+    assert max(rows) <= 4 * 64
+
+
 def test_one_of_each(spark):
     texts = corpus(60)
     ids = list(range(len(texts)))
