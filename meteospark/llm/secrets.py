@@ -20,6 +20,8 @@ _ASSIGN_HINT = r"(?i:(passw|secret|token|api_?key)[a-z]*)[\"']?\x20*[:=]"
 #: Characters of one entropy window, and candidate strings.
 WINDOW = 20
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+#: A part of a candidate between its '=', '-', '_' and '/'.
+PART = r"[A-Za-z0-9+]{20,}"
 #: (name, what the whole candidate looks like, least entropy of a window in bits); the first that fits counts.
 CLASSES = (
     ("hex", r"^[0-9a-fA-F]+$", 3.0),
@@ -179,6 +181,26 @@ def entropy_spans(text: Column) -> Column:
     return F.flatten(F.transform(F.filter(places, lambda p: ~allowed(p["word"])), runs))
 
 
+def part_spans(text: Column) -> Column:
+    """Spans of kind entropy over the whole of each part of a candidate that has a high window.
+
+    Parts lie between '=', '-', '_' and '/' and have a window's length or more. Each is judged by its own
+    characters, so NAME=VALUE with a hex value has the limit of hex, not that of base64.
+    """
+
+    def high(word):
+        allowed = F.lit(False)
+        for pattern in ALLOWED:
+            allowed = allowed | word.rlike(pattern)
+        least = F.lit(float("inf"))
+        for _, pattern, bits in reversed(CLASSES):
+            least = F.when(word.rlike(pattern), bits).otherwise(least)
+        return ~allowed & (F.size(entropy_runs(word, least)) > 0)
+
+    found = _spans(3, F.filter(located(text, PART), lambda p: high(p["word"])))
+    return F.when(text.rlike(PART), found).otherwise(_empty(_SPAN))
+
+
 def secret_spans(text: Column) -> Column:
     """All spans of a text as an array of (start, kind, end), sorted. Null: none."""
     text = F.coalesce(text, F.lit(""))
@@ -239,8 +261,13 @@ def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
 
 
 def redact_secrets(docs: DataFrame, text_column: str = "text", chars_column: str = "n_chars") -> DataFrame:
-    """Replaces every span in the texts and, where there is such a column, counts their characters anew."""
+    """Replaces every span in the texts and, where there is such a column, counts their characters anew.
+
+    Besides the spans of `scan_secrets`, whole parts of candidates go once one of their windows is high.
+    """
     scanned = scan_secrets(docs, text_column, "_secret_spans")
+    parts = part_spans(F.coalesce(F.col(text_column), F.lit("")))
+    scanned = scanned.withColumn("_secret_spans", F.array_sort(F.concat("_secret_spans", parts)))
     clean = scanned.withColumn(text_column, redacted(F.col(text_column), F.col("_secret_spans")))
     if chars_column in docs.columns:
         length = F.length(text_column).cast(docs.schema[chars_column].dataType)

@@ -1,6 +1,7 @@
 """Secret scans against plain regular expressions and counted windows."""
 
 import math
+import random
 import re
 from collections import Counter
 
@@ -76,6 +77,28 @@ def test_one_keyword_alone_in_either_case(spark):
     assert [[tuple(s) for s in r.secret_spans] for r in got] == [brute(t) for t in texts]
 
 
+def test_redaction_takes_whole_values_after_a_name(spark):
+    rng = random.Random(7)
+    of = lambda letters, n: "".join(rng.choices(letters, k=n))
+    upper, mixed, lower = "0123456789ABCDEF", "0123456789abcdefABCDEF", "0123456789abcdefghijklmnopqrstuvwxyz"
+    texts, want = [], []
+    for i in range(30):
+        for name, value in (
+            ("sig=", of(upper, 32)),
+            ("sig=", of(upper, 64)),
+            ("key-", of(upper, 40)),
+            ("x_y/", of(mixed, 48)),
+            ("id=", of(lower, 32)),
+        ):
+            texts.append(f"see {name}{value} é")
+            want.append(value)
+    texts.append("name=lower-case-words-and-more x=" + "1" * 22 + " id=123e4567-e89b-12d3-a456-426614174000")
+    got = [r.text for r in secrets.redact_secrets(documents(spark, texts)).orderBy("doc_id").collect()]
+    assert got[-1] == texts[-1]
+    pieces = lambda value: [value[i : i + 8] for i in range(len(value) - 7)]
+    assert [t for t, v in zip(got, want) if "[SECRET]" not in t or any(p in t for p in pieces(v))] == []
+
+
 def test_allow_list_and_text_form(spark):
     words = ["lower-case-words-and-more", "1" * 30, "123e4567-e89b-12d3-a456-426614174000", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"]
     rows = secrets.scan_secrets(documents(spark, [" ".join(words)])).collect()
