@@ -14,7 +14,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meteospark.llm.common import stored
@@ -24,7 +24,7 @@ from meteospark.llm.hashing import mixed, slices, word_windows
 _SEED = 0x6A09E667
 #: Sets and n-grams one side of a cell holds, about; rows of sets that clusters of one cell share a task by, about.
 SIDE_SETS, SIDE_GRAMS, TASK_ROWS = 256, 1 << 20, 1_024
-#: Different hashes of ids that tell texts of clusters from most others.
+#: Different hashes of rows that tell texts of clusters from most others.
 NEAR_KEYS = 1 << 20
 
 
@@ -84,8 +84,13 @@ class MinHash:
         return out
 
 
+def _row_key(id_column: str, text_column: str) -> Column:
+    """A 64-bit hash of id and text; only rows that are copies of each other share one."""
+    return F.xxhash64(F.col(id_column).cast("long"), F.col(text_column))
+
+
 def signatures(docs: DataFrame, n: int, bands: int, rows: int, id_column: str, text_column: str) -> DataFrame:
-    """id, node, grams (set size), bands; node and bands are null for texts without words."""
+    """id, key, node, grams (set size), bands; node and bands are null for texts without words."""
 
     def run(batches):
         hasher = MinHash(bands, rows)
@@ -102,19 +107,21 @@ def signatures(docs: DataFrame, n: int, bands: int, rows: int, id_column: str, t
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(lo, hi - lo),
+                        batch.column(2).slice(lo, hi - lo),
                         pa.array([node_of(s) for s in sets], pa.int64()),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array(hashes, pa.list_(pa.int64())),
                     ],
-                    ["id", "node", "grams", "bands"],
+                    ["id", "key", "node", "grams", "bands"],
                 )
 
-    slim = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
-    return slim.mapInArrow(run, "id long, node long, grams long, bands array<long>")
+    key = _row_key(id_column, text_column).alias("key")
+    slim = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"), key)
+    return slim.mapInArrow(run, "id long, key long, node long, grams long, bands array<long>")
 
 
 def _with_sets(docs: DataFrame, n: int) -> DataFrame:
-    """docs (id, text, node, ...) of those rows whose text has the node, with the set in place of the text."""
+    """docs (text, node, ...) of those rows whose text has the node, with the set in place of the text."""
 
     def run(batches):
         for batch in batches:
@@ -124,11 +131,11 @@ def _with_sets(docs: DataFrame, n: int) -> DataFrame:
             for lo, hi in slices(texts):
                 found += gram_sets(texts[lo:hi], n)
             right = [node_of(s) == e for s, e in zip(found, expected)]
-            names = [f for f in batch.schema.names if f not in ("id", "text")]
+            names = [f for f in batch.schema.names if f != "text"]
             columns = [batch.column(f) for f in names] + [pa.array([s.tobytes() for s in found], pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, [*names, "set"]).filter(pa.array(right, pa.bool_()))
 
-    rest = [f"{c} {t}" for c, t in docs.dtypes if c not in ("id", "text")]
+    rest = [f"{c} {t}" for c, t in docs.dtypes if c != "text"]
     return docs.mapInArrow(run, ", ".join([*rest, "set binary"]))
 
 
@@ -236,7 +243,7 @@ def jaccard_classes(
     signed = stored(signatures(docs, n, bands, rows, id_column, text_column), "signatures")
     named = signed.where("node IS NOT NULL")
     nodes = named.groupBy("node").agg(
-        F.min("id").alias("id"), F.count("*").alias("copies"), F.first("grams").alias("grams")
+        F.min("id").alias("id"), F.min("key").alias("key"), F.count("*").alias("copies"), F.first("grams").alias("grams")
     )
     keys = named.select("node", F.explode("bands").alias("key"))
     leaders = keys.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("most")).where("a < most")
@@ -247,13 +254,14 @@ def jaccard_classes(
     parts = F.greatest(F.ceil(F.col("sets") / SIDE_SETS), F.ceil(F.col("all_grams") / SIDE_GRAMS))
     sizes = sizes.withColumn("parts", F.least(parts, F.col("sets")).cast("int"))
     placed = clusters.join(sizes.select("root", "parts"), "root").withColumn("slot", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-    texts = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
-    reps = placed.select(F.col("id").alias("rep"), "node", "root", "copies", "slot", "parts")
+    texts = docs.select(_row_key(id_column, text_column).alias("key"), F.col(text_column).alias("text"))
+    reps = placed.select("key", "node", "root", "copies", "slot", "parts")
     near = lambda c: F.pmod(F.xxhash64(c), F.lit(NEAR_KEYS)).alias("near")
     # at most NEAR_KEYS numbers are broadcast: most texts in no cluster are left out before the join
-    wanted = F.broadcast(reps.select(near("rep")).distinct())
-    texts = texts.withColumn("near", near("id")).join(wanted, "near", "left_semi").drop("near")
-    sets = _with_sets(texts.join(reps, F.col("id").eqNullSafe(F.col("rep"))).drop("rep"), n)
+    wanted = F.broadcast(reps.select(near("key")).distinct())
+    texts = texts.withColumn("near", near("key")).join(wanted, "near", "left_semi").drop("near")
+    # a row meets the one node of its own text, whatever its id; of copies of a row one does
+    sets = _with_sets(texts.dropDuplicates(["key"]).join(reps, "key").drop("key"), n)
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
     cells = sets.select("root", "slot", "node", "copies", "set", "parts", other).select(
         "root", F.least("slot", "other").alias("i"), F.greatest("slot", "other").alias("j"),

@@ -39,6 +39,10 @@ def brute(texts, threshold=Fraction(4, 5)):
     return out
 
 
+def near_pairs(n):
+    return [" ".join([f"p{i}w{k}" for k in range(40)] + end) for i in range(n) for end in ([], ["end"])]
+
+
 def test_equals_all_pairs(spark):
     texts = corpus(90)
     got = jaccard_classes(documents(spark, texts)).orderBy("doc_id").collect()
@@ -85,6 +89,22 @@ def test_verify_groups_hold_one_cell_of_a_large_cluster(spark, tmp_path, monkeyp
     assert max(rows) <= 4 * 64
 
 
+def test_rows_that_share_an_id_meet_one_node_each(spark, monkeypatch):
+    joined, with_sets = [], jaccard_join._with_sets
+
+    def watched(docs, n):
+        joined.append(docs.count())
+        return with_sets(docs, n)
+
+    monkeypatch.setattr(jaccard_join, "_with_sets", watched)
+    texts = near_pairs(20) + near_pairs(1) * 15
+    for one in (None, 4):
+        got = jaccard_classes(documents(spark, texts, ids=[one] * len(texts))).collect()
+        assert sorted((r.n_links, r.n_text_links) for r in got) == sorted(r[2:] for r in brute(texts))
+        assert {r.class_id for r in got} == {one}
+    assert joined == [40, 40]
+
+
 def test_one_of_each(spark):
     texts = corpus(60)
     ids = list(range(len(texts)))
