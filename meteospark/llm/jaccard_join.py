@@ -239,12 +239,29 @@ def jaccard_classes(
     repeated ids are documents like others, though a class of null ids has a null class_id. Empty tables
     give no rows; other columns aren't read.
     """
+    signed, known = _classes(docs, n, threshold, recall, id_column, text_column)
+    return signed.select("id", "node").join(known.drop("head"), "node", "left").select(
+        F.col("id").alias("doc_id"),
+        F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
+        F.coalesce("n", F.lit(0)).cast("long").alias("n_links"),
+        F.coalesce("texts", F.lit(0)).cast("long").alias("n_text_links"),
+    )
+
+
+def _first() -> Column:
+    """The smallest id and, among rows of that id, the smallest key; null ids come last."""
+    return F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("first")
+
+
+def _classes(
+    docs: DataFrame, n: int, threshold: Fraction, recall: float, id_column: str, text_column: str
+) -> tuple[DataFrame, DataFrame]:
+    """The signatures, and node, class_id, head (key of the row that stays for the class), n, texts."""
     bands, rows = choose_bands(float(threshold), recall)
     signed = stored(signatures(docs, n, bands, rows, id_column, text_column), "signatures")
     named = signed.where("node IS NOT NULL")
-    nodes = named.groupBy("node").agg(
-        F.min("id").alias("id"), F.min("key").alias("key"), F.count("*").alias("copies"), F.first("grams").alias("grams")
-    )
+    nodes = named.groupBy("node").agg(_first(), F.count("*").alias("copies"), F.first("grams").alias("grams"))
+    nodes = nodes.select("node", "first.id", "first.key", "copies", "grams")
     keys = named.select("node", F.explode("bands").alias("key"))
     leaders = keys.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("most")).where("a < most")
     candidates = keys.join(leaders, "key").where("node <> a").select("a", F.col("node").alias("b")).distinct()
@@ -279,28 +296,31 @@ def jaccard_classes(
     counts = links.groupBy("node").agg(F.sum("texts").alias("texts"), F.sum("copies").alias("linked"))
     known = nodes.join(counts, "node", "left").join(classes, "node", "left")
     known = stored(
-        known.select("node", "id", "copies", F.coalesce("texts", F.lit(0)).alias("texts"),
+        known.select("node", "id", "key", "copies", F.coalesce("texts", F.lit(0)).alias("texts"),
                      F.coalesce("linked", F.lit(0)).alias("linked"), F.coalesce("root", "node").alias("root")),
         "nodes",
     )
-    heads = known.groupBy("root").agg(F.min("id").alias("class_id"))
-    known = known.join(heads, "root").select("node", "class_id", (F.col("linked") + F.col("copies") - 1).alias("n"), "texts")
-    return signed.select("id", "node").join(known, "node", "left").select(
-        F.col("id").alias("doc_id"),
-        F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
-        F.coalesce("n", F.lit(0)).cast("long").alias("n_links"),
-        F.coalesce("texts", F.lit(0)).cast("long").alias("n_text_links"),
-    )
+    heads = known.groupBy("root").agg(_first()).select("root", F.col("first.id").alias("class_id"), F.col("first.key").alias("head"))
+    linked = (F.col("linked") + F.col("copies") - 1).alias("n")
+    return signed, known.join(heads, "root").select("node", "class_id", "head", linked, "texts")
 
 
-def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
-    """The documents without those linked to one with a smaller id; of repeated rows one stays.
+def one_of_each(
+    docs: DataFrame,
+    n: int = 5,
+    threshold: Fraction = Fraction(4, 5),
+    recall: float = 0.99999,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+) -> DataFrame:
+    """One document of each class: a row with its smallest id; of repeated rows one stays.
 
-    The smallest id of a class stays. Rows without an id can't be named: they stay, but for repeated
-    texts among them. Texts without words are no copies of each other. Columns are those of `docs`.
+    Rows are judged by id and text, so those that share an id or have none are documents like others;
+    a row without an id stays if its class has no ids. Texts without words are no copies of each other.
+    Columns are those of `docs`.
     """
-    classes = jaccard_classes(docs, id_column=id_column, text_column=text_column, **options)
-    judged = classes.where("doc_id IS NOT NULL").groupBy("doc_id")
-    gone = judged.agg(F.min(F.col("doc_id") != F.col("class_id")).alias("copy")).where("copy")
-    kept = docs.join(gone.select(F.col("doc_id").alias(id_column)), id_column, "left_anti")
-    return kept.withColumn("_text", F.xxhash64(text_column)).dropDuplicates([id_column, "_text"]).select(*docs.columns)
+    signed, known = _classes(docs, n, threshold, recall, id_column, text_column)
+    judged = signed.select("node", "key").join(known.select("node", "head"), "node")
+    gone = judged.where("key <> head").select(F.col("key").alias("_text")).distinct()
+    kept = docs.withColumn("_text", _row_key(id_column, text_column)).join(gone, "_text", "left_anti")
+    return kept.dropDuplicates([id_column, "_text"]).select(*docs.columns)

@@ -115,6 +115,15 @@ def test_one_of_each(spark):
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == want
 
 
+def test_one_of_each_judges_rows_by_their_text(spark):
+    (a, a2, b, b2, c, c2, d, d2), other = near_pairs(4), " ".join(f"o{i}" for i in range(30))
+    rows = [(1, a), (5, a2), (5, other), (2, b), (2, b2), (None, c), (None, c2), (None, d), (9, d2), (None, ""), (7, "")]
+    kept = one_of_each(documents(spark, [t for _, t in rows], ids=[i for i, _ in rows])).collect()
+    assert sorted(str(r.doc_id) for r in kept) == ["1", "2", "5", "7", "9", "None", "None"]
+    assert {r.text for r in kept if r.doc_id in (1, 5, 9)} == {a, other, d2}
+    assert {r.text for r in kept if r.doc_id is None} in ({"", c}, {"", c2})
+
+
 def test_null_ids_and_empty_tables(spark):
     text = " ".join(f"w{i}" for i in range(20))
     got = jaccard_classes(documents(spark, [text, text, "x", None], ids=[None, 4, None, None])).collect()
