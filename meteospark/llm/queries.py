@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from meteospark.llm import (
     chat,
+    decontamination,
     jaccard_join,
     mixing,
     packing,
@@ -17,6 +18,7 @@ from meteospark.llm import (
     suffix_dedup,
     topk,
 )
+from meteospark.llm.common import stored
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -232,3 +234,38 @@ SELECT t.doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind =
     coalesce(string_agg(s, ',' ORDER BY a, kind, z), '') AS spans
 FROM t LEFT JOIN named USING (doc_id) GROUP BY t.doc_id
 """
+
+
+@query
+def op12_fm_decontamination(spark, sf_dir):
+    indexes = stored(decontamination.shard_indexes(table(spark, sf_dir, "documents")), "indexes")
+    found = decontamination.find_phrases(indexes, table(spark, sf_dir, "benchmark"), size=10)
+    n_hit = decontamination.covered(F.col("spans"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+ORACLE["op12_fm_decontamination"] = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+b AS (SELECT item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark),
+w AS (SELECT DISTINCT item_id, least(10, len(words)) AS size, array_to_string(words[p:p + 9], ' ') AS seq
+    FROM (SELECT *, unnest(generate_series(1, greatest(1, len(words) - 9))) AS p FROM b WHERE len(words) > 0)),
+sizes AS (SELECT DISTINCT size FROM w),
+s AS (SELECT doc_id, size, p, array_to_string(words[p:p + size - 1], ' ') AS seq
+    FROM (SELECT doc_id, words, size, unnest(generate_series(1, len(words) - size + 1)) AS p FROM d, sizes WHERE len(words) >= size)),
+f AS (SELECT s.doc_id, s.p, w.size, w.item_id FROM s JOIN w USING (size, seq)),
+hit AS (SELECT doc_id, count(DISTINCT pos) AS n_hit
+    FROM (SELECT doc_id, unnest(generate_series(p, p + size - 1)) AS pos FROM f) GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM f WHERE item_id IS NOT NULL) GROUP BY doc_id)
+SELECT d.doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+    sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
