@@ -11,9 +11,11 @@ from meteospark.llm import (
     jaccard_join,
     mixing,
     packing,
+    phrases,
     quality,
     secrets,
     sharding,
+    spelling,
     substring_dedup,
     suffix_dedup,
     topk,
@@ -269,3 +271,60 @@ SELECT d.doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_
     sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
 """
+
+
+@query
+def op13_spelling_groups(spark, sf_dir):
+    words = spelling.counted_words(table(spark, sf_dir, "documents"), drop_every=31)
+    return spelling.spelling_groups(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+ORACLE["op13_spelling_groups"] = rf"""
+WITH RECURSIVE crc AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i, range(8)),
+        lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) AS c FROM range(256) r(i))),
+runs AS (SELECT doc_id, w, count(*) AS k
+    FROM (SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[A-Za-zÀ-ÿ]+')) AS w FROM documents) WHERE length(w) >= 7 GROUP BY ALL),
+bytes AS (SELECT *, hex(encode(doc_id || ':' || w)) AS x FROM runs),
+hashed AS (SELECT w, k, xor(4294967295, list_reduce(
+        list_prepend(4294967295, [('0x' || substr(x, (2 * i - 1)::INT, 2))::BIGINT FOR i IN range(1, length(x) // 2 + 1)]),
+        lambda c, b: xor(t[xor(c & 255, b) + 1], c >> 8))) AS h FROM bytes, crc),
+made AS (SELECT CASE WHEN h % 31 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word, k FROM hashed),
+words AS (SELECT word, sum(k)::BIGINT AS n FROM made GROUP BY word HAVING sum(k) >= 2 AND length(word) >= 7),
+cut AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+    FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM words)),
+pairs AS (SELECT a.word, b.word AS other, b.n AS other_n FROM cut a JOIN cut b USING (rest, i) WHERE a.word <> b.word
+    UNION SELECT a.word, b.word, b.n FROM cut a JOIN words b ON a.rest = b.word
+    UNION SELECT b.word, a.word, a.n FROM cut a JOIN words b ON a.rest = b.word),
+best AS (SELECT word, count(*) AS n_near, first(other ORDER BY other_n DESC, other) AS other, max(other_n) AS other_n FROM pairs GROUP BY word),
+f AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 10 * n THEN other END AS form,
+    CASE WHEN other_n >= 10 * n THEN other_n END AS form_n FROM words LEFT JOIN best USING (word)),
+walk AS (SELECT word, word AS root, form AS up FROM f UNION ALL SELECT walk.word, f.word, f.form FROM walk JOIN f ON walk.up = f.word)
+SELECT word, form, root, n, n_near::BIGINT AS n_near, form_n::BIGINT AS form_n FROM f JOIN (SELECT word, root FROM walk WHERE up IS NULL) USING (word)
+"""
+
+
+@query
+def op11_era_phrases(spark, sf_dir):
+    found = phrases.collocations(table(spark, sf_dir, "documents"), max_words=3, min_count=10, top=2000)
+    return found.withColumn("rank", F.col("rank").cast("long"))
+
+
+ORACLE["op11_era_phrases"] = rf"""
+WITH t AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM t),
+g AS (SELECT lang, size, array_to_string(words[p:p + size - 1], ' ') AS phrase
+    FROM (SELECT lang, words, size, unnest(generate_series(1, len(words) - size + 1)) AS p FROM w, range(1, 4) r(size) WHERE len(words) >= size)),
+f AS (SELECT lang, size, phrase, count(*) AS n FROM g GROUP BY ALL),
+totals AS (SELECT lang, sum(n)::BIGINT AS n FROM f WHERE size = 1 GROUP BY lang),
+c AS (SELECT lang, size, phrase, n AS a, string_split(phrase, ' ') AS words FROM f WHERE size > 1 AND n >= 10),
+cuts AS (SELECT *, array_to_string(words[:k], ' ') AS lhs, array_to_string(words[k + 1:], ' ') AS rhs
+    FROM (SELECT *, unnest(generate_series(1, size - 1)) AS k FROM c)),
+s AS (SELECT cuts.*, l.n AS l, r.n AS r, (1000000::HUGEINT * a * a // (l.n::HUGEINT * r.n))::BIGINT AS score
+    FROM cuts JOIN f l ON cuts.lang = l.lang AND cuts.lhs = l.phrase JOIN f r ON cuts.lang = r.lang AND cuts.rhs = r.phrase),
+best AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_ AS (SELECT lang, array_to_string(words[i:i + 1], ' ') AS phrase, max(a) AS longer
+    FROM (SELECT *, unnest([1, 2]) AS i FROM c WHERE size = 3) GROUP BY ALL),
+kept AS (SELECT best.* FROM best LEFT JOIN inner_ USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 50 * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
