@@ -29,7 +29,7 @@ from meteospark.llm.hashing import mixed
 from meteospark.llm.tokens import Words, byte_map, numbered
 
 #: Bytes of text in a chunk; leaves in a group; bytes of words a task counts; prefixes of more than one word.
-CHUNK_BYTES, GROUP_LEAVES, HELD_BYTES, LONG_PREFIXES = 8 << 20, 4 << 20, 32 << 20, 1 << 16
+CHUNK_BYTES, GROUP_LEAVES, HELD_BYTES, LONG_PREFIXES = 8 << 20, 1 << 20, 32 << 20, 1 << 16
 #: Parts the candidates of a language are ranked in first.
 _PARTS = 64
 _MAP = byte_map(b"\t", b".,;:!?\n\x0b\x0c\r")
