@@ -51,6 +51,12 @@ def floor_hour(ts: Column) -> Column:
     return F.date_trunc("hour", ts).cast("timestamp_ntz")
 
 
+def floor_slot(ts: Column, slot_minutes: int) -> Column:
+    """The start of the slot of so many minutes, counted from the epoch."""
+    step = slot_minutes * 60
+    return from_epoch(F.floor(epoch_seconds(ts) / step) * step)
+
+
 def epoch_to_minute(epoch: Column) -> Column:
     """Epoch seconds to a UTC timestamp floored to the minute."""
     return from_epoch(F.floor(epoch / 60) * 60)

@@ -20,6 +20,15 @@ def first_row(df: DataFrame, key, order) -> DataFrame:
     return df.groupBy(*key).agg(packed).select(*key, "_row.*").select(*df.columns)
 
 
+def last_row(df: DataFrame, key, order=()) -> DataFrame:
+    """One row per key, the largest by `order`, then by the other columns; null keys are keys like others."""
+    rest = [c for c in df.columns if c not in key and c not in order]
+    if not rest and not order:
+        return df.distinct()
+    packed = F.max(F.struct(*order, *rest)).alias("_row")
+    return df.groupBy(*key).agg(packed).select(*key, "_row.*").select(*df.columns)
+
+
 def with_utc_minutes(df: DataFrame, epoch: str = "epoch_timestamp") -> DataFrame:
     """UTC minute from the epoch, which is the source of truth for time."""
     return df.withColumn("ts", times.epoch_to_minute(F.col(epoch)))

@@ -8,6 +8,7 @@ a lost executor leaves the old files in place. Untouched months are neither read
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -17,29 +18,70 @@ from meteospark.session import run_folder
 from meteospark.sources.files import path_exists
 
 
+#: The partition of a new table's file without rows, and that of rows without a time.
+EMPTY, TIMELESS = "none", "__HIVE_DEFAULT_PARTITION__"
+
+
 def _with_month(df: DataFrame, at: str) -> DataFrame:
     return df.withColumn("month", times.month_of(F.col(at)))
 
 
 def _write(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Writes the months of the rows. A new table gets a file without rows first, so that one whose first
+    update is empty has its columns and can be read."""
+    if not table_exists(df.sparkSession, path):
+        _write_empty(df.limit(0), path)
     out = df.write.mode(mode).partitionBy("month")
     if mode == "overwrite":
         out = out.option("partitionOverwriteMode", "dynamic")
     out.parquet(path)
 
 
-def append_new(spark: SparkSession, new: DataFrame, path: str, key, order, at: str = "ts") -> None:
-    """Insert or ignore: appends the first row of each key the table does not hold.
+def _write_empty(df: DataFrame, path: str, month: str = EMPTY, mode: str = "append") -> None:
+    df.drop("month").write.mode(mode).parquet(f"{path}/month={month}")
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table lies there; a folder that a failed first write has left is none."""
+    if not path_exists(spark, path):
+        return False
+    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found = location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(location)
+    return any(s.isDirectory() and s.getPath().getName().startswith("month=") for s in found)
+
+
+def read_table(spark: SparkSession, path: str, months: list[str | None] | None = None) -> DataFrame:
+    """The table with every column that any update has brought, or only these months of it."""
+    df = spark.read.option("mergeSchema", True).parquet(path)
+    return df if months is None else df.where(in_months(months))
+
+
+def in_months(months: list[str | None]):
+    """Rows of these months; None stands for rows without a time."""
+    known = F.col("month").isin([m for m in months if m is not None])
+    return known | F.col("month").isNull() if None in months else known
 
-    Only the months of the new rows are read.
+
+def append_new(spark: SparkSession, new: DataFrame, path: str, key, order, at: str = "ts", months=None) -> None:
+    """Insert or ignore: appends the first row of each key the table does not hold; a null key is a key.
+
+    Only the months of the new rows are read; `months` names them where they are known, and then the
+    update is not stored first.
     """
-    new = _staged(_with_month(new, at), "append")
-    if path_exists(spark, path):
-        held = spark.read.parquet(path).where(F.col("month").isin(touched_months(new)))
-        new = staging.insert_or_ignore(held, new, [*key, "month"], order)
-    else:
-        new = staging.first_row(new, [*key, "month"], order)
-    _write(new, path, "append")
+    new = _with_month(new, at)
+    if months is None and table_exists(spark, path):
+        new = _staged(new, "append")
+        months = touched_months(new)
+    fresh = staging.first_row(new, [*key, "month"], order)
+    if table_exists(spark, path):
+        held = read_table(spark, path, months).select(*key, "month")
+        fresh = fresh.join(held, _same([*key, "month"], fresh, held), "left_anti")
+    _write(fresh, path, "append")
+
+
+def _same(key, left: DataFrame, right: DataFrame):
+    """Equal keys, null and null as well."""
+    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in key])
 
 
 def _staged(df: DataFrame, name: str) -> DataFrame:
@@ -47,16 +89,19 @@ def _staged(df: DataFrame, name: str) -> DataFrame:
     return materialise(df, run_folder(df.sparkSession), name)
 
 
-def touched_months(df: DataFrame) -> list[str]:
+def touched_months(df: DataFrame) -> list[str | None]:
     """Months present in an update; one short string per calendar month."""
     return [r["month"] for r in df.select("month").distinct().collect()]
 
 
 def merge_rows(old: DataFrame, new: DataFrame, key) -> DataFrame:
-    """Last write wins: a row of the update sets every column the update has, to NULL as well."""
+    """Last write wins: a row of the update sets every column the update has, to NULL as well.
+
+    Both sides have one row a key; null keys are keys like others.
+    """
     values = [c for c in dict.fromkeys([*old.columns, *new.columns]) if c not in key]
     o, n = old.alias("o"), new.withColumn("_given", F.lit(True)).alias("n")
-    merged = o.join(n, [F.col(f"o.{k}") == F.col(f"n.{k}") for k in key], "full")
+    merged = o.join(n, reduce(lambda a, b: a & b, [F.col(f"o.{k}").eqNullSafe(F.col(f"n.{k}")) for k in key]), "full")
 
     def pick(c):
         if c not in old.columns:
@@ -69,63 +114,84 @@ def merge_rows(old: DataFrame, new: DataFrame, key) -> DataFrame:
     return merged.select(*keys, *[pick(c).alias(c) for c in values])
 
 
-def upsert(spark: SparkSession, new: DataFrame, path: str, key, at: str = "ts") -> None:
-    """Keyed upsert; columns that the update lacks keep their value. Only its months are rewritten."""
+def upsert(spark: SparkSession, new: DataFrame, path: str, key, at: str = "ts", order=(), months=None, unique: bool = False) -> None:
+    """Keyed upsert; columns that the update lacks keep their value. Only its months are rewritten.
+
+    Of rows of one key in the update the last by `order` counts, then the one with the largest values, so
+    an update applied again changes nothing. Null keys are keys like others. `unique`: the update has one
+    row a key. `months`: those it may have, where they are known; then it is not stored first.
+    """
     new = _with_month(new, at)
-    if path_exists(spark, path):
-        new = _staged(new, "upsert")
-        old = spark.read.option("mergeSchema", True).parquet(path)
-        old = old.where(F.col("month").isin(touched_months(new)))
-        new = merge_rows(old, new, [*key, "month"])
+    if not unique:
+        new = staging.last_row(new, [*key, "month"], order)
+    if table_exists(spark, path):
+        if months is None:
+            new = _staged(new, "upsert")
+            months = touched_months(new)
+        new = merge_rows(read_table(spark, path, months), new, [*key, "month"])
     _write(new, path)
 
 
 def replace_range(spark: SparkSession, new: DataFrame, path: str, begin, end, at: str = "ts") -> None:
-    """Deletes [begin, end] and inserts the new rows of that range."""
+    """Deletes [begin, end] and inserts the new rows of that range.
+
+    Months left without rows are emptied after the others are written; until then a reader sees their
+    old rows beside the new ones of other months.
+    """
     inside = F.col(at).between(times.instant(begin), times.instant(end))
     new = _with_month(new.where(inside), at)
-    months = [str(begin)[:7], str(end)[:7]]
-    if path_exists(spark, path):
-        old = spark.read.option("mergeSchema", True).parquet(path).where(F.col("month").between(*months))
-        rest = old.where(~inside)
-        emptied = _emptied(old, rest.select("month").unionByName(new.select("month")))
-        _write(rest.unionByName(new, allowMissingColumns=True), path)
-        _drop_months(spark, path, emptied)
-    else:
+    if not table_exists(spark, path):
         _write(new, path)
+        return
+    months = F.col("month").between(*[times.month_of(times.instant(x)) for x in (begin, end)])
+    old = read_table(spark, path).where(months)
+    rest = old.where(~inside)
+    emptied = _emptied(old, rest.select("month").unionByName(new.select("month")))
+    _write(rest.unionByName(new, allowMissingColumns=True), path)
+    _empty_months(old, path, emptied)
 
 
 def replace_rows(spark: SparkSession, path: str, gone: DataFrame | None, new: DataFrame, key, at: str = "ts") -> None:
-    """Takes rows out by key and month and puts new ones in; only months of either are rewritten."""
+    """Takes rows out by key and month and puts new ones in; only months of either are rewritten.
+
+    Months left without rows are emptied last, as in `replace_range`.
+    """
     new = _staged(_with_month(new, at), "replace")
-    if gone is None or not path_exists(spark, path):
+    if gone is None or not table_exists(spark, path):
         _write(new, path)
         return
-    gone = _staged(gone.select(*key, "month"), "gone")
-    months = sorted({*touched_months(gone), *touched_months(new)})
-    old = spark.read.schema(new.schema).parquet(path).where(F.col("month").isin(months))
-    rest = _staged(old.join(gone, [*key, "month"], "left_anti").unionByName(new), "rest")
+    gone = _staged(gone.select(*key, "month").distinct(), "gone")
+    months = list({*touched_months(gone), *touched_months(new)})
+    old = read_table(spark, path, months)
+    kept = old.join(gone, _same([*key, "month"], old, gone), "left_anti")
+    rest = _staged(kept.unionByName(new, allowMissingColumns=True), "rest")
     _write(rest, path)
-    _drop_months(spark, path, [m for m in months if m not in touched_months(rest)])
+    left = touched_months(rest)
+    _empty_months(old, path, [m for m in months if m not in left])
 
 
 def delete_range(spark: SparkSession, path: str, begin, end, at: str = "ts", zone: str | None = None) -> None:
-    """Removes rows in [begin, end]; with a zone the range is local time."""
+    """Removes rows in [begin, end]; with a zone the range is local time. No table, nothing to remove.
+
+    Months left without rows are emptied last, as in `replace_range`.
+    """
     from meteospark.operators.maintenance import keep_outside
 
+    if not table_exists(spark, path):
+        return
     lo, hi = times.instant(begin), times.instant(end)
     if zone:
         lo, hi = times.to_utc(lo, zone), times.to_utc(hi, zone)
-    old = spark.read.option("mergeSchema", True).parquet(path)
+    old = read_table(spark, path)
     # a zone moves the range by a day at most
     day = F.expr("INTERVAL '1' DAY")
     near = F.col("month").between(times.month_of(times.instant(begin) - day), times.month_of(times.instant(end) + day))
     hit = old.where(near & F.col(at).between(lo, hi))
-    old = old.where(F.col("month").isin(touched_months(hit)))
+    old = old.where(in_months(touched_months(hit)))
     rest = keep_outside(old, begin, end, at, zone)
     emptied = _emptied(old, rest.select("month"))
     _write(rest, path)
-    _drop_months(spark, path, emptied)
+    _empty_months(old, path, emptied)
 
 
 def _emptied(before: DataFrame, after: DataFrame) -> list[str]:
@@ -133,11 +199,14 @@ def _emptied(before: DataFrame, after: DataFrame) -> list[str]:
     return [r["month"] for r in months.collect()]
 
 
-def _drop_months(spark: SparkSession, path: str, months: list[str]) -> None:
-    """A dynamic overwrite leaves partitions without new rows alone; these lost all of theirs."""
+def _empty_months(df: DataFrame, path: str, months: list[str | None]) -> None:
+    """A dynamic overwrite leaves partitions without new rows alone; these lost all of theirs.
+
+    Each gets a file without rows in the place of its old ones: no folder is deleted, so a lost driver
+    leaves a month as it was or empty, never half.
+    """
     for month in months:
-        location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/month={month}")
-        location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(location, True)
+        _write_empty(df.limit(0), path, TIMELESS if month is None else month, "overwrite")
 
 
 def publish_snapshot(df: DataFrame, root: str, version: str) -> str:
@@ -213,3 +282,9 @@ def materialise(df: DataFrame, folder: str, name: str) -> DataFrame:
     path = f"{folder}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_table(spark: SparkSession, path: str) -> None:
+    """Removes a table of this run that no one reads any more."""
+    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(location, True)
