@@ -754,7 +754,7 @@ def ridge_fit_metrics(spark, sf):
 def ridge_forecast(spark, sf):
     """Forecasts from every origin, the newest ones included, by stored models."""
     fit, places, s = _trained(spark, sf), t.busy_stations(spark, sf), _settings()
-    observed = flow.observed_hours(t.telemetry(spark, sf), s)
+    observed = flow.observed_hours(t.telemetry(spark, sf), places, s)
     return rounded(flow.predict(observed, places, fit["models"], fit["registry"], s, F.lit(True))["forecast"], 3)
 
 
@@ -765,7 +765,7 @@ BACKTEST = ("2024-01-20 00:00:00", "2024-01-29 00:00:00", 6)
 def backtest_origins(spark, sf):
     places = t.busy_stations(spark, sf)
     return rounded(
-        flow.backtest(t.telemetry(spark, sf), places, *BACKTEST, _settings(), session.run_folder(spark)), 3
+        flow.backtest_forecasts(t.telemetry(spark, sf), places, *BACKTEST, _settings(), session.run_folder(spark)), 3
     )
 
 
@@ -867,9 +867,10 @@ FROM past JOIN wgt{suffix} USING (station_id) JOIN scl{suffix} USING (station_id
 
 def _small_forecast(spark, sf, fit, origins=None, until=None):
     s = _settings(lookback=1, horizon=1)
-    tel = t.telemetry(spark, sf)
+    tel, places = t.telemetry(spark, sf), t.busy_stations(spark, sf)
     tel = tel if until is None else tel.where(F.col("ts") < times.instant(until))
-    rows = flow.known_rows(flow.observed_hours(tel, s), t.busy_stations(spark, sf), s)
+    s.as_of = "2100-01-01 00:00:00"  # the SQL side takes all there is, or up to `until`
+    rows = flow.known_rows(flow.observed_hours(tel, places, s), places, s)
     scored = model.infer(rows, fit["models"], fit["registry"], 1, origins=origins, **SMALL)
     usable, _ = model.split_rejects(scored)
     return rounded(
@@ -924,6 +925,67 @@ def backtest_small(spark, sf):
     return _small_forecast(spark, sf, _small(spark, sf, hours), model.backtest_origins(*BACKTEST), BACKTEST[1])
 
 
+EARLIER = "2024-01-25 12:30:00"
+OFFSET = "CASE WHEN station_id < 'e' THEN 0.5 WHEN station_id >= 'p' THEN -3.0 END"
+TEL_THEN = f"""tel AS (SELECT station_id, ts, event_id, temp + 1.5 + coalesce({OFFSET}, -1.5)::double AS temp, rh, pres, wind, solar, rain
+  FROM all_tel WHERE ts <= TIMESTAMP '{EARLIER}')"""
+
+
+@register(
+    o.query(
+        [*o.tel(name="all_tel"), TEL_THEN, *[c for c in o.features() if not c.startswith("tel AS")], *_small_sql("feat"), OBSERVED, KNOWN],
+        _small_forecast_sql("ts = (SELECT max(ts) FROM past p WHERE p.station_id = past.station_id)"),
+    )
+)
+def forecast_as_of(spark, sf):
+    """Training and prediction as of an earlier time, with stations of different sensor offsets: rows that
+    came later change nothing, and both sides use a station's own offset."""
+    s, tel = flow.Settings(as_of=EARLIER, lookback=1, horizon=1), t.telemetry(spark, sf)
+    places = t.busy_stations(spark, sf).withColumn("temp_offset", F.expr(OFFSET).cast("double"))
+    known, offset = flow.as_known(tel, places, s)
+    folder = session.run_folder(spark)
+    fit = flow.train(sinks.materialise(resample.clean_hourly(known, offset), folder, "hourly"), places, s, folder, **SMALL)
+    rows = flow.known_rows(flow.observed_hours(tel, places, s), places, s)
+    return _next_hour(model.infer(rows, fit["models"], fit["registry"], 1, **SMALL))
+
+
+def _next_hour(scored):
+    usable, _ = model.split_rejects(scored)
+    return rounded(
+        usable.select(
+            "station_id",
+            F.col("ts_ref").alias("created_at"),
+            F.timestamp_add("HOUR", F.lit(1), "ts_ref").alias("ts"),
+            (F.col("last_actual")[0] + F.col("delta")[0][0]).alias("pred_temp"),
+        )
+    )
+
+
+WEEK = "TIMESTAMP '1970-01-01' + INTERVAL 7 DAY * floor(epoch(ts) / 604800)::int"
+WALK = [
+    *o.tel(name="all_tel"),
+    f"tel AS (SELECT * FROM all_tel WHERE ts < TIMESTAMP '{BACKTEST[1]}')",
+    o.HOURLY,
+    OBSERVED,
+    KNOWN,
+    "whole AS (SELECT station_id, ts, temp, rh FROM past WHERE temp IS NOT NULL AND rh IS NOT NULL)",
+    f"""origin AS (SELECT *, {WEEK} AS block FROM whole WHERE ts >= TIMESTAMP '{BACKTEST[0]}'
+  AND (epoch(ts - TIMESTAMP '{BACKTEST[0]}') / 3600)::bigint % {BACKTEST[2]} = 0)""",
+    """smp_w AS (SELECT w.station_id || '@' || block AS station_id, ts, temp, rh, y, true AS is_train
+  FROM (SELECT *, lead(temp) OVER (PARTITION BY station_id ORDER BY ts) - temp AS y FROM whole) w
+  JOIN (SELECT DISTINCT station_id, block FROM origin) b ON w.station_id = b.station_id AND w.ts + INTERVAL 1 HOUR < b.block WHERE y IS NOT NULL)""",
+    *_small_sql("", "_w")[1:],
+    "here AS (SELECT station_id AS own, station_id || '@' || block AS station_id, ts, temp, rh FROM origin)",
+]
+
+
+@register(o.query(WALK, _small_forecast_sql("true", "_w").replace("SELECT station_id", "SELECT own AS station_id", 1).replace("FROM past", "FROM here")))
+def backtest_walk(spark, sf):
+    """Walk-forward: each week's origins by a model of all weeks before it, from one ordered sum of moments."""
+    s, places = _settings(lookback=1, horizon=1), t.busy_stations(spark, sf)
+    return _next_hour(flow.backtest(t.telemetry(spark, sf), places, *BACKTEST, s, session.run_folder(spark), 7, **SMALL))
+
+
 FORECAST_COLS = "station_id, ts, model_version, created_at, ts_window_start, ts_window_stop, horizon"
 
 

@@ -11,6 +11,7 @@ from meteospark import session
 from meteospark.catalog import CSV_COLUMNS, FEATURES, SCHEMES, rename_features
 from meteospark.functions import times
 from meteospark.operators import resample, staging, windows
+from meteospark.plans import flow
 from meteospark.sources import files, sinks
 
 STAGED_SELECT = f"SELECT station_id, ts, {o.rounded(STD)} FROM staged"
@@ -229,3 +230,71 @@ def long_history_windows(spark, sf):
             last[1].alias("delta_temp"),
         )
     )
+
+
+LATE_MONTH, SPLIT = "1995-03", "1997-01-01"
+Z = "(CASE WHEN s{0} > 0 THEN s{0} ELSE 1 END)".format
+
+
+@register(
+    o.query(
+        [
+            LINES,
+            DAYS,
+            _days(o.dense()),
+            o.near(),
+            o.interp(limit=None),
+            f"feat AS (SELECT station_id, ts, temp + (strftime(ts, '%Y-%m') = '{LATE_MONTH}')::int AS temp, rh FROM interp)",
+            f"""smp AS (SELECT * FROM (SELECT *, lead(temp) OVER (PARTITION BY station_id ORDER BY ts) - temp AS y FROM feat)
+  WHERE y IS NOT NULL AND ts + INTERVAL 1 DAY < TIMESTAMP '{SPLIT}')""",
+            """scl AS (SELECT station_id, count(*) AS n, avg(temp) AS m1, avg(rh) AS m2, avg(y) AS m3, stddev_pop(temp) AS s1,
+  stddev_pop(rh) AS s2, stddev_pop(y) AS s3 FROM smp GROUP BY 1)""",
+            f"""std AS (SELECT station_id, (temp - m1) / {Z(1)} AS x1, (rh - m2) / {Z(2)} AS x2, (y - m3) / {Z(3)} AS d FROM smp JOIN scl USING (station_id))""",
+            """sums AS (SELECT station_id, sum(x1 * x1) + 1 AS a, sum(x1 * x2) AS b, sum(x2 * x2) + 1 AS c, sum(x1 * d) AS e, sum(x2 * d) AS f FROM std GROUP BY 1)""",
+        ],
+        f"""SELECT station_id, n::double AS n_samples, {o.r('m1', 'mean_temp')}, {o.r('s3', 'scale_delta')},
+  {o.r('(c * e - b * f) / (a * c - b * b)', 'w_temp')}, {o.r('(a * f - b * e) / (a * c - b * b)', 'w_rh')} FROM sums JOIN scl USING (station_id)""",
+    )
+)
+def refit_late_month(spark, sf):
+    """Models over eighty months, refitted after one of them has changed: that month's moments are replaced,
+    the others are only added up."""
+    folder = session.run_folder(spark)
+    features, parts = f"{folder}/features", f"{folder}/moments"
+    s = flow.Settings(as_of="1999-01-01", step_minutes=1440, lookback=1, horizon=1)
+    small = {"inputs": ("temp", "rh"), "targets": ("temp",)}
+    rows = resample.interpolate(_daily(spark, sf), max_hours=None, step_minutes=1440).select("station_id", "ts", "temp", "rh")
+    sinks.upsert(spark, rows, features, ["station_id", "ts"], unique=True)
+    flow.all_moments(spark, features, parts, s, **small)
+    late = sinks.read_table(spark, features, [LATE_MONTH]).select("station_id", "ts", (F.col("temp") + 1).alias("temp"))
+    sinks.upsert(spark, late, features, ["station_id", "ts"])
+    flow.update_moments(spark, features, parts, LATE_MONTH, s, **small)
+    w = F.col("weights")
+    return rounded(
+        flow.refit(spark, parts, s, SPLIT, 2).select(
+            "station_id", "n_samples", F.col("x_mean")[0].alias("mean_temp"), F.col("y_scale")[0].alias("scale_delta"), w[0].alias("w_temp"), w[1].alias("w_rh")
+        )
+    )
+
+
+@register(
+    o.query(
+        [
+            *o.tel("user_id"),
+            """up AS (SELECT CASE WHEN event_id % 7 = 0 THEN NULL ELSE station_id END AS station_id,
+  CASE WHEN event_id % 11 = 0 THEN NULL ELSE date_trunc('hour', ts) END AS ts, event_id AS run, temp, rh FROM tel)""",
+        ],
+        f"SELECT station_id, ts, run, {o.rounded(['temp', 'rh'])} FROM up QUALIFY row_number() OVER (PARTITION BY station_id, ts ORDER BY run DESC) = 1",
+    )
+)
+def sink_upsert_repeated(spark, sf):
+    """An update with repeated keys and keys without a station or time, applied three times: the last run of
+    each key stays, once."""
+    path = f"{session.run_folder(spark)}/hours"
+    part = lambda c, n: F.when(F.col("event_id") % n != 0, c)
+    rows = t.fleet(spark, sf).select(
+        part(F.col("station_id"), 7).alias("station_id"), part(times.floor_hour(F.col("ts")), 11).alias("ts"), F.col("event_id").alias("run"), "temp", "rh"
+    )
+    for _ in range(3):
+        sinks.upsert(spark, rows, path, ["station_id", "ts"], order=["run"])
+    return rounded(sinks.read_table(spark, path).drop("month"))

@@ -2,159 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 
 from meteospark.catalog import FEATURES, INPUT_FEATURES
 from meteospark.functions import physics, times
-from meteospark.operators import windows
-
-MODEL_SCHEMA = "station_id string, n_samples double, weights array<double>"
-
-
-def scaler_arrays(x_stats: DataFrame, y_stats: DataFrame, inputs=INPUT_FEATURES, targets=FEATURES) -> DataFrame:
-    """Both scalers of a station as arrays in feature order, as a model stores them."""
-    return windows.stats_arrays(x_stats, inputs, "x").join(windows.stats_arrays(y_stats, targets, "y"), "station_id")
-
-
-def _matrix(column) -> np.ndarray:
-    """A list column as a matrix, NULL as NaN."""
-    flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    return flat.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(flat), -1)
-
-
-def _nested(values: np.ndarray) -> pa.Array:
-    """An (n, steps, features) block as lists of lists."""
-    n, steps, width = values.shape
-    inner = pa.ListArray.from_arrays(pa.array(np.arange(0, n * steps * width + 1, width, dtype=np.int32)), pa.array(values.ravel()))
-    return pa.ListArray.from_arrays(pa.array(np.arange(0, n * steps + 1, steps, dtype=np.int32)), inner)
-
-
-class _MonthWindows:
-    """The windows of one station month as strided views over its rows: x (n, L, inputs), last and,
-    with a horizon, y (n, H, targets). Nothing is repeated but what NumPy works on."""
-
-    def __init__(self, table: pa.Table, lookback: int, horizon: int):
-        table = table.sort_by("ts")
-        ts = table["ts"].to_numpy()
-        month = np.datetime64(table["_month"][0].as_py(), "M")
-        refs = np.arange(lookback - 1, len(ts) - horizon)
-        self.refs = refs[ts[refs].astype("datetime64[M]") == month]
-        self.table, self.ts = table, ts[self.refs]
-        out = _matrix(table["_out"])
-        self.last = out[self.refs]
-        if len(self.refs):
-            views = np.lib.stride_tricks.sliding_window_view(_matrix(table["_in"]), lookback, axis=0)
-            self.x = views[self.refs - lookback + 1].transpose(0, 2, 1)
-            if horizon:
-                self.y = np.stack([out[self.refs + h] - self.last for h in range(1, horizon + 1)], axis=1)
-
-    def column(self, name: str) -> pa.Array:
-        return self.table[name].combine_chunks().take(pa.array(self.refs))
-
+from meteospark.operators import moments, windows
+from meteospark.operators.frames import MonthWindows, nested, per_month
 
-def _per_month(narrow: DataFrame, per_station: DataFrame):
-    """Station months beside what is known of their station, once a month."""
-    months = narrow.select("station_id", "_month").distinct()
-    wanted = months.join(per_station, "station_id").withColumnsRenamed({"station_id": "_station", "_month": "_when"})
-    return narrow.groupBy("station_id", "_month").cogroup(wanted.groupBy("_station", "_when"))
-
-
-def target_stats(narrow: DataFrame, cut: DataFrame, lookback: int, horizon: int, targets=FEATURES) -> DataFrame:
-    """Mean and population deviation of each target's deltas over the samples up to the cut.
-
-    Months give counts, means and squares around their own mean, which are merged exactly.
-    """
-
-    def run(rows: pa.Table, known: pa.Table) -> pa.Table:
-        out = []
-        if len(rows) and len(known) and known["cut_ts"][0].as_py() is not None:
-            w = _MonthWindows(rows, lookback, horizon)
-            mine = w.ts <= np.datetime64(known["cut_ts"][0].as_py()) if len(w.refs) else np.zeros(0, bool)
-            if mine.any():
-                y = w.y[mine].reshape(-1, len(targets))
-                mean = y.mean(axis=0)
-                station = rows["station_id"][0].as_py()
-                for f, m, q in zip(targets, mean, ((y - mean) ** 2).sum(axis=0)):
-                    out.append((station, f, float(len(y)), float(m), float(q)))
-        columns = list(zip(*out)) or [[]] * 5
-        kinds = [pa.string(), pa.string(), pa.float64(), pa.float64(), pa.float64()]
-        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=["station_id", "feature", "n", "mean", "m2"])
-
-    parts = _per_month(narrow, cut).applyInArrow(run, "station_id string, feature string, n double, mean double, m2 double")
-    whole = W.partitionBy("station_id", "feature")
-    mean = F.sum(F.col("n") * F.col("mean")).over(whole) / F.sum("n").over(whole)
-    parts = parts.withColumn("_mean", mean)
-    square = F.col("m2") + F.col("n") * (F.col("mean") - F.col("_mean")) * (F.col("mean") - F.col("_mean"))
-    total = parts.groupBy("station_id", "feature").agg(
-        F.sum("n").alias("n"), F.first("_mean").alias("mean"), F.sum(square).alias("_m2")
-    )
-    return total.select("station_id", "feature", "n", "mean", windows.scale_of(F.sqrt(F.col("_m2") / F.col("n"))))
-
-
-def fit_ridge(
-    narrow: DataFrame, scalers: DataFrame, lookback: int, horizon: int, penalty: float = 1.0
+def score(
+    narrow: DataFrame, models: DataFrame, lookback: int, horizon: int = 0, targets=FEATURES, block_days: int | None = None
 ) -> DataFrame:
-    """Ridge weights per station from month rows, intercept unpenalised.
-
-    scalers: station_id, cut_ts and `scaler_arrays`. A station month gives one matrix, Spark adds the
-    matrices row by row, and each station's system - its size depends only on the window shape - is
-    solved in the executors. No window is stored and no sample reaches the driver.
-    """
-
-    def gram(rows: pa.Table, known: pa.Table) -> pa.Table:
-        total = np.zeros((0, 0))
-        if len(rows) and len(known) and known["cut_ts"][0].as_py() is not None:
-            w = _MonthWindows(rows, lookback, horizon)
-            mine = w.ts <= np.datetime64(known["cut_ts"][0].as_py()) if len(w.refs) else np.zeros(0, bool)
-            if mine.any():
-                get = lambda c: np.array(known[c][0].as_py(), float)
-                x = ((w.x[mine] - get("x_mean")) / get("x_scale")).reshape(int(mine.sum()), -1)
-                y = ((w.y[mine] - get("y_mean")) / get("y_scale")).reshape(len(x), -1)
-                a = np.hstack([x, np.ones((len(x), 1))])
-                total = a.T @ np.hstack([a, y])
-        station = rows["station_id"][0].as_py() if len(rows) else None
-        columns = [
-            pa.array([station] * len(total), pa.string()),
-            pa.array(range(len(total)), pa.int32()),
-            pa.array(list(total), pa.list_(pa.float64())),
-        ]
-        return pa.table(columns, names=["station_id", "i", "g"])
-
-    partial = _per_month(narrow, scalers).applyInArrow(gram, "station_id string, i int, g array<double>")
-    total = (
-        partial.select("station_id", "i", array_to_vector("g").alias("g"))
-        .groupBy("station_id", "i")
-        .agg(Summarizer.sum(F.col("g")).alias("g"))
-        .select("station_id", "i", vector_to_array("g").alias("g"))
-    )
-
-    def solve(rows: pd.DataFrame) -> pd.DataFrame:
-        m = np.vstack(rows.sort_values("i")["g"].to_numpy())
-        size = len(m)
-        ridge = np.eye(size) * penalty
-        ridge[-1, -1] = 0.0
-        weights = np.linalg.solve(m[:, :size] + ridge, m[:, size:])
-        n = m[-1, size - 1]
-        return pd.DataFrame(
-            {"station_id": [rows["station_id"].iloc[0]], "n_samples": [n], "weights": [weights.ravel()]}
-        )
-
-    return total.groupBy("station_id").applyInPandas(solve, MODEL_SCHEMA)
-
-
-def score(narrow: DataFrame, models: DataFrame, lookback: int, horizon: int = 0, targets=FEATURES) -> DataFrame:
     """Predicted deltas (`delta`, steps x targets, physical units) of the windows of month rows.
 
     narrow carries latitude, longitude and `_origin`, which chooses the reference times. models: weights
-    and scalers, and what else is to be carried along for a station (model_version, cut_ts). With a
-    horizon the observed deltas `y` come along and windows without a full future have no row.
+    and scalers, and what else is to be carried along for a station (model_version, cut_ts); with `_month`
+    each is for that block of `block_days` alone. With a horizon the observed deltas `y` come along and windows without a full future have no row.
     """
     extra = [c for c in ("model_version", "cut_ts") if c in models.columns]
     kinds = {"model_version": "string", "cut_ts": "timestamp_ntz"}
@@ -168,7 +32,7 @@ def score(narrow: DataFrame, models: DataFrame, lookback: int, horizon: int = 0,
     def run(rows: pa.Table, known: pa.Table) -> pa.Table:
         if not len(rows) or not len(known):
             return schema.empty_table()
-        w = _MonthWindows(rows, lookback, horizon)
+        w = MonthWindows(rows, lookback, horizon, block_days)
         keep = w.column("_origin").fill_null(False).to_numpy(zero_copy_only=False) if len(w.refs) else np.zeros(0, bool)
         if not keep.any():
             return schema.empty_table()
@@ -184,16 +48,16 @@ def score(narrow: DataFrame, models: DataFrame, lookback: int, horizon: int = 0,
             w.column("latitude").filter(mask).cast(pa.float64()),
             w.column("longitude").filter(mask).cast(pa.float64()),
             w.column("_out").filter(mask).cast(pa.list_(pa.float64())),
-            _nested(scaled * get("y_scale") + get("y_mean")),
+            nested(scaled * get("y_scale") + get("y_mean")),
         ]
         if horizon:
-            columns.append(_nested(np.ascontiguousarray(w.y[keep])))
+            columns.append(nested(np.ascontiguousarray(w.y[keep])))
         columns += [pa.array([known[c][0].as_py()] * n, arrow[c]) for c in extra]
         return pa.Table.from_arrays(columns, schema=schema)
 
     shape = "station_id string, ts_ref timestamp_ntz, latitude double, longitude double, last_actual array<double>, delta array<array<double>>"
     shape += ", y array<array<double>>" * bool(horizon) + "".join(f", {c} {kinds[c]}" for c in extra)
-    return _per_month(narrow, models).applyInArrow(run, shape)
+    return per_month(narrow, models).applyInArrow(run, shape)
 
 
 def is_finite(delta="delta"):
@@ -238,6 +102,28 @@ def to_forecast(
     )
 
 
+def fit_ridge(
+    rows: DataFrame,
+    lookback: int = 24,
+    horizon: int = 6,
+    penalty: float = 1.0,
+    share: float = 0.8,
+    step_minutes: int = 60,
+    inputs=INPUT_FEATURES,
+    targets=FEATURES,
+) -> DataFrame:
+    """Fits every station on the first `share` of its samples, in one pass over its rows.
+
+    Weights, both scalers (which see training samples only), the number of training samples, cut_ts and
+    the mean square error over the held-out samples all come from the moments of station months. No
+    window is stored, none is scored and no sample reaches the driver.
+    """
+    narrow = windows.month_rows(rows, lookback, horizon, step_minutes, inputs, targets)
+    cut = windows.split_of_rows(rows, lookback, horizon, share, step_minutes).select("station_id", "cut_ts")
+    parts = moments.month_moments(narrow, lookback, horizon, step_minutes, cut)
+    return moments.fit(parts, lookback, horizon, len(inputs), penalty).join(cut, "station_id")
+
+
 def train_and_score(
     rows: DataFrame,
     lookback: int = 24,
@@ -247,22 +133,19 @@ def train_and_score(
     step_minutes: int = 60,
     inputs=INPUT_FEATURES,
     targets=FEATURES,
+    store=lambda model: model,
 ) -> tuple[DataFrame, DataFrame]:
-    """Fits on the first `share` of samples, scores every sample. Returns (model, scored).
+    """Fits on the first `share` of samples, scores every sample. Returns (model with its cut, scored).
 
-    The model holds weights and both scalers, which see training samples only. `rows` are read several
-    times: pass the stored feature rows. They are narrow; windows exist only inside a task, as views.
+    `store` writes the model and reads it back, so that whoever reads the scores doesn't fit again. `rows`
+    are read more than once: pass the stored feature rows.
     """
+    model = store(fit_ridge(rows, lookback, horizon, penalty, share, step_minutes, inputs, targets))
     narrow = windows.month_rows(
         rows.withColumn("_origin", F.lit(True)), lookback, horizon, step_minutes, inputs, targets,
         keep=("latitude", "longitude", "_origin"),
     )
-    cut = windows.split_of_rows(rows, lookback, horizon, share, step_minutes).select("station_id", "cut_ts")
-    x_stats = windows.scaler_stats(rows, lookback, horizon, step_minutes, inputs, until=cut)
-    y_stats = target_stats(narrow, cut, lookback, horizon, targets)
-    scalers = cut.join(scaler_arrays(x_stats, y_stats, inputs, targets), "station_id")
-    model = fit_ridge(narrow, scalers, lookback, horizon, penalty).join(scalers, "station_id")
-    return model.drop("cut_ts"), score_known(narrow, model, lookback, horizon, targets)
+    return model, score_known(narrow, model, lookback, horizon, targets)
 
 
 def score_known(narrow: DataFrame, model: DataFrame, lookback: int, horizon: int, targets=FEATURES) -> DataFrame:
@@ -272,21 +155,12 @@ def score_known(narrow: DataFrame, model: DataFrame, lookback: int, horizon: int
     return scored.withColumn("is_train", is_train).drop("cut_ts")
 
 
-def registry_rows(model: DataFrame, scored: DataFrame, rows: DataFrame, base: str, trained_at) -> DataFrame:
-    """One registry row per fitted station: version, sample count, last telemetry hour, validation error.
-
-    The error is the mean square of the deltas over the samples that were held out, over all samples
-    where none were.
-    """
+def registry_rows(model: DataFrame, rows: DataFrame, base: str, trained_at) -> DataFrame:
+    """One registry row per fitted station: version, sample count, last telemetry hour, validation error
+    (that of the very model, over the samples that were held out, over all where none were)."""
     at = times.instant(trained_at)
-    pairs = F.arrays_zip(F.flatten("delta").alias("p"), F.flatten("y").alias("a"))
-    errors = scored.select("station_id", "is_train", F.explode(pairs).alias("v"))
-    square = (F.col("v.p") - F.col("v.a")) * (F.col("v.p") - F.col("v.a"))
-    errors = errors.groupBy("station_id").agg(
-        F.coalesce(F.avg(F.when(~F.col("is_train"), square)), F.avg(square)).alias("metrics_mse")
-    )
     last = rows.groupBy("station_id").agg(F.max("ts").alias("last_ts"))
-    return model.join(last, "station_id").join(errors, "station_id").select(
+    return model.join(last, "station_id").select(
         "station_id",
         version_name(base, F.date_format("last_ts", "yyyy_MM"), at).alias("model_version"),
         at.alias("trained_at"),

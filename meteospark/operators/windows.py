@@ -31,20 +31,26 @@ def month_rows(
     inputs=INPUT_FEATURES,
     targets=FEATURES,
     keep=(),
+    block_days: int | None = None,
 ) -> DataFrame:
     """The rows each month's windows need: its own, `lookback` - 1 before them and `ahead` after them.
 
     station_id, ts, _in, _out, `keep` and _month. A row goes to more than one month near a border only.
+    With `block_days` blocks of so many days, counted from 1970, take the place of months.
     """
-    first_user = F.trunc(F.col("ts") - times.minutes(ahead * step_minutes), "MM")
-    last_user = F.trunc(F.col("ts") + times.minutes((lookback - 1) * step_minutes), "MM")
+    if block_days is None:
+        block, every = lambda ts: F.trunc(ts, "MM"), F.expr("INTERVAL 1 MONTH")
+    else:
+        block, every = lambda ts: times.floor_slot(ts, 1440 * block_days), F.expr(f"INTERVAL '{block_days}' DAY")
+    first_user = block(F.col("ts") - times.minutes(ahead * step_minutes))
+    last_user = block(F.col("ts") + times.minutes((lookback - 1) * step_minutes))
     return rows.select(
         "station_id",
         "ts",
         _vector(inputs).alias("_in"),
         _vector(targets).alias("_out"),
         *keep,
-        F.explode(F.sequence(first_user, last_user, F.expr("INTERVAL 1 MONTH"))).alias("_month"),
+        F.explode(F.sequence(first_user, last_user, every)).alias("_month"),
     )
 
 

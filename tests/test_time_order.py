@@ -40,7 +40,7 @@ def test_backtest_ignores_what_comes_later(spark):
     changed = data.copy()
     changed.loc[changed["ts"] > last_origin, list(FEATURES)] += 50
     run = lambda d: predictions(
-        flow.backtest(frame(spark, d), frame(spark, PLACES), begin, end, 6, settings(), session.run_folder(spark))
+        flow.backtest_forecasts(frame(spark, d), frame(spark, PLACES), begin, end, 6, settings(), session.run_folder(spark))
     )
     one, two = run(data), run(changed)
     assert len(one) == 2 * 8 * 3 and one.equals(two)
@@ -79,7 +79,7 @@ def test_stored_models_predict_in_another_session(spark, monkeypatch):
     monkeypatch.setattr(model, "fit_ridge", no_fit)
     other: SparkSession = spark.newSession()
     other.conf.set("spark.sql.session.timeZone", "UTC")
-    observed = flow.observed_hours(frame(other, data), settings())
+    observed = flow.observed_hours(frame(other, data), frame(other, PLACES), settings())
     out = flow.predict(
         observed, frame(other, PLACES), other.read.parquet(f"{folder}/models"), other.read.parquet(f"{folder}/registry"), settings()
     )["forecast"]
@@ -94,7 +94,7 @@ def test_windows_without_a_past_are_rejected(spark):
     data = telemetry(24 * 6)
     fit = flow.train(flow.resample.clean_hourly(frame(spark, data)), frame(spark, PLACES), settings(), session.run_folder(spark))
     data.loc[data.station_id == "a", "rain"] = np.nan
-    observed = flow.observed_hours(frame(spark, data), settings())
+    observed = flow.observed_hours(frame(spark, data), frame(spark, PLACES), settings())
     out = flow.predict(observed, frame(spark, PLACES), fit["models"], fit["registry"], settings())
     assert {r.station_id for r in out["forecast"].collect()} == {"b"}
     assert {r.station_id for r in out["rejected"].collect()} == {"a"}
