@@ -22,6 +22,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until no column of the table is called so (in any case)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def seeded(*columns: Column | str | int) -> Column:
     """A uniform number in 0 .. 2^52 - 1, the same on every run."""
     parts = [F.lit(c) if isinstance(c, int) else F.col(c) if isinstance(c, str) else c for c in columns]

@@ -9,6 +9,7 @@ and a spanning forest of them, never pairs.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from fractions import Fraction
 from hashlib import blake2b
 
@@ -17,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meteospark.llm.common import stored
+from meteospark.llm.common import fresh, stored
 from meteospark.llm.components import components
 from meteospark.llm.hashing import mixed, slices, word_windows
 
@@ -89,12 +90,23 @@ def _row_key(id_column: str, text_column: str) -> Column:
     return F.xxhash64(F.col(id_column).cast("long"), F.col(text_column))
 
 
+def _small(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The batches in parts, so that few texts at a time are Python objects."""
+    for batch in batches:
+        for lo in range(0, len(batch), rows):
+            yield batch.slice(lo, rows)
+
+
+def _near(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(NEAR_KEYS))
+
+
 def signatures(docs: DataFrame, n: int, bands: int, rows: int, id_column: str, text_column: str) -> DataFrame:
     """id, key, node, grams (set size), bands; node and bands are null for texts without words."""
 
     def run(batches):
         hasher = MinHash(bands, rows)
-        for batch in batches:
+        for batch in _small(batches):
             texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
             for lo, hi in slices(texts):
                 sets = gram_sets(texts[lo:hi], n)
@@ -124,7 +136,7 @@ def _with_sets(docs: DataFrame, n: int) -> DataFrame:
     """docs (text, node, ...) of those rows whose text has the node, with the set in place of the text."""
 
     def run(batches):
-        for batch in batches:
+        for batch in _small(batches):
             texts = [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
             expected = batch.column("node").to_pylist()
             found = []
@@ -273,10 +285,9 @@ def _classes(
     placed = clusters.join(sizes.select("root", "parts"), "root").withColumn("slot", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     texts = docs.select(_row_key(id_column, text_column).alias("key"), F.col(text_column).alias("text"))
     reps = placed.select("key", "node", "root", "copies", "slot", "parts")
-    near = lambda c: F.pmod(F.xxhash64(c), F.lit(NEAR_KEYS)).alias("near")
     # at most NEAR_KEYS numbers are broadcast: most texts in no cluster are left out before the join
-    wanted = F.broadcast(reps.select(near("key")).distinct())
-    texts = texts.withColumn("near", near("key")).join(wanted, "near", "left_semi").drop("near")
+    wanted = F.broadcast(reps.select(_near("key").alias("near")).distinct())
+    texts = texts.withColumn("near", _near("key")).join(wanted, "near", "left_semi").drop("near")
     # a row meets the one node of its own text, whatever its id; of copies of a row one does
     sets = _with_sets(texts.dropDuplicates(["key"]).join(reps, "key").drop("key"), n)
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
@@ -317,10 +328,22 @@ def one_of_each(
 
     Rows are judged by id and text, so those that share an id or have none are documents like others;
     a row without an id stays if its class has no ids. Texts without words are no copies of each other.
-    Columns are those of `docs`.
+    Very long texts are judged whole, an empty table gives none. Columns are those of `docs`, whatever
+    their names. Whole rows are shuffled only where they may be copies; a prefilter of NEAR_KEYS numbers
+    tells, which tells less once the copies are more than about as many.
     """
     signed, known = _classes(docs, n, threshold, recall, id_column, text_column)
-    judged = signed.select("node", "key").join(known.select("node", "head"), "node")
-    gone = judged.where("key <> head").select(F.col("key").alias("_text")).distinct()
-    kept = docs.withColumn("_text", _row_key(id_column, text_column)).join(gone, "_text", "left_anti")
-    return kept.dropDuplicates([id_column, "_text"]).select(*docs.columns)
+    judged = signed.select("node", "key").join(known.select("node", "head"), "node", "left")
+    # null where a text without words is no copy of any
+    keys = judged.groupBy("key").agg(F.count("*").alias("rows"), F.first(F.col("key") == F.col("head")).alias("stays"))
+    keys = stored(keys.where("rows > 1 OR NOT stays").select("key", F.coalesce("stays", F.lit(True)).alias("stays")), "judged")
+    key, mark, stays = fresh(docs, "_row_key", "_near", "_stays")
+    marks = F.broadcast(keys.select(_near("key").alias(mark)).distinct().withColumn(stays, F.lit(True)))
+    # at most NEAR_KEYS numbers are broadcast: rows that hit none of them are judged in the scan and stay
+    marked = docs.withColumn(key, _row_key(id_column, text_column))
+    marked = marked.withColumn(mark, _near(key))
+    alone = marked.join(marks, mark, "left_anti")
+    others = marked.join(marks.drop(stays), mark, "left_semi")
+    others = others.join(keys.withColumnsRenamed({"key": key, "stays": stays}), key, "left")
+    others = others.where(F.coalesce(F.col(stays), F.lit(True))).dropDuplicates([key])
+    return alone.select(*docs.columns).unionAll(others.select(*docs.columns))

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meteospark.llm.common import WORD, cumulated, group_key, seeded, stored
+from meteospark.llm.common import WORD, cumulated, fresh, group_key, seeded, stored
 
 _SPACE = float(1 << 52)
 #: Interior points of one search round and rounds: 63 points are six bisection steps at once.
@@ -184,12 +184,13 @@ def mixture_of(
 
     What a cut pass keeps are the rows up to an order number, so a table of one number for each source
     and pass says it all, and texts aren't shuffled. Equal ids of a source share their order number and
-    stay or go together. Columns are those of `docs`.
+    stay or go together. Null and empty texts have no tokens and stay, very long ones count whole; an
+    empty table gives no rows. Columns are those of `docs`, whatever their names.
     """
     slim = stored(slim_documents(docs, id_column, source_column, text_column), "tokens")
     targets, _, _ = weights(slim, max_repetition, target_entropy, budget)
-    cuts = stored(
-        _streamed(slim, targets, seed).groupBy("key", "pass").agg(F.max("_order").alias("_cut")), "cuts"
-    ).select(F.col("key").alias("_key"), F.col("pass").alias("_pass"), "_cut")
-    keyed = docs.withColumn("_key", group_key(source_column)).join(cuts, "_key")
-    return keyed.where(seeded(seed, "_key", "_pass", id_column) <= F.col("_cut")).select(*docs.columns)
+    key, number, cut = fresh(docs, "_key", "_pass", "_cut")
+    cuts = stored(_streamed(slim, targets, seed).groupBy("key", "pass").agg(F.max("_order").alias("upto")), "cuts")
+    cuts = cuts.select(F.col("key").alias(key), F.col("pass").alias(number), F.col("upto").alias(cut))
+    keyed = docs.withColumn(key, group_key(source_column)).join(cuts, key)
+    return keyed.where(seeded(seed, key, number, id_column) <= F.col(cut)).select(*docs.columns)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meteospark.llm.common import group_key, stored
+from meteospark.llm.common import fresh, group_key, stored
 
 _WHITE = b" \t\n\r\x0b\x0c"
 _SYMBOLS = b"#*$%&|<>"
@@ -61,14 +61,15 @@ def measure(text: str | None) -> tuple[int, ...]:
 
 
 def measured(docs: DataFrame, text_column: str = "text", out: str = "_measured") -> DataFrame:
-    """Adds the struct column `out` with FIELDS; all other columns are passed on."""
+    """Adds the struct column `out` with FIELDS; all other columns are passed on as they are."""
     at = docs.columns.index(text_column)
     kind = pa.struct([(f, pa.int64()) for f in FIELDS])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [dict(zip(FIELDS, measure(t.as_py()))) for t in batch.column(at)]
-            column = pa.array(rows, kind)
+            found = [measure(t.as_py()) for t in batch.column(at)]
+            columns = [pa.array(c, pa.int64()) for c in zip(*found)] if found else [pa.array([], pa.int64())] * len(FIELDS)
+            column = pa.StructArray.from_arrays(columns, fields=list(kind))
             yield pa.RecordBatch.from_arrays([*batch.columns, column], [*batch.schema.names, out])
 
     fields = T.StructType([T.StructField(f, T.LongType()) for f in FIELDS])
@@ -147,27 +148,30 @@ def judged(
     """Adds to `docs` the struct `out` (FIELDS) and the booleans `_base_failed` and `_kept`.
 
     A document fails by a base rule, or by a strict rule if its host is bad; clean documents of a bad
-    host stay. A null host is a host of its own. Null and empty texts have no words and fail as short.
-    Repeated rows are judged alike; empty tables give no rows. The documents' own columns may have any
-    names but those three. Texts are measured twice: once to sum up the hosts, once for the result.
+    host stay. A null host is a host of its own. Null and empty texts have no words and fail as short;
+    very long texts are measured whole, one at a time. Repeated rows are judged alike; empty tables give
+    no rows. The documents' own columns may have any names but those three. Texts are measured twice:
+    once to sum up the hosts, once for the result.
     """
     rules = {**BASE, **STRICT}
-
-    def flagged(df):
-        m = measured(df, text_column, out)
-        return m.withColumn("_key", group_key(host_column))
-
-    flags = [F.expr(rule.format(m=out)).alias(name) for name, rule in rules.items()]
-    slim = flagged(docs.select(host_column, text_column)).select("_key", *flags)
-    bad = stored(host_verdicts(slim, "_key", list(rules)).where("bad").select("_key"), "bad_hosts")
-    full = flagged(docs).join(bad.withColumn("_bad", F.lit(True)), "_key", "left").drop("_key")
-    return (
-        full.withColumn("_base_failed", base_failed(out))
-        .withColumn("_kept", ~F.col("_base_failed") & ~(F.coalesce("_bad", F.lit(False)) & strict_failed(out)))
-        .drop("_bad")
-    )
+    key, is_bad = fresh(docs, "_key", "_bad")
+    flags = [F.expr(rule.format(m="_m")).alias(name) for name, rule in rules.items()]
+    slim = docs.select(group_key(host_column).alias("_host"), F.col(text_column).alias("_text"))
+    slim = measured(slim, "_text", "_m").select("_host", *flags)
+    bad = stored(host_verdicts(slim, "_host", list(rules)).where("bad").select("_host"), "bad_hosts")
+    bad = bad.select(F.col("_host").alias(key), F.lit(True).alias(is_bad))
+    full = measured(docs, text_column, out).withColumn(key, group_key(host_column)).join(bad, key, "left")
+    kept = ~base_failed(out) & ~(F.coalesce(F.col(is_bad), F.lit(False)) & strict_failed(out))
+    return full.withColumns({"_base_failed": base_failed(out), "_kept": kept}).drop(key, is_bad)
 
 
 def keep_clean(docs: DataFrame, host_column: str = "source", text_column: str = "text") -> DataFrame:
-    """The documents that pass, with their own columns."""
-    return judged(docs, host_column, text_column).where("_kept").select(*docs.columns)
+    """The documents that pass, with their own columns, whatever these are called.
+
+    Nulls, empty and very long texts, repeated rows and empty tables are as in `judged`.
+    """
+    (out,) = fresh(docs, "_measured")
+    renamed = docs.withColumnsRenamed({c: f"{c}__" for c in docs.columns if c.lower() in ("_base_failed", "_kept")})
+    names = renamed.columns
+    kept = judged(renamed, host_column, text_column, out).where("_kept").select(*names)
+    return kept.withColumnsRenamed(dict(zip(names, docs.columns)))

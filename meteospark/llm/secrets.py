@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from meteospark.llm.common import fresh
+
 KINDS = ("assign", "access", "hex", "entropy")
 ASSIGN = (
     r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -265,12 +267,13 @@ def redact_secrets(docs: DataFrame, text_column: str = "text", chars_column: str
 
     Besides the spans of `scan_secrets`, whole parts of candidates go once one of their windows is high.
     """
-    scanned = scan_secrets(docs, text_column, "_secret_spans")
+    (found,) = fresh(docs, "_secret_spans")
+    scanned = scan_secrets(docs, text_column, found)
     parts = part_spans(F.coalesce(F.col(text_column), F.lit("")))
-    scanned = scanned.withColumn("_secret_spans", F.array_sort(F.concat("_secret_spans", parts)))
-    clean = scanned.withColumn(text_column, redacted(F.col(text_column), F.col("_secret_spans")))
+    scanned = scanned.withColumn(found, F.array_sort(F.concat(found, parts)))
+    clean = scanned.withColumn(text_column, redacted(F.col(text_column), F.col(found)))
     if chars_column in docs.columns:
         length = F.length(text_column).cast(docs.schema[chars_column].dataType)
-        counted = F.when(F.size("_secret_spans") > 0, length).otherwise(F.col(chars_column))
+        counted = F.when(F.size(found) > 0, length).otherwise(F.col(chars_column))
         clean = clean.withColumn(chars_column, counted)
-    return clean.drop("_secret_spans")
+    return clean.drop(found)
