@@ -16,8 +16,8 @@ from tokenizers import Tokenizer
 
 from meteospark.llm.common import cumulated, seeded, stored
 
-#: Words, and parts of words, whose ids a worker process remembers; a full table starts anew.
-_REMEMBERED = 1 << 19
+#: Words, and parts of words, in a young table that a worker process remembers, and their longest length.
+_REMEMBERED, _LONGEST = 1 << 17, 64
 #: Documents whose new words are learnt at once.
 _AT_ONCE = 512
 #: What the splitting rule of a tokenizer file must be for words to be cut here, and the same rule for
@@ -30,6 +30,10 @@ _PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[
 class _WordIds:
     """Ids of space-free strings as little-endian unsigned 32-bit bytes, in `known` once learnt.
 
+    A full table becomes the old one, of which words that come again are taken back, and the one before it
+    goes: common words stay, and memory holds two tables of short strings. Longer ones are forgotten by
+    `forget_long`.
+
     Where the tokenizer's rule allows, a string is cut into parts here, and all new parts go to the
     tokenizer in one text: each comes back as tokens of which only the last ends a word.
     """
@@ -46,21 +50,32 @@ class _WordIds:
             self.ends[i] = bool(suffix) and token.endswith(suffix)
         self.known: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
+        self.old_known: dict[str, bytes] = {}
+        self.old_parts: dict[str, bytes] = {}
+        self.long: list[str] = []
+
+    @staticmethod
+    def _unknown(words: set[str], young: dict[str, bytes], old: dict[str, bytes]) -> list[str]:
+        """The words of neither table; those of the old one are taken back."""
+        missing = words.difference(young)
+        young.update((w, old[w]) for w in missing if w in old)
+        return [w for w in missing if w not in young]
 
     def learn(self, words: set[str]) -> None:
         if len(self.known) >= _REMEMBERED:
-            self.known.clear()
+            self.known, self.old_known = {}, self.known
         if len(self.parts) >= _REMEMBERED:
-            self.parts.clear()
+            self.parts, self.old_parts = {}, self.parts
         cut = {}
-        for word in words.difference(self.known):
+        for word in self._unknown(words, self.known, self.old_known):
+            if len(word) > _LONGEST:
+                self.long.append(word)
             if self.cut and _PLAIN.fullmatch(word) and "<|" not in word:
                 cut[word] = _PARTS.findall(word.lower())
             else:
                 self.known[word] = self._ids(word).tobytes()
-        new = set().union(*cut.values()).difference(self.parts)
-        if new:
-            order = list(new)
+        order = self._unknown(set().union(*cut.values()), self.parts, self.old_parts)
+        if order:
             ids = self._ids(" ".join(order))
             ends = (np.flatnonzero(self.ends[ids]) + 1) * 4
             data, at = ids.tobytes(), 0
@@ -70,6 +85,15 @@ class _WordIds:
         part = self.parts.__getitem__
         for word, found in cut.items():
             self.known[word] = b"".join(map(part, found))
+        for part in order:
+            if len(part) > _LONGEST:
+                del self.parts[part]
+
+    def forget_long(self) -> None:
+        """To be called when the words learnt last are done with."""
+        for word in self.long:
+            self.known.pop(word, None)
+        self.long.clear()
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
@@ -94,7 +118,8 @@ def token_pieces(
 
     The tokenizer's file must drop white space and split at it, so ids are joined from those of the
     parts between spaces and line feeds, each worked out once per worker process as long as it is
-    remembered. A null text is empty.
+    remembered. A null text is empty; of a very long one all pieces come from one row. Null and repeated
+    ids are passed on, empty tables give no rows, other columns aren't read.
     """
     end = end_id.to_bytes(4, "little")
     fields = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
@@ -119,6 +144,7 @@ def token_pieces(
                         sums.append(zlib.crc32(part))
                         if with_ids:
                             ids.append(np.frombuffer(part, "<u4").astype("i4"))
+                known.forget_long()
             columns = [
                 batch.column(0).take(pa.array(docs_of, pa.int64())),
                 pa.array(pieces, pa.int32()),
