@@ -24,10 +24,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meteospark.llm.common import stored
 from meteospark.llm.hashing import decode_sorted, encode_sorted, members, word_windows
 
-#: Bytes of text in a chunk, about; cells of a sketch block; bytes of text a block of exact counts serves.
+#: Bytes of text in a chunk, about, and cells of a sketch block, both for up to a terabyte; bytes of text a block of exact counts serves.
 CHUNK_BYTES, BLOCK_BITS, EXACT_BYTES = 8 << 20, 24, 16 << 20
+#: What a row counts for besides its text, and the most kinds of equal rows that are folded.
+ROW_BYTES, LARGE_ROWS = 64, 1 << 16
 _SEEDS = (0x51ED270B, 0xC2B2AE3D)
 #: One odd multiplier for each row of the sketch.
 _ROWS = tuple(np.uint64(x) for x in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F))
@@ -52,26 +55,43 @@ def _messages(rows: list[tuple[int, int, bytes]]) -> pa.Table:
 
 
 def _cells(windows: np.ndarray, owners: np.ndarray, row: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """A chunk's cells of one sketch row, sorted, each with whether two of its documents touch it."""
-    cell = (windows * _ROWS[row]) >> np.uint64(64 - bits)
-    pairs = np.sort((cell << np.uint64(24)) | (owners.astype(np.uint64) & np.uint64(0xFFFFFF)))
-    if len(pairs):
-        pairs = pairs[np.concatenate([[True], pairs[1:] != pairs[:-1]])] >> np.uint64(24)
-    first = np.concatenate([[True], pairs[1:] != pairs[:-1]]) if len(pairs) else np.zeros(0, bool)
-    at = np.flatnonzero(first)
-    return pairs[at], np.diff(at, append=len(pairs)) > 1
-
+    """A chunk's cells of one sketch row, sorted, each with whether two of its documents touch it.
 
-def _blocks(cells: np.ndarray, bits: int) -> list[tuple[int, slice]]:
+    Cell and document are sorted as one number where both fit into 64 bits, else by two keys.
+    """
+    cell = (windows * _ROWS[row]) >> np.uint64(64 - bits)
+    if not len(cell):
+        return cell, np.zeros(0, bool)
+    width = int(owners.max()).bit_length()
+    if bits + width <= 64:
+        shift = np.uint64(width)
+        pairs = np.sort((cell << shift) | owners.astype(np.uint64))
+        cells, new = pairs >> shift, pairs[1:] != pairs[:-1]
+    else:
+        order = np.lexsort((owners, cell))
+        cells, docs = cell[order], owners[order]
+        new = (cells[1:] != cells[:-1]) | (docs[1:] != docs[:-1])
+    cells = cells[np.concatenate([[True], new])]
+    at = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]]))
+    return cells[at], np.diff(at, append=len(cells)) > 1
+
+
+def _runs(blocks: np.ndarray) -> list[tuple[int, slice]]:
+    """The blocks in sorted numbers of blocks, and where each lies; blocks that aren't there cost nothing."""
+    if not len(blocks):
+        return []
+    at = np.flatnonzero(np.concatenate([[True], blocks[1:] != blocks[:-1]]))
+    ends = [*at[1:].tolist(), len(blocks)]
+    return [(b, slice(lo, hi)) for b, lo, hi in zip(blocks[at].tolist(), at.tolist(), ends)]
+
+
+def _blocks(cells: np.ndarray, block_bits: int = BLOCK_BITS) -> list[tuple[int, slice]]:
     """The blocks that sorted cells fall into, and where."""
-    size = 1 << BLOCK_BITS
-    ids = np.arange((1 << bits) // size + 1) * size
-    cuts = np.searchsorted(cells, ids.astype(np.uint64))
-    return [(i, slice(a, b)) for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a]
+    return _runs(cells >> np.uint64(block_bits))
 
 
-def _send_sketch(window: int, bits: int):
-    per_row = (1 << bits) >> BLOCK_BITS
+def _send_sketch(window: int, bits: int, block_bits: int):
+    per_row = (1 << bits) >> block_bits
 
     def run(table: pa.Table) -> pa.Table:
         texts, _ = _raw(table)
@@ -79,34 +99,37 @@ def _send_sketch(window: int, bits: int):
         rows, chunk = [], table["chunk"][0].as_py()
         for row in range(len(_ROWS)):
             cells, several = _cells(hashes, owners, row, bits)
-            for block, part in _blocks(cells, bits):
-                inside = (cells[part] & np.uint64((1 << BLOCK_BITS) - 1)).astype(np.int64)
-                payload = encode_sorted(2 * inside + several[part])
-                rows.append((chunk, row * per_row + block, payload))
+            inside = (cells & np.uint64((1 << block_bits) - 1)).astype(np.int64)
+            for block, part in _blocks(cells, block_bits):
+                rows.append((chunk, row * per_row + block, encode_sorted(2 * inside[part] + several[part])))
         return _messages(rows)
 
     return run
 
 
-def _merge_sketch(table: pa.Table) -> pa.Table:
+def _merge_sketch(block_bits: int):
     """Adds up the parts of one block (counts stop at two) and answers each chunk."""
-    counts = np.zeros(1 << BLOCK_BITS, np.uint8)
-    payloads = table["payload"]
-    for p in payloads:
-        coded = decode_sorted(p.as_py())
-        cells = coded >> 1
-        counts[cells] = np.minimum(counts[cells] + 1 + (coded & 1), 2)
-    block = table["block"][0].as_py()
-    rows = []
-    for chunk, p in zip(table["chunk"].to_pylist(), payloads):
-        reached = counts[decode_sorted(p.as_py()) >> 1] >= 2
-        if reached.any():
-            rows.append((chunk, block, np.packbits(reached).tobytes()))
-    return _messages(rows)
+
+    def run(table: pa.Table) -> pa.Table:
+        counts = np.zeros(1 << block_bits, np.uint8)
+        payloads = table["payload"]
+        for p in payloads:
+            coded = decode_sorted(p.as_py())
+            cells = coded >> 1
+            counts[cells] = np.minimum(counts[cells] + 1 + (coded & 1), 2)
+        block = table["block"][0].as_py()
+        rows = []
+        for chunk, p in zip(table["chunk"].to_pylist(), payloads):
+            reached = counts[decode_sorted(p.as_py()) >> 1] >= 2
+            if reached.any():
+                rows.append((chunk, block, np.packbits(reached).tobytes()))
+        return _messages(rows)
+
+    return run
 
 
-def _send_candidates(window: int, bits: int, exact_bits: int):
-    per_row = (1 << bits) >> BLOCK_BITS
+def _send_candidates(window: int, bits: int, exact_bits: int, block_bits: int):
+    per_row = (1 << bits) >> block_bits
 
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         if not len(docs) or not len(answers):
@@ -118,7 +141,7 @@ def _send_candidates(window: int, bits: int, exact_bits: int):
         for row in range(len(_ROWS)):
             cells, _ = _cells(one, owners, row, bits)
             reached = []
-            for block, part in _blocks(cells, bits):
+            for block, part in _blocks(cells, block_bits):
                 mask = masks.get(row * per_row + block)
                 if mask:
                     found = cells[part]
@@ -136,10 +159,8 @@ def _send_candidates(window: int, bits: int, exact_bits: int):
         rows, chunk = [], docs["chunk"][0].as_py()
         one, two, several = one[at], two[at], most > least
         block_of = (one >> np.uint64(64 - exact_bits)).astype(np.int64) if exact_bits else np.zeros(len(one), np.int64)
-        cuts = np.searchsorted(block_of, np.arange((1 << exact_bits) + 1))
-        for block, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
-            if b > a:
-                rows.append((chunk, block, _pack(one[a:b], two[a:b], least[a:b], several[a:b])))
+        for block, part in _runs(block_of):
+            rows.append((chunk, block, _pack(one[part], two[part], least[part], several[part])))
         return _messages(rows)
 
     return run
@@ -244,17 +265,53 @@ def _remove(window: int, with_text: bool, fields: pa.Schema):
             if with_text:
                 kept_texts.append(kept.decode())
         columns = [docs["id"].combine_chunks(), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(digests)]
-        return pa.Table.from_arrays(columns + [pa.array(kept_texts)] * with_text, schema=fields)
+        columns += [pa.array(kept_texts)] * with_text + [docs["copies"].combine_chunks()]
+        return pa.Table.from_arrays(columns, schema=fields)
 
     return run
 
 
-def dealt_chunks(docs: DataFrame, id_column: str, text_column: str, chunk_bytes: int) -> tuple[DataFrame, int]:
-    """chunk, id, text: documents dealt into chunks of about chunk_bytes; and the bytes of all texts."""
-    size = docs.agg(F.sum(F.octet_length(text_column))).first()[0] or 0
-    chunks = -(-size // chunk_bytes) + 1
-    chunk = F.pmod(F.xxhash64(id_column, text_column), F.lit(chunks)).alias("chunk")
-    return docs.select(chunk, F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text")), size
+def sized_chunks(size: int) -> tuple[int, int]:
+    """(bytes of a chunk, bits of a sketch block) for a corpus of `size` bytes.
+
+    Both grow with the corpus, eightfold at most, so that a message from a chunk to a block carries cells
+    enough to be worth its row: at 100 TB a task holds 64 MB of text, or 128 MB of counts.
+    """
+    grown = min(3, max(0, int(size).bit_length() - 40))
+    return CHUNK_BYTES << grown, BLOCK_BITS + grown
+
+
+def dealt_chunks(docs: DataFrame, id_column: str, text_column: str, chunk_bytes: int | None) -> tuple[DataFrame, int]:
+    """chunk, id, text, copies: documents dealt into chunks of about chunk_bytes; and the bytes of all texts.
+
+    Equal rows (of one id and text, null or not) go into one chunk, whatever their number, so those that
+    would fill a part of it are folded into one row with their number; `expanded` unfolds them. Only
+    64-bit hashes of rows are shuffled to find them, and there are few: each has a quarter of a chunk, or
+    1 / LARGE_ROWS of the corpus.
+    """
+    slim = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
+    weight = F.coalesce(F.octet_length("text"), F.lit(0)) + ROW_BYTES
+    size, rows = slim.agg(F.sum(F.octet_length("text")), F.count("*")).first()
+    size = size or 0
+    held = size + ROW_BYTES * rows
+    chunk_bytes = chunk_bytes or sized_chunks(size)[0]
+    key = F.xxhash64("id", "text")
+    sums = slim.groupBy(key.alias("key")).agg(F.sum(weight).alias("held"), F.count("*").alias("rows"))
+    large = sums.where((F.col("rows") > 1) & (F.col("held") > max(chunk_bytes // 4, held // LARGE_ROWS))).select("key")
+    large = stored(large, "large_rows")
+    rest = slim.withColumn("copies", F.lit(1).cast("long"))
+    if large.limit(1).count():
+        keyed, few = slim.withColumn("key", key), F.broadcast(large)
+        folded = keyed.join(few, "key", "left_semi").groupBy("id", "text").agg(F.count("*").alias("copies"))
+        rest = keyed.join(few, "key", "left_anti").select("id", "text", F.lit(1).cast("long").alias("copies")).unionAll(folded)
+    chunk = F.pmod(F.xxhash64("id", "text"), F.lit(-(-held // chunk_bytes) + 1)).alias("chunk")
+    return rest.select(chunk, "id", "text", "copies"), size
+
+
+def expanded(result: DataFrame) -> DataFrame:
+    """As many rows as there were documents."""
+    names = [c for c in result.columns if c != "copies"]
+    return result.select(*names, F.explode(F.expr("array_repeat(0, int(copies))")).alias("copies")).drop("copies")
 
 
 def remove_repeated_windows(
@@ -263,7 +320,7 @@ def remove_repeated_windows(
     with_text: bool = False,
     id_column: str = "doc_id",
     text_column: str = "text",
-    chunk_bytes: int = CHUNK_BYTES,
+    chunk_bytes: int | None = None,
 ) -> DataFrame:
     """Removes each word covered by a window that also starts in a document with a smaller id.
 
@@ -272,20 +329,22 @@ def remove_repeated_windows(
 
     A null text has no words; texts shorter than a window lose nothing. A null id counts as larger than
     all others, and rows of one id never remove words of each other. Empty tables give no rows; other
-    columns aren't read. A very long text is one row of one chunk.
+    columns aren't read. A very long text is one row of one chunk. Sizes of chunks and blocks follow from
+    the corpus; chunk_bytes sets that of chunks instead, never the result.
     """
     chunked, size = dealt_chunks(docs, id_column, text_column, chunk_bytes)
-    bits = max(BLOCK_BITS, int(max(size, 1)).bit_length())  # six cells or more for each window
+    block_bits = sized_chunks(size)[1]
+    bits = max(block_bits, int(max(size, 1)).bit_length())  # six cells or more for each window
     exact_bits = int(max(size // EXACT_BYTES, 1)).bit_length() - 1
     by_chunk = chunked.groupBy("chunk")
-    sent = by_chunk.applyInArrow(_send_sketch(window, bits), _MESSAGE)
-    reached = sent.groupBy("block").applyInArrow(_merge_sketch, _MESSAGE)
+    sent = by_chunk.applyInArrow(_send_sketch(window, bits, block_bits), _MESSAGE)
+    reached = sent.groupBy("block").applyInArrow(_merge_sketch(block_bits), _MESSAGE)
     asked = by_chunk.cogroup(reached.groupBy("chunk")).applyInArrow(
-        _send_candidates(window, bits, exact_bits), _MESSAGE
+        _send_candidates(window, bits, exact_bits, block_bits), _MESSAGE
     )
     lost = asked.groupBy("block").applyInArrow(_group_exactly, _MESSAGE)
-    names = ["doc_id", "n_words", "n_removed", "kept_sha256"] + ["text"] * with_text
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+    names = ["doc_id", "n_words", "n_removed", "kept_sha256"] + ["text"] * with_text + ["copies"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string()] + [pa.string()] * with_text + [pa.int64()]
     fields = pa.schema(list(zip(names, kinds)))
-    shape = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", text string" * with_text
-    return by_chunk.cogroup(lost.groupBy("chunk")).applyInArrow(_remove(window, with_text, fields), shape)
+    shape = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", text string" * with_text + ", copies long"
+    return expanded(by_chunk.cogroup(lost.groupBy("chunk")).applyInArrow(_remove(window, with_text, fields), shape))

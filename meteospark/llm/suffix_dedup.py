@@ -36,7 +36,9 @@ from meteospark.llm.substring_dedup import (
     _blocks,
     _messages,
     _raw,
+    _runs,
     dealt_chunks,
+    expanded,
 )
 
 #: Bytes of a gram, texts hashed at once, bytes of one index.
@@ -126,7 +128,7 @@ def _send_sketch(window: int, bits: int):
         rows, chunk = [], table["chunk"][0].as_py()
         for row in range(len(_ROWS)):
             cells, counts = _cells(anchors, row, bits)
-            for block, part in _blocks(cells, bits):
+            for block, part in _blocks(cells):
                 inside = (cells[part] & np.uint64((1 << BLOCK_BITS) - 1)).astype(np.int64)
                 several = counts[part] > 1
                 more = np.minimum(counts[part][several], 0xFFFF).astype(np.uint16)
@@ -167,7 +169,7 @@ def _marked(anchors: np.ndarray, masks: dict[int, bytes], bits: int) -> tuple[np
     for row in range(len(_ROWS)):
         cells, _ = _cells(anchors, row, bits)
         reached, heated = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
-        for block, part in _blocks(cells, bits):
+        for block, part in _blocks(cells):
             mask = masks.get(row * per_row + block)
             if mask:
                 found = cells[part]
@@ -231,12 +233,10 @@ def _send_segments(window: int, bits: int, exact_bits: int):
         # anchors are the smallest hashes around, so their high bits are mixed first
         block_of = ((keys * _B) >> np.uint64(64 - exact_bits)).astype(np.int64)
         order = np.argsort(block_of, kind="stable")
-        cuts = np.searchsorted(block_of[order], np.arange((1 << exact_bits) + 1))
         rows, chunk = [], docs["chunk"][0].as_py()
-        for block, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
-            if b > a:
-                pick = order[a:b].tolist()
-                rows.append((chunk, block, _pack(keys[order[a:b]], [items[i] for i in pick], [rest[i] for i in pick])))
+        for block, part in _runs(block_of[order]):
+            pick = order[part].tolist()
+            rows.append((chunk, block, _pack(keys[order[part]], [items[i] for i in pick], [rest[i] for i in pick])))
         return _messages(rows)
 
     return run
@@ -401,7 +401,8 @@ def _remove(window: int, with_bytes: bool, fields: pa.Schema):
             if with_bytes:
                 kept.append(text)
         columns = [docs["id"].combine_chunks()] + [pa.array(x, pa.int64()) for x in (sizes, removed, spans)] + [pa.array(digests)]
-        return pa.Table.from_arrays(columns + [pa.array(kept, pa.binary())] * with_bytes, schema=fields)
+        columns += [pa.array(kept, pa.binary())] * with_bytes + [docs["copies"].combine_chunks()]
+        return pa.Table.from_arrays(columns, schema=fields)
 
     return run
 
@@ -470,8 +471,8 @@ def remove_repeated_bytes(
         _send_segments(window, bits, exact_bits), _MESSAGE
     )
     lost = asked.groupBy("block").applyInArrow(lambda table: _compare(table, window), _MESSAGE)
-    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * with_bytes
-    kinds = [pa.int64()] * 4 + [pa.string(), pa.binary()]
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * with_bytes + ["copies"]
+    kinds = [pa.int64()] * 4 + [pa.string()] + [pa.binary()] * with_bytes + [pa.int64()]
     fields = pa.schema(list(zip(names, kinds)))
-    shape = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_bytes
-    return by_chunk.cogroup(lost.groupBy("chunk")).applyInArrow(_remove(window, with_bytes, fields), shape)
+    shape = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_bytes + ", copies long"
+    return expanded(by_chunk.cogroup(lost.groupBy("chunk")).applyInArrow(_remove(window, with_bytes, fields), shape))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from meteospark.llm import hashing
 from meteospark.llm.substring_dedup import remove_repeated_windows
-from tests.llm.rows import corpus, documents
+from tests.llm.rows import corpus, documents, words
 
 LAST = 2**63
 
@@ -65,3 +65,46 @@ def test_word_hashes_follow_words():
     (hashes,), counts = hashing.word_hashes(texts, (7,))
     assert counts.tolist() == [4, 0, 1, 1]
     assert hashes[1] == hashes[4] and len(set(hashes.tolist())) == 5
+
+
+@pytest.mark.parametrize("bits", [24, 40, 41, 47, 60])
+def test_cells_of_large_sketches(bits):
+    """Whatever the width of a cell: every cell once, sorted, and whether two documents touch it."""
+    import numpy as np
+
+    from meteospark.llm.substring_dedup import _ROWS, _blocks, _cells
+
+    rng = np.random.default_rng(bits)
+    windows = rng.integers(0, 1 << 64, 3_000, dtype=np.uint64)
+    windows = np.concatenate([windows, windows[:700], windows[:300]])
+    owners = np.concatenate([np.arange(3_000) % 90, np.full(700, 5), np.arange(300) % 90]).astype(np.int32)
+    for row in range(2):
+        cells, several = _cells(windows, owners, row, bits)
+        docs = {}
+        for cell, owner in zip(((windows * _ROWS[row]) >> np.uint64(64 - bits)).tolist(), owners.tolist()):
+            docs.setdefault(cell, set()).add(owner)
+        assert cells.tolist() == sorted(docs)
+        assert several.tolist() == [len(docs[c]) > 1 for c in cells.tolist()]
+        parts = _blocks(cells)
+        assert [b for b, _ in parts] == sorted({c >> 24 for c in docs}) and len(parts) <= len(cells)
+        assert np.concatenate([cells[p] for _, p in parts]).tolist() == cells.tolist()
+
+
+def test_many_equal_rows_are_one_row_of_a_chunk(spark):
+    """A third of all rows is one row, another third has neither id nor text; results have them all."""
+    from meteospark.llm import substring_dedup
+
+    text = " ".join(words(90, 7))
+    rows = [(7, text)] * 60 + [(None, None)] * 60 + [(None, text)] * 3 + [(i, " ".join(words(70, i))) for i in range(20, 80)]
+    docs = documents(spark, [t for _, t in rows], ids=[i for i, _ in rows])
+    chunked, _ = substring_dedup.dealt_chunks(docs, "doc_id", "text", 2_000)
+    held = chunked.groupBy("chunk").count().collect()
+    assert max(r["count"] for r in held) < 30 and chunked.agg(F.sum("copies")).first()[0] == len(rows)
+    got = remove_repeated_windows(docs, 50, with_text=True, chunk_bytes=2_000).collect()
+    assert sorted(map(tuple, got), key=str) == brute(rows, 50)
+
+
+def test_sizes_follow_the_corpus():
+    from meteospark.llm.substring_dedup import sized_chunks
+
+    assert sized_chunks(10**9) == (8 << 20, 24) and sized_chunks(10**14) == (64 << 20, 27)
