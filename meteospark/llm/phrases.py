@@ -29,7 +29,7 @@ from meteospark.llm.hashing import mixed
 from meteospark.llm.tokens import Words, byte_map, numbered
 
 #: Bytes of text in a chunk; leaves in a group; bytes of words a task counts; prefixes of more than one word.
-CHUNK_BYTES, GROUP_LEAVES, HELD_BYTES, LONG_PREFIXES = 8 << 20, 1 << 20, 32 << 20, 1 << 16
+CHUNK_BYTES, GROUP_LEAVES, HELD_BYTES, LONG_PREFIXES = 4 << 20, 1 << 20, 16 << 20, 1 << 16
 #: Parts the candidates of a language are ranked in first.
 _PARTS = 64
 _MAP = byte_map(b"\t", b".,;:!?\n\x0b\x0c\r")
@@ -163,9 +163,11 @@ def _leaves(texts: list[bytes], langs: list[str], depth: int, seed: int, hot: np
     words = Words(texts, seed)
     hashes, numbers = numbered(_hashes(words, langs))
     columns = _suffixes(words, numbers, depth)
+    del words, numbers
     *_, (node, row) = _levels(columns)
-    counts = np.bincount(node, minlength=len(row))
-    counts, columns = counts[columns[1][row] > 0], [c[row][columns[1][row] > 0] for c in columns]
+    row, counts = row[columns[1][row] > 0], np.bincount(node, minlength=len(row))[columns[1][row] > 0]
+    columns = [c[row] for c in columns]
+    del node, row
     group = _groups(hashes, hot, columns, groups)
     order = np.argsort(group, kind="stable")
     cuts = np.flatnonzero(np.diff(group[order], prepend=-1))
