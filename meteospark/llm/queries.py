@@ -220,12 +220,11 @@ WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 base AS ({_matches_sql(0, _ASSIGN_SQL, "length(PART) >= 6", "t")}
     UNION ALL {_matches_sql(1, "'AKIA[A-Z0-9]+'", "length(WORD) >= 20", "t")}
     UNION ALL {_matches_sql(2, "'[0-9a-f]+'", "length(WORD) >= 24", "(SELECT * FROM t WHERE regexp_matches(text, '[0-9a-f]{24}'))")}),
-cand AS (SELECT *, CASE {" ".join(f"WHEN regexp_matches(word, '{p}') THEN {bits}" for _, p, bits in secrets.CLASSES)} END AS least
-    FROM ({_matches_sql(3, "'" + secrets.CANDIDATE + "'", "true", "t")})
+cand AS (SELECT * FROM ({_matches_sql(3, "'" + secrets.CANDIDATE + "'", "true", "t")})
     WHERE NOT ({" OR ".join(f"regexp_matches(word, '{p}')" for p in secrets.ALLOWED)})),
 high AS (SELECT doc_id, a, a + i - 1 AS lo, lag(a + i - 1) OVER (PARTITION BY doc_id, a ORDER BY i) AS before
-    FROM (SELECT *, unnest(generate_series(1, length(word) - {secrets.WINDOW - 1})) AS i FROM cand)
-    WHERE list_entropy(string_split(substr(word, i, {secrets.WINDOW}), '')) >= least - 1e-12),
+    FROM (SELECT *, substr(word, i, {secrets.WINDOW}) AS win FROM (SELECT *, unnest(generate_series(1, length(word) - {secrets.WINDOW - 1})) AS i FROM cand))
+    WHERE list_entropy(string_split(win, '')) >= CASE {" ".join(f"WHEN trim(win, '{letters}') = '' THEN {bits}" for _, letters, bits in secrets.CLASSES)} END - 1e-12),
 runs AS (SELECT *, count(*) FILTER (before IS NULL OR lo - before > {secrets.WINDOW}) OVER (PARTITION BY doc_id, a ORDER BY lo) AS run FROM high),
 spans AS (SELECT doc_id, kind, a, z FROM base UNION ALL
     SELECT doc_id, 3, min(lo), max(lo) + {secrets.WINDOW} FROM runs GROUP BY doc_id, a, run),

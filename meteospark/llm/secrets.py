@@ -24,18 +24,20 @@ WINDOW = 20
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 #: A part of a candidate between its '=', '-', '_' and '/'.
 PART = r"[A-Za-z0-9+]{20,}"
-#: (name, what the whole candidate looks like, least entropy of a window in bits); the first that fits counts.
+#: (name, the characters of a window, its least entropy in bits); the first class that has them all counts.
+#: A window has the class of its own characters, so NAME=VALUE with a hex value has the limit of hex inside
+#: the value. Letters alone spell words and names, so they have a limit that only mixed random ones reach.
 CLASSES = (
-    ("hex", r"^[0-9a-fA-F]+$", 3.0),
-    ("alphanumeric", r"^[A-Za-z0-9]+$", 3.6),
-    ("base64", r"^[A-Za-z0-9+/_=-]+$", 3.9),
+    ("hex", "0123456789abcdefABCDEF", 3.0),
+    ("letters", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", 4.0),
+    ("alphanumeric", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", 3.6),
+    ("base64", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-", 3.9),
 )
-#: Candidates that are no secrets: words or paths, numbers, version-4 style ids, padding.
+#: Candidates that are no secrets: numbers, version-4 style ids, words or paths of one case.
 ALLOWED = (
-    r"^[^0-9]*$",
     r"^[^A-Za-z]*$",
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
-    r"^/?([a-z]+|[0-9]+)([-_/]([a-z]+|[0-9]+))*/?$",
+    r"^/?([a-z]+|[A-Z]+|[0-9]+)([-_/]([a-z]+|[A-Z]+|[0-9]+))*/?$",
 )
 
 _SPAN = "struct<start:int,kind:int,end:int>"
@@ -108,21 +110,24 @@ def _spans(kind: int, places: Column) -> Column:
     )
 
 
-def entropy_runs(word: Column, least: Column, window: int = WINDOW) -> Column:
-    """(start, end) of the maximal runs covered by windows whose Shannon entropy is `least` bits or more.
+def entropy_runs(word: Column, window: int = WINDOW) -> Column:
+    """(start, end) of the maximal runs covered by windows whose Shannon entropy reaches their class's limit.
 
-    The window's sum of c * log2(c) is kept up to date by the counts of the one character that enters
-    and the one that leaves; nothing is counted anew. Words shorter than a window have no run.
+    A window's sum of c * log2(c), and for each class how many of its characters don't belong, are kept up
+    to date by the one character that enters and the one that leaves; nothing is counted anew. Words
+    shorter than a window have no run.
     """
     weigh = F.array(*[F.lit(c * math.log2(c) if c else 0.0) for c in range(window + 2)])
     count = lambda text, ch: F.length(text) - F.length(F.replace(text, ch, F.lit("")))
     f = lambda c: F.element_at(weigh, c + 1)
+    foreign = lambda ch, letters: (F.instr(F.lit(letters), ch) == 0).cast("int")
     start = F.struct(
         F.lit("").alias("win"),
         F.lit(0.0).alias("sum"),
         F.lit(0).alias("n"),
         F.lit(-1).alias("lo"),
         F.lit(-1).alias("hi"),
+        *[F.lit(0).alias(name) for name, _, _ in CLASSES[:-1]],
     )
 
     def step(s, ch):
@@ -134,7 +139,13 @@ def entropy_runs(word: Column, least: Column, window: int = WINDOW) -> Column:
         had = count(win, ch)
         total = s["sum"] - less + f(had + 1) - f(had)
         n = s["n"] + 1
-        high = (n >= window) & (F.lit(math.log2(window)) - total / window >= least)
+        others, least = [], F.lit(CLASSES[-1][2])
+        for name, letters, bits in reversed(CLASSES[:-1]):
+            left = F.when(full, foreign(leaving, letters)).otherwise(0)
+            outside = s[name] - left + foreign(ch, letters)
+            others.append(outside.alias(name))
+            least = F.when(outside == 0, bits).otherwise(least)
+        high = (n >= window) & (F.lit(math.log2(window)) - total / window >= least - 1e-12)
         apart = high & (s["hi"] < n - window)
         state = F.struct(
             F.concat(win, ch).alias("win"),
@@ -142,6 +153,7 @@ def entropy_runs(word: Column, least: Column, window: int = WINDOW) -> Column:
             n.alias("n"),
             F.when(apart, n - window).otherwise(s["lo"]).alias("lo"),
             F.when(high, n).otherwise(s["hi"]).alias("hi"),
+            *reversed(others),
         )
         closed = F.struct(s["lo"].alias("start"), s["hi"].alias("end"), F.lit("").alias("word")).cast(_PLACE)
         return state, F.when(apart & (s["hi"] >= 0), closed)
@@ -156,50 +168,33 @@ def _with_last(done: Column) -> Column:
     return F.when(state["hi"] >= 0, F.concat(done["made"], F.array(last))).otherwise(done["made"])
 
 
-def entropy_spans(text: Column) -> Column:
-    """Spans of kind entropy: runs of high windows in candidates that no allow-list entry suppresses."""
-    places = located(text, CANDIDATE)
+def _allowed(word: Column) -> Column:
+    found = F.lit(False)
+    for pattern in ALLOWED:
+        found = found | word.rlike(pattern)
+    return found
 
-    def allowed(word):
-        found = F.lit(False)
-        for pattern in ALLOWED:
-            found = found | word.rlike(pattern)
-        return found
 
-    def least(word):
-        chosen = F.lit(float("inf"))
-        for _, pattern, bits in reversed(CLASSES):
-            chosen = F.when(word.rlike(pattern), bits).otherwise(chosen)
-        return chosen
+def entropy_spans(text: Column) -> Column:
+    """Spans of kind entropy: runs of high windows in candidates that no allow-list entry suppresses."""
 
     def runs(p):
         return F.transform(
-            entropy_runs(p["word"], least(p["word"])),
+            entropy_runs(p["word"]),
             lambda r: F.struct(
                 (p["start"] + r["start"]).alias("start"), F.lit(3).alias("kind"), (p["start"] + r["end"]).alias("end")
             ).cast(_SPAN),
         )
 
-    return F.flatten(F.transform(F.filter(places, lambda p: ~allowed(p["word"])), runs))
+    return F.flatten(F.transform(F.filter(located(text, CANDIDATE), lambda p: ~_allowed(p["word"])), runs))
 
 
 def part_spans(text: Column) -> Column:
     """Spans of kind entropy over the whole of each part of a candidate that has a high window.
 
-    Parts lie between '=', '-', '_' and '/' and have a window's length or more. Each is judged by its own
-    characters, so NAME=VALUE with a hex value has the limit of hex, not that of base64.
+    Parts lie between '=', '-', '_' and '/' and have a window's length or more.
     """
-
-    def high(word):
-        allowed = F.lit(False)
-        for pattern in ALLOWED:
-            allowed = allowed | word.rlike(pattern)
-        least = F.lit(float("inf"))
-        for _, pattern, bits in reversed(CLASSES):
-            least = F.when(word.rlike(pattern), bits).otherwise(least)
-        return ~allowed & (F.size(entropy_runs(word, least)) > 0)
-
-    found = _spans(3, F.filter(located(text, PART), lambda p: high(p["word"])))
+    found = _spans(3, F.filter(located(text, PART), lambda p: ~_allowed(p["word"]) & (F.size(entropy_runs(p["word"])) > 0)))
     return F.when(text.rlike(PART), found).otherwise(_empty(_SPAN))
 
 
@@ -227,8 +222,8 @@ def scan_secrets(docs: DataFrame, text_column: str = "text", out: str = "secret_
     """Adds the column `out`, an array of (start, kind, end): code points, end exclusive, sorted.
 
     kind is a place in KINDS. The three fixed patterns find what they match; entropy adds runs of high
-    windows, which may overlap those. Null and empty texts have an empty array. Other columns, their
-    nulls and repeated rows are passed on.
+    windows, which may overlap those. Null and empty texts have an empty array, a very long text is one
+    row's work. Other columns, their nulls and repeated rows are passed on; an empty table gives no rows.
     """
     return docs.withColumn(out, secret_spans(F.col(text_column)))
 
