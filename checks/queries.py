@@ -1385,6 +1385,40 @@ def dq_key_tests(spark, sf):
     return quality.key_rules(_raw(spark, sf), ["station_id", "ts"])
 
 
+HELD = """raw2 AS (SELECT CASE WHEN event_id % 9 = 0 THEN NULL ELSE station_id END AS station_id,
+  CASE WHEN event_id % 13 = 0 THEN NULL ELSE ts END AS ts, * EXCLUDE (station_id, ts) FROM raw)"""
+
+
+@register(
+    o.query(
+        [
+            *o.tel(),
+            RAW.replace("SELECT station_id, date_trunc", "SELECT event_id, station_id, date_trunc"),
+            HELD,
+            STAGED.replace("FROM raw", "FROM raw2"),
+            "kept AS (SELECT * FROM staged WHERE station_id IS NOT NULL AND ts IS NOT NULL)",
+            "copies AS (SELECT station_id, ts, count(*) AS n FROM raw2 GROUP BY 1, 2)",
+        ],
+        "SELECT rule, n_failed::bigint AS n_failed, CASE WHEN rule IN ('rows', 'staged_rows') OR rule LIKE 'null%' THEN 'info' WHEN n_failed = 0 THEN 'pass' ELSE 'fail' END AS status FROM (\n"
+        "  SELECT 'rows' AS rule, (SELECT count(*) FROM raw2) AS n_failed UNION ALL SELECT 'staged_rows', (SELECT count(*) FROM kept)\n"
+        "  UNION ALL SELECT 'not_null', coalesce(sum(n) FILTER (station_id IS NULL OR ts IS NULL), 0) FROM copies\n"
+        "  UNION ALL SELECT 'unique', count(*) FILTER (n > 1 AND station_id IS NOT NULL AND ts IS NOT NULL) FROM copies\n"
+        + "".join(
+            f"  UNION ALL SELECT 'accepted_range_{c}', count(*) FILTER (NOT ({c} BETWEEN {lo} AND {hi})) FROM kept\n" for c, (lo, hi) in STAGING_RANGES.items()
+        )
+        + "".join(f"  UNION ALL SELECT 'null_{c}', count(*) FILTER ({c} IS NULL) FROM kept\n" for c in STD)
+        + "  UNION ALL SELECT 'minimum_rows', greatest(100 - count(*), 0) FROM kept)",
+    )
+)
+def dq_write_pass(spark, sf):
+    """All checks of staged telemetry, counted while it is written, with no scan of their own."""
+    raw = _raw(spark, sf)
+    part = lambda c, n: F.when(F.col("event_id") % n != 0, F.col(c)).alias(c)
+    raw = raw.select(part("station_id", 9), part("ts", 13), *[c for c in raw.columns if c not in ("station_id", "ts")])
+    found = sinks.write_staged(spark, raw, f"{session.run_folder(spark)}/staged", STAGING_RANGES, 100)
+    return quality.report(spark, found)
+
+
 BAD = " OR ".join(
     [f"{p}_{f} IS NULL" for p in ("pred", "actual", "abs_error") for f in FEATURES]
     + [f"{p}_{f} < 0" for p in ("pred", "actual") for f in ("wind", "solar", "rain")]

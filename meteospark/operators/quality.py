@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from meteospark.catalog import FEATURES
 from meteospark.functions import times
@@ -76,3 +76,40 @@ def require_columns(df: DataFrame, key) -> DataFrame:
     if missing:
         raise ValueError(f"missing key columns: {missing}")
     return df
+
+
+def staged_metrics(ranges: dict[str, tuple[float, float]], columns=(), minimum: int | None = None) -> dict:
+    """Aggregates over rows of `staging.counted_stage`, for `observed`: names of rules and what fails them.
+
+    Every key comes once, with the number of its raw rows, so keys, ranges, NULLs and row counts are all
+    told from what is being written.
+    """
+    keyed, copies = F.col("station_id").isNotNull() & F.col("ts").isNotNull(), F.col("_copies")
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    out = {
+        "rows": total(copies),
+        "staged_rows": F.count_if(keyed),
+        "not_null": total(F.when(~keyed, copies)),
+        "unique": F.count_if(keyed & (copies > 1)),
+    }
+    out |= {f"accepted_range_{c}": F.count_if(keyed & ~F.col(c).between(low, high)) for c, (low, high) in ranges.items()}
+    out |= {f"null_{c}": F.count_if(keyed & F.col(c).isNull()) for c in columns}
+    if minimum is not None:
+        out["minimum_rows"] = F.greatest(F.lit(minimum) - F.count_if(keyed), F.lit(0)).cast("long")
+    return out
+
+
+def observed(df: DataFrame, metrics: dict) -> tuple[DataFrame, Observation]:
+    """The rows, which take the metrics along while they are written; read `observation.get` after the write.
+
+    Attach it behind the last shuffle: a writing task that runs again counts once, while one before a
+    shuffle may count twice when its output is lost.
+    """
+    observation = Observation()
+    return df.observe(observation, *[c.alias(name) for name, c in metrics.items()]), observation
+
+
+def report(spark, found: dict[str, int], informative=("rows", "staged_rows")) -> DataFrame:
+    """rule, n_failed, status of observed metrics; counts that fail nothing have the status `info`."""
+    rows = [(k, int(v), "info" if k in informative or k.startswith("null_") else "pass" if not v else "fail") for k, v in found.items()]
+    return spark.createDataFrame(rows, "rule string, n_failed long, status string")

@@ -118,7 +118,10 @@ def value_slices(df: DataFrame, keys, value: str, slices: int = 256) -> DataFram
     """
     shares = F.array(*[F.lit(i / slices) for i in range(1, slices)])
     bounds = df.groupBy(*keys).agg(F.percentile_approx(value, shares, 20 * slices).alias("_bounds"))
-    slot = F.size(F.filter("_bounds", lambda b: b <= F.col(value)))
+    # the number of bounds up to the value, by halving: a comparison for each power of two
+    halves = F.array(*[F.lit(1 << k) for k in reversed(range(slices.bit_length()))])
+    reached = lambda at, step: F.get("_bounds", at + step - 1) <= F.col(value)
+    slot = F.aggregate(halves, F.lit(0), lambda at, step: F.when(reached(at, step), at + step).otherwise(at))
     return df.join(bounds, list(keys)).withColumn("_slice", slot).drop("_bounds")
 
 

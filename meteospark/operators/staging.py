@@ -42,21 +42,28 @@ def label_check(df: DataFrame, zone: str, label: str = "ts_label", epoch: str =
     )
 
 
-def stage(raw: DataFrame) -> DataFrame:
-    """Typed, renamed, one row per station and minute.
+def counted_stage(raw: DataFrame) -> DataFrame:
+    """Typed, renamed, one row per station and minute with the number of its raw rows, `_copies`.
 
-    Among copies the earliest epoch wins, then the smallest measures.
+    Among copies the earliest epoch wins, then the smallest measures. Rows without a station or a time are
+    still there, for whoever counts them.
     """
     measures = [SCHEMES["raw"][f] for f in FEATURES]
-    rows = raw.where(F.col("ts").isNotNull()).select(
-        "station_id", "ts", "epoch_timestamp", *[cleaning.to_number(c).alias(c) for c in measures]
-    )
-    best = first_row(rows, ["station_id", "ts"], ["epoch_timestamp", *measures])
+    rows = raw.select("station_id", "ts", F.struct("epoch_timestamp", *[cleaning.to_number(c).alias(c) for c in measures]).alias("_row"))
+    best = rows.groupBy("station_id", "ts").agg(F.min("_row").alias("_row"), F.count("*").alias("_copies"))
     return best.select(
-        "station_id", "ts", *[F.col(SCHEMES["raw"][f]).alias(SCHEMES["standard"][f]) for f in FEATURES]
+        "station_id", "ts", *[F.col(f"_row.{SCHEMES['raw'][f]}").alias(SCHEMES["standard"][f]) for f in FEATURES], "_copies"
     )
 
 
+def stage(raw: DataFrame) -> DataFrame:
+    """Typed, renamed, one row per station and minute.
+
+    Among copies the earliest epoch wins, then the smallest measures.
+    """
+    return counted_stage(raw.where(F.col("ts").isNotNull())).drop("_copies")
+
+
 def not_in(new: DataFrame, existing: DataFrame, key) -> DataFrame:
     """Rows whose key the target does not hold yet."""
     return new.join(existing.select(*key), list(key), "left_anti")

@@ -132,6 +132,24 @@ def upsert(spark: SparkSession, new: DataFrame, path: str, key, at: str = "ts",
     _write(new, path)
 
 
+def write_staged(spark: SparkSession, raw: DataFrame, path: str, ranges: dict, minimum: int | None = None) -> dict[str, int]:
+    """Stages raw telemetry into a table by month and checks it on the way: one scan, one shuffle, one job.
+
+    Rows without a station or time are counted and left out. Returns the metrics of `quality.staged_metrics`.
+    """
+    from meteospark.operators import quality
+
+    counted = staging.counted_stage(raw)
+    values = [c for c in counted.columns if c not in ("station_id", "ts", "_copies")]
+    if not table_exists(spark, path):
+        _write_empty(counted.drop("_copies").limit(0), path)
+    rows, seen = quality.observed(counted, quality.staged_metrics(ranges, values, minimum))
+    keyed = F.col("station_id").isNotNull() & F.col("ts").isNotNull()
+    rows = _with_month(rows.where(keyed).drop("_copies"), "ts")
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(path)
+    return seen.get
+
+
 def replace_range(spark: SparkSession, new: DataFrame, path: str, begin, end, at: str = "ts") -> None:
     """Deletes [begin, end] and inserts the new rows of that range.
 

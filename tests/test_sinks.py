@@ -106,3 +106,38 @@ def test_gaps_across_months_of_one_batch(spark):
         handle(at(*batch), k)
         want = sorted(map(tuple, staging.gaps(at(*seen)).collect()))
         assert sorted(map(tuple, sinks.read_table(spark, f"{folder}/gaps").drop("month").collect())) == want
+
+
+def test_checks_ride_on_the_write(spark):
+    """Keys, ranges, NULLs and counts of a staged write equal those of separate scans; one job scans once."""
+    from meteospark.catalog import SCHEMES, STAGING_RANGES
+    from meteospark.operators import profiling, quality, staging
+
+    folder = session.run_folder(spark)
+    pdf = hours(300, "2024-01-25", nulls=0.1)
+    rows = pd.concat([pdf, pdf.iloc[:20], pdf.iloc[:5]], ignore_index=True)
+    rows.loc[200:203, "ts"] = pd.NaT
+    rows.loc[210:211, "station_id"] = None
+    rows.loc[220:230, "rh"] = 500.0
+    raw = frame(spark, rows.rename(columns=SCHEMES["raw"])).withColumn("epoch_timestamp", F.unix_seconds(F.col("ts").cast("timestamp")))
+    raw.write.parquet(f"{folder}/raw")
+    raw = spark.read.parquet(f"{folder}/raw")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("checked", "checked")
+    found = sinks.write_staged(spark, raw, f"{folder}/staged", STAGING_RANGES, 1_000)
+    jobs_run = len(tracker.getJobIdsForGroup("checked"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    staged = staging.stage(raw).where("station_id IS NOT NULL").cache()
+    keys = {r.rule: r.n_failed for r in quality.key_rules(raw, KEY).collect()}
+    assert {k: found[k] for k in keys} == keys and found["rows"] == raw.count() and found["staged_rows"] == staged.count()
+    assert {r.rule: r.n_failed for r in quality.range_rules(staged, STAGING_RANGES).collect()} == {k: v for k, v in found.items() if k.startswith("accepted")}
+    values = [c for c in staged.columns if c not in KEY]
+    nulls = profiling.null_counts(staged, values).first()
+    assert {c: found[f"null_{c}"] for c in values} == {c: nulls[f"null_{c}"] for c in values}
+    assert found["minimum_rows"] == 1_000 - staged.count()
+    table = sinks.read_table(spark, f"{folder}/staged")
+    assert table.count() == staged.count()
+    plan = quality.observed(staging.counted_stage(raw), {"n": F.count("*")})[0]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "CollectMetrics" in plan
+    assert jobs_run <= 4  # the empty first file, and one write (adaptive execution runs a stage as a job)
+    staged.unpersist()
