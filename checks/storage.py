@@ -10,7 +10,7 @@ from checks.queries import OUTSIDE, RANGE, RAW, SERIES, STAGED, STD, _raw, _samp
 from meteospark import session
 from meteospark.catalog import CSV_COLUMNS, FEATURES, SCHEMES, rename_features
 from meteospark.functions import times
-from meteospark.operators import resample, staging, windows
+from meteospark.operators import profiling, resample, staging, windows
 from meteospark.plans import flow
 from meteospark.sources import files, sinks
 
@@ -298,3 +298,38 @@ def sink_upsert_repeated(spark, sf):
     for _ in range(3):
         sinks.upsert(spark, rows, path, ["station_id", "ts"], order=["run"])
     return rounded(sinks.read_table(spark, path).drop("month"))
+
+
+@register(
+    o.query(
+        [],
+        """SELECT *, last_ts = max(last_ts) OVER () AS is_latest FROM (SELECT 'events' AS table_name, min(ts) AS first_ts, max(ts) AS last_ts, count(*) AS n_rows FROM events
+  UNION ALL SELECT 'orders', min(o_orderdate), max(o_orderdate), count(*) FROM orders
+  UNION ALL SELECT 'lineitem', min(l_shipdate), max(l_shipdate), count(*) FROM lineitem)""",
+    ).removeprefix("WITH \n")
+)
+def freshness_stored(spark, sf):
+    """First and last times and row counts of stored tables: footers give the counts, two months the times."""
+    folder = session.run_folder(spark)
+    names = {"events": "ts", "orders": "o_orderdate", "lineitem": "l_shipdate"}
+    for name, at in names.items():
+        rows = t.table(spark, sf, name).select(at, times.month_of(F.col(at)).alias("month"))
+        rows.repartition("month").write.partitionBy("month").parquet(f"{folder}/{name}")
+    return profiling.stored_freshness(spark, {name: (f"{folder}/{name}", at) for name, at in names.items()})
+
+
+@register(
+    o.query(
+        o.hourly("user_id"),
+        f"""SELECT station_id, ts, {o.r("CASE WHEN station_id IN (SELECT DISTINCT station_id FROM clean ORDER BY 1 LIMIT 10) THEN temp + 1 ELSE temp END", "temp")},
+  {o.rounded(FEATURES[1:])} FROM clean""",
+    )
+)
+def sink_buckets(spark, sf):
+    """Hours by month and bucket of stations; an update of ten stations rewrites their buckets."""
+    path = f"{session.run_folder(spark)}/hours"
+    sinks.upsert(spark, t.hourly(spark, sf, "user_id"), path, ["station_id", "ts"], unique=True, buckets=16)
+    few = sinks.read_table(spark, path).select("station_id").distinct().orderBy("station_id").limit(10)
+    fresh = sinks.read_table(spark, path).join(few, "station_id").select("station_id", "ts", (F.col("temp") + 1).alias("temp"))
+    sinks.upsert(spark, fresh, path, ["station_id", "ts"], buckets=16)
+    return rounded(sinks.read_table(spark, path).select("station_id", "ts", *FEATURES))

@@ -119,6 +119,25 @@ def freshness(tables: dict[str, tuple[DataFrame, str]], as_of=None) -> DataFrame
     return out.withColumn("is_latest", F.col("last_ts") == newest)
 
 
+def stored_freshness(spark, tables: dict[str, tuple[str, str]]) -> DataFrame:
+    """`freshness` of tables stored by month (path, time column), from their files' statistics.
+
+    Rows are counted by month from the files' footers, no column is read; then the first and last month with
+    rows give the ends of the time column. One row a month reaches the driver.
+    """
+    parts = []
+    for name, (path, at) in tables.items():
+        df = spark.read.parquet(path)
+        months = {r["month"]: r["count"] for r in df.groupBy("month").count().collect()}
+        dated = sorted(m for m in months if m is not None)
+        ends = df.where(F.col("month").isin(dated[:1] + dated[-1:])).agg(F.min(at).alias("first_ts"), F.max(at).alias("last_ts"))
+        counted = F.lit(sum(months.values())).cast("long").alias("n_rows")
+        parts.append(ends.select(F.lit(name).alias("table_name"), "first_ts", "last_ts", counted))
+    out = reduce(DataFrame.unionByName, parts)
+    newest = F.max("last_ts").over(W.partitionBy())  # one row per table
+    return out.withColumn("is_latest", F.col("last_ts") == newest)
+
+
 def latest_rows(df: DataFrame, n: int, by=("station_id",), at: str = "ts", tie=()) -> DataFrame:
     """Last n rows per key; Spark cuts every partition to n rows per key before the shuffle."""
     w = W.partitionBy(*by).orderBy(F.col(at).desc(), *[F.col(c).asc() for c in tie])

@@ -1,6 +1,6 @@
-"""Keyed writes on Parquet tables partitioned by month.
+"""Keyed writes on Parquet tables partitioned by month, or by month and a bucket of stations.
 
-A changed month is rewritten as a whole through dynamic partition overwrite: Spark stages the
+A changed partition is rewritten as a whole through dynamic partition overwrite: Spark stages the
 new files and moves them in when the job commits, so the table may be read by the same job and
 a lost executor leaves the old files in place. Untouched months are neither read nor written.
 """
@@ -26,19 +26,31 @@ def _with_month(df: DataFrame, at: str) -> DataFrame:
     return df.withColumn("month", times.month_of(F.col(at)))
 
 
-def _write(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Writes the months of the rows. A new table gets a file without rows first, so that one whose first
+def _with_parts(df: DataFrame, at: str, buckets: int | None) -> DataFrame:
+    """The partition columns: the month and, with buckets, a hash of the station."""
+    df = _with_month(df, at)
+    return df if buckets is None else df.withColumn("bucket", F.pmod(F.xxhash64("station_id"), F.lit(buckets)).cast("int"))
+
+
+def _by(buckets: int | None) -> list[str]:
+    return ["month"] if buckets is None else ["month", "bucket"]
+
+
+def _write(df: DataFrame, path: str, mode: str = "overwrite", by=("month",)) -> None:
+    """Writes the partitions of the rows. A new table gets a file without rows first, so that one whose first
     update is empty has its columns and can be read."""
     if not table_exists(df.sparkSession, path):
-        _write_empty(df.limit(0), path)
-    out = df.write.mode(mode).partitionBy("month")
+        _write_empty(df.limit(0), path, (EMPTY, 0)[: len(by)])
+    out = df.write.mode(mode).partitionBy(*by)
     if mode == "overwrite":
         out = out.option("partitionOverwriteMode", "dynamic")
     out.parquet(path)
 
 
-def _write_empty(df: DataFrame, path: str, month: str = EMPTY, mode: str = "append") -> None:
-    df.drop("month").write.mode(mode).parquet(f"{path}/month={month}")
+def _write_empty(df: DataFrame, path: str, part=(EMPTY,), mode: str = "append") -> None:
+    """A file without rows in a partition, given by its month and bucket."""
+    names = [f"{c}={TIMELESS if v is None else v}" for c, v in zip(("month", "bucket"), part)]
+    df.drop("month", "bucket").write.mode(mode).parquet("/".join([path, *names]))
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -62,6 +74,21 @@ def in_months(months: list[str | None]):
     return known | F.col("month").isNull() if None in months else known
 
 
+def touched_parts(df: DataFrame, by) -> list[tuple]:
+    """Partitions present in an update; one row for each month and bucket."""
+    return [tuple(r) for r in df.select(*by).distinct().collect()]
+
+
+def in_parts(parts: list[tuple]):
+    """Rows of these partitions, as a filter that the scan prunes folders by."""
+    if not parts or len(parts[0]) == 1:
+        return in_months([p[0] for p in parts])
+    buckets: dict = {}
+    for month, bucket in parts:
+        buckets.setdefault(month, []).append(bucket)
+    return reduce(lambda a, b: a | b, [in_months([m]) & F.col("bucket").isin(found) for m, found in buckets.items()])
+
+
 def append_new(spark: SparkSession, new: DataFrame, path: str, key, order, at: str = "ts", months=None) -> None:
     """Insert or ignore: appends the first row of each key the table does not hold; a null key is a key.
 
@@ -114,22 +141,36 @@ def merge_rows(old: DataFrame, new: DataFrame, key) -> DataFrame:
     return merged.select(*keys, *[pick(c).alias(c) for c in values])
 
 
-def upsert(spark: SparkSession, new: DataFrame, path: str, key, at: str = "ts", order=(), months=None, unique: bool = False) -> None:
-    """Keyed upsert; columns that the update lacks keep their value. Only its months are rewritten.
+def upsert(
+    spark: SparkSession, new: DataFrame, path: str, key, at: str = "ts", order=(), months=None, unique: bool = False, buckets: int | None = None
+) -> None:
+    """Keyed upsert; columns that the update lacks keep their value. Only its months are rewritten, and with
+    `buckets` (for a table always the same number) of these only the buckets its stations lie in.
 
     Of rows of one key in the update the last by `order` counts, then the one with the largest values, so
     an update applied again changes nothing. Null keys are keys like others. `unique`: the update has one
     row a key. `months`: those it may have, where they are known; then it is not stored first.
     """
-    new = _with_month(new, at)
+    by = _by(buckets)
+    new = _with_parts(new, at, buckets)
     if not unique:
-        new = staging.last_row(new, [*key, "month"], order)
+        new = staging.last_row(new, [*key, *by], order)
     if table_exists(spark, path):
-        if months is None:
+        if months is None or buckets is not None:
             new = _staged(new, "upsert")
-            months = touched_months(new)
-        new = merge_rows(read_table(spark, path, months), new, [*key, "month"])
-    _write(new, path)
+            parts = touched_parts(new, by)
+        else:
+            parts = [(m,) for m in months]
+        new = merge_rows(_parts_of(spark, path, by, parts), new, [*key, *by])
+    _write(new, path, by=by)
+
+
+def _parts_of(spark: SparkSession, path: str, by, parts: list[tuple] | None = None) -> DataFrame:
+    """The table, or some partitions of it; it must lie by month, or by month and bucket, as asked for."""
+    df = read_table(spark, path)
+    if ("bucket" in df.columns) != ("bucket" in by):
+        raise ValueError(f"{path} {'has' if 'bucket' in df.columns else 'has no'} buckets")
+    return df if parts is None else df.where(in_parts(parts))
 
 
 def write_staged(spark: SparkSession, raw: DataFrame, path: str, ranges: dict, minimum: int | None = None) -> dict[str, int]:
@@ -150,23 +191,31 @@ def write_staged(spark: SparkSession, raw: DataFrame, path: str, ranges: dict, m
     return seen.get
 
 
-def replace_range(spark: SparkSession, new: DataFrame, path: str, begin, end, at: str = "ts") -> None:
-    """Deletes [begin, end] and inserts the new rows of that range.
+def replace_range(
+    spark: SparkSession, new: DataFrame, path: str, begin, end, at: str = "ts", stations: list[str] | None = None, buckets: int | None = None
+) -> None:
+    """Deletes [begin, end], of these stations or of all, and inserts the new rows of that range.
 
-    Months left without rows are emptied after the others are written; until then a reader sees their
-    old rows beside the new ones of other months.
+    With `buckets` only the stations' buckets are rewritten. Partitions left without rows are emptied after
+    the others are written; until then a reader sees their old rows beside the new ones of other months.
     """
+    by = _by(buckets)
     inside = F.col(at).between(times.instant(begin), times.instant(end))
-    new = _with_month(new.where(inside), at)
+    if stations is not None:
+        inside = inside & F.col("station_id").isin(stations)
+    new = _with_parts(new.where(inside), at, buckets)
     if not table_exists(spark, path):
-        _write(new, path)
+        _write(new, path, by=by)
         return
-    months = F.col("month").between(*[times.month_of(times.instant(x)) for x in (begin, end)])
-    old = read_table(spark, path).where(months)
-    rest = old.where(~inside)
-    emptied = _emptied(old, rest.select("month").unionByName(new.select("month")))
-    _write(rest.unionByName(new, allowMissingColumns=True), path)
-    _empty_months(old, path, emptied)
+    where = F.col("month").between(*[times.month_of(times.instant(x)) for x in (begin, end)])
+    if stations is not None and buckets is not None:
+        named = spark.range(1).select(F.explode(F.array(*[F.lit(x).cast("string") for x in stations])).alias("station_id"))
+        where = where & F.col("bucket").isin([r[0] for r in named.select(F.pmod(F.xxhash64("station_id"), F.lit(buckets)).cast("int")).distinct().collect()])
+    old = _parts_of(spark, path, by).where(where)
+    rest = old.where(~F.coalesce(inside, F.lit(False)))
+    emptied = _emptied(old, rest.select(*by).unionByName(new.select(*by)), by)
+    _write(rest.unionByName(new, allowMissingColumns=True), path, by=by)
+    _empty_parts(old, path, emptied)
 
 
 def replace_rows(spark: SparkSession, path: str, gone: DataFrame | None, new: DataFrame, key, at: str = "ts") -> None:
@@ -185,7 +234,7 @@ def replace_rows(spark: SparkSession, path: str, gone: DataFrame | None, new: Da
     rest = _staged(kept.unionByName(new, allowMissingColumns=True), "rest")
     _write(rest, path)
     left = touched_months(rest)
-    _empty_months(old, path, [m for m in months if m not in left])
+    _empty_parts(old, path, [(m,) for m in months if m not in left])
 
 
 def delete_range(spark: SparkSession, path: str, begin, end, at: str = "ts", zone: str | None = None) -> None:
@@ -209,22 +258,22 @@ def delete_range(spark: SparkSession, path: str, begin, end, at: str = "ts", zon
     rest = keep_outside(old, begin, end, at, zone)
     emptied = _emptied(old, rest.select("month"))
     _write(rest, path)
-    _empty_months(old, path, emptied)
+    _empty_parts(old, path, emptied)
 
 
-def _emptied(before: DataFrame, after: DataFrame) -> list[str]:
-    months = before.select("month").distinct().join(after.select("month").distinct(), "month", "left_anti")
-    return [r["month"] for r in months.collect()]
+def _emptied(before: DataFrame, after: DataFrame, by=("month",)) -> list[tuple]:
+    left = set(touched_parts(after, by))
+    return [p for p in touched_parts(before, by) if p not in left]
 
 
-def _empty_months(df: DataFrame, path: str, months: list[str | None]) -> None:
+def _empty_parts(df: DataFrame, path: str, parts: list[tuple]) -> None:
     """A dynamic overwrite leaves partitions without new rows alone; these lost all of theirs.
 
     Each gets a file without rows in the place of its old ones: no folder is deleted, so a lost driver
-    leaves a month as it was or empty, never half.
+    leaves a partition as it was or empty, never half.
     """
-    for month in months:
-        _write_empty(df.limit(0), path, TIMELESS if month is None else month, "overwrite")
+    for part in parts:
+        _write_empty(df.limit(0), path, part, "overwrite")
 
 
 def publish_snapshot(df: DataFrame, root: str, version: str) -> str:

@@ -141,3 +141,56 @@ def test_checks_ride_on_the_write(spark):
     assert plan.count("FileScan") == 1 and "CollectMetrics" in plan
     assert jobs_run <= 4  # the empty first file, and one write (adaptive execution runs a stage as a job)
     staged.unpersist()
+
+
+def files_of(spark, path):
+    """Data files of a table and when they were written."""
+    return {r.f: r.t for r in spark.read.parquet(path).select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_modification_time").alias("t")).distinct().collect()}
+
+
+def test_an_update_rewrites_its_buckets_only(spark):
+    path, stations = session.run_folder(spark), [f"s{k:02d}" for k in range(24)]
+    everyone = frame(spark, pd.concat([hours(60, "2024-01-30 12:00", seed=k, station=s) for k, s in enumerate(stations)], ignore_index=True))
+    sinks.upsert(spark, everyone, path, KEY, buckets=8)
+    before = files_of(spark, path)
+    update = everyone.where("station_id IN ('s03', 's17') AND ts >= '2024-02-01'").withColumn("temp", F.lit(-5.0))
+    sinks.upsert(spark, update, path, KEY, buckets=8)
+    after = files_of(spark, path)
+    hit = {r.b for r in update.select(F.pmod(F.xxhash64("station_id"), F.lit(8)).cast("int").alias("b")).distinct().collect()}
+    changed = {f for f in before if f not in after}
+    assert changed and len(changed) < len(before) / 2
+    assert all("month=2024-02" in f and int(f.split("bucket=")[1].split("/")[0]) in hit for f in changed)
+    got = sinks.read_table(spark, path)
+    assert got.count() == everyone.count() and got.where("temp = -5").count() == update.count()
+
+    sinks.replace_range(spark, everyone.where("station_id = 's05' AND ts < '2024-01-31 06:00'"), path, "2024-01-31 00:00:00", "2024-01-31 23:00:00", stations=["s05"], buckets=8)
+    late = files_of(spark, path)
+    (own,) = [r[0] for r in spark.range(1).select(F.pmod(F.xxhash64(F.lit("s05")), F.lit(8)).cast("int")).collect()]
+    assert all(f"month=2024-01/bucket={own}/" in f for f in after if f not in late)
+    assert sinks.read_table(spark, path).count() == everyone.count() - 18
+    with pytest.raises(ValueError):
+        sinks.upsert(spark, update, path, KEY)
+
+
+def test_freshness_reads_no_column_but_the_ends(spark, monkeypatch):
+    from meteospark.operators import profiling
+
+    path = session.run_folder(spark)
+    sinks.upsert(spark, frame(spark, hours(24 * 120, "2024-01-10")), path, KEY)
+    plans = []
+    frame_type = type(spark.range(0))
+    collect = frame_type.collect
+    monkeypatch.setattr(frame_type, "collect", lambda df: (plans.append(df._jdf.queryExecution().executedPlan().toString()), collect(df))[1])
+    row = profiling.stored_freshness(spark, {"hours": (path, "ts")}).collect()[0]
+    assert (str(row.first_ts), str(row.last_ts), row.n_rows) == ("2024-01-10 00:00:00", "2024-05-08 23:00:00", 24 * 120)
+    count, ends = plans[0], plans[-1]
+    assert "ReadSchema: struct<>" in count
+    assert "ReadSchema: struct<ts:timestamp_ntz>" in ends and "month#" in ends.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_stations_far_apart_in_one_range(spark):
+    path = session.run_folder(spark)
+    df = frame(spark, pd.concat([hours(40, "2024-01-31", station=s) for s in "ab"], ignore_index=True))
+    sinks.upsert(spark, df, path, KEY)
+    sinks.replace_range(spark, df.limit(0), path, "2024-01-01 00:00:00", "2024-12-31 00:00:00", stations=["a"])
+    assert {r[0] for r in rows(spark, path)} == {"b"} and len(rows(spark, path)) == 40
