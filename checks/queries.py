@@ -961,6 +961,63 @@ def _next_hour(scored):
     )
 
 
+FRESH, STALE = "station_id < 'd'", "station_id >= 'd' AND station_id < 'q'"
+
+
+@register(
+    o.query(
+        [
+            *o.tel(name="all_tel"),
+            f"tel AS (SELECT * FROM all_tel WHERE ts <= TIMESTAMP '{AS_OF}')",
+            *[c for c in o.features() if not c.startswith("tel AS")],
+            *_small_sql("feat"),
+            OBSERVED,
+            KNOWN,
+            "run AS (" + _small_forecast_sql("ts = (SELECT max(ts) FROM past p WHERE p.station_id = past.station_id)") + ")",
+            "newest AS (SELECT station_id, max(ts) AS last_ts FROM feat GROUP BY 1)",
+        ],
+        f"""SELECT r.station_id, r.created_at, r.ts, CASE WHEN r.{FRESH} THEN {o.r('p.temp', 'x').removesuffix(' AS x')} ELSE pred_temp END AS pred_temp,
+  CASE WHEN r.{FRESH} THEN 'ridge_old' ELSE {VERSION.format('last_ts')} END AS model_version,
+  CASE WHEN r.{FRESH} THEN 'too_recent' WHEN r.{STALE.replace('AND ', 'AND r.')} THEN 'newer_period' ELSE 'no_model' END AS reason
+FROM run r JOIN past p ON p.station_id = r.station_id AND p.ts = r.created_at JOIN newest n ON n.station_id = r.station_id""",
+    )
+)
+def retrain_and_publish(spark, sf):
+    """A scheduled run: which stations are due, their fit, the registry, forecasts by the active models, and
+    the snapshot that readers get. One station's model is too young, one is outdated, the others have none."""
+    s, folder = _settings(lookback=1, horizon=1), session.run_folder(spark)
+    places = t.busy_stations(spark, sf).withColumn("min_training_days", F.lit(7))
+    at = lambda day: F.lit(day).cast("timestamp_ntz")
+    held = places.where(f"{FRESH} OR ({STALE})").select(
+        "station_id",
+        F.lit("ridge_old").alias("model_version"),
+        F.when(F.expr(FRESH), at("2024-01-28 00:00:00")).otherwise(at("2023-12-21 00:00:00")).alias("trained_at"),
+        at("2023-12-20 00:00:00").alias("last_ts"),
+        F.lit(10).cast("long").alias("train_samples_count"),
+        F.lit(0.0).alias("metrics_mse"),
+        F.lit(1).alias("is_active"),
+    )
+    flat = lambda *values: F.array(*[F.lit(float(v)) for v in values])
+    still = held.select(  # no change is predicted
+        "station_id", F.lit(10.0).alias("n_samples"), flat(0, 0, 0).alias("weights"), flat(0, 0).alias("x_mean"), flat(1, 1).alias("x_scale"),
+        flat(0).alias("y_mean"), flat(1).alias("y_scale"), "model_version",
+    )
+    held, still = sinks.materialise(held, folder, "held"), sinks.materialise(still, folder, "still")
+    done = flow.run_due(t.telemetry(spark, sf), places, held, still, s, folder, **SMALL)
+    usable, _ = model.split_rejects(done["scored"])
+    ahead = usable.select(
+        "station_id",
+        F.col("ts_ref").alias("created_at"),
+        F.timestamp_add("HOUR", F.lit(1), "ts_ref").alias("ts"),
+        (F.col("last_actual")[0] + F.col("delta")[0][0]).alias("pred_temp"),
+        "model_version",
+    )
+    public = rounded(ahead.join(done["due"].select("station_id", "reason"), "station_id"))
+    sinks.publish_snapshot(public.limit(0), f"{folder}/public", "20240130T2200")
+    sinks.publish_snapshot(public, f"{folder}/public", "20240130T2300")
+    return sinks.read_snapshot(spark, f"{folder}/public")
+
+
 WEEK = "TIMESTAMP '1970-01-01' + INTERVAL 7 DAY * floor(epoch(ts) / 604800)::int"
 WALK = [
     *o.tel(name="all_tel"),
@@ -1056,9 +1113,9 @@ def retrain_due(spark, sf):
 
 
 def _eval(spark, sf):
-    """Hourly table, forecasts, matches and bias."""
+    """Hourly table, forecasts, matches and bias; matches are a table, as actual values and bias both read them."""
     hours = t.hourly_table(spark, sf)
-    matches = t.matches(spark, sf, hours=hours)
+    matches = sinks.materialise(t.matches(spark, sf, hours=hours), session.run_folder(spark), "matches")
     return hours, t.baselines(hours), matches, matching.bias_table(matches)
 
 
@@ -1209,6 +1266,7 @@ def range_replace(spark, sf):
 
 def _public(spark, sf):
     hours, forecast, matches, bias = _eval(spark, sf)
+    forecast = sinks.materialise(forecast, session.run_folder(spark), "forecast")  # three readers below
     closed = evaluation.reconcile(forecast, matches, bias)
     mart = evaluation.quality_mart(forecast, hours, bias)
     return serving.public_export(closed.unionByName(forecast, allowMissingColumns=True), mart)

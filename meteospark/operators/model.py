@@ -260,14 +260,14 @@ def baseline_forecasts(hourly: DataFrame, horizon: int = 6, lookback: int = 24)
     last = hourly.select("station_id", F.col("ts").alias("created_at"), steps, *[F.col(f).alias(f"pred_{f}") for f in FEATURES])
     last = last.withColumn("ts", hours(F.col("horizon"), times.floor_hour(F.col("created_at"))))
     ends = hourly.groupBy("station_id").agg(F.max("ts").alias("_end"))
-    means = _hour_means(hourly).select("*", steps)
     days = (F.ceil(F.col("horizon") / 24) * 24).cast("int")
+    target, made = hours(days, F.col("ts")), hours(days - F.col("horizon"), F.col("ts"))
     typical = (
-        means.withColumn("_target", hours(days, F.col("ts")))
-        .withColumn("created_at", hours(-F.col("horizon"), F.col("_target")))
+        _hour_means(hourly)
         .join(ends, "station_id")
-        .where("created_at <= _end")
-        .select("station_id", "created_at", "horizon", *[F.col(f"mean_{f}").alias(f"pred_{f}") for f in FEATURES], F.col("_target").alias("ts"))
+        .select("*", steps)
+        .where(made <= F.col("_end"))
+        .select("station_id", made.alias("created_at"), "horizon", *[F.col(f"mean_{f}").alias(f"pred_{f}") for f in FEATURES], target.alias("ts"))
     )
     both = last.withColumn("model_version", F.lit("persistence")).unionByName(
         typical.withColumn("model_version", F.lit("climatology"))

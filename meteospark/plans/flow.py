@@ -148,6 +148,29 @@ def predict(
     return {"forecast": model.to_forecast(usable, version, s.step_minutes, s.lookback), "rejected": rejected}
 
 
+def run_due(
+    telemetry: DataFrame, stations: DataFrame, registry: DataFrame, models: DataFrame, s: Settings, folder: str, inputs=INPUT_FEATURES, targets=FEATURES
+) -> dict[str, DataFrame]:
+    """One scheduled run as of the clock: stations that are due are fitted anew, then every station is
+    predicted from its newest hours by the model that is now active.
+
+    stations: station_id, place, min_training_days (and temp_offset). registry and models: what earlier runs
+    have stored; nothing is dropped from either. Returns due (with reasons), registry, models and scored.
+    """
+    known, offset = as_known(telemetry, stations, s)
+    hourly = sinks.materialise(resample.clean_hourly(known, offset, s.max_interpolate_hours, s.step_minutes), folder, "hourly")
+    periods = hourly.groupBy("station_id").agg(times.month_of(F.max("ts")).alias("last_period"))
+    due = model.retrain_due(stations.select("station_id", "min_training_days"), registry, periods, s.as_of)
+    due = sinks.materialise(due, folder, "due")
+    mine = hourly.join(due.where("is_due").select("station_id"), "station_id", "left_semi")
+    fit = train(mine, stations, s, folder, inputs, targets)
+    registry = sinks.materialise(model.register(registry, fit["registry"]), folder, "registry_now")
+    models = sinks.materialise(models.unionByName(fit["models"], allowMissingColumns=True), folder, "models_now")
+    rows = known_rows(observed_hours(telemetry, stations, s), stations, s)
+    scored = model.infer(rows, models, registry, s.lookback, s.step_minutes, None, inputs, targets)
+    return {"due": due, "registry": registry, "models": models, "scored": scored}
+
+
 def backtest(
     telemetry: DataFrame,
     stations: DataFrame,
