@@ -148,15 +148,20 @@ def scores_of(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
     return vectors.astype(object) @ query.astype(object)
 
 
-def best_of(ids, vectors, near, query_id, query, query_near, k):
+def squares(vectors: np.ndarray) -> np.ndarray:
+    """Squared lengths, in floating point."""
+    wide = vectors.astype(float)
+    return np.einsum("ij,ij->i", wide, wide)
+
+
+def best_of(ids, vectors, norms, near, query_id, query, query_near, k):
     """The k best candidates of one block for one query as (score, id), and how many were evaluated.
 
     |d(q, p) - d(v, p)| is at most d(q, v), so the largest over the pivots bounds the inner product
     (|q|^2 + |v|^2 - d^2) / 2 from above. Candidates are evaluated in the order of that bound until the
     k-th best score is above the next bound; equal scores go on, as a smaller id may still win.
     """
-    wide = vectors.astype(float)
-    norms, own = np.einsum("ij,ij->i", wide, wide), float(query.astype(float) @ query.astype(float))
+    own = float(squares(query[None])[0])
     low = np.abs(near - query_near).max(axis=1) if near.shape[1] else np.zeros(len(ids))
     bound = (own + norms - np.square(np.maximum(low * (1 - 1e-9) - 1e-6, 0))) / 2 + 1e-6 * (1 + own + norms)
     order = np.argsort(-bound, kind="stable")
@@ -185,9 +190,9 @@ def _meet(k: int):
         if len(candidates) and len(asked):
             ids = candidates["id"].to_numpy()
             matrix, near = _matrix(candidates["v"], "i8"), _matrix(candidates["near"], "f8")
-            q, qn = _matrix(asked["v"], "i8"), _matrix(asked["near"], "f8")
+            q, qn, norms = _matrix(asked["v"], "i8"), _matrix(asked["near"], "f8"), squares(matrix)
             for i, query_id in enumerate(asked["id"].to_pylist()):
-                best = best_of(ids, matrix, near, query_id, q[i], qn[i], k)[0]
+                best = best_of(ids, matrix, norms, near, query_id, q[i], qn[i], k)[0]
                 rows += [(query_id, vec_id, score) for score, vec_id in best]
         columns = list(zip(*rows)) or [[]] * 3
         return pa.table([pa.array(c, pa.int64()) for c in columns], names=["query_id", "vec_id", "score"])

@@ -41,7 +41,7 @@ def test_bounds_spare_evaluations():
     pivots = data[::50]
     near = np.linalg.norm(data[:, None] - pivots[None], axis=2)
     query = data[123]
-    best, seen = topk.best_of(np.arange(1000), data, near, 123, query, near[123], 5)
+    best, seen = topk.best_of(np.arange(1000), data, topk.squares(data), near, 123, query, near[123], 5)
     scores = sorted((-(v @ query), i) for i, v in enumerate(data) if i != 123)
     assert best == [(-s, i) for s, i in scores[:5]] and seen < 1000
 
