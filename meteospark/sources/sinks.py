@@ -10,7 +10,7 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from meteospark.functions import times
 from meteospark.operators import staging
@@ -37,10 +37,9 @@ def _by(buckets: int | None) -> list[str]:
 
 
 def _write(df: DataFrame, path: str, mode: str = "overwrite", by=("month",)) -> None:
-    """Writes the partitions of the rows. A new table gets a file without rows first, so that one whose first
-    update is empty has its columns and can be read."""
-    if not table_exists(df.sparkSession, path):
-        _write_empty(df.limit(0), path, (EMPTY, 0)[: len(by)])
+    """Writes the partitions of the rows. A new table, and one that gets new columns, first gets a file
+    without rows that has all columns (see `read_table`)."""
+    _keep_columns(df, path, by)
     out = df.write.mode(mode).partitionBy(*by)
     if mode == "overwrite":
         out = out.option("partitionOverwriteMode", "dynamic")
@@ -62,9 +61,31 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return any(s.isDirectory() and s.getPath().getName().startswith("month=") for s in found)
 
 
+def _keep_columns(df: DataFrame, path: str, by) -> None:
+    """Writes a file without rows with the table's and the update's columns, unless there is one."""
+    spark = df.sparkSession
+    fields = [f for f in df.schema.fields if f.name not in by]
+    if table_exists(spark, path):
+        known = read_table(spark, path).schema
+        new = [f for f in fields if f.name not in known.names]
+        if not new and path_exists(spark, f"{path}/month={EMPTY}"):
+            return
+        fields = [f for f in known.fields if f.name not in by] + new
+    _write_empty(spark.createDataFrame([], T.StructType(fields)), path, (EMPTY, 0)[: len(by)])
+
+
 def read_table(spark: SparkSession, path: str, months: list[str | None] | None = None) -> DataFrame:
-    """The table with every column that any update has brought, or only these months of it."""
-    df = spark.read.option("mergeSchema", True).parquet(path)
+    """The table with every column that any update has brought, or only these months of it.
+
+    Its columns are those of the files without rows in one folder, so no footers of data are read for
+    them, however many files there are. A table that others have written has none; then footers tell.
+    """
+    reader, seed = spark.read, f"{path}/month={EMPTY}"
+    if path_exists(spark, seed):
+        schema = spark.read.option("mergeSchema", True).option("basePath", path).parquet(seed).schema
+        df = reader.schema(schema).parquet(path)
+    else:
+        df = reader.option("mergeSchema", True).parquet(path)
     return df if months is None else df.where(in_months(months))
 
 
@@ -182,8 +203,7 @@ def write_staged(spark: SparkSession, raw: DataFrame, path: str, ranges: dict, m
 
     counted = staging.counted_stage(raw)
     values = [c for c in counted.columns if c not in ("station_id", "ts", "_copies")]
-    if not table_exists(spark, path):
-        _write_empty(counted.drop("_copies").limit(0), path)
+    _keep_columns(_with_month(counted.drop("_copies"), "ts"), path, ("month",))
     rows, seen = quality.observed(counted, quality.staged_metrics(ranges, values, minimum))
     keyed = F.col("station_id").isNotNull() & F.col("ts").isNotNull()
     rows = _with_month(rows.where(keyed).drop("_copies"), "ts")

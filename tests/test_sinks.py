@@ -194,3 +194,16 @@ def test_stations_far_apart_in_one_range(spark):
     sinks.upsert(spark, df, path, KEY)
     sinks.replace_range(spark, df.limit(0), path, "2024-01-01 00:00:00", "2024-12-31 00:00:00", stations=["a"])
     assert {r[0] for r in rows(spark, path)} == {"b"} and len(rows(spark, path)) == 40
+
+
+def test_columns_come_from_one_folder(spark):
+    """New columns of an update, and tables that others have written, keep every column; NULL where a file has none."""
+    path = session.run_folder(spark)
+    df = frame(spark, hours(40, "2024-01-31"))
+    df.withColumn("month", F.date_format("ts", "yyyy-MM")).write.partitionBy("month").parquet(path)
+    sinks.upsert(spark, df.limit(3).select(*KEY, F.lit(1.0).alias("extra")), path, KEY)
+    sinks.upsert(spark, df.where("ts > '2024-02-01'").select(*KEY, F.lit("x").alias("note")), path, KEY)
+    table = sinks.read_table(spark, path)
+    assert set(table.columns) == {*df.columns, "extra", "note", "month"}
+    assert table.count() == 40 and table.where("extra = 1").count() == 3 and table.where("note = 'x'").count() == 15
+    assert table.where("temp IS NULL").count() == 0
