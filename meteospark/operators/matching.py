@@ -69,12 +69,41 @@ def grid_profile(grid: DataFrame, variables: list[str], as_of) -> DataFrame:
     )
 
 
+#: Distinct latitudes or longitudes up to which a grid's axis is one sorted array (a global grid of 0.1 degrees
+#: has 3,600); irregular grids with more are laid out in slices.
+AXIS_VALUES = 1 << 16
+
+
 def nearest_cells(stations: DataFrame, grid: DataFrame) -> DataFrame:
     """Nearest grid latitude and, independently, longitude per station; ties go to the larger.
 
+    The axes of a grid are short, which is checked: each is an array that a station's coordinate is sought
+    in by halving, and no station is shuffled. `grid` may be any table with the grid's coordinates, best a
+    small one kept beside it.
+    """
+    axes = ("latitude", "longitude")
+    sizes = grid.agg(*[F.approx_count_distinct(a).alias(a) for a in axes]).first()
+    if max(sizes) > AXIS_VALUES // 2:  # the estimate is off by a few hundredths
+        return nearest_cells_sliced(stations, grid)
+    halves = F.array(*[F.lit(1 << k) for k in reversed(range(AXIS_VALUES.bit_length()))])
+    out = stations
+    for a in axes:
+        values = grid.agg(F.array_sort(F.collect_set(a))).scalar()
+        out = out.withColumn("_axis", values)
+        found = F.aggregate(halves, F.lit(0), lambda at, step: F.when(F.get("_axis", at + step - 1) <= F.col(a), at + step).otherwise(at))
+        out = out.withColumn("_at", found)
+        below, above, x = F.get("_axis", F.col("_at") - 1), F.get("_axis", F.col("_at")), F.col(a)
+        pick = F.when(above.isNull() | (x - below < above - x), below).otherwise(above)
+        out = out.withColumn(f"cell_{a}", F.when(x.isNotNull(), pick)).drop("_axis", "_at")
+    return out
+
+
+def nearest_cells_sliced(stations: DataFrame, grid: DataFrame) -> DataFrame:
+    """The same for grids whose axes are too long for an array.
+
     Both sides are laid on one axis and each coordinate looks at its two grid neighbours, so
     no station is paired with more than two grid values. The axis is cut into slices of about as
-    many points. `grid` may be any table with the grid's coordinates, best a small one kept beside it.
+    many points.
     """
     axes = ("latitude", "longitude")
 
