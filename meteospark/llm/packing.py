@@ -17,7 +17,7 @@ from tokenizers import Tokenizer
 from meteospark.llm.common import cumulated, seeded, stored
 
 #: Words, and parts of words, in a young table that a worker process remembers, and their longest length.
-_REMEMBERED, _LONGEST = 1 << 17, 64
+_REMEMBERED, _LONGEST = 1 << 16, 64
 #: Documents whose new words are learnt at once.
 _AT_ONCE = 512
 #: What the splitting rule of a tokenizer file must be for words to be cut here, and the same rule for
@@ -40,13 +40,12 @@ class _WordIds:
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        with open(path, encoding="utf-8") as file:
-            model = json.load(file)
-        self.cut = json.dumps(_RULE)[1:-1] in json.dumps(model["pre_tokenizer"])
-        suffix = model["model"].get("end_of_word_suffix")
-        self.cut = self.cut and bool(suffix)
-        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
-        for token, i in model["model"]["vocab"].items():
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        rule = json.dumps(_RULE)[1:-1].encode()
+        self.cut = bool(suffix) and self.tokenizer.pre_tokenizer is not None and rule in self.tokenizer.pre_tokenizer.__getstate__()
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values(), default=-1) + 1, bool)
+        for token, i in vocabulary.items():
             self.ends[i] = bool(suffix) and token.endswith(suffix)
         self.known: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
@@ -95,6 +94,10 @@ class _WordIds:
             self.known.pop(word, None)
         self.long.clear()
 
+    def rest(self) -> None:
+        """To be called when a task is done: the process may do other work next and needs its memory."""
+        self.old_known, self.old_parts = {}, {}
+
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
@@ -155,6 +158,7 @@ def token_pieces(
             if with_ids:
                 columns.append(pa.array(ids, pa.list_(pa.int32())))
             yield pa.RecordBatch.from_arrays(columns, fields)
+        known.rest()
 
     shape = f"doc_id {id_type}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
     return docs.select(id_column, text_column).mapInArrow(run, shape)
