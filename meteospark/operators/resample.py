@@ -38,11 +38,15 @@ def _grid(df: DataFrame, step_minutes: int, keys, features, carried: dict[str, C
     windows run over existing rows, `carried` is computed once per row, and only the `value`
     formulas run per slot, after an explode that neither sorts nor shuffles. Positions are epoch
     seconds: `_row` of the emitting row, `_t` of the slot.
+
+    A partition grows by its gaps after the windows, which adaptive execution can't foresee when it puts
+    small partitions together; so there are as many as the session sets for a shuffle.
     """
     step = F.lit(step_minutes * 60).cast("bigint")
     df = df.select(*keys, spans.by_month().alias(spans.SPAN), times.epoch_seconds(F.col("ts")).alias("_row"), *features)
     cols = features if carried else ()
-    df = spans.with_neighbours(spans.with_carry(df, keys, "_row", cols), keys, "_row", cols)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    df = spans.with_neighbours(spans.with_carry(df, keys, "_row", cols, parts), keys, "_row", cols)
     following = F.coalesce(F.lead("_row").over(spans.local(keys, "_row")), F.col("_after_at"))
     df = df.withColumn("_until", F.coalesce(following - step, F.col("_row")))
     kept = {**carried, **({} if carried else {f: F.col(f) for f in features})}

@@ -33,14 +33,19 @@ def _earlier(keys):
     return W.partitionBy(*keys).orderBy(SPAN).rowsBetween(W.unboundedPreceding, -1)
 
 
-def with_carry(df: DataFrame, keys, at: str, cols=()) -> DataFrame:
+def with_carry(df: DataFrame, keys, at: str, cols=(), parts: int | None = None) -> DataFrame:
     """Adds to every row what its span has to know about the spans around it.
 
     `_before_at`: last position of any earlier span, `_after_at`: first position of any later
     span, and for each column the nearest earlier / later non-NULL value with its position.
+
+    The rows are dealt by keys and span, into `parts` partitions or as many as their size asks for, and
+    joined where they lie: neither are they broadcast nor does the small table of spans say how many
+    partitions they get.
     """
     # stated for both uses of df, or the join would state it for one and df were computed twice
     df = df.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in (*keys, SPAN)]))
+    df = df.repartition(*([] if parts is None else [parts]), *keys, SPAN)
     aggs = [F.max(at).alias("_last_at"), F.min(at).alias("_first_at")]
     for c in cols:
         seen = f"IF({c} IS NULL, NULL, {at})"
@@ -61,7 +66,7 @@ def with_carry(df: DataFrame, keys, at: str, cols=()) -> DataFrame:
                 f"last(_{c}_last{at_part}, true) OVER {back} AS _before_{c}{at_part}",
                 f"last(_{c}_first{at_part}, true) OVER {ahead} AS _after_{c}{at_part}",
             ]
-    return df.join(edges.selectExpr(*keys, SPAN, *carried), [*keys, SPAN])
+    return df.hint("merge").join(edges.selectExpr(*keys, SPAN, *carried), [*keys, SPAN])
 
 
 def with_neighbours(df: DataFrame, keys, at: str, cols) -> DataFrame:

@@ -151,3 +151,12 @@ def test_registered_query_matches_sql(spark, name):
 
     sf = "/root/testdata/sf0.001"
     assert compare(spark, database(sf), sf, name).startswith("OK")
+
+
+def test_gaps_are_filled_in_as_many_tasks_as_a_shuffle_has(spark):
+    """Few rows far apart become many: adaptive execution must not put them into one task, nor broadcast them."""
+    rows = frame(spark, hours(24 * 40).iloc[[0, 200, 500, -1]])
+    dense = resample.interpolate(rows, max_hours=None)
+    assert dense.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dense.collect()
+    assert "BroadcastHashJoin" not in dense._jdf.queryExecution().executedPlan().toString()
