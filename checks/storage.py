@@ -264,7 +264,7 @@ def refit_late_month(spark, sf):
     s = flow.Settings(as_of="1999-01-01", step_minutes=1440, lookback=1, horizon=1)
     small = {"inputs": ("temp", "rh"), "targets": ("temp",)}
     rows = resample.interpolate(_daily(spark, sf), max_hours=None, step_minutes=1440).select("station_id", "ts", "temp", "rh")
-    sinks.upsert(spark, rows, features, ["station_id", "ts"], unique=True)
+    sinks.upsert(spark, rows, features, ["station_id", "ts"], unique=True, gather=True)
     flow.all_moments(spark, features, parts, s, **small)
     late = sinks.read_table(spark, features, [LATE_MONTH]).select("station_id", "ts", (F.col("temp") + 1).alias("temp"))
     sinks.upsert(spark, late, features, ["station_id", "ts"])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -20,6 +22,69 @@ def nested(values: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.arange(0, n * steps + 1, steps, dtype=np.int32)), inner)
 
 
+def listed(values: np.ndarray) -> pa.Array:
+    """The rows of a matrix as lists."""
+    n, width = values.shape
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, n * width + 1, max(width, 1), dtype=np.int32)[: n + 1]), pa.array(values.ravel()))
+
+
+def _group_starts(table: pa.Table) -> np.ndarray:
+    """Where the station months of ordered rows begin."""
+    station = table["station_id"].combine_chunks().dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+    new = (np.diff(station, prepend=-2) != 0) | (np.diff(table["_month"].to_numpy(), prepend=np.datetime64(0, "us")) != np.timedelta64(0))
+    new[:1] = True
+    return np.flatnonzero(new)
+
+
+def in_station_months(narrow: DataFrame, build: Callable[[pa.Table], pa.Table], shape: str) -> DataFrame:
+    """Applies `build` to tables of whole station months (or blocks of days), each in the order of its times.
+
+    Rows are dealt by station and month and sorted, and a table holds all months that a batch of them
+    completes: a month costs its rows, no call of its own, and a task holds a batch and a month.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = table if kept is None else pa.concat_tables([kept, table])
+            last = int(_group_starts(table)[-1]) if len(table) else 0
+            if last:
+                yield from build(table.slice(0, last)).to_batches()
+            kept = table.slice(last)
+        if kept is not None and len(kept):
+            yield from build(kept).to_batches()
+
+    ordered = narrow.repartition("station_id", "_month").sortWithinPartitions("station_id", "_month", "ts")
+    return ordered.mapInArrow(run, shape)
+
+
+class StationMonths:
+    """The samples of whole station months that lie in order: the row of each reference time (`refs`), its
+    time, the bounds of its month and the number of its station month."""
+
+    def __init__(self, table: pa.Table, lookback: int, horizon: int, block_days: int | None = None):
+        ts, month = table["ts"].to_numpy(), table["_month"].to_numpy().astype("datetime64[us]")
+        first = _group_starts(table) if len(table) else np.zeros(0, int)
+        size = np.diff(first, append=len(table))
+        group, place = np.repeat(np.arange(len(first)), size), np.arange(len(table)) - np.repeat(first, size)
+        following = month.astype("datetime64[M]") + 1 if block_days is None else month + np.timedelta64(block_days, "D")
+        following = following.astype("datetime64[us]")
+        whole = (place >= lookback - 1) & (place + horizon < np.repeat(size, size))
+        self.refs = np.flatnonzero(whole & (ts >= month) & (ts < following))
+        self.ts, self.start, self.end, self.group = ts[self.refs], month[self.refs], following[self.refs], group[self.refs]
+        self.lookback, self.horizon = lookback, horizon
+        self.given, self.out = (matrix(table[c]) if len(self.refs) else np.zeros((0, 0)) for c in ("_in", "_out"))
+        self.width = lookback * self.given.shape[1] + horizon * self.out.shape[1]
+
+    def samples(self, which: np.ndarray) -> np.ndarray:
+        """A row for each sample: its window of inputs, then the deltas of its targets."""
+        at = self.refs[which]
+        x = self.given[at[:, None] + np.arange(1 - self.lookback, 1)]
+        y = self.out[at[:, None] + np.arange(1, self.horizon + 1)] - self.out[at][:, None]
+        return np.hstack([x.reshape(len(at), -1), y.reshape(len(at), -1)])
+
+
 class MonthWindows:
     """The windows of one station month (or block of days) as strided views over its rows: x (n, L, inputs),
     last and, with a horizon, y (n, H, targets). Nothing is repeated but what NumPy works on."""

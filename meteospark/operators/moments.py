@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from meteospark.functions import times
-from meteospark.operators.frames import MonthWindows, per_month
+from meteospark.operators.frames import StationMonths, in_station_months, listed, matrix, per_month
 
 #: block: the month, or span of days, of the reference time. kind: `head` for windows that begin in the
 #: block before, `tail` for futures that end in the next one, `inner` for the rest. is_train: NULL without a cut.
@@ -23,6 +23,8 @@ MODEL = (
     "y_mean array<double>, y_scale array<double>, metrics_mse double"
 )
 _KINDS = ("inner", "head", "tail")
+#: Samples of up to so many numbers are summed for many station months at once.
+_NARROW = 16
 
 
 class Moments:
@@ -45,6 +47,16 @@ class Moments:
         scatter = self.scatter + other.scatter + np.outer(apart, apart) * (self.n * other.n / n)
         return Moments(n, self.mean + apart * (other.n / n), scatter)
 
+    @classmethod
+    def total(cls, n: np.ndarray, mean: np.ndarray, scatter: np.ndarray) -> Moments:
+        """Of many moments (a row each, scatter packed) at once."""
+        share = n / n.sum()
+        center = mean[0] + share @ (mean - mean[0])
+        apart = mean - center
+        whole = cls.unpacked(float(n.sum()), center, scatter.sum(axis=0))
+        whole.scatter += (apart * n[:, None]).T @ apart
+        return whole
+
     def packed(self) -> np.ndarray:
         return self.scatter[np.triu_indices(len(self.mean))]
 
@@ -67,30 +79,53 @@ def month_moments(
     step = np.timedelta64(step_minutes, "m")
 
     def build(rows: pa.Table, until) -> pa.Table:
-        out = []
-        w = MonthWindows(rows, lookback, horizon, block_days) if len(rows) else None
-        if w is not None and len(w.refs):
-            z = np.hstack([w.x.reshape(len(w.refs), -1), w.y.reshape(len(w.refs), -1)])
-            kind = np.where(w.ts + horizon * step >= w.end, 2, np.where(w.ts - (lookback - 1) * step < w.start, 1, 0))
-            train = np.full(len(z), 2) if until is False else (w.ts <= np.datetime64(until)) * 1 if until else np.zeros(len(z), int)
-            for k in range(3):
-                for side in range(3):
-                    mine = (kind == k) & (train == side)
-                    if mine.any():
-                        m = Moments.of(z[mine])
-                        flag = None if side == 2 else bool(side)
-                        out.append((rows["station_id"][0].as_py(), w.start, _KINDS[k], flag, m.n, m.mean, m.packed()))
-        columns = list(zip(*out)) or [[]] * 7
-        kinds = [pa.string(), pa.timestamp("us"), pa.string(), pa.bool_(), pa.float64(), pa.list_(pa.float64()), pa.list_(pa.float64())]
+        """Of whole station months that lie in order."""
+        w = StationMonths(rows, lookback, horizon, block_days)
+        kind = np.where(w.ts + horizon * step >= w.end, 2, np.where(w.ts - (lookback - 1) * step < w.start, 1, 0))
+        train = np.full(len(kind), 2) if until is False else (w.ts <= np.datetime64(until)) * 1 if until else np.zeros(len(kind), int)
+        code = (w.group * 3 + kind) * 3 + train
+        order = np.argsort(code, kind="stable")
+        code = code[order]
+        first = np.flatnonzero(np.diff(code, prepend=-1))
+        n, mean, scatter = _sums(w, order, first)
+        kind, train = code[first] // 3 % 3, code[first] % 3
+        where = pa.array(w.refs[order[first]])
+        flags = pa.array(train == 1, mask=train == 2)
+        out = [rows["station_id"].combine_chunks().take(where), pa.array(w.start[order[first]]), pa.array(_KINDS).take(pa.array(kind)), flags]
         names = ["station_id", "block", "kind", "is_train", "n", "mean", "scatter"]
-        return pa.table([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)
+        return pa.table([*out, pa.array(n), listed(mean), listed(scatter)], names=names)
 
     if cut is None:
-        return narrow.groupBy("station_id", "_month").applyInArrow(lambda rows: build(rows, False), MOMENTS)
-    known = lambda rows, side: build(rows, side["cut_ts"][0].as_py() if len(side) else None)
+        return in_station_months(narrow, lambda rows: build(rows, False), MOMENTS)
+    known = lambda rows, side: build(rows.sort_by("ts"), side["cut_ts"][0].as_py() if len(side) else None)
     return per_month(narrow, cut).applyInArrow(known, MOMENTS)
 
 
+def _sums(w: StationMonths, order: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Count, mean and packed scatter of each run of samples; a run starts at each `first` of `order`.
+
+    Narrow samples of all runs are summed at once, a pair of columns at a time; for wide ones a product of
+    matrices a run is faster.
+    """
+    n = np.diff(first, append=len(order)).astype(float)
+    p = w.width
+    mean, scatter = np.empty((len(n), p)), np.empty((len(n), p * (p + 1) // 2))
+    if p > _NARROW:
+        for i, (lo, count) in enumerate(zip(first, n.astype(int))):
+            m = Moments.of(w.samples(order[lo : lo + count]))
+            mean[i], scatter[i] = m.mean, m.packed()
+    elif len(n):
+        z, run = w.samples(order), np.repeat(np.arange(len(n)), n.astype(int))
+        base = z[first]
+        d = z - base[run]
+        apart = np.add.reduceat(d, first, axis=0) / n[:, None]
+        mean = base + apart
+        d = np.ascontiguousarray((d - apart[run]).T)
+        for k, (i, j) in enumerate(zip(*np.triu_indices(p))):
+            scatter[:, k] = np.add.reduceat(d[i] * d[j], first)
+    return n, mean, scatter
+
+
 def solved(total: Moments, lookback: int, horizon: int, width: int, penalty: float) -> dict:
     """Scalers and ridge weights (intercept unpenalised) from the moments of the training samples.
 
@@ -132,9 +167,13 @@ def mean_square_error(model: dict, held: Moments, lookback: int, horizon: int) -
     return float(np.maximum(square, 0).mean() / held.n)
 
 
-def _rows(table: pa.Table) -> list[dict]:
+def _in_order(table: pa.Table) -> pa.Table:
     """A station's moments in the order of their blocks, so sums are the same on every run."""
-    return table.sort_by([(c, "ascending") for c in ("block", "kind", "is_train")]).to_pylist()
+    return table.sort_by([(c, "ascending") for c in ("block", "kind", "is_train")])
+
+
+def _rows(table: pa.Table) -> list[dict]:
+    return _in_order(table).to_pylist()
 
 
 def _sum(total: Moments | None, row: dict) -> Moments:
@@ -153,16 +192,17 @@ def fit(moments: DataFrame, lookback: int, horizon: int, width: int, penalty: fl
     names = [c.split()[0] for c in MODEL.split(", ")]
 
     def run(table: pa.Table) -> pa.Table:
-        train = held = None
-        rows = _rows(table)
-        blocks = sorted({r["block"] for r in rows})
-        last = next((b for b in reversed(blocks) if split is not None and np.datetime64(b) < split), None)
-        for r in rows:
-            before = r["is_train"] if split is None else np.datetime64(r["block"]) < split and not (r["block"] == last and r["kind"] == "tail")
-            if before:
-                train = _sum(train, r)
-            else:
-                held = _sum(held, r)
+        table = _in_order(table)
+        block = table["block"].to_numpy()
+        if split is None:
+            before = table["is_train"].fill_null(False).to_numpy()
+        else:
+            before = block < split
+            if before.any():
+                tail = np.array(table["kind"].to_pylist()) == "tail"
+                before = before & ~((block == block[before].max()) & tail)
+        n, mean, scatter = table["n"].to_numpy(), matrix(table["mean"]), matrix(table["scatter"])
+        train, held = [Moments.total(n[side], mean[side], scatter[side]) if side.any() else None for side in (before, ~before)]
         out = []
         if train is not None:
             model = solved(train, lookback, horizon, width, penalty)

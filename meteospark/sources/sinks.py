@@ -163,14 +163,16 @@ def merge_rows(old: DataFrame, new: DataFrame, key) -> DataFrame:
 
 
 def upsert(
-    spark: SparkSession, new: DataFrame, path: str, key, at: str = "ts", order=(), months=None, unique: bool = False, buckets: int | None = None
+    spark: SparkSession, new: DataFrame, path: str, key, at: str = "ts", order=(), months=None, unique: bool = False, buckets: int | None = None, gather: bool = False
 ) -> None:
     """Keyed upsert; columns that the update lacks keep their value. Only its months are rewritten, and with
     `buckets` (for a table always the same number) of these only the buckets its stations lie in.
 
     Of rows of one key in the update the last by `order` counts, then the one with the largest values, so
     an update applied again changes nothing. Null keys are keys like others. `unique`: the update has one
-    row a key. `months`: those it may have, where they are known; then it is not stored first.
+    row a key. `months`: those it may have, where they are known; then it is not stored first. `gather`: a
+    shuffle brings the rows of a partition together first, for updates of many months; else each task writes
+    a file for each month it has rows of.
     """
     by = _by(buckets)
     new = _with_parts(new, at, buckets)
@@ -183,7 +185,7 @@ def upsert(
         else:
             parts = [(m,) for m in months]
         new = merge_rows(_parts_of(spark, path, by, parts), new, [*key, *by])
-    _write(new, path, by=by)
+    _write(new.hint("rebalance", *by) if gather else new, path, by=by)
 
 
 def _parts_of(spark: SparkSession, path: str, by, parts: list[tuple] | None = None) -> DataFrame:

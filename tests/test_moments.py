@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from meteospark import session
-from meteospark.operators import model, moments, windows
+from meteospark.operators import frames, model, moments, windows
 from meteospark.plans import flow
 from meteospark.sources import sinks
 from tests.helpers import frame, hours
@@ -132,3 +132,27 @@ def test_refit_reads_the_changed_month_only(spark, monkeypatch):
         r = got[station]
         assert r.n_samples == past.sum() and np.allclose(np.array(r.weights).reshape(fit[0].shape), fit[0], atol=1e-7)
         assert r.metrics_mse == pytest.approx(((predicted(fit, x[~past]) - y[~past]) ** 2).mean(), rel=1e-8)
+
+
+def test_months_are_cut_out_of_batches_and_need_no_call_each(spark):
+    rows = pd.concat([hours(24 * 40, station=s, seed=i) for i, s in enumerate("abc")])
+    narrow = windows.month_rows(frame(spark, rows), 3, 2, inputs=("temp", "rh"), targets=("temp",))
+    found = {}
+    for size in ("7", "10000"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        parts = moments.month_moments(narrow, 3, 2)
+        found[size] = sorted((r.station_id, r.block, r.kind, r.n, r.mean, r.scatter) for r in parts.collect())
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert found["7"] == found["10000"] and sum(r[3] for r in found["7"]) == 3 * (24 * 40 - 4)
+    assert "FlatMapGroups" not in parts._jdf.queryExecution().toString()
+
+
+def test_narrow_samples_give_the_moments_of_wide_ones(spark, monkeypatch):
+    narrow = windows.month_rows(frame(spark, hours(24 * 40)), 2, 1, inputs=("temp", "rh"), targets=("temp",))
+    rows = narrow.orderBy("station_id", "_month", "ts").toArrow()
+    w = frames.StationMonths(rows, 2, 1)
+    order, first = np.arange(len(w.refs)), np.array([0, 100, 101])
+    at_once = moments._sums(w, order, first)
+    monkeypatch.setattr(moments, "_NARROW", 0)
+    for a, b in zip(at_once, moments._sums(w, order, first), strict=True):
+        assert np.allclose(a, b, rtol=1e-12, atol=1e-9)
