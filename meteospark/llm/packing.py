@@ -3,103 +3,113 @@
 from __future__ import annotations
 
 import json
-import re
+import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from meteospark.llm.common import cumulated, seeded, stored
 
-#: Words, and parts of words, in a young table that a worker process remembers, and their longest length.
+#: Strings in a young table that a worker process remembers, and their longest length.
 _REMEMBERED, _LONGEST = 1 << 16, 64
-#: Documents whose new words are learnt at once.
-_AT_ONCE = 512
+#: Bytes of text whose words are learnt at once.
+_AT_ONCE = 1 << 23
 #: What the splitting rule of a tokenizer file must be for words to be cut here, and the same rule for
 #: printable ASCII and Latin-1 letters, whose lower case and normal form are the same everywhere.
 _RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-_PLAIN = re.compile(r"[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
-_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
+_PLAIN = "^[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*$"
+_LETTERS = "a-z\u00df-\u00f6\u00f8-\u00ff"
+_PARTS = f"('s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^ 0-9{_LETTERS}]+)"
+#: The character that stands for a byte in a tokenizer's model, where it isn't the byte's own.
+_SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_BYTE_CHARACTERS = {b: 256 + n for n, b in enumerate(sorted({*range(256)}.difference(_SHOWN)))}
 
 
 class _WordIds:
-    """Ids of space-free strings as little-endian unsigned 32-bit bytes, in `known` once learnt.
+    """Ids of space-free strings as little-endian unsigned 32-bit bytes.
 
-    A full table becomes the old one, of which words that come again are taken back, and the one before it
-    goes: common words stay, and memory holds two tables of short strings. Longer ones are forgotten by
-    `forget_long`.
-
-    Where the tokenizer's rule allows, a string is cut into parts here, and all new parts go to the
-    tokenizer in one text: each comes back as tokens of which only the last ends a word.
+    Where the tokenizer's rule allows, words are cut into parts here, by Arrow for all words of some texts at
+    once. A part is then a word of the tokenizer's model and needs no normalising or splitting; other words go
+    to the tokenizer as they are. Ids of both are remembered: a full table becomes the old one, of which
+    strings that come again are taken back, and the one before it goes. So common ones stay, and memory holds
+    two tables of short strings.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
-        rule = json.dumps(_RULE)[1:-1].encode()
-        self.cut = bool(suffix) and self.tokenizer.pre_tokenizer is not None and rule in self.tokenizer.pre_tokenizer.__getstate__()
-        vocabulary = self.tokenizer.get_vocab()
-        self.ends = np.zeros(max(vocabulary.values(), default=-1) + 1, bool)
-        for token, i in vocabulary.items():
-            self.ends[i] = bool(suffix) and token.endswith(suffix)
-        self.known: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-        self.old_known: dict[str, bytes] = {}
-        self.old_parts: dict[str, bytes] = {}
-        self.long: list[str] = []
-
-    @staticmethod
-    def _unknown(words: set[str], young: dict[str, bytes], old: dict[str, bytes]) -> list[str]:
-        """The words of neither table; those of the old one are taken back."""
-        missing = words.difference(young)
-        young.update((w, old[w]) for w in missing if w in old)
-        return [w for w in missing if w not in young]
-
-    def learn(self, words: set[str]) -> None:
-        if len(self.known) >= _REMEMBERED:
-            self.known, self.old_known = {}, self.known
-        if len(self.parts) >= _REMEMBERED:
-            self.parts, self.old_parts = {}, self.parts
-        cut = {}
-        for word in self._unknown(words, self.known, self.old_known):
-            if len(word) > _LONGEST:
-                self.long.append(word)
-            if self.cut and _PLAIN.fullmatch(word) and "<|" not in word:
-                cut[word] = _PARTS.findall(word.lower())
-            else:
-                self.known[word] = self._ids(word).tobytes()
-        order = self._unknown(set().union(*cut.values()), self.parts, self.old_parts)
-        if order:
-            ids = self._ids(" ".join(order))
-            ends = (np.flatnonzero(self.ends[ids]) + 1) * 4
-            data, at = ids.tobytes(), 0
-            for part, end in zip(order, ends.tolist(), strict=True):
-                self.parts[part] = data[at:end]
-                at = end
-        part = self.parts.__getitem__
-        for word, found in cut.items():
-            self.known[word] = b"".join(map(part, found))
-        for part in order:
-            if len(part) > _LONGEST:
-                del self.parts[part]
-
-    def forget_long(self) -> None:
-        """To be called when the words learnt last are done with."""
-        for word in self.long:
-            self.known.pop(word, None)
-        self.long.clear()
+        self.cut = self._plain_words()
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def _plain_words(self) -> bool:
+        """Whether plain words may be cut here: lower case, the known rule and bytes as characters."""
+        t = self.tokenizer
+        normal, split = ({} if step is None else json.loads(step.__getstate__()) for step in (t.normalizer, t.pre_tokenizer))
+        rules = split.get("pretokenizers", [])
+        return (
+            bool(getattr(t.model, "end_of_word_suffix", None))
+            and [s["type"] for s in normal.get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]
+            and normal["normalizers"][1]["pattern"] == {"Regex": r"\s+"}
+            and [r["type"] for r in rules] == ["Split", "ByteLevel"]
+            and (rules[0]["pattern"], rules[0]["behavior"], rules[0]["invert"]) == ({"Regex": _RULE}, "Removed", True)
+            and not (rules[1]["add_prefix_space"] or rules[1]["use_regex"])
+            and all("<|" in added.content for added in t.get_added_tokens_decoder().values())
+        )
+
+    def of(self, words: pa.Array) -> list[bytes]:
+        """The ids of each of these words, which are distinct."""
+        plain = pc.match_substring_regex(words, _PLAIN) if self.cut else pa.repeat(False, len(words))
+        plain = pc.and_not(plain, pc.match_substring(words, "<|"))
+        cut = pc.replace_substring_regex(pc.utf8_lower(words.filter(plain)), _PARTS, r"\1 ")
+        parts = pc.split_pattern(cut, " ")
+        flat = parts.flatten().dictionary_encode()
+        ids_of = self._looked_up(flat.dictionary, self._part).__getitem__
+        of_flat = list(map(ids_of, flat.indices.to_numpy().tolist()))
+        joined = [b"".join(of_flat[lo:hi]) for lo, hi in pairwise(parts.offsets.to_numpy().tolist())]
+        others = np.flatnonzero(~plain.to_numpy(zero_copy_only=False)).tolist()
+        if not others:
+            return joined
+        of_others = self._looked_up(words.take(pa.array(others, pa.int64())), self._whole)
+        rest, known = iter(joined), dict(zip(others, of_others, strict=True))
+        return [known[i] if i in known else next(rest) for i in range(len(words))]
+
+    def _looked_up(self, strings: pa.Array, find: Callable[[str], bytes]) -> list[bytes]:
+        if len(self.young) >= _REMEMBERED:
+            self.young, self.old = {}, self.young
+        young, old, out = self.young, self.old, []
+        for s in strings.to_numpy(zero_copy_only=False).tolist():
+            ids = young.get(s)
+            if ids is None:
+                ids = old.get(s)
+                if ids is None:
+                    ids = find(s)
+                if len(s) <= _LONGEST:
+                    young[s] = ids
+            out.append(ids)
+        return out
+
+    def _part(self, part: str) -> bytes:
+        """A part of a plain word: the model sees a character for each byte of UTF-8."""
+        if not part.isascii():
+            part = part.encode().decode("latin-1").translate(_BYTE_CHARACTERS)
+        ids = [t.id for t in self.tokenizer.model.tokenize(part)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _whole(self, word: str) -> bytes:
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
 
     def rest(self) -> None:
         """To be called when a task is done: the process may do other work next and needs its memory."""
-        self.old_known, self.old_parts = {}, {}
-
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+        self.old = {}
+        pa.default_memory_pool().release_unused()
 
 
 @lru_cache(maxsize=2)
@@ -108,6 +118,16 @@ def _known_words(path: str) -> _WordIds:
     return _WordIds(path)
 
 
+def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Rows lo .. hi - 1 with about _AT_ONCE bytes of text, one row at least."""
+    upto, lo = np.cumsum(pc.binary_length(texts).to_numpy()), 0
+    while lo < len(texts):
+        before = upto[lo - 1] if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(upto, before + _AT_ONCE, "right")))
+        yield lo, hi
+        lo = hi
+
+
 def token_pieces(
     docs: DataFrame,
     tokenizer_path: str,
@@ -120,8 +140,7 @@ def token_pieces(
     """doc_id, piece, start, length, ids_crc32 (and ids): each document's ids, then end_id, cut at capacity.
 
     The tokenizer's file must drop white space and split at it, so ids are joined from those of the
-    parts between spaces and line feeds, each worked out once per worker process as long as it is
-    remembered. A null text is empty; of a very long one all pieces come from one row. Null and repeated
+    parts between spaces and line feeds; each is looked up once for about 8 MB of text. A null text is empty; of a very long one all pieces come from one row. Null and repeated
     ids are passed on, empty tables give no rows, other columns aren't read.
     """
     end = end_id.to_bytes(4, "little")
@@ -132,12 +151,14 @@ def token_pieces(
         known = _known_words(tokenizer_path)
         for batch in batches:
             docs_of, pieces, starts, lengths, sums, ids = [], [], [], [], [], []
-            for lo in range(0, len(batch), _AT_ONCE):
-                texts = batch.column(1).slice(lo, _AT_ONCE).to_pylist()
-                words = [(t or "").replace("\n", " ").split(" ") for t in texts]
-                known.learn(set().union(*words))
-                for row, found in enumerate(words, lo):
-                    data = b"".join(map(known.known.__getitem__, found)) + end
+            texts = pc.fill_null(batch.column(1).cast(pa.large_string()), "")
+            for lo, hi in _slices(texts):
+                words = pc.split_pattern(pc.replace_substring(texts.slice(lo, hi - lo), "\n", " "), " ")
+                found = words.flatten().dictionary_encode()
+                ids_of = known.of(found.dictionary).__getitem__
+                numbers, ends = found.indices.to_numpy(), words.offsets.to_numpy()
+                for row, (first, after) in enumerate(pairwise(ends - ends[0]), lo):
+                    data = b"".join(map(ids_of, numbers[first:after].tolist())) + end
                     for piece, at in enumerate(range(0, len(data), 4 * capacity)):
                         part = data[at : at + 4 * capacity]
                         docs_of.append(row)
@@ -147,7 +168,6 @@ def token_pieces(
                         sums.append(zlib.crc32(part))
                         if with_ids:
                             ids.append(np.frombuffer(part, "<u4").astype("i4"))
-                known.forget_long()
             columns = [
                 batch.column(0).take(pa.array(docs_of, pa.int64())),
                 pa.array(pieces, pa.int32()),

@@ -5,9 +5,10 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from meteospark.llm.packing import RoomTree, best_fit_decreasing, packed, packed_documents, token_pieces
+from meteospark.llm.packing import _WordIds, RoomTree, best_fit_decreasing, packed, packed_documents, token_pieces
 from tests.llm.rows import corpus, documents
 
 tokenizers = pytest.importorskip("tokenizers")
@@ -87,6 +88,29 @@ def test_pieces_equal_the_tokenizer(spark):
     assert len(got) == want
 
 
+def test_words_at_once_equal_the_tokenizer():
+    rng = random.Random(3)
+    signs = "abzstremvdAZ\u00c0\u00de\u00df\u00e9\u00ff\u00d7\u00f7019'\"-|<>._,~!\u0301\u03a3\u0130\t\u00a0\u4e2d"
+    words = {"".join(rng.choices(signs, k=rng.randint(0, 9))) for _ in range(4000)}
+    words = [*words, "<|endoftext|>", "<|ENDOFTEXT|>", "'s's", "--'s", "a'street", "x" * 300, "\u00e9'Ll" * 50]
+    known, tok = _WordIds(PATH), tokenizers.Tokenizer.from_file(PATH)
+    want = [np.array(tok.encode(w, add_special_tokens=False).ids, "<u4").tobytes() for w in words]
+    for _ in range(2):
+        assert known.of(pa.array(words, pa.large_string())) == want
+    assert known.of(pa.array([], pa.large_string())) == []
+    known.cut = False
+    assert known.of(pa.array(words[:50], pa.large_string())) == want[:50]
+
+
+def test_plain_words_need_no_normalising(monkeypatch):
+    """They are cut here and go to the model, so only other words pass through the whole tokenizer."""
+    known, seen = _WordIds(PATH), []
+    whole = known._whole
+    monkeypatch.setattr(known, "_whole", lambda word: seen.append(word) or whole(word))
+    known.of(pa.array(["Don't", "\u00c9t\u00e9,", "", "a1b2", "\u4e2d", "<|endoftext|>"], pa.large_string()))
+    assert seen == ["\u4e2d", "<|endoftext|>"]
+
+
 def test_documents_fill_few_sequences(spark):
     texts = corpus(60)
     rows = packed_documents(documents(spark, texts), PATH, 128).collect()
