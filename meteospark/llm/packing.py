@@ -21,7 +21,7 @@ from meteospark.llm.common import cumulated, seeded, stored
 #: Strings in a young table that a worker process remembers, and their longest length.
 _REMEMBERED, _LONGEST = 1 << 16, 64
 #: Bytes of text whose words are learnt at once.
-_AT_ONCE = 1 << 23
+_AT_ONCE = 1 << 22
 #: What the splitting rule of a tokenizer file must be for words to be cut here, and the same rule for
 #: printable ASCII and Latin-1 letters, whose lower case and normal form are the same everywhere.
 _RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -64,6 +64,14 @@ class _WordIds:
             and all("<|" in added.content for added in t.get_added_tokens_decoder().values())
         )
 
+    def joined(self, texts: pa.Array) -> Iterator[bytes]:
+        """The ids of each text, whose words lie between spaces and line feeds."""
+        words = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        ends, found = words.offsets.to_numpy(), words.flatten().dictionary_encode()
+        ids_of, numbers = self.of(found.dictionary).__getitem__, found.indices.to_numpy()
+        for lo, hi in pairwise(ends - ends[0]):
+            yield b"".join(map(ids_of, numbers[lo:hi].tolist()))
+
     def of(self, words: pa.Array) -> list[bytes]:
         """The ids of each of these words, which are distinct."""
         plain = pc.match_substring_regex(words, _PLAIN) if self.cut else pa.repeat(False, len(words))
@@ -82,8 +90,6 @@ class _WordIds:
         return [known[i] if i in known else next(rest) for i in range(len(words))]
 
     def _looked_up(self, strings: pa.Array, find: Callable[[str], bytes]) -> list[bytes]:
-        if len(self.young) >= _REMEMBERED:
-            self.young, self.old = {}, self.young
         young, old, out = self.young, self.old, []
         for s in strings.to_numpy(zero_copy_only=False).tolist():
             ids = young.get(s)
@@ -93,7 +99,10 @@ class _WordIds:
                     ids = find(s)
                 if len(s) <= _LONGEST:
                     young[s] = ids
+                    if len(young) >= _REMEMBERED:
+                        young, old = {}, young
             out.append(ids)
+        self.young, self.old = young, old
         return out
 
     def _part(self, part: str) -> bytes:
@@ -108,7 +117,7 @@ class _WordIds:
 
     def rest(self) -> None:
         """To be called when a task is done: the process may do other work next and needs its memory."""
-        self.old = {}
+        self.young, self.old = {}, {}
         pa.default_memory_pool().release_unused()
 
 
@@ -140,7 +149,7 @@ def token_pieces(
     """doc_id, piece, start, length, ids_crc32 (and ids): each document's ids, then end_id, cut at capacity.
 
     The tokenizer's file must drop white space and split at it, so ids are joined from those of the
-    parts between spaces and line feeds; each is looked up once for about 8 MB of text. A null text is empty; of a very long one all pieces come from one row. Null and repeated
+    parts between spaces and line feeds; each is looked up once for about 4 MB of text. A null text is empty; of a very long one all pieces come from one row. Null and repeated
     ids are passed on, empty tables give no rows, other columns aren't read.
     """
     end = end_id.to_bytes(4, "little")
@@ -153,12 +162,8 @@ def token_pieces(
             docs_of, pieces, starts, lengths, sums, ids = [], [], [], [], [], []
             texts = pc.fill_null(batch.column(1).cast(pa.large_string()), "")
             for lo, hi in _slices(texts):
-                words = pc.split_pattern(pc.replace_substring(texts.slice(lo, hi - lo), "\n", " "), " ")
-                found = words.flatten().dictionary_encode()
-                ids_of = known.of(found.dictionary).__getitem__
-                numbers, ends = found.indices.to_numpy(), words.offsets.to_numpy()
-                for row, (first, after) in enumerate(pairwise(ends - ends[0]), lo):
-                    data = b"".join(map(ids_of, numbers[first:after].tolist())) + end
+                for row, found in enumerate(known.joined(texts.slice(lo, hi - lo)), lo):
+                    data = found + end
                     for piece, at in enumerate(range(0, len(data), 4 * capacity)):
                         part = data[at : at + 4 * capacity]
                         docs_of.append(row)

@@ -111,6 +111,16 @@ def test_plain_words_need_no_normalising(monkeypatch):
     assert seen == ["\u4e2d", "<|endoftext|>"]
 
 
+def test_remembered_words_stay_few(monkeypatch):
+    """However many distinct words come at once, the tables hold two times the limit, and nothing after a task."""
+    monkeypatch.setattr("meteospark.llm.packing._REMEMBERED", 50)
+    known = _WordIds(PATH)
+    known.of(pa.array([f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(500)], pa.large_string()))
+    assert len(known.young) <= 50 and len(known.old) <= 50
+    known.rest()
+    assert not known.young and not known.old
+
+
 def test_documents_fill_few_sequences(spark):
     texts = corpus(60)
     rows = packed_documents(documents(spark, texts), PATH, 128).collect()
