@@ -10,7 +10,7 @@ from checks.queries import OUTSIDE, RANGE, RAW, SERIES, STAGED, STD, _raw, _samp
 from meteospark import session
 from meteospark.catalog import CSV_COLUMNS, FEATURES, SCHEMES, rename_features
 from meteospark.functions import times
-from meteospark.operators import profiling, resample, staging, windows
+from meteospark.operators import frames, profiling, resample, staging
 from meteospark.plans import flow
 from meteospark.sources import files, sinks
 
@@ -215,20 +215,9 @@ QUALIFY i >= 30 AND ts <= last_ts - INTERVAL 10 DAY""",
 def long_history_windows(spark, sf):
     """Windows of thirty days and targets ten days ahead: every window reaches another month."""
     rows = resample.interpolate(_daily(spark, sf), max_hours=None, step_minutes=1440)
-    samples = windows.sample_windows(
-        rows, 30, 10, 1440, inputs=("rh", "temp"), targets=("rh", "temp")
-    )
-    total = lambda j: F.aggregate("x", F.lit(0.0), lambda s, r: s + r[j])
-    last = F.element_at("y", -1)
+    samples = frames.sample_totals(rows, 30, 10, 1440, ("rh", "temp"), ("rh", "temp"), block_days=320)
     return rounded(
-        samples.select(
-            "station_id",
-            F.col("ts_ref").alias("ts"),
-            total(0).alias("past_rh"),
-            total(1).alias("past_temp"),
-            last[0].alias("delta_rh"),
-            last[1].alias("delta_temp"),
-        )
+        samples.select("station_id", F.col("ts_ref").alias("ts"), "past_rh", "past_temp", "delta_rh", "delta_temp")
     )
 
 

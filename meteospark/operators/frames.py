@@ -74,7 +74,8 @@ class StationMonths:
         self.refs = np.flatnonzero(whole & (ts >= month) & (ts < following))
         self.ts, self.start, self.end, self.group = ts[self.refs], month[self.refs], following[self.refs], group[self.refs]
         self.lookback, self.horizon = lookback, horizon
-        self.given, self.out = (matrix(table[c]) if len(self.refs) else np.zeros((0, 0)) for c in ("_in", "_out"))
+        given = lambda c: len(self.refs) and c in table.column_names
+        self.given, self.out = (matrix(table[c]) if given(c) else np.zeros((0, 0)) for c in ("_in", "_out"))
         self.width = lookback * self.given.shape[1] + horizon * self.out.shape[1]
 
     def samples(self, which: np.ndarray) -> np.ndarray:
@@ -85,6 +86,35 @@ class StationMonths:
         return np.hstack([x.reshape(len(at), -1), y.reshape(len(at), -1)])
 
 
+def sample_totals(rows: DataFrame, lookback: int, horizon: int, step_minutes: int, inputs, targets, block_days: int) -> DataFrame:
+    """What is asked of whole samples, without a nested array for each: station_id, ts_ref, the sum of every input
+    over the window (`past_<input>`, in order of time; NULL, if a value is) and the change of every target up to
+    the last step (`delta_<target>`). A row goes as plain columns to the blocks of days whose windows need it."""
+    from meteospark.operators.windows import month_rows
+
+    used = list(dict.fromkeys([*inputs, *targets]))
+    narrow = month_rows(rows, lookback, horizon, step_minutes, inputs, targets, used, block_days).drop("_in", "_out")
+    columns = [*[f"past_{c}" for c in inputs], *[f"delta_{c}" for c in targets]]
+    schema = pa.schema([("station_id", pa.string()), ("ts_ref", pa.timestamp("us")), *[(c, pa.float64()) for c in columns]])
+
+    def build(table: pa.Table) -> pa.Table:
+        w = StationMonths(table, lookback, horizon, block_days)
+        values = {c: table[c].to_numpy().astype(float) for c in used}
+        found = []
+        for c in inputs:
+            total = np.zeros(len(w.refs))
+            for back in reversed(range(lookback)):
+                total += values[c][w.refs - back]
+            found.append(total)
+        found += [values[c][w.refs + horizon] - values[c][w.refs] for c in targets]
+        station = table["station_id"].combine_chunks().take(pa.array(w.refs))
+        numbers = [pa.array(v, from_pandas=True) for v in found]
+        return pa.Table.from_arrays([station, pa.array(w.ts).cast(pa.timestamp("us")), *numbers], schema=schema)
+
+    shape = "station_id string, ts_ref timestamp_ntz, " + ", ".join(f"{c} double" for c in columns)
+    return in_station_months(narrow, build, shape)
+
+
 class MonthWindows:
     """The windows of one station month (or block of days) as strided views over its rows: x (n, L, inputs),
     last and, with a horizon, y (n, H, targets). Nothing is repeated but what NumPy works on."""

@@ -7,8 +7,9 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from checks import QUERIES
 from meteospark.catalog import FEATURES, INPUT_FEATURES
-from meteospark.operators import maintenance, model, profiling, resample, spans, staging, windows
+from meteospark.operators import frames, maintenance, model, profiling, resample, spans, staging, windows
 from tests.helpers import frame, hours, to_pandas
 
 
@@ -83,6 +84,23 @@ def test_windows_across_months(spark):
     assert long.count() == 24 * 70 - 24 * 40 - 2 + 1
 
 
+def test_totals_of_windows_need_no_nested_arrays(spark):
+    look, ahead, names = 5, 3, ("rh", "temp")
+    pdf = pd.concat([hours(200, "2024-01-29 10:00", 7, 0.02), hours(8, seed=3, station="b"), hours(7, seed=4, station="c")])
+    got = to_pandas(frames.sample_totals(frame(spark, pdf), look, ahead, 60, names, ("temp",), 2), ("station_id", "ts_ref"))
+    parts = []
+    for station, own in pdf.groupby("station_id"):
+        at = np.arange(look - 1, len(own) - ahead)
+        parts.append(pd.DataFrame({"station_id": station, "ts_ref": own.ts.to_numpy()[at]}))
+        for c in names:
+            parts[-1][f"past_{c}"] = own[c].rolling(look).sum().to_numpy()[at]
+        parts[-1]["delta_temp"] = own.temp.to_numpy()[at + ahead] - own.temp.to_numpy()[at]
+    pd.testing.assert_frame_equal(got, pd.concat(parts, ignore_index=True), check_dtype=False)
+    assert got.station_id.tolist() == ["a"] * 193 + ["b"] and got.past_rh.isna().any()
+    plan = QUERIES["long_history_windows"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "collect_list" not in plan
+
+
 def test_scaler_counts_every_window(spark):
     pdf = hours(50, seed=4)
     df = frame(spark, pdf)
