@@ -30,11 +30,13 @@ def _by_month(df, folder, name, at="ts"):
 
 
 def _arriving(spark, sf, folder):
-    """Readings in files that overlap in time, one of them sent twice, one file a batch."""
-    tel = t.telemetry(spark, sf)
+    """Readings in sendings that overlap in time, one of them sent twice, one sending a batch. A sending is as
+    many files as tasks run at once, so neither its writing nor its batch is the work of one task."""
+    events, files = t.table(spark, sf, "events"), spark.sparkContext.defaultParallelism
     for part in (0, 1, 2, 1):
-        tel.where(F.col("event_id") % 3 == part).coalesce(1).write.mode("append").parquet(f"{folder}/in")
-    return _stream(spark, f"{folder}/in", maxFilesPerTrigger=1)
+        sent = events.where(F.col("event_id") % 3 == part).repartition(files, "event_id")
+        t.readings(sent, "event_type").write.mode("append").parquet(f"{folder}/in")
+    return _stream(spark, f"{folder}/in", maxFilesPerTrigger=files)
 
 
 @register(o.query([*o.tel(), o.HOURLY], f"SELECT station_id, ts, {o.rounded(FEATURES)} FROM res"))

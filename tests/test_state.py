@@ -100,3 +100,16 @@ def test_near_state_and_late_path_lose_no_row(spark):
     want = resample.resample(spark.read.parquet(f"{folder}/in").distinct(), features=features).select("station_id", "ts", *features)
     got = sinks.read_table(spark, hours).select("station_id", "ts", *features)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_a_sending_is_the_work_of_many_tasks(spark):
+    from checks import streams
+
+    seen = []
+    look = lambda batch, _: seen.append(batch.select(F.input_file_name().alias("f")).agg(F.count("*"), F.count_distinct("f")).first()[:])
+    arriving = streams._arriving(spark, "/root/testdata/sf0.001", session.run_folder(spark))
+    jobs.run_batches(arriving, look, f"{session.run_folder(spark)}/cp")
+    sent = spark.read.parquet("/root/testdata/sf0.001/events.parquet").groupBy(F.expr("event_id % 3")).count()
+    n = {r[0]: r[1] for r in sent.collect()}
+    assert [rows for rows, _ in seen] == [n[0], n[1], n[2], n[1]]
+    assert min(files for _, files in seen) > 1
