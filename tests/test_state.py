@@ -113,3 +113,23 @@ def test_a_sending_is_the_work_of_many_tasks(spark):
     n = {r[0]: r[1] for r in sent.collect()}
     assert [rows for rows, _ in seen] == [n[0], n[1], n[2], n[1]]
     assert min(files for _, files in seen) > 1
+
+
+def test_gap_alarms_store_a_batch_as_times_only(spark, monkeypatch):
+    from checks.compare import compare, database
+
+    seen, real = [], jobs.gap_arrivals
+
+    def spied(*args):
+        handle = real(*args)
+
+        def both(batch, number):
+            seen.append(batch.columns)
+            handle(batch, number)
+
+        return both
+
+    monkeypatch.setattr(jobs, "gap_arrivals", spied)
+    sf = "/root/testdata/sf0.001"
+    assert compare(spark, database(sf), sf, "stream_gap_alarm").startswith("OK")
+    assert seen == [["station_id", "ts"]] * 4
